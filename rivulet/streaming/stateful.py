@@ -116,3 +116,129 @@ def tumbling_sum_stream(df: DataFrame, key: str = "key", ts: str = "timestamp",
             .agg(F.sum(value).alias(out))
             .select(key, F.col("window.start").alias("window_start"),
                     F.col("window.end").alias("window_end"), out))
+
+
+def _affine_fold(x: "np.ndarray", acc0: float, decay: float, block: int = 256) -> "np.ndarray":
+    """Running ``acc = acc * decay + x`` over ``x``, vectorised per block:
+    inside a block of ``b`` rows the running values are one ``b x b``
+    lower-triangular product (weights ``decay ** (k - i)``), so no Python
+    loop runs per record and no large powers appear."""
+    import numpy as np
+
+    out = np.empty(len(x), dtype="float64")
+    acc = float(acc0)
+    for s in range(0, len(x), block):
+        xb = x[s:s + block]
+        b = len(xb)
+        k = np.arange(b)
+        expo = k[:, None] - k[None, :]
+        w = np.where(expo >= 0, np.power(decay, np.clip(expo, 0, None)), 0.0)
+        run = w @ xb + acc * np.power(decay, k + 1)
+        out[s:s + b] = run
+        acc = float(run[-1])
+    return out
+
+
+def fold_by_key_stream(df: DataFrame, key: str = "key", order: Sequence[str] = ("offset",),
+                       value: str = "value", out: str = "folded", init: float = 0.0,
+                       decay: float = 1.0) -> DataFrame:
+    """Ordered fold ``acc = acc * decay + value`` per key on a stream.
+
+    One output per input record (the fold so far); state per key: the
+    accumulator.  Output mode ``append``.
+    """
+    import numpy as np
+
+    cols = list(df.columns)
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.DoubleType())])
+    order = list(order)
+
+    def fold(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        acc = state.get[0] if state.exists else float(init)
+        pdf = pd.concat(list(pdfs), ignore_index=True)
+        pdf = pdf[pdf[value].notna()].sort_values(order, kind="stable")
+        if pdf.empty:
+            return
+        pdf[out] = _affine_fold(pdf[value].to_numpy(dtype=np.float64), acc, decay)
+        state.update((float(pdf[out].iloc[-1]),))
+        yield pdf[cols + [out]]
+
+    d = df.filter(df[key].isNotNull() & df[value].isNotNull())
+    return d.groupBy(key).applyInPandasWithState(
+        fold, schema, "acc double", "append", GroupStateTimeout.NoTimeout)
+
+
+def enrich_asof_stream(stream: DataFrame, changes: DataFrame, stream_key: str,
+                       change_key: str, stream_ts: str, change_ts: str,
+                       value_cols: Sequence[str], out_cols: Sequence[str] | None = None,
+                       change_order: str | None = None, deleted: str | None = None
+                       ) -> DataFrame:
+    """As-of table lookup on a stream: each stream record gets the table
+    value of its key as of its time.
+
+    Both streams are merged and grouped by key; state per key is the last
+    table value (``deleted`` names a boolean column marking tombstones,
+    which clear it).  Within a micro-batch rows are taken in (time, change
+    first, change order); a table change arriving in a later micro-batch
+    than a record cannot correct that record.  Output mode ``append``.
+    """
+    import json
+
+    from pyspark.sql import functions as F
+
+    outs = list(out_cols or value_cols)
+    scols = list(stream.columns)
+    vfields = [changes.schema[c] for c in value_cols]
+    tie = F.col(change_order).cast("long") if change_order else F.lit(0).cast("long")
+    srow = [F.col(c).alias(f"__s_{c}") for c in scols]
+    snull = [F.lit(None).cast(stream.schema[c].dataType).alias(f"__s_{c}") for c in scols]
+    vrow = [F.col(c).alias(f"__v_{c}") for c in value_cols]
+    vnull = [F.lit(None).cast(f.dataType).alias(f"__v_{f.name}") for f in vfields]
+    dele = F.col(deleted).cast("boolean") if deleted else F.lit(False)
+    a = changes.filter(F.col(change_key).isNotNull()).select(
+        F.col(change_key).cast("string").alias("__k"), F.col(change_ts).alias("__t"),
+        F.lit(0).alias("__side"), tie.alias("__tie"), dele.alias("__del"), *snull, *vrow)
+    b = stream.filter(F.col(stream_key).isNotNull()).select(
+        F.col(stream_key).cast("string").alias("__k"), F.col(stream_ts).alias("__t"),
+        F.lit(1).alias("__side"), F.lit(0).cast("long").alias("__tie"),
+        F.lit(False).alias("__del"), *srow, *vnull)
+    u = a.unionByName(b)
+    schema = T.StructType(list(stream.schema.fields) + [
+        T.StructField(o, f.dataType) for o, f in zip(outs, vfields)])
+
+    def plain(v):
+        if v is None or (isinstance(v, float) and v != v):
+            return None
+        return v.item() if hasattr(v, "item") else v
+
+    def lookup(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState
+               ) -> Iterator[pd.DataFrame]:
+        import numpy as np
+
+        last = json.loads(state.get[0]) if state.exists else None
+        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(
+            ["__t", "__side", "__tie"], kind="stable").reset_index(drop=True)
+        is_change = (pdf["__side"] == 0).to_numpy()
+        gone = pdf["__del"].fillna(False).astype(bool).to_numpy() & is_change
+        vals = {c: pdf[f"__v_{c}"].astype(object).to_numpy() for c in value_cols}
+        for c in value_cols:
+            vals[c][gone] = None
+        # position of the latest change at or before each row (NaN: none in this batch)
+        pos = pd.Series(np.where(is_change, np.arange(len(pdf)), np.nan)).ffill().to_numpy()
+        if is_change.any():
+            j = int(np.flatnonzero(is_change)[-1])
+            state.update((json.dumps({c: plain(vals[c][j]) for c in value_cols}),))
+        srows = np.flatnonzero(~is_change)
+        if len(srows) == 0:
+            return
+        res = pd.DataFrame({c: pdf[f"__s_{c}"].to_numpy()[srows] for c in scols})
+        p = pos[srows]
+        have = ~np.isnan(p)
+        for c, o in zip(value_cols, outs):
+            col = np.full(len(srows), None if last is None else last.get(c), dtype=object)
+            col[have] = vals[c][p[have].astype(int)]
+            res[o] = col
+        yield res
+
+    return u.groupBy("__k").applyInPandasWithState(
+        lookup, schema, "last string", "append", GroupStateTimeout.NoTimeout)
