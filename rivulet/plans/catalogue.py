@@ -41,11 +41,14 @@ SCALE = 2
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+INPUTS: dict[str, tuple[str, ...]] = {}
 
 
-def query(name: str, sql: str | None):
+def query(name: str, sql: str | None, inputs: tuple[str, ...] = ("events",)):
+    """Register a query, its SQL twin and the tables it reads."""
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
+        INPUTS[name] = inputs
         if sql is not None:
             ORACLE[name] = sql.strip()
         return fn
@@ -67,7 +70,7 @@ _DEC_SUM = "CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE)"
 WITH {SQL_TXT}
 SELECT off, key, v AS value FROM (
   SELECT off, key, {SQL_AFTER_DASH} AS v FROM txt WHERE contains(value, '{MARKER}'))
-WHERE {sql_parse_long('v')} > {THRESHOLD}""")
+WHERE {sql_parse_long('v')} > {THRESHOLD}""", ("orders",))
 def stateless_chain(spark, sf_dir):
     return order_number_chain(order_text_topic(spark, sf_dir), MARKER, THRESHOLD)
 
@@ -75,7 +78,7 @@ def stateless_chain(spark, sf_dir):
 @query("quarantine_non_numeric", f"""
 WITH {SQL_TXT}
 SELECT off, key, value, {SQL_AFTER_DASH} AS order_number FROM txt
-WHERE contains(value, '{MARKER}') AND {_PARSED_AFTER} IS NULL""")
+WHERE contains(value, '{MARKER}') AND {_PARSED_AFTER} IS NULL""", ("orders",))
 def quarantine_non_numeric_q(spark, sf_dir):
     return quarantine_non_numeric(order_text_topic(spark, sf_dir), MARKER)
 
@@ -86,7 +89,7 @@ t AS (SELECT *, (value IS NOT NULL AND {_PARSED_AFTER} IS NULL) AS bad FROM txt)
 r AS (SELECT *, SUM(CASE WHEN bad THEN 1 ELSE 0 END) OVER (
         ORDER BY off ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nbad FROM t)
 SELECT off, key, value, CASE WHEN bad THEN 'skipped' ELSE 'ok' END AS status
-FROM r WHERE nbad <= {BUDGET}""")
+FROM r WHERE nbad <= {BUDGET}""", ("orders",))
 def error_budget_q(spark, sf_dir):
     t = order_text_topic(spark, sf_dir)
     bad = F.col("value").isNotNull() & parse_long(after_first_dash("value")).isNull()
@@ -95,7 +98,7 @@ def error_budget_q(spark, sf_dir):
 
 @query("split_oversize", f"""
 SELECT doc_id, octet_length(encode(text)) AS n_bytes FROM documents
-WHERE octet_length(encode(text)) > {SINK_MAX_BYTES}""")
+WHERE octet_length(encode(text)) > {SINK_MAX_BYTES}""", ("documents",))
 def split_oversize_q(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     _, too_large = split_oversize(docs, "text", SINK_MAX_BYTES)
@@ -103,7 +106,7 @@ def split_oversize_q(spark, sf_dir):
 
 
 @query("hello_values", """
-SELECT c_custkey AS off, '(DSL) Hello, ' || c_name AS greeting FROM customer""")
+SELECT c_custkey AS off, '(DSL) Hello, ' || c_name AS greeting FROM customer""", ("customer",))
 def hello_values_q(spark, sf_dir):
     names = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("off"), F.col("c_name").alias("value"))
@@ -147,7 +150,7 @@ WITH {SQL_TXT}
 SELECT key, off, value FROM (
   SELECT *, row_number() OVER (PARTITION BY key ORDER BY off DESC) AS rn
   FROM txt WHERE key IS NOT NULL)
-WHERE rn = 1 AND value IS NOT NULL""")
+WHERE rn = 1 AND value IS NOT NULL""", ("orders",))
 def table_snapshot_q(spark, sf_dir):
     return table_snapshot(order_text_topic(spark, sf_dir), "key", "off", "value")
 
@@ -157,7 +160,7 @@ WITH {SQL_TXT}
 SELECT off, key,
        CASE WHEN contains(value, '{MARKER}') AND coalesce({_PARSED_AFTER} > {THRESHOLD}, false)
             THEN {SQL_AFTER_DASH} END AS value
-FROM txt""")
+FROM txt""", ("orders",))
 def table_order_changelog_q(spark, sf_dir):
     return table_order_changelog(order_text_topic(spark, sf_dir), MARKER, THRESHOLD,
                                  "key", "off", "value")
@@ -323,7 +326,7 @@ def interval_join_q(spark, sf_dir):
 @query("enrich_latest", """
 SELECT p.event_id, p.user_id, coalesce(c.c_name, '') AS user_name
 FROM events p LEFT JOIN customer c ON p.user_id = c.c_custkey
-WHERE p.event_type = 'purchase' AND p.user_id IS NOT NULL""")
+WHERE p.event_type = 'purchase' AND p.user_id IS NOT NULL""", ("events", "customer"))
 def enrich_latest_q(spark, sf_dir):
     p = events_of_type(spark, sf_dir, "purchase", "event_id", "user_id")
     c = table(spark, sf_dir, "customer")
@@ -348,7 +351,7 @@ WITH {_SQL_IJ}
 SELECT CAST(ij.user_id AS VARCHAR) AS key, CAST(purchase_id AS VARCHAR) AS electronic_order_id,
        CAST(view_id AS VARCHAR) AS appliance_order_id, v_props AS appliance_id,
        coalesce(c.c_name, '') AS user_name, epoch_us(time) // 1000 AS time
-FROM ij LEFT JOIN customer c ON ij.user_id = c.c_custkey""")
+FROM ij LEFT JOIN customer c ON ij.user_id = c.c_custkey""", ("events", "customer"))
 def join_enriched(spark, sf_dir):
     j = _views_purchases(spark, sf_dir).select(
         F.col("v_user").cast("string").alias("key"),

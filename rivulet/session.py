@@ -46,13 +46,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written state.
 
     Read from ``spark.checkpoint.dir`` (the cluster names it).  Only when it
-    is unset -- local tests -- a fresh folder under the system temp dir is
-    taken and registered, so that later calls agree.
+    is unset on a local master (tests) a fresh folder under the system temp
+    dir is taken and registered, so that later calls agree; on a cluster an
+    unset folder is an error, never a machine-local path.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         import tempfile
         d = tempfile.mkdtemp(prefix="rivulet-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
