@@ -1,0 +1,63 @@
+"""A key holding a third of all rows is split, and results stay exact."""
+
+import math
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from rivulet.operators import chunk_by_range, enrich_asof, running_sum, stream_time
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    e = spark.read.parquet(f"{SF}/events.parquet")
+    # every third event belongs to user 0: one hot key with a third of the rows
+    return e.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0))
+                        .otherwise(F.col("user_id")))
+
+
+def test_chunks_bound_both_window_levels(spark, skewed):
+    n = skewed.count()
+    c = skewed.withColumn("c", chunk_by_range(skewed, "event_id"))
+    per_group = c.groupBy("user_id", "c").count().agg(F.max("count")).first()[0]
+    chunks_of_hot = c.filter("user_id = 0").select("c").distinct().count()
+    bound = 2 * math.isqrt(n) + 2
+    assert per_group <= bound
+    assert chunks_of_hot <= bound
+    hot = c.filter("user_id = 0").count()
+    assert hot > n // 4  # the key really is hot
+
+
+def test_running_sum_exact_on_hot_key(spark, skewed):
+    got = running_sum(skewed, "user_id", ["event_id"], "value", "rt", 2).toPandas()
+    pdf = skewed.toPandas().sort_values("event_id")
+    pdf["bf"] = pdf.groupby("user_id")["value"].cumsum()
+    m = got.merge(pdf[["event_id", "bf"]], on="event_id")
+    assert len(m) == len(pdf) and (m["rt"] - m["bf"]).abs().max() < 1e-6
+
+
+def test_stream_time_exact(spark, skewed):
+    a = skewed.withColumn("arrival", F.col("event_id") + (F.col("event_id") * 7919) % 50)
+    got = stream_time(a, "user_id", ["arrival", "event_id"], "ts", "st").toPandas()
+    pdf = a.toPandas().sort_values(["arrival", "event_id"])
+    pdf["bf"] = pdf.groupby("user_id")["ts"].cummax()
+    m = got.merge(pdf[["event_id", "bf"]], on="event_id")
+    assert len(m) == len(pdf) and (m["st"] == m["bf"]).all()
+
+
+def test_asof_exact_on_hot_key(spark, skewed):
+    p = skewed.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    s = skewed.filter("event_type = 'signup'").select(
+        "user_id", F.col("ts").alias("sts"), "value")
+    got = enrich_asof(p, s, "user_id", "user_id", "ts", "sts", ["value"],
+                      out_cols=["sv"]).toPandas()
+    pp = p.toPandas().sort_values("ts")
+    sp = s.toPandas().sort_values("sts")
+    bf = pd.merge_asof(pp, sp, left_on="ts", right_on="sts", by="user_id",
+                       direction="backward")
+    m = got.merge(bf[["event_id", "value"]], on="event_id")
+    assert len(m) == len(pp)
+    assert ((m["sv"].fillna(-1) - m["value"].fillna(-1)).abs() < 1e-12).all()
