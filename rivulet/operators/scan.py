@@ -68,36 +68,44 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     keys = list(keys)
     v = F.col(value) if isinstance(value, str) else value
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    d = df.withColumn(_CHUNK, chunk)
+    # Rows with a null key form one group that is not split (it has no
+    # carry), so the join below can use plain equality: a null-safe join key
+    # would not match the window's partitioning and cost another shuffle.
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
+    d = df.withColumn(_CHUNK, F.when(has_key, chunk).otherwise(F.lit(0).cast("long")))
     w_local = (Window.partitionBy(*keys, _CHUNK).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     w_carry = (Window.partitionBy(*keys).orderBy(_CHUNK)
                .rowsBetween(Window.unboundedPreceding, -1))
     tot_col = F.col(_TOT)
     if how == "sum":
-        local, total, carry = F.sum(v), F.sum(v), F.sum(tot_col)
+        local, carry = F.sum(v), F.sum(tot_col)
     elif how == "count":
-        local, total, carry = F.count(v), F.count(v), F.sum(tot_col)
+        local, carry = F.count(v), F.sum(tot_col)
     elif how == "max":
-        local, total, carry = F.max(v), F.max(v), F.max(tot_col)
+        local, carry = F.max(v), F.max(tot_col)
     elif how == "min":
-        local, total, carry = F.min(v), F.min(v), F.min(tot_col)
+        local, carry = F.min(v), F.min(tot_col)
     elif how == "last":
-        local = F.last(v, ignorenulls=True)
-        total = F.max_by(v, F.when(v.isNotNull(), F.struct(*order_cols)))
-        carry = F.last(tot_col, ignorenulls=True)
+        local, carry = F.last(v, ignorenulls=True), F.last(tot_col, ignorenulls=True)
     else:
         raise ValueError(f"unknown running aggregate {how!r}")
 
     with_local = d.withColumn(_LOCAL, local.over(w_local))
-    totals = d.groupBy(*keys, _CHUNK).agg(total.alias(_TOT))
+    # A chunk's total is the running value on its last row.  The frame is
+    # already partitioned and sorted by (keys, chunk, order) here, so this
+    # aggregate adds no shuffle and the input is evaluated once.
+    totals = with_local.groupBy(*keys, _CHUNK).agg(
+        F.max_by(F.col(_LOCAL), F.struct(*order_cols)).alias(_TOT))
     carries = (totals.select(*keys, _CHUNK, carry.over(w_carry).alias(_CARRY))
                .filter(F.col(_CARRY).isNotNull())
                .select(*[F.col(k).alias(_rk(i)) for i, k in enumerate(keys)],
                        F.col(_CHUNK).alias("__rchunk"), _CARRY))
     cond = F.col(_CHUNK) == F.col("__rchunk")
     for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(_rk(i)))
+        cond = cond & (F.col(k) == F.col(_rk(i)))
     j = with_local.join(carries, cond, "left")
     loc, car = F.col(_LOCAL), F.col(_CARRY)
     if how in ("sum", "count"):

@@ -95,3 +95,14 @@ def test_keyed_sum_skips_null_key_and_value(spark):
                                              "value": [1.0, None, 5.0, 2.0]}))
     got = {r["key"]: r["total"] for r in keyed_sum(df).collect()}
     assert got == {"a": 1.0, "b": 2.0}
+
+
+def test_running_keeps_null_key_group_whole(spark):
+    e = _events(spark).withColumn(
+        "k", F.when(F.col("user_id") % 5 == 0, F.lit(None)).otherwise(F.col("user_id")))
+    chunk = F.floor(F.col("event_id") / F.lit(40))
+    got = running(e, ["k"], ["event_id"], "value", "sum", "rt", chunk).toPandas()
+    pdf = e.toPandas().sort_values("event_id")
+    pdf["bf"] = pdf.groupby("k", dropna=False)["value"].cumsum()
+    m = got.merge(pdf[["event_id", "bf"]], on="event_id")
+    assert len(m) == len(pdf) and (m["rt"] - m["bf"]).abs().max() < 1e-9
