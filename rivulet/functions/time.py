@@ -33,6 +33,17 @@ def as_local_time(c: Column | str) -> Column:
     return _c(c).cast("timestamp_ntz")
 
 
+# Microseconds per duration unit.
+_MICROS = {"millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
+           "hour": 3_600_000_000, "day": 86_400_000_000}
+
+
+def duration_micros(spec: str) -> int:
+    """``'30 minutes'`` -> 1_800_000_000."""
+    n, unit = spec.split()
+    return int(float(n) * _MICROS[unit.lower().rstrip("s")])
+
+
 def interval(spec: str) -> Column:
     """``'30 minutes'`` -> an interval literal usable in arithmetic."""
     return F.expr(f"INTERVAL {spec}")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.functions.time import interval
+from rivulet.functions.time import duration_micros, interval
 from rivulet.operators.scan import chunk_by_range, running
 
 
@@ -15,13 +15,6 @@ def _micros(c: str) -> Column:
     return F.unix_micros(F.col(c).cast("timestamp"))
 
 
-def _span_micros(within: str) -> int:
-    n, unit = within.split()
-    per = {"millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
-           "hour": 3_600_000_000, "day": 86_400_000_000}
-    return int(float(n) * per[unit.lower().rstrip("s")])
-
-
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                   left_ts: str, right_ts: str, within: str = "30 minutes",
                   watermark: str | None = "24 hours") -> DataFrame:
@@ -39,7 +32,7 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     join state retention; 24 hours by default) on their time column, which
     must then be a TIMESTAMP.
     """
-    span = _span_micros(within)
+    span = duration_micros(within)
     if left.isStreaming and watermark:
         left = left.withWatermark(left_ts, watermark)
     if right.isStreaming and watermark:

@@ -18,14 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from rivulet.functions.time import as_event_time
-
-
-def _size_micros(spec: str) -> int:
-    n, unit = spec.split()
-    per = {"millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
-           "hour": 3_600_000_000, "day": 86_400_000_000}
-    return int(float(n) * per[unit.lower().rstrip("s")])
+from rivulet.functions.time import as_event_time, duration_micros
 
 
 def running_sum_stream(df: DataFrame, key: str = "key", value: str = "value",
@@ -65,7 +58,7 @@ def mark_late_stream(df: DataFrame, ts: str = "timestamp", size: str = "10 secon
     time``).  ``ts`` must be a TIMESTAMP.  Output mode ``append``; chain a
     filter, ``withWatermark`` and the window aggregate after it.
     """
-    size_us, grace_us = _size_micros(size), _size_micros(grace)
+    size_us, grace_us = duration_micros(size), duration_micros(grace)
     cols = list(df.columns)
     schema = T.StructType(list(df.schema.fields) + [
         T.StructField("stream_time", T.TimestampType()),
