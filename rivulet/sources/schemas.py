@@ -64,16 +64,25 @@ RECORDS = {r.name: r for r in (ELECTRONIC_ORDER, APPLIANCE_ORDER, COMBINED_ORDER
                                PRODUCT_ORDER, PROCESSED_ORDER)}
 
 
-def topic_schema(value_type: T.DataType = S) -> T.StructType:
-    """Columns of a topic table -- the same names Spark's Kafka source uses."""
-    return T.StructType([
+DATE_COL = "date"
+
+
+def topic_schema(value_type: T.DataType = S, by_date: bool = False) -> T.StructType:
+    """Columns of a topic table -- the same names Spark's Kafka source uses.
+
+    ``by_date`` adds the ``date`` folder column of a date-partitioned topic.
+    """
+    fields = [
         T.StructField("topic", S, True),
         T.StructField("partition", T.IntegerType(), True),
         T.StructField("offset", L, True),
         T.StructField("timestamp", T.TimestampType(), True),
         T.StructField("key", S, True),
         T.StructField("value", value_type, True),
-    ])
+    ]
+    if by_date:
+        fields.append(T.StructField(DATE_COL, T.DateType(), True))
+    return T.StructType(fields)
 
 
 def _field_or_default(df: DataFrame, rs: RecordSchema, name: str, prefix: str) -> Column:

@@ -11,21 +11,23 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.sources.schemas import RecordSchema, topic_schema
+from rivulet.sources.schemas import DATE_COL, RecordSchema, topic_schema
 
 
 def read_topic(spark: SparkSession, path: str | None = None, *,
                value_type: T.DataType | RecordSchema = T.StringType(),
                stream: bool = False, fmt: str = "parquet",
-               options: dict | None = None, max_files_per_trigger: int | None = None
-               ) -> DataFrame:
+               options: dict | None = None, max_files_per_trigger: int | None = None,
+               by_date: bool = False) -> DataFrame:
     """Read a topic as a batch or streaming DataFrame.
 
     With ``options`` holding ``kafka.bootstrap.servers`` the Kafka source is
     used (``subscribe`` names the topic, start is ``earliest`` unless given);
     the value is then decoded from JSON to ``value_type``.  Otherwise ``path``
     is a folder of topic-table files.  A file topic is always read whole
-    from its start -- the stream starts at the earliest record.
+    from its start -- the stream starts at the earliest record.  ``by_date``
+    reads a topic written with ``write_topic(by_date=True)``: a filter on
+    the ``date`` column then prunes whole folders before any file is opened.
     """
     options = dict(options or {})
     vtype = value_type.struct if isinstance(value_type, RecordSchema) else value_type
@@ -39,7 +41,8 @@ def read_topic(spark: SparkSession, path: str | None = None, *,
         return decode_value(raw, vtype)
     if stream and max_files_per_trigger:
         options.setdefault("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.format(fmt).schema(topic_schema(vtype)).options(**options).load(path)
+    return (reader.format(fmt).schema(topic_schema(vtype, by_date)).options(**options)
+            .load(path))
 
 
 def decode_value(df: DataFrame, value_type: T.DataType, col: str = "value") -> DataFrame:
@@ -85,7 +88,8 @@ def to_topic_records(df: DataFrame, topic: str, key: Column | str, *,
 
 def write_topic(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "append",
                 checkpoint: str | None = None, trigger: dict | None = None,
-                query_name: str | None = None, options: dict | None = None):
+                query_name: str | None = None, options: dict | None = None,
+                by_date: bool = False):
     """Append records to a topic.
 
     Batch frames are written at once; a streaming frame starts a query with
@@ -102,11 +106,17 @@ def write_topic(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
                         if isinstance(df.schema["value"].dataType, T.StructType)
                         else F.col("value").cast("string").alias("value"))
         fmt = "kafka"
+    parts = []
+    if by_date and not kafka:
+        out = out.withColumn(DATE_COL, F.to_date("timestamp"))
+        parts = [DATE_COL]
     if not df.isStreaming:
-        w = out.write.format(fmt).mode(mode).options(**options)
+        w = out.write.format(fmt).mode(mode).options(**options).partitionBy(*parts)
         (w.save() if kafka else w.save(path))
         return None
     w = out.writeStream.format(fmt).outputMode("append").options(**options)
+    if parts:
+        w = w.partitionBy(*parts)
     w = w.option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)

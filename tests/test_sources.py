@@ -43,3 +43,21 @@ def test_delivery_report(spark):
     out, obs = write_report(df, "report")
     out.collect()
     assert obs.get["records"] == 2 and obs.get["max_offset"] == 7
+
+
+def test_date_partitioned_topic_prunes_folders(spark, tmp_path, capsys):
+    import datetime as dt
+
+    recs = spark.createDataFrame(
+        [("t", 0, 0, dt.datetime(2024, 1, 1, 5), "k", "a"),
+         ("t", 0, 1, dt.datetime(2024, 1, 2, 5), "k", "b")],
+        "topic string, partition int, offset long, timestamp timestamp, key string, "
+        "value string")
+    path = str(tmp_path / "topic")
+    write_topic(recs, path, by_date=True)
+    t = read_topic(spark, path, by_date=True)
+    day = t.filter(F.col("date") == F.lit("2024-01-02").cast("date"))
+    assert [r["value"] for r in day.collect()] == ["b"]
+    capsys.readouterr()
+    day.explain("formatted")
+    assert "PartitionFilters: [isnotnull(date" in capsys.readouterr().out
