@@ -1,7 +1,10 @@
 from rivulet.functions.text import after_first_dash, byte_length, contains, hello, parse_long
-from rivulet.functions.time import (as_event_time, as_local_time, interval,
-                                    millis_to_timestamp, timestamp_to_millis)
+from rivulet.functions.time import (as_event_time, as_local_time, duration_micros, interval,
+                                    local_time_to_micros, local_time_to_millis,
+                                    millis_to_local_time, millis_to_timestamp,
+                                    timestamp_to_millis)
 
 __all__ = ["after_first_dash", "byte_length", "contains", "hello", "parse_long",
-           "as_event_time", "as_local_time", "interval", "millis_to_timestamp",
-           "timestamp_to_millis"]
+           "as_event_time", "as_local_time", "duration_micros", "interval",
+           "local_time_to_micros", "local_time_to_millis", "millis_to_local_time",
+           "millis_to_timestamp", "timestamp_to_millis"]

@@ -20,6 +20,28 @@ def timestamp_to_millis(c: Column | str) -> Column:
     return F.unix_millis(_c(c).cast("timestamp"))
 
 
+_EPOCH_LOCAL = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def local_time_to_millis(c: Column | str) -> Column:
+    """TIMESTAMP_NTZ (wall clock, read as UTC) to epoch milliseconds.
+
+    Zone-free: unlike a cast to TIMESTAMP it does not depend on the
+    session time zone (or its daylight-saving jumps)."""
+    return F.floor(F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_LOCAL), _c(c)) / 1000) \
+        .cast("long")
+
+
+def local_time_to_micros(c: Column | str) -> Column:
+    """TIMESTAMP_NTZ to epoch microseconds, zone-free."""
+    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_LOCAL), _c(c))
+
+
+def millis_to_local_time(c: Column | str) -> Column:
+    """Epoch milliseconds to TIMESTAMP_NTZ (UTC wall clock), zone-free."""
+    return F.timestamp_add("MILLISECOND", _c(c), F.expr(_EPOCH_LOCAL))
+
+
 def as_event_time(c: Column | str) -> Column:
     """A timestamp usable by ``withWatermark`` (which refuses TIMESTAMP_NTZ).
 

@@ -6,13 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rivulet.functions.time import duration_micros, interval
+from rivulet.functions.time import duration_micros, interval, local_time_to_micros
 from rivulet.operators.scan import chunk_by_range, running
 
 
-def _micros(c: str) -> Column:
-    return F.unix_micros(F.col(c).cast("timestamp"))
+def _micros(df: DataFrame, c: str) -> Column:
+    if isinstance(df.schema[c].dataType, T.TimestampNTZType):
+        return local_time_to_micros(c)
+    return F.unix_micros(F.col(c))
 
 
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -37,11 +40,11 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
         left = left.withWatermark(left_ts, watermark)
     if right.isStreaming and watermark:
         right = right.withWatermark(right_ts, watermark)
-    lb = F.floor(_micros(left_ts) / F.lit(span)).cast("long")
+    lb = F.floor(_micros(left, left_ts) / F.lit(span)).cast("long")
     left_b = left.filter(F.col(left_key).isNotNull()).withColumn(
         "__lbucket", F.explode(F.array(lb - 1, lb, lb + 1)))
     right_b = right.filter(F.col(right_key).isNotNull()).withColumn(
-        "__rbucket", F.floor(_micros(right_ts) / F.lit(span)).cast("long"))
+        "__rbucket", F.floor(_micros(right, right_ts) / F.lit(span)).cast("long"))
     cond = ((F.col(left_key) == F.col(right_key))
             & (F.col("__lbucket") == F.col("__rbucket"))
             & F.col(right_ts).between(F.col(left_ts) - interval(within),

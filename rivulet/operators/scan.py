@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.functions.time import local_time_to_micros
+
 _CHUNK = "__chunk"
 _LOCAL = "__local"
 _TOT = "__tot"
@@ -27,8 +29,10 @@ _CARRY = "__carry"
 
 def _num(df: DataFrame, c: str) -> Column:
     t = df.schema[c].dataType
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(c).cast("timestamp"))
+    if isinstance(t, T.TimestampNTZType):
+        return local_time_to_micros(c)
+    if isinstance(t, T.TimestampType):
+        return F.unix_micros(F.col(c))
     if isinstance(t, T.DateType):
         return F.unix_date(F.col(c)).cast("long")
     return F.col(c)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.text import after_first_dash, parse_long
-from rivulet.functions.time import as_local_time, timestamp_to_millis
+from rivulet.functions.time import local_time_to_millis, millis_to_local_time
 from rivulet.operators import (combine_orders, enrich_asof, enrich_latest, error_budget,
                                fold_by_key, hello_values, interval_join, keyed_sum,
                                late_records, order_number_chain, quarantine_non_numeric,
@@ -125,7 +125,7 @@ def conform_orders(spark, sf_dir):
                    F.col("event_type").alias("electronic_id"),
                    F.col("user_id").alias("user_id"),
                    F.when(F.col("event_type") == "purchase", F.col("value")).alias("price"),
-                   timestamp_to_millis("ts").alias("time"))
+                   local_time_to_millis("ts").alias("time"))
     good, _ = conform(raw, ELECTRONIC_ORDER)
     return good
 
@@ -138,9 +138,10 @@ FROM events""")
 def topic_records(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     r = to_topic_records(e, "events", "user_id", value=F.col("props"),
-                         time_millis=timestamp_to_millis("ts"), offset="event_id",
+                         time_millis=local_time_to_millis("ts"), offset="event_id",
                          partition=F.col("user_id") % TOPIC_PARTITIONS)
-    return r.withColumn("timestamp", as_local_time("timestamp"))
+    # the record time as UTC wall clock, like the zone-less source table
+    return r.withColumn("timestamp", millis_to_local_time(F.unix_millis("timestamp")))
 
 
 # --- upsert table -----------------------------------------------------------
@@ -288,9 +289,9 @@ SELECT event_id, epoch_us(ts) // 1000 AS time,
 FROM events WHERE epoch_us(ts) // 1000 >= 0""")
 def event_time_from_millis(spark, sf_dir):
     e = table(spark, sf_dir, "events").select(
-        "event_id", timestamp_to_millis("ts").alias("time"))
+        "event_id", local_time_to_millis("ts").alias("time"))
     r = with_event_time(e, "time", "event_time")
-    return r.withColumn("event_time", as_local_time("event_time"))
+    return r.withColumn("event_time", millis_to_local_time("time"))
 
 
 # --- joins ------------------------------------------------------------------
@@ -357,7 +358,7 @@ def join_enriched(spark, sf_dir):
         F.col("v_user").cast("string").alias("key"),
         F.col("purchase_id").cast("string").alias("purchase_id"),
         F.col("view_id").cast("string").alias("view_id"), "v_props",
-        timestamp_to_millis(F.greatest("v_ts", "p_ts")).alias("t_ms"))
+        local_time_to_millis(F.greatest("v_ts", "p_ts")).alias("t_ms"))
     combined = combine_orders(j, "key", "view_id", "v_props", "purchase_id", F.col("t_ms"))
     users = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("user_key"), "c_name")
