@@ -47,24 +47,94 @@ def changelog_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, in
     return fn
 
 
+def _table_parts(path: str) -> tuple[str, str, str]:
+    root = path.rstrip("/")
+    return f"{root}/changes", f"{root}/snapshots", f"{root}/_versions"
+
+
+def _latest_version(spark: SparkSession, path: str) -> int | None:
+    """Newest complete snapshot: versions are recorded only after the
+    snapshot folder is fully written, so a crashed compaction is ignored."""
+    _, _, versions = _table_parts(path)
+    try:
+        return spark.read.parquet(versions).agg(F.max("version")).first()[0]
+    except AnalysisException:
+        return None
+
+
+def _table_rows(spark: SparkSession, path: str, upto: int | None = None
+                ) -> DataFrame | None:
+    """Rows that define the table: the newest snapshot plus the change
+    folders written after it (up to batch ``upto``)."""
+    changes_p, snaps_p, _ = _table_parts(path)
+    try:
+        changes = spark.read.parquet(changes_p)
+    except AnalysisException:
+        return None
+    v = _latest_version(spark, path)
+    newer = changes
+    if v is not None:
+        newer = newer.filter(F.col(BATCH_COL) > v)
+    if upto is not None:
+        newer = newer.filter(F.col(BATCH_COL) <= upto)
+    newer = newer.drop(BATCH_COL)
+    if v is None:
+        return newer
+    snap = spark.read.schema(newer.schema).parquet(f"{snaps_p}/v={v}")
+    return snap.unionByName(newer)
+
+
 def materialize_table(path: str, key: str = "key", offset: str = "offset",
-                      value: str = "value", carry: tuple[str, ...] = ()
+                      value: str = "value", carry: tuple[str, ...] = (),
+                      compact_every: int | None = None
                       ) -> Callable[[DataFrame, int], None]:
     """Upsert sink for a changelog stream (the named state store of a table).
 
     Each batch is reduced to its latest record per key (deletes kept) and
-    written to its own folder; ``read_table`` merges the folders by offset.
-    Old rows are never rewritten, so a batch costs its own size only.
+    written to its own change folder, so a batch costs its own size only.
+    Every ``compact_every`` batches the table is compacted: the newest
+    snapshot and the newer change folders are merged into a new snapshot
+    version, after which readers skip everything older.
     """
     def fn(batch: DataFrame, batch_id: int) -> None:
-        write_batch(table_from_topic(batch, key, offset, value, carry), path, batch_id)
+        changes_p, _, _ = _table_parts(path)
+        write_batch(table_from_topic(batch, key, offset, value, carry), changes_p, batch_id)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_table(batch.sparkSession, path, key, offset, value, carry, upto=batch_id)
     return fn
 
 
+def compact_table(spark: SparkSession, path: str, key: str = "key", offset: str = "offset",
+                  value: str = "value", carry: tuple[str, ...] = (),
+                  upto: int | None = None) -> int | None:
+    """Write the table as of batch ``upto`` (default: the newest) as a new
+    snapshot version and record it.  Idempotent: running it again for the
+    same batch rewrites the same version.  Returns the version."""
+    changes_p, snaps_p, versions_p = _table_parts(path)
+    if upto is None:
+        try:
+            upto = spark.read.parquet(changes_p).agg(F.max(BATCH_COL)).first()[0]
+        except AnalysisException:
+            return None
+    v = _latest_version(spark, path)
+    if upto is None or (v is not None and upto <= v):
+        return v
+    rows = _table_rows(spark, path, upto)
+    snap = table_from_topic(rows, key, offset, value, carry).filter(F.col(value).isNotNull())
+    snap.write.mode("overwrite").parquet(f"{snaps_p}/v={upto}")
+    spark.range(1).select(F.lit(upto).cast("long").alias("version")) \
+        .write.mode("append").parquet(versions_p)
+    return upto
+
+
 def read_table(spark: SparkSession, path: str, key: str = "key", offset: str = "offset",
                value: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Current snapshot of a table written by ``materialize_table``."""
-    latest = table_from_topic(spark.read.parquet(path), key, offset, value, carry)
+    """Current snapshot of a table written by ``materialize_table``: the
+    newest compacted version merged (by offset) with the newer batches."""
+    rows = _table_rows(spark, path)
+    if rows is None:
+        raise FileNotFoundError(f"no table at {path}")
+    latest = table_from_topic(rows, key, offset, value, carry)
     return latest.filter(F.col(value).isNotNull())
 
 

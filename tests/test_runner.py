@@ -90,3 +90,26 @@ def test_state_survives_restart(spark, tmp_path):
     run()
     got = sorted((r["offset"], r["total"]) for r in spark.read.parquet(out).collect())
     assert got == [(0, 5.0), (1, 20.0), (2, 45.0)]
+
+
+def test_table_compaction_keeps_contents_and_skips_old_batches(spark, tmp_path):
+    from rivulet.streaming import compact_table
+
+    rows = [(0, i, i, k, v) for i, (k, v) in enumerate(
+        [("a", "1"), ("b", "2"), ("a", "3"), ("b", None), ("c", "5"), ("a", None),
+         ("d", "7"), ("c", "8")])]
+    t = topic(spark, rows)
+    src = write_files(t, str(tmp_path / "in"), True)
+    s = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    path = str(tmp_path / "store")
+    start_stream(s, "compacting", foreach_batch=materialize_table(path, compact_every=3),
+                 checkpoint=str(tmp_path / "ckpt")).awaitTermination()
+    want = {"c": "8", "d": "7"}
+    assert {r["key"]: r["value"] for r in read_table(spark, path).collect()} == want
+    versions = sorted(r["version"] for r in spark.read.parquet(f"{path}/_versions").collect())
+    assert versions == [2, 5]
+    # compacting again up to the newest batch, twice, changes nothing
+    assert compact_table(spark, path) == 7
+    assert compact_table(spark, path) == 7
+    assert {r["key"]: r["value"] for r in read_table(spark, path).collect()} == want
+    assert spark.read.parquet(f"{path}/snapshots/v=7").count() == 2
