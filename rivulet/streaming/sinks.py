@@ -138,6 +138,33 @@ def read_table(spark: SparkSession, path: str, key: str = "key", offset: str = "
     return latest.filter(F.col(value).isNotNull())
 
 
+def enrich_latest_writer(table_path: str, out_path: str, stream_key: str, name_col: str,
+                         out: str = "user_name", key: str = "key", offset: str = "offset",
+                         value: str = "value", default: str = ""
+                         ) -> Callable[[DataFrame, int], None]:
+    """Stream-table lookup against a table that keeps changing.
+
+    A stream-static join fixes the table's file listing when the query
+    starts.  This sink instead reads the table written by
+    ``materialize_table`` afresh for every micro-batch, so each batch sees
+    the table as it is when the batch runs (the processing-time lookup of a
+    changelog table), joins it with ``enrich_latest`` and writes the batch
+    to its own folder.  ``name_col`` is a field of the table's value struct.
+    """
+    from rivulet.operators.joins import enrich_latest
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        try:
+            t = read_table(spark, table_path, key, offset, value)
+            names = t.select(F.col(key).alias("__tk"), F.col(f"{value}.{name_col}").alias("__tn"))
+        except FileNotFoundError:
+            names = spark.createDataFrame([], "__tk string, __tn string")
+        write_batch(enrich_latest(batch, names, stream_key, "__tk", "__tn", out, default),
+                    out_path, batch_id)
+    return fn
+
+
 def error_budget_writer(out_path: str, quarantine_path: str, is_bad: Column,
                         order: str = "offset", budget: int = DEFAULT_ERROR_BUDGET
                         ) -> Callable[[DataFrame, int], None]:

@@ -113,3 +113,35 @@ def test_table_compaction_keeps_contents_and_skips_old_batches(spark, tmp_path):
     assert compact_table(spark, path) == 7
     assert {r["key"]: r["value"] for r in read_table(spark, path).collect()} == want
     assert spark.read.parquet(f"{path}/snapshots/v=7").count() == 2
+
+
+def test_lookup_sees_table_updates_between_batches(spark, tmp_path):
+    from rivulet.sources.schemas import USER
+    from rivulet.streaming import enrich_latest_writer
+
+    users = topic(spark, [(0, 0, 0, "u1", ("Ann", "x", "u1"))], USER.struct)
+    users2 = topic(spark, [(0, 1, 1, "u1", ("Anna", "x", "u1"))], USER.struct)
+    orders = topic(spark, [(0, 0, 0, "u1", "o1")])
+    orders2 = topic(spark, [(0, 1, 1, "u1", "o2"), (0, 2, 2, "u9", "o3")])
+    table, out = str(tmp_path / "users"), str(tmp_path / "out")
+
+    def users_run(df, name):
+        write_files(df, str(tmp_path / "uin" / name), False)
+        s = spark.readStream.schema(users.schema).parquet(str(tmp_path / "uin" / name))
+        start_stream(s, "users", foreach_batch=materialize_table(table),
+                     checkpoint=str(tmp_path / f"uck_{name}")).awaitTermination()
+
+    def orders_run(df, name):
+        import pyarrow.parquet as pq
+        os.makedirs(tmp_path / "oin", exist_ok=True)
+        pq.write_table(df.toArrow(), str(tmp_path / "oin" / f"part-{name}.parquet"))
+        s = spark.readStream.schema(orders.schema).parquet(str(tmp_path / "oin"))
+        start_stream(s, "orders", foreach_batch=enrich_latest_writer(table, out, "key", "name"),
+                     checkpoint=str(tmp_path / "ock")).awaitTermination()
+
+    users_run(users, "a")
+    orders_run(orders, "a")
+    users_run(users2, "b")
+    orders_run(orders2, "b")
+    got = sorted((r["value"], r["user_name"]) for r in spark.read.parquet(out).collect())
+    assert got == [("o1", "Ann"), ("o2", "Anna"), ("o3", "")]
