@@ -90,3 +90,15 @@ def test_join_app_stream(spark, tmp_path):
                checkpoint=str(tmp_path / "ckpt"))
     got = _rows(spark.sql("select * from join_stream"))
     assert got == [e + (n,) for e, n in zip(EXPECTED, ["Elizabeth Jones", "Art Vandelay"])]
+
+
+def test_null_keys_are_skipped_by_both_joins(spark):
+    l = spark.createDataFrame([(None, 1, T0), ("u", 2, T0)], "lk string, lid int, lt long") \
+        .withColumn("lts", F.timestamp_millis("lt"))
+    r = spark.createDataFrame([(None, 3, T0), ("u", 4, T0)], "rk string, rid int, rt long") \
+        .withColumn("rts", F.timestamp_millis("rt"))
+    pairs = interval_join(l, r, "lk", "rk", "lts", "rts").collect()
+    assert [(p["lid"], p["rid"]) for p in pairs] == [(2, 4)]
+    t = spark.createDataFrame([("u", "U")], "k string, name string")
+    out = enrich_latest(l, t, "lk", "k", "name", "user_name").collect()
+    assert [(o["lid"], o["user_name"]) for o in out] == [(2, "U")]

@@ -61,3 +61,20 @@ def test_date_partitioned_topic_prunes_folders(spark, tmp_path, capsys):
     capsys.readouterr()
     day.explain("formatted")
     assert "PartitionFilters: [isnotnull(date" in capsys.readouterr().out
+
+
+def test_delivery_report_on_a_stream(spark, tmp_path):
+    from rivulet.operators import split_oversize, tap
+    from rivulet.streaming import run_stream
+    from tests.fixtures import topic, write_files
+
+    t = topic(spark, [(0, i, i, "k", "x" * (i * 10)) for i in range(5)])
+    s = spark.readStream.schema(t.schema).parquet(write_files(t, str(tmp_path / "in"), False))
+    s, name = write_report(s, "delivered")
+    s, probe = tap(s, "probe", "value")
+    ok, too_big = split_oversize(s, "value", 25)
+    q = run_stream(too_big, "oversize", fmt="memory", checkpoint=str(tmp_path / "ck"))
+    assert sorted(r["offset"] for r in spark.sql("select * from oversize").collect()) == [3, 4]
+    metrics = [p["observedMetrics"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert metrics[0][name]["records"] == 5 and metrics[0][name]["max_offset"] == 4
+    assert metrics[0][probe]["value_non_null"] == 5
