@@ -88,14 +88,16 @@ def tumbling_sum_final(df: DataFrame, key: str = "key", ts: str = "timestamp",
     the stream has closed (``end + grace <= final stream time`` of the
     partition) are emitted -- the window holding the newest records is not.
     """
-    d = df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
-    on_time = drop_late(d, ts=ts, size=size, grace=grace, partition=partition,
+    # every record advances its partition's stream time, also those the
+    # aggregate then skips (null key or value)
+    on_time = drop_late(df, ts=ts, size=size, grace=grace, partition=partition,
                         order=order, chunk=chunk)
+    on_time = on_time.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
     sums = (on_time.groupBy(partition, key, "window_start")
             .agg(_sum(value, exact_scale).alias(out)))
     # One row per topic partition: the broadcast is bounded by the
     # partition count of the topic, not by the data.
-    final_st = F.broadcast(d.groupBy(partition).agg(F.max(ts).alias("__final_st")))
+    final_st = F.broadcast(df.groupBy(partition).agg(F.max(ts).alias("__final_st")))
     closed = sums.join(final_st, partition).filter(
         F.col("window_start") + interval(size) + interval(grace) <= F.col("__final_st"))
     return closed.select(key, "window_start", out)
@@ -109,11 +111,11 @@ def tumbling_sum_updates(df: DataFrame, key: str = "key", ts: str = "timestamp",
                          ) -> DataFrame:
     """Every update of every window (no suppression): one output per
     accepted record, the window's running sum in arrival order."""
-    d = df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
     if chunk is None:
-        chunk = chunk_by_range(d, order[0])
-    on_time = drop_late(d, ts=ts, size=size, grace=grace, partition=partition,
+        chunk = chunk_by_range(df, order[0])
+    on_time = drop_late(df, ts=ts, size=size, grace=grace, partition=partition,
                         order=order, chunk=chunk)
+    on_time = on_time.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
     amt = F.col(value).cast(f"decimal(18,{exact_scale})") if exact_scale is not None \
         else F.col(value)
     on_time = on_time.withColumn("__amount", amt)

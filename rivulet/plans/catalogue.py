@@ -204,7 +204,7 @@ _SQL_MARKED = """m AS (
   SELECT *, max(ts) OVER (PARTITION BY part ORDER BY arrival, event_id
                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS st,
          time_bucket(INTERVAL '{size}', ts) AS ws
-  FROM arr WHERE user_id IS NOT NULL AND value IS NOT NULL)"""
+  FROM arr)"""
 _SQL_LATE = "(ws + INTERVAL '{size}' + INTERVAL '{grace}' <= st)"
 
 
@@ -222,11 +222,11 @@ def tumbling_sum_q(spark, sf_dir):
 
 @query("tumbling_sum_final", f"""
 WITH {SQL_ARR}, {_marked(GRACE)[0]},
-fin AS (SELECT part, max(ts) AS fst FROM arr WHERE user_id IS NOT NULL AND value IS NOT NULL
-        GROUP BY part)
+fin AS (SELECT part, max(ts) AS fst FROM arr GROUP BY part)
 SELECT m.user_id, m.ws AS window_start, {_DEC_SUM} AS total
 FROM m JOIN fin USING (part)
 WHERE NOT {_marked(GRACE)[1]} AND ws + INTERVAL '{WINDOW}' + INTERVAL '{GRACE}' <= fst
+  AND m.user_id IS NOT NULL AND m.value IS NOT NULL
 GROUP BY m.user_id, m.ws""")
 def tumbling_sum_final_q(spark, sf_dir):
     return tumbling_sum_final(event_arrivals(spark, sf_dir), out="total", **_arr_kw(GRACE))
@@ -238,7 +238,7 @@ SELECT event_id, user_id, ws AS window_start,
        CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id, ws
             ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
             AS DOUBLE) AS running_total
-FROM m WHERE NOT {_marked(GRACE)[1]}""")
+FROM m WHERE NOT {_marked(GRACE)[1]} AND user_id IS NOT NULL AND value IS NOT NULL""")
 def tumbling_sum_updates_q(spark, sf_dir):
     r = tumbling_sum_updates(event_arrivals(spark, sf_dir), out="running_total",
                              **_arr_kw(GRACE))
@@ -255,8 +255,7 @@ FROM m WHERE {late}"""
 
 def _late(spark, sf_dir, grace):
     kw = _arr_kw(grace)
-    a = event_arrivals(spark, sf_dir).filter(
-        F.col("user_id").isNotNull() & F.col("value").isNotNull())
+    a = event_arrivals(spark, sf_dir)
     r = late_records(a, ts=kw["ts"], size=WINDOW, grace=grace, partition="part",
                      order=kw["order"])
     return r.select("event_id", "user_id", "part", "ts", "window_start", "stream_time")

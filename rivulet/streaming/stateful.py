@@ -99,11 +99,12 @@ def tumbling_sum_stream(df: DataFrame, key: str = "key", ts: str = "timestamp",
     """
     from pyspark.sql import functions as F
 
-    d = df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
-    d = d.withColumn(ts, as_event_time(ts))
+    d = df.withColumn(ts, as_event_time(ts))
     if exact_late:
+        # judged before the null filter: every record advances stream time
         d = mark_late_stream(d, ts, size, grace, partition, order)
         d = d.filter(~F.col("is_late")).drop("stream_time", "is_late")
+    d = d.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
     return (d.withWatermark(ts, grace)
             .groupBy(key, F.window(ts, size).alias("window"))
             .agg(F.sum(value).alias(out))

@@ -90,3 +90,23 @@ def test_tumbling_windows_are_epoch_aligned(spark):
     got = sorted((int(r["window_start"].timestamp() * 1000) - T0, r["total"])
                  for r in tumbling_sum(df, "key", "ts", "value", "10 seconds").collect())
     assert got == [(0, 1.0), (10000, 2.0)]
+
+
+def _null_key_topic(spark):
+    from rivulet.sources.schemas import ELECTRONIC_ORDER
+
+    recs = [("k", 1.0, 0), (None, 2.0, 15000), ("k", 4.0, 1), ("k", 8.0, 40000)]
+    rows = [(0, i, T0 + t, k, (f"o{i}", k, "u", p, T0 + t)) for i, (k, p, t) in enumerate(recs)]
+    return topic(spark, rows, ELECTRONIC_ORDER.struct)
+
+
+def test_null_key_record_advances_stream_time(spark, tmp_path):
+    # the null-key record at 15 s closes [0, 10 s) (grace 5 s): the 4.0 is late
+    got = _window_sums(windows_app(_null_key_topic(spark), "10 seconds", "5 seconds").collect())
+    assert got == [(0, 1.0)]
+    t = _null_key_topic(spark)
+    s = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(
+        write_files(t, str(tmp_path / "in"), True))
+    run_stream(windows_app(s, "10 seconds", "5 seconds"), "nullkey", fmt="memory",
+               checkpoint=str(tmp_path / "ck"))
+    assert _window_sums(spark.sql("select * from nullkey").collect()) == [(0, 1.0)]
