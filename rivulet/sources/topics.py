@@ -34,6 +34,7 @@ def read_topic(spark: SparkSession, path: str | None = None, *,
     reader = spark.readStream if stream else spark.read
     if "kafka.bootstrap.servers" in options:
         options.setdefault("startingOffsets", "earliest")
+        # needs the spark-sql-kafka package; Spark's own error says so
         raw = reader.format("kafka").options(**options).load()
         raw = raw.select("topic", "partition", "offset", "timestamp",
                          F.col("key").cast("string").alias("key"),
