@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.operators.scan import chunk_by_range, running
+from rivulet.operators.scan import (_CHUNK, DEFAULT_ROWS_PER_CHUNK, running,
+                                    with_hot_key_chunks)
 
 
 def _amount(value: str, exact_scale: int | None) -> Column:
@@ -33,14 +34,13 @@ def keyed_sum(df: DataFrame, key: str = "key", value: str = "value", out: str =
 
 def running_sum(df: DataFrame, key: str = "key", order: Sequence[str] = ("offset",),
                 value: str = "value", out: str = "total", exact_scale: int | None = None,
-                chunk: Column | None = None) -> DataFrame:
+                chunk: Column | None = None,
+                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """The keyed sum as a changelog: one output per input, running total in
     ``order``.  Hot keys are split (see ``operators.scan``)."""
     d = df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
     d = d.withColumn("__amount", _amount(value, exact_scale))
-    if chunk is None:
-        chunk = chunk_by_range(d, order[0])
-    r = running(d, [key], list(order), "__amount", "sum", out, chunk)
+    r = running(d, [key], list(order), "__amount", "sum", out, chunk, rows_per_chunk)
     if exact_scale is not None:
         r = r.withColumn(out, F.col(out).cast("double"))
     return r.drop("__amount")
@@ -48,20 +48,23 @@ def running_sum(df: DataFrame, key: str = "key", order: Sequence[str] = ("offset
 
 def fold_by_key(df: DataFrame, key: str = "key", order: Sequence[str] = ("offset",),
                 value: str = "value", out: str = "folded", init: float = 0.0,
-                decay: float = 1.0, chunk: Column | None = None) -> DataFrame:
+                decay: float = 1.0, chunk: Column | None = None,
+                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Ordered fold ``acc = acc * decay + value`` per key, from ``init``.
 
     The fold is affine, so it is associative over consecutive runs of rows:
     a run of ``n`` rows folds to ``(n, s)`` and runs combine as
-    ``s1 * decay**n2 + s2``.  Each chunk of a key is folded in its own task
-    and the chunks are combined with a small window over the chunk table --
-    no key's rows are ever gathered in one place.  ``decay=1`` is the plain
-    keyed sum.
+    ``s1 * decay**n2 + s2``.  A hot key (over ``rows_per_chunk`` rows) is cut
+    into chunks folded in their own tasks and combined with a small window
+    over the chunk table -- no key's rows are ever gathered in one place.
+    ``chunk`` cuts every key by the given column instead.  ``decay=1`` is the
+    plain keyed sum.
     """
     d = df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
     if chunk is None:
-        chunk = chunk_by_range(d, order[0])
-    d = d.withColumn("__chunk", chunk)
+        d = with_hot_key_chunks(d, [key], order[0], rows_per_chunk)
+    else:
+        d = d.withColumn(_CHUNK, chunk)
     after = F.row_number().over(
         Window.partitionBy(key, "__chunk").orderBy(*[F.col(o).desc() for o in order])) - 1
     d = d.withColumn("__after", after)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.functions.time import duration_micros, interval, local_time_to_micros
-from rivulet.operators.scan import chunk_by_range, running
+from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK, running
 
 
 def _micros(df: DataFrame, c: str) -> Column:
@@ -91,8 +91,8 @@ def enrich_latest(stream: DataFrame, table: DataFrame, stream_key: str, table_ke
 def enrich_asof(stream: DataFrame, changes: DataFrame, stream_key: str, change_key: str,
                 stream_ts: str, change_ts: str, value_cols: Sequence[str],
                 change_order: str | None = None, deleted: Column | None = None,
-                out_cols: Sequence[str] | None = None, chunk: Column | None = None
-                ) -> DataFrame:
+                out_cols: Sequence[str] | None = None, chunk: Column | None = None,
+                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Each stream record joined with the table value *as of* its time: the
     last change of its key at or before the record's time (left join).
 
@@ -120,9 +120,8 @@ def enrich_asof(stream: DataFrame, changes: DataFrame, stream_key: str, change_k
         F.lit(1).alias("__side"), F.lit(0).cast("long").alias("__tie"),
         F.lit(None).cast(a.schema["__v"].dataType).alias("__v"), srow.alias("__row"))
     u = a.unionByName(b)
-    if chunk is None:
-        chunk = chunk_by_range(u, "__t")
-    r = running(u, ["__k"], ["__t", "__side", "__tie"], "__v", "last", "__asof", chunk)
+    r = running(u, ["__k"], ["__t", "__side", "__tie"], "__v", "last", "__asof", chunk,
+                rows_per_chunk)
     r = r.filter(F.col("__side") == 1)
     outs = list(out_cols or value_cols)
     return r.select("__row.*", *[F.col(f"__asof.{c}").alias(o) for c, o in zip(value_cols, outs)])

@@ -2,12 +2,22 @@
 
 A plain ``agg().over(partitionBy(key).orderBy(o))`` puts every row of a key
 into one task.  With one key holding a third of the rows that task is the
-whole job.  ``running`` splits the ordered rows of each key into chunks (a
-monotone function of the ordering column), runs the window per
-``(key, chunk)``, adds up one total per chunk with a partial aggregate, and
-carries the totals of the earlier chunks back with a small window over the
-chunk table.  Both windows are bounded by ``sqrt(rows)`` rows per task when
-the chunks come from ``chunk_by_range``.
+whole job.  ``running`` therefore splits only the *hot* keys -- those with
+more than ``rows_per_chunk`` rows -- into chunks along the ordering column:
+
+1. one partial aggregate counts rows per key and takes each key's order
+   range; keys over the limit get a chunk width that gives about
+   ``rows_per_chunk`` rows per chunk.  At most ``rows / rows_per_chunk``
+   keys can be over the limit, which bounds the broadcast of their widths;
+2. the window runs per ``(key, chunk)`` -- every other key is one chunk and
+   costs exactly the plain window;
+3. one total per hot chunk (a partial aggregate over the hot rows) and a
+   small window over those totals give each chunk the carry of the chunks
+   before it, joined back by broadcast (again at most ``rows /
+   rows_per_chunk`` rows).
+
+``chunk_by_range`` gives explicit equal-width chunks for every key instead
+(used in tests, or when the caller knows the data).
 """
 
 from __future__ import annotations
@@ -21,7 +31,11 @@ from pyspark.sql import types as T
 
 from rivulet.functions.time import local_time_to_micros
 
+# Rows one task is meant to hold for one key: keys above it are split.
+DEFAULT_ROWS_PER_CHUNK = 1 << 20
+
 _CHUNK = "__chunk"
+_HOT = "__hot"
 _LOCAL = "__local"
 _TOT = "__tot"
 _CARRY = "__carry"
@@ -39,12 +53,10 @@ def _num(df: DataFrame, c: str) -> Column:
 
 
 def chunk_by_range(df: DataFrame, order_col: str, chunks: int | None = None) -> Column:
-    """Equal-width slices of the range of ``order_col`` (numeric or time).
+    """Equal-width slices of the whole range of ``order_col``, for all keys.
 
-    The default number of slices is ``ceil(sqrt(rows))``: a key holding every
-    row then has at most about ``sqrt(rows)`` rows per slice and at most
-    ``sqrt(rows)`` slices, so neither window of ``running`` is larger.  Costs
-    one small aggregate job (min, max, count of one column).
+    The default number of slices is ``ceil(sqrt(rows))``.  Costs one small
+    aggregate job (min, max, count of one column).
     """
     o = _num(df, order_col)
     lo, hi, n = df.agg(F.min(o), F.max(o), F.count(F.lit(1))).first()
@@ -55,30 +67,71 @@ def chunk_by_range(df: DataFrame, order_col: str, chunks: int | None = None) ->
     return F.floor((o - F.lit(int(lo))) / F.lit(width)).cast("long")
 
 
-def _rk(i: int) -> str:
-    return f"__rk{i}"
+def with_hot_key_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
+                        rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+    """Add ``__chunk`` (0 for ordinary keys) and ``__hot`` to each row.
+
+    A key with more than ``rows_per_chunk`` rows is cut into equal-width
+    slices of its own order range, about ``rows_per_chunk`` rows each.
+    Rows with a null key stay one unsplit group.
+    """
+    keys = list(keys)
+    o = _num(df, order_col)
+    stats = (df.groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("__n"), F.min(o).alias("__lo"),
+                  F.max(o).alias("__hi"))
+             .filter(F.col("__n") > F.lit(rows_per_chunk)))
+    # width so that a slice holds about rows_per_chunk rows of this key
+    width = F.greatest(F.lit(1).cast("long"), F.ceil(
+        (F.col("__hi") - F.col("__lo") + 1).cast("double") * F.lit(rows_per_chunk)
+        / F.col("__n")).cast("long"))
+    hot = stats.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)],
+                       F.col("__lo").alias("__hlo"), width.alias("__hw"))
+    # at most rows / rows_per_chunk keys pass the filter: a bounded broadcast
+    cond = None
+    for i, k in enumerate(keys):
+        c = F.col(k) == F.col(f"__hk{i}")
+        cond = c if cond is None else cond & c
+    d = df.join(F.broadcast(hot), cond, "left")
+    chunk = F.when(F.col("__hw").isNull(), F.lit(0).cast("long")).otherwise(
+        F.floor((o - F.col("__hlo")) / F.col("__hw")).cast("long"))
+    return (d.withColumn(_CHUNK, chunk).withColumn(_HOT, F.col("__hw").isNotNull())
+            .drop(*[f"__hk{i}" for i in range(len(keys))], "__hlo", "__hw"))
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-            value: Column | str, how: str, out: str, chunk: Column) -> DataFrame:
+            value: Column | str, how: str, out: str, chunk: Column | None = None,
+            rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Add ``out`` = running ``how`` of ``value`` per ``keys`` in ``order``.
 
     ``how`` is ``sum``, ``max``, ``min``, ``count`` or ``last`` (last non-null
     value; wrap a value in a struct when a null must still count, e.g. a
-    delete).  ``chunk`` must not decrease along ``order`` within a key; the
-    frame is ``rows between unbounded preceding and current row``, so give a
-    total ``order`` for a deterministic result.
+    delete).  The frame is ``rows between unbounded preceding and current
+    row``, so give a total ``order`` for a deterministic result.
+
+    Without ``chunk`` only hot keys are split (see the module doc; the first
+    ``order`` column must be numeric or a time).  With ``chunk`` -- a column
+    that does not decrease along ``order`` within a key -- every key is cut
+    by it.
     """
     keys = list(keys)
     v = F.col(value) if isinstance(value, str) else value
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    # Rows with a null key form one group that is not split (it has no
-    # carry), so the join below can use plain equality: a null-safe join key
-    # would not match the window's partitioning and cost another shuffle.
-    has_key = F.lit(True)
-    for k in keys:
-        has_key = has_key & F.col(k).isNotNull()
-    d = df.withColumn(_CHUNK, F.when(has_key, chunk).otherwise(F.lit(0).cast("long")))
+    if chunk is None:
+        if not isinstance(order[0], str):
+            raise ValueError("hot-key splitting needs the first order column by name")
+        d = with_hot_key_chunks(df, keys, order[0], rows_per_chunk)
+        bounded = True
+    else:
+        # Rows with a null key form one group that is not split (it has no
+        # carry), so the join below can use plain equality: a null-safe join
+        # key would not match the window's partitioning and cost a shuffle.
+        has_key = F.lit(True)
+        for k in keys:
+            has_key = has_key & F.col(k).isNotNull()
+        d = (df.withColumn(_CHUNK, F.when(has_key, chunk).otherwise(F.lit(0).cast("long")))
+             .withColumn(_HOT, has_key))
+        bounded = False
     w_local = (Window.partitionBy(*keys, _CHUNK).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     w_carry = (Window.partitionBy(*keys).orderBy(_CHUNK)
@@ -98,20 +151,23 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
         raise ValueError(f"unknown running aggregate {how!r}")
 
     with_local = d.withColumn(_LOCAL, local.over(w_local))
-    # One total per chunk, straight from the input with a map-side partial
-    # aggregate (a tiny shuffle).  Taking it from the window's output instead
-    # re-reads and re-sorts the big shuffle; measured slower (sf0.1:
-    # running sum 2.4 s vs 1.7 s, window updates 3.0 s vs 2.3 s).
+    # One total per chunk of a split key, straight from the input with a
+    # map-side partial aggregate (a tiny shuffle).  Taking it from the
+    # window's output instead re-reads and re-sorts the big shuffle; that
+    # measured slower (sf0.1: running sum 2.4 s vs 1.7 s).
     total = {"sum": F.sum(v), "count": F.count(v), "max": F.max(v), "min": F.min(v),
              "last": F.max_by(v, F.when(v.isNotNull(), F.struct(*order_cols)))}[how]
-    totals = d.groupBy(*keys, _CHUNK).agg(total.alias(_TOT))
+    totals = d.filter(F.col(_HOT)).groupBy(*keys, _CHUNK).agg(total.alias(_TOT))
     carries = (totals.select(*keys, _CHUNK, carry.over(w_carry).alias(_CARRY))
                .filter(F.col(_CARRY).isNotNull())
-               .select(*[F.col(k).alias(_rk(i)) for i, k in enumerate(keys)],
+               .select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(keys)],
                        F.col(_CHUNK).alias("__rchunk"), _CARRY))
+    if bounded:
+        # one row per chunk of a hot key: at most rows / rows_per_chunk
+        carries = F.broadcast(carries)
     cond = F.col(_CHUNK) == F.col("__rchunk")
     for i, k in enumerate(keys):
-        cond = cond & (F.col(k) == F.col(_rk(i)))
+        cond = cond & (F.col(k) == F.col(f"__rk{i}"))
     j = with_local.join(carries, cond, "left")
     loc, car = F.col(_LOCAL), F.col(_CARRY)
     if how in ("sum", "count"):

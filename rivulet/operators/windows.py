@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.functions.time import interval, millis_to_timestamp
-from rivulet.operators.scan import chunk_by_range, running
+from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK, running
 
 
 def with_event_time(df: DataFrame, millis: str = "time", out: str = "event_time") -> DataFrame:
@@ -35,18 +35,21 @@ def window_start(ts: str, size: str) -> Column:
 
 def stream_time(df: DataFrame, partition: str = "partition",
                 order: Sequence[str] = ("offset",), ts: str = "timestamp",
-                out: str = "stream_time", chunk: Column | None = None) -> DataFrame:
-    """Running max of event time per topic partition in arrival order."""
-    if chunk is None:
-        chunk = chunk_by_range(df, order[0])
-    return running(df, [partition], list(order), ts, "max", out, chunk)
+                out: str = "stream_time", chunk: Column | None = None,
+                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+    """Running max of event time per topic partition in arrival order.
+
+    A topic partition holds many rows, so each is cut into chunks of about
+    ``rows_per_chunk`` rows along the arrival order (``operators.scan``)."""
+    return running(df, [partition], list(order), ts, "max", out, chunk, rows_per_chunk)
 
 
 def mark_late(df: DataFrame, ts: str = "timestamp", size: str = "10 seconds",
               grace: str = "0 seconds", partition: str = "partition",
-              order: Sequence[str] = ("offset",), chunk: Column | None = None) -> DataFrame:
+              order: Sequence[str] = ("offset",), chunk: Column | None = None,
+              rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Add ``window_start``, ``stream_time`` and ``is_late`` to each record."""
-    d = stream_time(df, partition, order, ts, "stream_time", chunk)
+    d = stream_time(df, partition, order, ts, "stream_time", chunk, rows_per_chunk)
     d = d.withColumn("window_start", window_start(ts, size))
     closes = F.col("window_start") + interval(size) + interval(grace)
     return d.withColumn("is_late", closes <= F.col("stream_time"))
@@ -82,8 +85,8 @@ def tumbling_sum_final(df: DataFrame, key: str = "key", ts: str = "timestamp",
                        value: str = "value", size: str = "10 seconds",
                        grace: str = "0 seconds", partition: str = "partition",
                        order: Sequence[str] = ("offset",), out: str = "total",
-                       exact_scale: int | None = None, chunk: Column | None = None
-                       ) -> DataFrame:
+                       exact_scale: int | None = None, chunk: Column | None = None,
+                       rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Final window sums only: late records dropped, and only windows that
     the stream has closed (``end + grace <= final stream time`` of the
     partition) are emitted -- the window holding the newest records is not.
@@ -91,7 +94,7 @@ def tumbling_sum_final(df: DataFrame, key: str = "key", ts: str = "timestamp",
     # every record advances its partition's stream time, also those the
     # aggregate then skips (null key or value)
     on_time = drop_late(df, ts=ts, size=size, grace=grace, partition=partition,
-                        order=order, chunk=chunk)
+                        order=order, chunk=chunk, rows_per_chunk=rows_per_chunk)
     on_time = on_time.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
     sums = (on_time.groupBy(partition, key, "window_start")
             .agg(_sum(value, exact_scale).alias(out)))
@@ -107,19 +110,18 @@ def tumbling_sum_updates(df: DataFrame, key: str = "key", ts: str = "timestamp",
                          value: str = "value", size: str = "10 seconds",
                          grace: str = "0 seconds", partition: str = "partition",
                          order: Sequence[str] = ("offset",), out: str = "total",
-                         exact_scale: int | None = None, chunk: Column | None = None
-                         ) -> DataFrame:
+                         exact_scale: int | None = None, chunk: Column | None = None,
+                         rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
     """Every update of every window (no suppression): one output per
     accepted record, the window's running sum in arrival order."""
-    if chunk is None:
-        chunk = chunk_by_range(df, order[0])
     on_time = drop_late(df, ts=ts, size=size, grace=grace, partition=partition,
-                        order=order, chunk=chunk)
+                        order=order, chunk=chunk, rows_per_chunk=rows_per_chunk)
     on_time = on_time.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
     amt = F.col(value).cast(f"decimal(18,{exact_scale})") if exact_scale is not None \
         else F.col(value)
     on_time = on_time.withColumn("__amount", amt)
-    r = running(on_time, [key, "window_start"], list(order), "__amount", "sum", out, chunk)
+    r = running(on_time, [key, "window_start"], list(order), "__amount", "sum", out, chunk,
+                rows_per_chunk)
     if exact_scale is not None:
         r = r.withColumn(out, F.col(out).cast("double"))
     return r.drop("__amount")

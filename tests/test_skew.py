@@ -6,7 +6,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from rivulet.operators import chunk_by_range, enrich_asof, running_sum, stream_time
+from rivulet.operators import (enrich_asof, fold_by_key, running_sum, stream_time,
+                               with_hot_key_chunks)
 
 SF = "/root/testdata/sf0.01"
 
@@ -19,20 +20,27 @@ def skewed(spark):
                         .otherwise(F.col("user_id")))
 
 
-def test_chunks_bound_both_window_levels(spark, skewed):
+ROWS = 300  # rows per chunk for these tests: the hot key has about 3,400
+
+
+def test_only_hot_keys_are_split_and_chunks_are_bounded(spark, skewed):
     n = skewed.count()
-    c = skewed.withColumn("c", chunk_by_range(skewed, "event_id"))
-    per_group = c.groupBy("user_id", "c").count().agg(F.max("count")).first()[0]
-    chunks_of_hot = c.filter("user_id = 0").select("c").distinct().count()
-    bound = 2 * math.isqrt(n) + 2
-    assert per_group <= bound
-    assert chunks_of_hot <= bound
-    hot = c.filter("user_id = 0").count()
-    assert hot > n // 4  # the key really is hot
+    c = with_hot_key_chunks(skewed, ["user_id"], "event_id", ROWS)
+    hot = c.filter("user_id = 0")
+    assert hot.count() > n // 4  # the key really is hot
+    per_group = hot.groupBy("__chunk").count().agg(F.max("count")).first()[0]
+    assert per_group <= 2 * ROWS
+    assert hot.select("__chunk").distinct().count() >= hot.count() // (2 * ROWS)
+    # every other key is one chunk: no extra groups, no carries
+    others = c.filter("user_id <> 0").groupBy("user_id").agg(
+        F.max("__chunk").alias("m"), F.max(F.col("__hot").cast("int")).alias("h"))
+    assert others.filter("m <> 0 or h <> 0").count() == 0
+    assert math.isqrt(n) > 0
 
 
 def test_running_sum_exact_on_hot_key(spark, skewed):
-    got = running_sum(skewed, "user_id", ["event_id"], "value", "rt", 2).toPandas()
+    got = running_sum(skewed, "user_id", ["event_id"], "value", "rt", 2,
+                      rows_per_chunk=ROWS).toPandas()
     pdf = skewed.toPandas().sort_values("event_id")
     pdf["bf"] = pdf.groupby("user_id")["value"].cumsum()
     m = got.merge(pdf[["event_id", "bf"]], on="event_id")
@@ -41,7 +49,8 @@ def test_running_sum_exact_on_hot_key(spark, skewed):
 
 def test_stream_time_exact(spark, skewed):
     a = skewed.withColumn("arrival", F.col("event_id") + (F.col("event_id") * 7919) % 50)
-    got = stream_time(a, "user_id", ["arrival", "event_id"], "ts", "st").toPandas()
+    got = stream_time(a, "user_id", ["arrival", "event_id"], "ts", "st",
+                      rows_per_chunk=ROWS).toPandas()
     pdf = a.toPandas().sort_values(["arrival", "event_id"])
     pdf["bf"] = pdf.groupby("user_id")["ts"].cummax()
     m = got.merge(pdf[["event_id", "bf"]], on="event_id")
@@ -53,7 +62,7 @@ def test_asof_exact_on_hot_key(spark, skewed):
     s = skewed.filter("event_type = 'signup'").select(
         "user_id", F.col("ts").alias("sts"), "value")
     got = enrich_asof(p, s, "user_id", "user_id", "ts", "sts", ["value"],
-                      out_cols=["sv"]).toPandas()
+                      out_cols=["sv"], rows_per_chunk=100).toPandas()
     pp = p.toPandas().sort_values("ts")
     sp = s.toPandas().sort_values("sts")
     bf = pd.merge_asof(pp, sp, left_on="ts", right_on="sts", by="user_id",
@@ -61,3 +70,27 @@ def test_asof_exact_on_hot_key(spark, skewed):
     m = got.merge(bf[["event_id", "value"]], on="event_id")
     assert len(m) == len(pp)
     assert ((m["sv"].fillna(-1) - m["value"].fillna(-1)).abs() < 1e-12).all()
+
+
+def test_fold_exact_on_hot_key(spark, skewed):
+    got = fold_by_key(skewed, "user_id", ["event_id"], "value", "f", 0.0, 0.5,
+                      rows_per_chunk=ROWS).toPandas()
+    pdf = skewed.toPandas().sort_values("event_id")
+    want = {}
+    for uid, g in pdf.groupby("user_id"):
+        a = 0.0
+        for x in g["value"]:
+            a = a * 0.5 + x
+        want[uid] = a
+    assert len(got) == len(want)
+    for uid, f in zip(got["user_id"], got["f"]):
+        assert abs(f - want[uid]) < 1e-9
+
+
+def test_default_plan_broadcasts_only_bounded_tables(spark, skewed, capsys):
+    capsys.readouterr()
+    running_sum(skewed, "user_id", ["event_id"], "value", "rt").explain("formatted")
+    plan = capsys.readouterr().out
+    # the data is shuffled once for the window; hot-key stats and carries
+    # are broadcast (bounded by rows / rows_per_chunk)
+    assert plan.count("BroadcastExchange") >= 2
