@@ -78,3 +78,17 @@ def test_delivery_report_on_a_stream(spark, tmp_path):
     metrics = [p["observedMetrics"] for p in q.recentProgress if p.get("observedMetrics")]
     assert metrics[0][name]["records"] == 5 and metrics[0][name]["max_offset"] == 4
     assert metrics[0][probe]["value_non_null"] == 5
+
+
+def test_decode_primitive_and_json_values(spark):
+    from pyspark.sql import types as T
+
+    from rivulet.sources import decode_value
+
+    df = spark.createDataFrame([("1.5",), ("x",), (None,)], "value string")
+    assert [r["value"] for r in decode_value(df, T.DoubleType()).collect()] == [1.5, None, None]
+    assert [r["value"] for r in decode_value(df, T.LongType()).collect()] == [None, None, None]
+    js = spark.createDataFrame([('{"name": "Ann", "user_id": "u1"}',)], "value string")
+    r = decode_value(js, T.StructType([T.StructField("name", T.StringType()),
+                                       T.StructField("user_id", T.StringType())])).first()
+    assert r["value"]["name"] == "Ann"
