@@ -18,9 +18,9 @@ from rivulet.functions.time import local_time_to_millis, millis_to_local_time
 from rivulet.operators import (combine_orders, enrich_asof, enrich_latest, error_budget,
                                fold_by_key, hello_values, interval_join, keyed_sum,
                                late_records, order_number_chain, quarantine_non_numeric,
-                               running_sum, split_oversize, stream_time, table_order_changelog,
-                               table_snapshot, tumbling_sum, tumbling_sum_final,
-                               tumbling_sum_updates, with_event_time)
+                               running_sum, split_oversize, stream_time, table_from_topic,
+                               table_order_changelog, table_snapshot, tumbling_sum,
+                               tumbling_sum_final, tumbling_sum_updates, with_event_time)
 from rivulet.plans.views import (SQL_AFTER_DASH, SQL_ARR, SQL_TXT, TOPIC_PARTITIONS,
                                  event_arrivals, events_of_type, order_text_topic,
                                  sql_parse_long, table)
@@ -156,6 +156,17 @@ def table_snapshot_q(spark, sf_dir):
     return table_snapshot(order_text_topic(spark, sf_dir), "key", "off", "value")
 
 
+@query("table_latest", f"""
+WITH {SQL_TXT}
+SELECT key, off, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY off DESC) AS rn
+  FROM txt WHERE key IS NOT NULL)
+WHERE rn = 1""", ("orders",))
+def table_latest_q(spark, sf_dir):
+    """Latest record per key with deletes kept (null value)."""
+    return table_from_topic(order_text_topic(spark, sf_dir), "key", "off", "value")
+
+
 @query("table_order_changelog", f"""
 WITH {SQL_TXT}
 SELECT off, key,
@@ -245,6 +256,20 @@ def tumbling_sum_updates_q(spark, sf_dir):
     return r.select("event_id", "user_id", "window_start", "running_total")
 
 
+@query("tumbling_sum_updates_nograce", f"""
+WITH {SQL_ARR}, {_marked("0 minutes")[0]}
+SELECT event_id, user_id, ws AS window_start,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id, ws
+            ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS DOUBLE) AS running_total
+FROM m WHERE NOT {_marked("0 minutes")[1]} AND user_id IS NOT NULL AND value IS NOT NULL""")
+def tumbling_sum_updates_nograce_q(spark, sf_dir):
+    """The time application's output: every update, no grace."""
+    r = tumbling_sum_updates(event_arrivals(spark, sf_dir), out="running_total",
+                             **_arr_kw("0 minutes"))
+    return r.select("event_id", "user_id", "window_start", "running_total")
+
+
 def _late_sql(grace: str) -> str:
     marked, late = _marked(grace)
     return f"""
