@@ -64,12 +64,17 @@ def mark_late_stream(df: DataFrame, ts: str = "timestamp", size: str = "10 secon
         T.StructField("stream_time", T.TimestampType()),
         T.StructField("is_late", T.BooleanType())])
     order = list(order)
+    # pandas receives timestamps as naive wall-clock values of the session
+    # zone: localise them before taking epoch microseconds
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
 
     def judge(k: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState
               ) -> Iterator[pd.DataFrame]:
         st0 = state.get[0] if state.exists else None
         pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="stable")
-        t = pd.to_datetime(pdf[ts], utc=True)
+        t = pd.to_datetime(pdf[ts])
+        t = t.dt.tz_localize(zone, ambiguous="NaT") if t.dt.tz is None else t
+        t = t.dt.tz_convert("UTC")
         us = (t - pd.Timestamp(0, tz="UTC")) // pd.Timedelta(microseconds=1)
         run = us.cummax()
         if st0 is not None:

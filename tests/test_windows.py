@@ -110,3 +110,35 @@ def test_null_key_record_advances_stream_time(spark, tmp_path):
     run_stream(windows_app(s, "10 seconds", "5 seconds"), "nullkey", fmt="memory",
                checkpoint=str(tmp_path / "ck"))
     assert _window_sums(spark.sql("select * from nullkey").collect()) == [(0, 1.0)]
+
+
+def test_late_rule_on_stream_in_another_session_zone(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        t = late_loader(spark)
+        s = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(
+            write_files(t, str(tmp_path / "in"), True))
+        run_stream(windows_app(s, "10 seconds", "5 seconds"), "late_ny", fmt="memory",
+                   checkpoint=str(tmp_path / "ck"))
+        got = _window_sums(spark.sql("select * from late_ny").collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [(0, 5.0), (10000, 10.0), (40000, 32.0)]
+
+
+def test_stream_time_column_is_zone_independent(spark, tmp_path):
+    from rivulet.streaming import mark_late_stream
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        t = late_loader(spark).select("partition", "offset", "timestamp")
+        s = spark.readStream.schema(t.schema).parquet(write_files(t, str(tmp_path / "in"),
+                                                                  False))
+        run_stream(mark_late_stream(s, "timestamp", "7 hours", "0 seconds"), "st_ny",
+                   fmt="memory", checkpoint=str(tmp_path / "ck"))
+        rows = spark.sql("select offset, unix_millis(stream_time) as st, "
+                         "unix_millis(timestamp) as t from st_ny").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    got = {r["offset"]: r["st"] - T0 for r in rows}
+    assert got == {0: 0, 1: 14999, 2: 14999, 3: 15000, 4: 15000, 5: 40000, 6: 90000}
