@@ -2,7 +2,7 @@ from rivulet.streaming.runner import (RetryPolicy, run_stream, run_with_policy,
                                       stream_checkpoint)
 from rivulet.streaming.sinks import (changelog_writer, compact_table, enrich_latest_writer,
                                      error_budget_writer, materialize_table, read_table,
-                                     write_batch)
+                                     running_sum_writer, write_batch)
 from rivulet.streaming.stateful import (enrich_asof_stream, fold_by_key_stream,
                                         mark_late_stream, running_sum_stream,
                                         tumbling_sum_stream)

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.operators.quality import DEFAULT_ERROR_BUDGET, ErrorBudgetExceeded
 from rivulet.operators.tables import table_from_topic
@@ -72,6 +73,8 @@ def _table_rows(spark: SparkSession, path: str, upto: int | None = None
     except AnalysisException:
         return None
     v = _latest_version(spark, path)
+    if v is not None and upto is not None and v > upto:
+        raise ValueError(f"table at {path} is compacted past batch {upto}")
     newer = changes
     if v is not None:
         newer = newer.filter(F.col(BATCH_COL) > v)
@@ -165,6 +168,53 @@ def enrich_latest_writer(table_path: str, out_path: str, stream_key: str, name_c
     return fn
 
 
+def running_sum_writer(out_path: str, state_path: str, key: str = "key",
+                       value: str = "value", order: tuple[str, ...] = ("offset",),
+                       out: str = "total", rows_per_chunk: int | None = None,
+                       compact_every: int = 50) -> Callable[[DataFrame, int], None]:
+    """Per-record running total on a stream, with hot keys split.
+
+    Each micro-batch is computed with the batch operator
+    (``operators.scan.running``: a hot key is cut into chunks, never one
+    task) and offset by the key's total before the batch, kept in a table at
+    ``state_path`` (``materialize_table`` layout: one change folder per batch,
+    compacted every ``compact_every`` batches).  A batch reads only the
+    state of earlier batches, so a replay recomputes the same output.
+    """
+    from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK, running
+
+    rpc = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact_table(spark, state_path, "key", "offset", "value", upto=batch_id - 1)
+        d = batch.filter(F.col(key).isNotNull() & F.col(value).isNotNull()).persist()
+        try:
+            rows = _table_rows(spark, state_path, upto=batch_id - 1)
+            if rows is None:
+                prior = spark.createDataFrame([], T.StructType([
+                    T.StructField("__pk", d.schema[key].dataType),
+                    T.StructField("__prior", T.DoubleType())]))
+            else:
+                prior = table_from_topic(rows, "key", "offset", "value").select(
+                    F.col("key").alias("__pk"), F.col("value").alias("__prior"))
+            r = running(d, [key], list(order), value, "sum", "__run", rows_per_chunk=rpc)
+            res = (r.join(prior, F.col(key) == F.col("__pk"), "left")
+                   .withColumn(out, F.col("__run") + F.coalesce(F.col("__prior"), F.lit(0.0)))
+                   .drop("__run", "__pk", "__prior"))
+            write_batch(res, out_path, batch_id)
+            totals = (d.groupBy(key).agg(F.sum(value).alias("__s"))
+                      .join(prior, F.col(key) == F.col("__pk"), "left")
+                      .select(F.col(key).alias("key"), F.lit(batch_id).cast("long").alias("offset"),
+                              (F.col("__s") + F.coalesce(F.col("__prior"), F.lit(0.0)))
+                              .cast("double").alias("value")))
+            write_batch(totals, _table_parts(state_path)[0], batch_id)
+        finally:
+            d.unpersist()
+    return fn
+
+
 def error_budget_writer(out_path: str, quarantine_path: str, is_bad: Column,
                         order: str = "offset", budget: int = DEFAULT_ERROR_BUDGET
                         ) -> Callable[[DataFrame, int], None]:

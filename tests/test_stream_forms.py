@@ -85,3 +85,22 @@ def test_table_snapshot_in_update_mode(spark, tmp_path):
     latest = {r["key"]: r["value"] for r in table_from_topic(
         upd.withColumn("offset", F.col("offset")), "key", "offset", "value").collect()}
     assert latest == {"a": "3", "b": None}
+
+
+@pytest.mark.parametrize("files,compact", [(4, 2), (1, 50)])
+def test_running_sum_writer_splits_hot_keys_and_equals_batch(spark, tmp_path, files, compact):
+    from rivulet.streaming import running_sum_writer
+
+    e = spark.read.parquet(f"{SF}/events.parquet").withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    src = write_ordered_files(e, str(tmp_path / "in"), "event_id", files)
+    s = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = str(tmp_path / "out")
+    sink = running_sum_writer(out, str(tmp_path / "state"), "user_id", "value", ("event_id",),
+                              "rt", rows_per_chunk=40, compact_every=compact)
+    start_stream(s, "rsw", foreach_batch=sink, checkpoint=str(tmp_path / "ck")).awaitTermination()
+    got = spark.read.parquet(out).select("event_id", "rt").toPandas()
+    pdf = e.toPandas().sort_values("event_id")
+    pdf["bf"] = pdf.groupby("user_id")["value"].cumsum()
+    m = got.merge(pdf[["event_id", "bf"]], on="event_id")
+    assert len(m) == len(pdf) and (m["rt"] - m["bf"]).abs().max() < 1e-6
