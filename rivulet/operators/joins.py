@@ -25,26 +25,29 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     ``within`` (both ends inclusive).  Null keys never match.
 
     Besides the key, both sides are matched on a time bucket of width
-    ``within``: each left record is offered to its own bucket and the two
-    next to it, each right record sits in one bucket, so every pair is
-    found exactly once and a hot key is spread over its time buckets
-    instead of pairing all its rows in one task.  Column names of the two
-    sides must differ.
+    ``2 * within``: the window ``[t - within, t + within]`` of a left record
+    covers exactly two consecutive buckets, so each left record is offered
+    to those two and each right record sits in one -- every pair is found
+    exactly once, and a hot key is spread over its time buckets instead of
+    pairing all its rows in one task.  Column names of the two sides must
+    differ.
 
     On streaming inputs both sides get ``withWatermark(watermark)`` (the
     join state retention; 24 hours by default) on their time column, which
     must then be a TIMESTAMP.
     """
-    span = duration_micros(within)
+    half = duration_micros(within)
+    width = 2 * half
     if left.isStreaming and watermark:
         left = left.withWatermark(left_ts, watermark)
     if right.isStreaming and watermark:
         right = right.withWatermark(right_ts, watermark)
-    lb = F.floor(_micros(left, left_ts) / F.lit(span)).cast("long")
+    # bucket of the window's start; its end (start + width) is in the next one
+    lb = F.floor((_micros(left, left_ts) - F.lit(half)) / F.lit(width)).cast("long")
     left_b = left.filter(F.col(left_key).isNotNull()).withColumn(
-        "__lbucket", F.explode(F.array(lb - 1, lb, lb + 1)))
+        "__lbucket", F.explode(F.array(lb, lb + 1)))
     right_b = right.filter(F.col(right_key).isNotNull()).withColumn(
-        "__rbucket", F.floor(_micros(right, right_ts) / F.lit(span)).cast("long"))
+        "__rbucket", F.floor(_micros(right, right_ts) / F.lit(width)).cast("long"))
     cond = ((F.col(left_key) == F.col(right_key))
             & (F.col("__lbucket") == F.col("__rbucket"))
             & F.col(right_ts).between(F.col(left_ts) - interval(within),

@@ -40,3 +40,25 @@ def test_running_is_chunk_invariant(spark, data, width, how):
     for o, w in zip(pdf["o"], want):
         r = got[o]
         assert (pd.isna(r) and w is None) or r == w, (o, r, w)
+
+
+times = st.lists(st.integers(0, 20_000), min_size=1, max_size=25)
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(lt=times, rt=times, within_s=st.integers(1, 5))
+def test_interval_join_equals_brute_force(spark, lt, rt, within_s):
+    from rivulet.operators import interval_join
+
+    left = spark.createDataFrame([(i, "k", t) for i, t in enumerate(lt)],
+                                 "a long, lk string, lt long") \
+        .withColumn("lts", F.timestamp_millis("lt"))
+    right = spark.createDataFrame([(i, "k", t) for i, t in enumerate(rt)],
+                                  "b long, rk string, rt long") \
+        .withColumn("rts", F.timestamp_millis("rt"))
+    got = sorted((r["a"], r["b"]) for r in interval_join(
+        left, right, "lk", "rk", "lts", "rts", f"{within_s} seconds").collect())
+    want = sorted((i, j) for i, x in enumerate(lt) for j, y in enumerate(rt)
+                  if abs(x - y) <= within_s * 1000)
+    assert got == want
