@@ -68,18 +68,24 @@ def chunk_by_range(df: DataFrame, order_col: str, chunks: int | None = None) ->
 
 
 def with_hot_key_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
-                        rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+                        rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                        stats_from: DataFrame | None = None) -> DataFrame:
     """Add ``__chunk`` (0 for ordinary keys) and ``__hot`` to each row.
 
     A key with more than ``rows_per_chunk`` rows is cut into equal-width
     slices of its own order range, about ``rows_per_chunk`` rows each.
-    Rows with a null key stay one unsplit group.
+    Rows with a null key stay one unsplit group.  ``stats_from`` may give a
+    cheaper frame holding a superset of ``df``'s rows (same key and order
+    columns) to size the chunks from, so that an expensive ``df`` is not
+    evaluated once more just for its counts.
     """
     keys = list(keys)
+    src = df if stats_from is None else stats_from
+    so = _num(src, order_col)
     o = _num(df, order_col)
-    stats = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("__n"), F.min(o).alias("__lo"),
-                  F.max(o).alias("__hi"))
+    stats = (src.groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("__n"), F.min(so).alias("__lo"),
+                  F.max(so).alias("__hi"))
              .filter(F.col("__n") > F.lit(rows_per_chunk)))
     # width so that a slice holds about rows_per_chunk rows of this key
     width = F.greatest(F.lit(1).cast("long"), F.ceil(
@@ -101,7 +107,8 @@ def with_hot_key_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
             value: Column | str, how: str, out: str, chunk: Column | None = None,
-            rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK) -> DataFrame:
+            rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+            stats_from: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = running ``how`` of ``value`` per ``keys`` in ``order``.
 
     ``how`` is ``sum``, ``max``, ``min``, ``count`` or ``last`` (last non-null
@@ -112,7 +119,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     Without ``chunk`` only hot keys are split (see the module doc; the first
     ``order`` column must be numeric or a time).  With ``chunk`` -- a column
     that does not decrease along ``order`` within a key -- every key is cut
-    by it.
+    by it.  ``stats_from``: see ``with_hot_key_chunks``.
     """
     keys = list(keys)
     v = F.col(value) if isinstance(value, str) else value
@@ -120,7 +127,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     if chunk is None:
         if not isinstance(order[0], str):
             raise ValueError("hot-key splitting needs the first order column by name")
-        d = with_hot_key_chunks(df, keys, order[0], rows_per_chunk)
+        d = with_hot_key_chunks(df, keys, order[0], rows_per_chunk, stats_from)
         bounded = True
     else:
         # Rows with a null key form one group that is not split (it has no

@@ -120,8 +120,12 @@ def tumbling_sum_updates(df: DataFrame, key: str = "key", ts: str = "timestamp",
     amt = F.col(value).cast(f"decimal(18,{exact_scale})") if exact_scale is not None \
         else F.col(value)
     on_time = on_time.withColumn("__amount", amt)
+    # hot (key, window) groups are sized from all records, not the on-time
+    # ones: same answer shape, and the stream-time plan is not run again
+    every = df.filter(F.col(key).isNotNull() & F.col(value).isNotNull()) \
+        .withColumn("window_start", window_start(ts, size))
     r = running(on_time, [key, "window_start"], list(order), "__amount", "sum", out, chunk,
-                rows_per_chunk)
+                rows_per_chunk, stats_from=every)
     if exact_scale is not None:
         r = r.withColumn(out, F.col(out).cast("double"))
     return r.drop("__amount")
