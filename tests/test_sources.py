@@ -92,3 +92,18 @@ def test_decode_primitive_and_json_values(spark):
     r = decode_value(js, T.StructType([T.StructField("name", T.StringType()),
                                        T.StructField("user_id", T.StringType())])).first()
     assert r["value"]["name"] == "Ann"
+
+
+def test_conform_a_struct_value_by_name(spark):
+    from rivulet.sources import COMBINED_ORDER
+
+    df = spark.createDataFrame(
+        [("k1", 0, ("e1", "a1", "x1", 5, "extra")), ("k2", 1, ("e2", None, "x2", 6, "y"))],
+        "key string, offset long, value struct<electronic_order_id:string, "
+        "appliance_order_id:string, appliance_id:string, time:long, junk:string>")
+    good, bad = conform(df, COMBINED_ORDER, value_col="value", keep=("key", "offset"))
+    g = good.collect()
+    assert good.schema["value"].dataType.fieldNames() == COMBINED_ORDER.fields
+    assert [(r["key"], r["value"]["user_name"], r["value"]["time"]) for r in g] == [("k1", "", 5)]
+    b = bad.collect()
+    assert [(r["key"], r["missing"]) for r in b] == [("k2", ["appliance_order_id"])]
