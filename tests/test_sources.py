@@ -107,3 +107,17 @@ def test_conform_a_struct_value_by_name(spark):
     assert [(r["key"], r["value"]["user_name"], r["value"]["time"]) for r in g] == [("k1", "", 5)]
     b = bad.collect()
     assert [(r["key"], r["missing"]) for r in b] == [("k2", ["appliance_order_id"])]
+
+
+def test_date_partitioned_topic_from_a_stream(spark, tmp_path):
+    from rivulet.streaming import stream_checkpoint
+    from tests.fixtures import topic, write_files
+
+    t = topic(spark, [(0, 0, T0, "k", "a"), (0, 1, T0 + 86_400_000, "k", "b")])
+    s = spark.readStream.schema(t.schema).parquet(write_files(t, str(tmp_path / "in"), True))
+    path = str(tmp_path / "topic")
+    write_topic(s, path, by_date=True,
+                checkpoint=stream_checkpoint(spark, "bydate", True)).awaitTermination()
+    back = read_topic(spark, path, by_date=True)
+    assert sorted((str(r["date"]), r["value"]) for r in back.collect()) == [
+        ("2023-11-14", "a"), ("2023-11-15", "b")]
