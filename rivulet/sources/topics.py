@@ -14,10 +14,19 @@ from pyspark.sql import types as T
 from rivulet.sources.schemas import DATE_COL, RecordSchema, topic_schema
 
 
+# Default size limits of one micro-batch.  Per-key stateful
+# stream operators handle one key's rows of one micro-batch in a task, so the
+# micro-batch must be bounded even when a backlog is waiting.
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+DEFAULT_MAX_OFFSETS_PER_TRIGGER = 100_000_000
+
+
 def read_topic(spark: SparkSession, path: str | None = None, *,
                value_type: T.DataType | RecordSchema = T.StringType(),
                stream: bool = False, fmt: str = "parquet",
-               options: dict | None = None, max_files_per_trigger: int | None = None,
+               options: dict | None = None,
+               max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
+               max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER,
                by_date: bool = False) -> DataFrame:
     """Read a topic as a batch or streaming DataFrame.
 
@@ -28,12 +37,18 @@ def read_topic(spark: SparkSession, path: str | None = None, *,
     from its start -- the stream starts at the earliest record.  ``by_date``
     reads a topic written with ``write_topic(by_date=True)``: a filter on
     the ``date`` column then prunes whole folders before any file is opened.
+
+    Streams read at most ``max_files_per_trigger`` files (file topic) or
+    ``max_offsets_per_trigger`` records (Kafka) per micro-batch, so a
+    backlog is worked off in bounded batches (``None`` lifts the limit).
     """
     options = dict(options or {})
     vtype = value_type.struct if isinstance(value_type, RecordSchema) else value_type
     reader = spark.readStream if stream else spark.read
     if "kafka.bootstrap.servers" in options:
         options.setdefault("startingOffsets", "earliest")
+        if stream and max_offsets_per_trigger:
+            options.setdefault("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
         # needs the spark-sql-kafka package; Spark's own error says so
         raw = reader.format("kafka").options(**options).load()
         raw = raw.select("topic", "partition", "offset", "timestamp",

@@ -121,3 +121,16 @@ def test_date_partitioned_topic_from_a_stream(spark, tmp_path):
     back = read_topic(spark, path, by_date=True)
     assert sorted((str(r["date"]), r["value"]) for r in back.collect()) == [
         ("2023-11-14", "a"), ("2023-11-15", "b")]
+
+
+def test_stream_backlog_is_read_in_bounded_batches(spark, tmp_path):
+    from tests.fixtures import topic, write_files
+
+    t = topic(spark, [(0, i, T0 + i, "k", str(i)) for i in range(6)])
+    path = write_files(t, str(tmp_path / "in"), True)
+    s = read_topic(spark, path, stream=True, max_files_per_trigger=2)
+    q = s.writeStream.format("memory").queryName("bounded") \
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert sizes == [2, 2, 2]
