@@ -1,5 +1,6 @@
 from rivulet.operators.aggregates import fold_by_key, keyed_sum, running_sum
-from rivulet.operators.joins import combine_orders, enrich_asof, enrich_latest, interval_join
+from rivulet.operators.joins import (asof_resolve, asof_union, combine_orders, enrich_asof,
+                                     enrich_latest, interval_join)
 from rivulet.operators.quality import (ErrorBudgetExceeded, check_error_budget, error_budget,
                                        quarantine_non_numeric, split_malformed, split_oversize)
 from rivulet.operators.scan import (DEFAULT_ROWS_PER_CHUNK, chunk_by_range, running,

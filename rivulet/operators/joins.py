@@ -106,6 +106,18 @@ def enrich_asof(stream: DataFrame, changes: DataFrame, stream_key: str, change_k
     record is paired with more than one change.  ``out_cols`` renames the
     looked-up values (default: their names in ``changes``).
     """
+    u = asof_union(stream, changes, stream_key, change_key, stream_ts, change_ts, value_cols,
+                   change_order, deleted)
+    return asof_resolve(u, value_cols, out_cols, chunk, rows_per_chunk)
+
+
+def asof_union(stream: DataFrame, changes: DataFrame, stream_key: str, change_key: str,
+               stream_ts: str, change_ts: str, value_cols: Sequence[str],
+               change_order: str | None = None, deleted: Column | None = None) -> DataFrame:
+    """Both sides of an as-of lookup in one frame (batch or stream):
+    ``__k`` key, ``__t`` time, ``__side`` (0 change, 1 record), ``__tie``,
+    ``__v`` the change's values (a struct of nulls for a tombstone) and
+    ``__row`` the record."""
     vals = [F.col(c).alias(c) for c in value_cols]
     change_val = F.struct(*vals) if deleted is None else \
         F.when(~deleted, F.struct(*vals)).otherwise(
@@ -122,7 +134,13 @@ def enrich_asof(stream: DataFrame, changes: DataFrame, stream_key: str, change_k
         F.col(stream_key).alias("__k"), F.col(stream_ts).alias("__t"),
         F.lit(1).alias("__side"), F.lit(0).cast("long").alias("__tie"),
         F.lit(None).cast(a.schema["__v"].dataType).alias("__v"), srow.alias("__row"))
-    u = a.unionByName(b)
+    return a.unionByName(b)
+
+
+def asof_resolve(u: DataFrame, value_cols: Sequence[str], out_cols: Sequence[str] | None = None,
+                 chunk: Column | None = None, rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK
+                 ) -> DataFrame:
+    """The records of an ``asof_union`` frame with their looked-up values."""
     r = running(u, ["__k"], ["__t", "__side", "__tie"], "__v", "last", "__asof", chunk,
                 rows_per_chunk)
     r = r.filter(F.col("__side") == 1)

@@ -215,6 +215,52 @@ def running_sum_writer(out_path: str, state_path: str, key: str = "key",
     return fn
 
 
+def enrich_asof_writer(out_path: str, state_path: str, value_cols: tuple[str, ...],
+                       out_cols: tuple[str, ...] | None = None,
+                       rows_per_chunk: int | None = None, compact_every: int = 50
+                       ) -> Callable[[DataFrame, int], None]:
+    """As-of table lookup on a stream, with hot keys split.
+
+    Feed it a stream built by ``operators.asof_union`` (records and table
+    changes in one frame).  Each micro-batch is resolved with the batch
+    operator (``asof_resolve``: one running "last" over both sides, hot
+    keys cut into chunks), seeded with each key's last table value from
+    earlier batches, kept in a table at ``state_path`` (``materialize_table``
+    layout, compacted every ``compact_every`` batches).  A record older than
+    the last change seen in an earlier batch gets that change (the value
+    known when it is processed); within a batch the lookup is exact.
+    """
+    from rivulet.operators.joins import asof_resolve
+    from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK
+
+    rpc = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact_table(spark, state_path, "key", "offset", "value", upto=batch_id - 1)
+        rows = _table_rows(spark, state_path, upto=batch_id - 1)
+        u = batch
+        if rows is not None:
+            t_type = batch.schema["__t"].dataType
+            row_type = batch.schema["__row"].dataType
+            # the last known value goes first in the key's order
+            seeds = table_from_topic(rows, "key", "offset", "value").select(
+                F.col("key").alias("__k"),
+                F.lit("0001-01-01 00:00:00").cast(t_type).alias("__t"),
+                F.lit(0).alias("__side"), F.lit(-1).cast("long").alias("__tie"),
+                F.col("value").alias("__v"), F.lit(None).cast(row_type).alias("__row"))
+            u = seeds.unionByName(batch)
+        write_batch(asof_resolve(u, value_cols, out_cols, rows_per_chunk=rpc),
+                    out_path, batch_id)
+        latest = (batch.filter(F.col("__side") == 0).groupBy("__k")
+                  .agg(F.max_by("__v", F.struct("__t", "__tie")).alias("value"))
+                  .select(F.col("__k").alias("key"),
+                          F.lit(batch_id).cast("long").alias("offset"), "value"))
+        write_batch(latest, _table_parts(state_path)[0], batch_id)
+    return fn
+
+
 def error_budget_writer(out_path: str, quarantine_path: str, is_bad: Column,
                         order: str = "offset", budget: int = DEFAULT_ERROR_BUDGET
                         ) -> Callable[[DataFrame, int], None]:

@@ -28,27 +28,35 @@ def topic(spark: SparkSession, rows: list[tuple], value_type: T.DataType = T.Str
 
 
 def write_files(df: DataFrame, folder: str, one_file_per_record: bool) -> str:
-    """Lay a topic out as parquet files, in offset order (file names sort)."""
-    import pyarrow.parquet as pq
-
+    """Lay a topic out as parquet files, in offset order."""
     os.makedirs(folder, exist_ok=True)
     tbl = df.orderBy("offset").toArrow()
     parts = ([tbl.slice(i, 1) for i in range(tbl.num_rows)] if one_file_per_record
              else [tbl])
     for i, part in enumerate(parts):
-        pq.write_table(part, f"{folder}/part-{i:05d}.parquet")
+        _write_in_order(part, f"{folder}/part-{i:05d}.parquet", i)
     return folder
 
 
-def write_ordered_files(df: DataFrame, folder: str, order: str, n_files: int) -> str:
-    """Lay ``df`` out as ``n_files`` parquet files in ``order`` (arrival order)."""
+def _write_in_order(table, path: str, i: int) -> None:
+    """The file stream source takes files by modification time: give each
+    file its own, increasing one, so arrival order is the file order."""
+    import time
+
     import pyarrow.parquet as pq
 
+    pq.write_table(table, path)
+    t = time.time() - 1000 + i
+    os.utime(path, (t, t))
+
+
+def write_ordered_files(df: DataFrame, folder: str, order: str, n_files: int) -> str:
+    """Lay ``df`` out as ``n_files`` parquet files in ``order`` (arrival order)."""
     os.makedirs(folder, exist_ok=True)
     tbl = df.orderBy(order).toArrow()
     step = -(-tbl.num_rows // n_files)
     for i in range(n_files):
-        pq.write_table(tbl.slice(i * step, step), f"{folder}/part-{i:05d}.parquet")
+        _write_in_order(tbl.slice(i * step, step), f"{folder}/part-{i:05d}.parquet", i)
     return folder
 
 

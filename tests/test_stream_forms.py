@@ -104,3 +104,26 @@ def test_running_sum_writer_splits_hot_keys_and_equals_batch(spark, tmp_path, fi
     pdf["bf"] = pdf.groupby("user_id")["value"].cumsum()
     m = got.merge(pdf[["event_id", "bf"]], on="event_id")
     assert len(m) == len(pdf) and (m["rt"] - m["bf"]).abs().max() < 1e-6
+
+
+@pytest.mark.parametrize("files,compact", [(5, 2), (1, 50)])
+def test_asof_writer_equals_batch(spark, tmp_path, files, compact):
+    from rivulet.operators import asof_union
+    from rivulet.streaming import enrich_asof_writer
+
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    p = ev.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    sg = ev.filter("event_type = 'signup'").select("user_id", F.col("ts").alias("sts"), "value")
+    u = asof_union(p, sg, "user_id", "user_id", "ts", "sts", ["value"])
+    # arrival in time order, several micro-batches
+    src = write_ordered_files(u, str(tmp_path / "in"), "__t", files)
+    s = spark.readStream.schema(u.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = str(tmp_path / "out")
+    sink = enrich_asof_writer(out, str(tmp_path / "state"), ("value",), ("sv",),
+                              rows_per_chunk=20, compact_every=compact)
+    start_stream(s, "asofw", foreach_batch=sink, checkpoint=str(tmp_path / "ck")).awaitTermination()
+    got = {r["event_id"]: r["sv"] for r in spark.read.parquet(out).collect()}
+    want = {r["event_id"]: r["sv"] for r in enrich_asof(
+        p, sg, "user_id", "user_id", "ts", "sts", ["value"], out_cols=["sv"]).collect()}
+    assert got == want
