@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from rivulet.sources.schemas import APPLIANCE_ORDER, ELECTRONIC_ORDER, USER, topic_schema
 
+# The loaders' records below (keys, users, prices, names,
+# minute offsets) are the fixtures listed in FIXTURES.md; T0 replaces "now".
 T0 = 1_700_000_000_000  # ms, a multiple of 10 s
 SEC, MIN = 1000, 60_000
 
