@@ -215,6 +215,54 @@ def running_sum_writer(out_path: str, state_path: str, key: str = "key",
     return fn
 
 
+def mark_late_writer(out_path: str, state_path: str, ts: str = "timestamp",
+                     size: str = "10 seconds", grace: str = "0 seconds",
+                     partition: str = "partition", order: tuple[str, ...] = ("offset",),
+                     rows_per_chunk: int | None = None, compact_every: int = 50
+                     ) -> Callable[[DataFrame, int], None]:
+    """Per-record lateness on a stream, with hot topic partitions split.
+
+    Each micro-batch gets ``window_start``, ``stream_time`` and ``is_late``
+    from the batch operator (running max per topic partition, cut into
+    chunks), raised to the partition's stream time after earlier batches,
+    kept in a table at ``state_path``.  Write the result to a topic and
+    window it downstream; a replay recomputes the same batch.
+    """
+    from rivulet.functions.time import interval
+    from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK
+    from rivulet.operators.windows import stream_time, window_start
+
+    rpc = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact_table(spark, state_path, "key", "offset", "value", upto=batch_id - 1)
+        d = batch.persist()
+        try:
+            marked = stream_time(d, partition, list(order), ts, "__st", rows_per_chunk=rpc)
+            rows = _table_rows(spark, state_path, upto=batch_id - 1)
+            if rows is not None:
+                prior = table_from_topic(rows, "key", "offset", "value").select(
+                    F.col("key").alias("__pp"), F.col("value").alias("__prior"))
+                # one row per topic partition: bounded by the partition count
+                marked = marked.join(F.broadcast(prior), F.col(partition) == F.col("__pp"),
+                                     "left").withColumn(
+                    "__st", F.greatest("__st", "__prior")).drop("__pp", "__prior")
+            marked = (marked.withColumnRenamed("__st", "stream_time")
+                      .withColumn("window_start", window_start(ts, size)))
+            closes = F.col("window_start") + interval(size) + interval(grace)
+            write_batch(marked.withColumn("is_late", closes <= F.col("stream_time")),
+                        out_path, batch_id)
+            st = marked.groupBy(partition).agg(F.max("stream_time").alias("value")).select(
+                F.col(partition).alias("key"), F.lit(batch_id).cast("long").alias("offset"),
+                "value")
+            write_batch(st, _table_parts(state_path)[0], batch_id)
+        finally:
+            d.unpersist()
+    return fn
+
+
 def enrich_asof_writer(out_path: str, state_path: str, value_cols: tuple[str, ...],
                        out_cols: tuple[str, ...] | None = None,
                        rows_per_chunk: int | None = None, compact_every: int = 50

@@ -127,3 +127,25 @@ def test_asof_writer_equals_batch(spark, tmp_path, files, compact):
     want = {r["event_id"]: r["sv"] for r in enrich_asof(
         p, sg, "user_id", "user_id", "ts", "sts", ["value"], out_cols=["sv"]).collect()}
     assert got == want
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_mark_late_writer_equals_batch(spark, tmp_path, files):
+    from rivulet.operators import mark_late
+    from rivulet.streaming import mark_late_writer
+
+    e = spark.read.parquet(f"{SF}/events.parquet").withColumn(
+        "arrival", F.col("event_id") + (F.col("event_id") * 7919) % 50) \
+        .withColumn("part", F.col("user_id") % 2)
+    src = write_ordered_files(e, str(tmp_path / "in"), "arrival", files)
+    s = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = str(tmp_path / "out")
+    sink = mark_late_writer(out, str(tmp_path / "state"), "ts", "6 hours", "0 minutes", "part",
+                            ("arrival", "event_id"), rows_per_chunk=50, compact_every=2)
+    start_stream(s, "latew", foreach_batch=sink, checkpoint=str(tmp_path / "ck")).awaitTermination()
+    got = {r["event_id"]: (r["stream_time"], r["is_late"]) for r in spark.read.parquet(out).collect()}
+    want = {r["event_id"]: (r["stream_time"], r["is_late"]) for r in mark_late(
+        e, ts="ts", size="6 hours", grace="0 minutes", partition="part",
+        order=["arrival", "event_id"]).collect()}
+    assert got == want
+    assert sum(1 for _, late in got.values() if late) > 0
