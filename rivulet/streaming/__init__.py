@@ -2,7 +2,8 @@ from rivulet.streaming.runner import (RetryPolicy, run_stream, run_with_policy,
                                       stream_checkpoint)
 from rivulet.streaming.sinks import (changelog_writer, compact_table, enrich_asof_writer,
                                      enrich_latest_writer,
-                                     error_budget_writer, mark_late_writer, materialize_table,
+                                     error_budget_writer, fold_writer, mark_late_writer,
+                                     materialize_table,
                                      read_table,
                                      running_sum_writer, write_batch)
 from rivulet.streaming.stateful import (enrich_asof_stream, fold_by_key_stream,

@@ -263,6 +263,56 @@ def mark_late_writer(out_path: str, state_path: str, ts: str = "timestamp",
     return fn
 
 
+def fold_writer(out_path: str, state_path: str, key: str = "key",
+                order: tuple[str, ...] = ("offset",), value: str = "value",
+                out: str = "folded", init: float = 0.0, decay: float = 1.0,
+                rows_per_chunk: int | None = None, compact_every: int = 50
+                ) -> Callable[[DataFrame, int], None]:
+    """Ordered fold ``acc = acc * decay + value`` per key on a stream; one
+    updated value per key and micro-batch (update semantics).
+
+    The micro-batch is folded with the batch operator (hot keys cut into
+    chunks) from 0, then combined with the key's accumulator after earlier
+    batches (``acc = prior * decay**n + s``), kept at ``state_path``.
+    """
+    from rivulet.operators.aggregates import fold_by_key
+    from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK
+
+    rpc = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact_table(spark, state_path, "key", "offset", "value", upto=batch_id - 1)
+        d = batch.filter(F.col(key).isNotNull() & F.col(value).isNotNull()).persist()
+        try:
+            s_part = fold_by_key(d, key, list(order), value, "__s", 0.0, decay,
+                                 rows_per_chunk=rpc)
+            n_part = d.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+            cur = s_part.join(n_part, key)
+            rows = _table_rows(spark, state_path, upto=batch_id - 1)
+            if rows is None:
+                cur = cur.withColumn("__prior", F.lit(None).cast("double"))
+            else:
+                prior = table_from_topic(rows, "key", "offset", "value").select(
+                    F.col("key").alias("__pk"), F.col("value").alias("__prior"))
+                cur = cur.join(prior, F.col(key) == F.col("__pk"), "left").drop("__pk")
+            acc = (F.coalesce(F.col("__prior"), F.lit(float(init)))
+                   * F.pow(F.lit(float(decay)), F.col("__n")) + F.col("__s"))
+            res = cur.select(F.col(key), acc.alias(out)).persist()
+            try:
+                write_batch(res, out_path, batch_id)
+                write_batch(res.select(F.col(key).alias("key"),
+                                       F.lit(batch_id).cast("long").alias("offset"),
+                                       F.col(out).alias("value")),
+                            _table_parts(state_path)[0], batch_id)
+            finally:
+                res.unpersist()
+        finally:
+            d.unpersist()
+    return fn
+
+
 def enrich_asof_writer(out_path: str, state_path: str, value_cols: tuple[str, ...],
                        out_cols: tuple[str, ...] | None = None,
                        rows_per_chunk: int | None = None, compact_every: int = 50

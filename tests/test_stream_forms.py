@@ -149,3 +149,24 @@ def test_mark_late_writer_equals_batch(spark, tmp_path, files):
         order=["arrival", "event_id"]).collect()}
     assert got == want
     assert sum(1 for _, late in got.values() if late) > 0
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_fold_writer_ends_at_the_batch_fold(spark, tmp_path, files):
+    from rivulet.streaming import fold_writer
+
+    e = _events_topic(spark).withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    src = write_ordered_files(e, str(tmp_path / "in"), "event_id", files)
+    s = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    out = str(tmp_path / "out")
+    sink = fold_writer(out, str(tmp_path / "state"), "user_id", ("event_id",), "value", "f",
+                       1.5, 0.5, rows_per_chunk=40, compact_every=2)
+    start_stream(s, "foldw", foreach_batch=sink, checkpoint=str(tmp_path / "ck")).awaitTermination()
+    got = {r["user_id"]: r["f"] for r in spark.read.parquet(out)
+           .groupBy("user_id").agg(F.max_by("f", "_batch").alias("f")).collect()}
+    want = {r["user_id"]: r["f"] for r in
+            fold_by_key(e, "user_id", ["event_id"], "value", "f", 1.5, 0.5).collect()}
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, rel=1e-9, abs=1e-9)
