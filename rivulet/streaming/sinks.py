@@ -4,6 +4,17 @@
 again with the same id.  Every sink here writes a batch into its own
 ``_batch=<id>`` folder in overwrite mode, so a replay replaces what the
 first attempt wrote instead of adding to it.
+
+* ``changelog_writer`` -- update-mode results, one folder per batch.
+* ``materialize_table`` / ``compact_table`` / ``read_table`` -- an upsert
+  table: per-batch change folders plus versioned snapshots.
+* ``enrich_latest_writer`` -- lookup in a table that keeps changing.
+* ``running_sum_writer``, ``mark_late_writer``, ``fold_writer``,
+  ``enrich_asof_writer`` -- per-key stream state kept as such a table, and
+  each micro-batch computed with the batch operator, so hot keys are split
+  within a micro-batch.  A batch reads only state from earlier batches.
+* ``error_budget_writer`` -- quarantine and a bad-record budget across
+  restarts.
 """
 
 from __future__ import annotations
