@@ -42,3 +42,13 @@ def test_every_query_has_an_oracle():
 
 def test_entry_runs(spark):
     assert entry(spark).count() >= 0
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query_stays_jvm_side(spark, name, capsys):
+    capsys.readouterr()
+    queries()[name](spark, SF).explain("formatted")
+    plan = capsys.readouterr().out
+    for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+               "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert op not in plan, (name, op)
