@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import decontaminate
+from rivulet.llm import decontaminate, language, near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,11 +18,40 @@ def op6_training_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op10_ecoc_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held = language.held_out()
+    model = language.fit(docs, F.col("doc_id").isNotNull() & ~held)
+    return (language.identify(docs, model)
+            .select("doc_id", held.alias("held_out"), "lang_pred", "score"))
+
+
+def op7_similarity_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op7_similarity_sketch_dedup": op7_similarity_sketch_dedup,
+    "op10_ecoc_language": op10_ecoc_language,
     "op6_training_suffix_arrays": op6_training_suffix_arrays,
 }
 
 ORACLE = {
+    "op7_similarity_sketch_dedup": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[j : j + 4], ' ') AS sh
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS j FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b USING (sh)
+      WHERE a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id) c USING (doc_id)
+""",
     "op6_training_suffix_arrays": r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
