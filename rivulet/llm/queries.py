@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import decontaminate, language, near_duplicates
+from rivulet.llm import decontaminate, language, near_duplicates, order_minhash, repeated_bytes, repeated_passages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,13 +30,65 @@ def op7_similarity_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op8_bwt_interval_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.remove_repeated_bytes(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = order_minhash.compare_edits(_table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        order_minhash.as_text(F.col("entries")).alias("fingerprint"),
+        order_minhash.as_text(F.col("edited_entries")).alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("entries"), F.col("edited_entries")).alias("near_edited"),
+        order_minhash.likeness(F.col("entries"), F.col("next_entries")).alias("near_next"))
+
+
 QUERIES = {
+    "op1_order_minhash": op1_order_minhash,
+    "op8_bwt_interval_expansion": op8_bwt_interval_expansion,
+    "op2_fixed_block_anchors": op2_fixed_block_anchors,
     "op7_similarity_sketch_dedup": op7_similarity_sketch_dedup,
     "op10_ecoc_language": op10_ecoc_language,
     "op6_training_suffix_arrays": op6_training_suffix_arrays,
 }
 
 ORACLE = {
+    "op8_bwt_interval_expansion": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+v AS (SELECT doc_id, j, md5(substr(h, 2 * j + 1, 400)) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS j FROM d WHERE len(h) >= 400)),
+m AS (SELECT s FROM v GROUP BY s HAVING count(*) > 1),
+x AS (SELECT DISTINCT doc_id, unnest(range(j, j + 200)) AS p FROM v JOIN m USING (s)),
+r AS (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS run FROM x),
+q AS (SELECT doc_id, min(p) AS a, max(p) + 1 AS b FROM r GROUP BY doc_id, run),
+g AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS f,
+             row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) = 1 AS last FROM q),
+k AS (SELECT g.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans,
+             string_agg(substr(h, 2 * f + 1, 2 * (a - f)) || CASE WHEN last THEN substr(h, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS kept
+      FROM g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, len(d.h) // 2 AS n_bytes, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed, coalesce(k.n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k.kept, d.h))) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+""",
+    "op2_fixed_block_anchors": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+v AS (SELECT doc_id, j, array_to_string(w[j : j + 49], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS j FROM d WHERE len(w) >= 50)),
+m AS (SELECT s, min(doc_id) AS first FROM v GROUP BY s HAVING count(*) > 1),
+x AS (SELECT DISTINCT doc_id, unnest(range(j, j + 50)) AS p FROM v JOIN m USING (s) WHERE m.first < v.doc_id),
+t AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+k AS (SELECT t.doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY t.p) AS kept
+      FROM t LEFT JOIN x ON x.doc_id = t.doc_id AND x.p = t.p WHERE x.p IS NULL GROUP BY t.doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(k.n_kept, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+""",
     "op7_similarity_sketch_dedup": r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
