@@ -12,17 +12,16 @@ band with probability 4e-7, less above it.  A band value that several sets
 share links each to the smallest of them (a star, never all pairs); the
 connected stars are families of candidates.
 
-Exact verification, family by family, without all pairs: every member's full
-set is compared with one centre c.  Members that link to c are one component.
-With N = x \\ c and M = c \\ x, the difference of two members is exactly the
-difference of their (N, M), so a member x that does not link to c can link to
-another member y only if they share an element of N, or, sharing none, if y
-lacks enough of c (``100 |M_y| - 85 |N_y|`` reaches x's distance beyond the
-threshold) and then they share an element of M.  Shared prefixes of N and M
-(prefix filter) give the families of the next round; a round removes every
-centre, and rounds end when no candidates are left.  So no link between
-candidates is lost, whatever the size of a family, and no family meets in one
-task.  Texts with equal sets are one node from the start.
+Exact verification on full sets, family by family.  A family of at most
+``SMALL`` sets with ``SMALL_ITEMS`` shingles is compared in one task.  A larger
+family is never gathered: every member is compared with one centre (the set
+with the most copies), and members that link to it are one component.  Only
+the members that do not link to the centre can still add a link; they are the
+query set, compared with all members in blocks, each pair of blocks a unit of
+bounded size.  Within a unit, a set is compared with all others outside its
+component at once.  So no link between candidates is lost, whatever the size
+of a family, and no pair of sets ever becomes a row unless it is a link that
+joins two components.  Texts with equal sets are one node from the start.
 
 Words are runs of non-blank characters, A-Z folded; a set holds the distinct
 shingles of 5 words, or the whole text if it has fewer.  Shingles and sets
@@ -45,6 +44,7 @@ from rivulet.llm._text import U64, WORD_BASE, Words, chunks, lists, mix, powers,
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5
+SMALL, SMALL_ITEMS = 1000, 4_000_000
 #: link when 100 * intersection >= THRESHOLD * union
 THRESHOLD = 85
 
@@ -146,7 +146,8 @@ def sketch_table(docs: DataFrame, bands: int = BANDS, rows: int = ROWS,
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(set_id, family, items): the full set of one document per wanted set,
     as sorted 64-bit values in a binary column."""
-    joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted, "id")
+    # the wanted ids grow with the input: both sides are shuffled at any size
+    joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted.hint("merge"), "id")
 
     def run(batches):
         for batch in batches:
@@ -167,99 +168,144 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
 
 
 def _compare(pairs: DataFrame, threshold: int) -> DataFrame:
-    """Compare each member with the centre of its family on full sets."""
-    slack = 100 - threshold
-
+    """(set_id, family, c, linked): each member against the centre."""
     def run(batches):
         for batch in batches:
-            linked, excess, surplus, news, lacks = [], [], [], [], []
+            linked = []
             for x, c in zip(batch.column("items"), batch.column("centre")):
                 x, c = np.frombuffer(x.as_buffer(), U64), np.frombuffer(c.as_buffer(), U64)
                 at = np.searchsorted(c, x)
                 at[at == len(c)] = 0
-                common = c[at] == x
-                new = x[~common]
-                lack = np.delete(c, at[common])
-                a, b = len(new), len(lack)
-                over = 100 * (a + b) - slack * (len(c) + a)
-                most = slack * len(x) // threshold   # largest difference of a link
-                linked.append(over <= 0)
-                excess.append(over)
-                surplus.append(100 * b - threshold * a)
-                news.append(new[: a - max(1, a - most) + 1].view(np.int64))
-                lacks.append(lack[: max(0, b - max(1, b + a - most) + 1)].view(np.int64))
-            flat = lambda v: lists(pa.array(np.concatenate(v) if v else [], pa.int64()),
-                                   np.array([len(i) for i in v], np.int64))
-            yield pa.RecordBatch.from_arrays([
-                batch.column("set_id"), batch.column("family"), pa.array(linked, pa.bool_()),
-                pa.array(excess, pa.int64()), pa.array(surplus, pa.int64()), flat(news), flat(lacks)],
-                names=["set_id", "family", "linked", "excess", "surplus", "new", "lack"])
-
-    return pairs.mapInArrow(run, "set_id long, family long, linked boolean, excess long, surplus long, "
-                                 "new array<long>, lack array<long>")
-
-
-def _candidates(compared: DataFrame) -> DataFrame:
-    """Star edges (a, b) between members that may still link: they share an
-    element of a prefix, and one of them did not link to the centre."""
-    family = compared.groupBy("family").agg(
-        F.count("*").alias("n"), F.min(F.when(~F.col("linked"), F.col("excess"))).alias("least"),
-        F.max("surplus").alias("most"))
-    rows = compared.join(family.where("n > 1 and least is not null"), "family")
-    # without a shared new element, one side must lack enough of the centre
-    lacks = (F.col("surplus") >= F.col("least")) | (~F.col("linked") & (F.col("excess") <= F.col("most")))
-    keyed = rows.select("family", "set_id", "linked", F.explode(F.concat(
-        F.transform("new", lambda v: F.struct(F.lit(True).alias("new"), v.alias("item"))),
-        F.when(lacks & (F.col("least") <= F.col("most")),
-               F.transform("lack", lambda v: F.struct(F.lit(False).alias("new"), v.alias("item"))))
-        .otherwise(F.expr("cast(array() as array<struct<new: boolean, item: bigint>>)")))).alias("k")
-    ).select("family", "set_id", "linked", "k.new", "k.item")
-    key = ["family", "new", "item"]
-    shared = (keyed.groupBy(*key).agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"),
-                                      F.bool_and("linked").alias("done"))
-              .where("low <> high and not done").select(*key, "low"))
-    return keyed.join(shared, key).select(F.col("set_id").alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
-
-
-def link_sets(docs: DataFrame, sketched: DataFrame, threshold: int = THRESHOLD,
+                both = int((c[at] == x).sum())
+                linked.append(100 * both >= threshold * (len(x) + len(c) - both))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("set_id"), batch.column("family"), batch.column("c"), pa.array(linked, pa.bool_())],
+                names=["set_id", "family", "c", "linked"])
+
+    return pairs.select("set_id", "family", "c", "items", "centre").mapInArrow(
+        run, "set_id long, family long, c long, linked boolean")
+
+
+def _links_of_unit(sid: np.ndarray, items: list[np.ndarray], query: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+    """Links (a, b) that connect the components of a unit: the query sets,
+    which come first, against all later sets."""
+    first = np.concatenate([[0], np.cumsum([len(x) for x in items])])
+    size = np.diff(first)
+    _, flat = np.unique(np.concatenate(items), return_inverse=True)
+    flat = flat.reshape(-1)
+    root = np.arange(len(sid))
+    has = np.zeros(int(flat.max()) + 1, bool)
+    links = []
+    for i in range(min(int(query.sum()), len(sid) - 1)):
+        if (root[i + 1:] == root[i]).all():
+            continue
+        own = flat[first[i]: first[i + 1]]
+        has[own] = True
+        both = np.add.reduceat(has[flat[first[i + 1]:]].astype(np.int64), first[i + 1: -1] - first[i + 1])
+        has[own] = False
+        for j in np.flatnonzero(100 * both >= threshold * (size[i] + size[i + 1:] - both)) + i + 1:
+            if root[j] != root[i]:
+                root[root == root[j]] = root[i]
+                if sid[i] != sid[j]:
+                    links.append((int(sid[i]), int(sid[j])))
+    return links
+
+
+def _unit_links(members: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) links within units of work.  ``members``: unit, query (is it of
+    the query set), set_id, items; the rows of a unit meet in one task and
+    are taken from the stream unit by unit."""
+    def run(batches):
+        held = None
+        out: list = []
+
+        def settle(t: pa.Table) -> None:
+            unit, sid = t["unit"].to_numpy(), t["set_id"].to_numpy()
+            query = t["query"].to_numpy()
+            items = [np.frombuffer(x.as_buffer(), U64) for x in t["items"]]
+            cut = np.flatnonzero(np.diff(unit)) + 1
+            for i, j in zip([0, *cut], [*cut, len(unit)]):
+                if j - i > 1:
+                    out.extend(_links_of_unit(sid[i:j], items[i:j], query[i:j], threshold))
+
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([held, t]) if held is not None else t
+            if not len(t):
+                continue
+            unit = t["unit"].to_numpy()
+            last = int(np.searchsorted(unit, unit[-1]))
+            if last:
+                settle(t.slice(0, last))
+            held = t.slice(last)
+        if held is not None:
+            settle(held)
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return (members.select("unit", F.col("query").cast("int").alias("query"), "set_id", "items")
+            .repartition("unit").sortWithinPartitions("unit", F.col("query").desc())
+            .mapInArrow(run, "a long, b long"))
+
+
+def _large_links(members: DataFrame, sizes: DataFrame, threshold: int, small: int) -> DataFrame:
+    """(a, b) links of families that fit no task: star, then the rest of the
+    star against all members in blocks."""
+    centre = members.groupBy("family").agg(F.max(F.struct("copies", "set_id")).alias("best")).select(
+        "family", F.col("best.set_id").alias("c"))
+    # a set may have come with several rows of one repeated id
+    centre = members.select(F.col("set_id").alias("c"), F.col("items").alias("centre")).join(
+        centre, "c").dropDuplicates(["family"])
+    star = store(_compare(members.join(centre, "family").where("set_id <> c"), threshold), "compared")
+    rest = star.where("not linked").select("family", "set_id")
+    blocks = sizes.join(rest.groupBy("family").agg(F.count("*").alias("rest")), "family").select(
+        # blocks of the query set and of all members, half a unit's items each
+        "family", *[F.greatest(F.ceil(F.col(n) / small), F.ceil(F.col(n) / F.col("n") * F.col("total") * 2 / SMALL_ITEMS))
+                    .cast("int").alias(b) for n, b in (("rest", "rows"), ("n", "columns"))])
+
+    def dealt(rows: DataFrame, own: str, other: str, query: bool) -> DataFrame:
+        spread = rows.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col(own)).cast("int"))
+        spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        pair = ("own", "other") if query else ("other", "own")
+        return spread.select(F.xxhash64("family", *pair).alias("unit"), F.lit(query).alias("query"), "set_id", "items")
+
+    units = dealt(members.join(rest, ["family", "set_id"]), "rows", "columns", True).unionByName(
+        dealt(members, "columns", "rows", False))
+    return star.where("linked").select(F.col("set_id").alias("a"), F.col("c").alias("b")).unionByName(
+        _unit_links(units, threshold))
+
+
+def link_sets(docs: DataFrame, sketched: DataFrame, threshold: int = THRESHOLD, small: int = SMALL,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(node, root) of every set that links to another one."""
-    spark = docs.sparkSession
     banded = sketched.select("set_id", F.posexplode("bands").alias("band", "key"))
     bucket = (banded.groupBy("band", "key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
               .where("low <> high").select("band", "key", "low"))
     stars = (banded.join(bucket, ["band", "key"]).where("set_id <> low")
              .select(F.col("set_id").alias("a"), F.col("low").alias("b")))
     family = components(stars)
-    links = spark.createDataFrame([], "a long, b long")
-    # one document of each set brings its text; copies make a good centre
-    wanted = (sketched.where("n_shingles > 0").groupBy("set_id").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-              .join(family.select(F.col("node").alias("set_id"), F.col("root").alias("family")), "set_id"))
-    wanted = store(wanted, "wanted")
-    members = store(_full_sets(docs, wanted.select("id", "set_id", "family"), id_col, text_col), "sets")
-    weight = wanted.select("set_id", "family", "copies")
-    while not weight.isEmpty():
-        centre = (weight.groupBy("family").agg(F.max(F.struct("copies", "set_id")).alias("best"))
-                  .select("family", F.col("best.set_id").alias("c")))
-        centre = members.select(F.col("set_id").alias("c"), F.col("items").alias("centre")).join(
-            centre, "c").dropDuplicates(["family"])
-        pairs = members.join(centre, "family").where("set_id <> c")
-        done = store(_compare(pairs.select("set_id", "family", "items", "centre"), threshold), "compared")
-        found = (done.where("linked").select("set_id", "family")
-                 .join(centre.select("family", "c"), "family").select(F.col("set_id").alias("a"), F.col("c").alias("b")))
-        links = links.union(store(found, "links"))
-        again = components(_candidates(done)).select(F.col("node").alias("set_id"), F.col("root").alias("family"))
-        members = store(members.drop("family").join(again, "set_id"), "sets")
-        weight = store(members.select("set_id", "family", F.lit(1).cast("long").alias("copies")), "weight")
+    # one document of each set brings its text
+    wanted = store(
+        sketched.where("n_shingles > 0").groupBy("set_id").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+        .join(family.select(F.col("node").alias("set_id"), F.col("root").alias("family")), "set_id"), "wanted")
+    members = _full_sets(docs, wanted.select("id", "set_id", "family"), id_col, text_col)
+    members = store(members.join(wanted.select("set_id", "copies"), "set_id"), "sets")
+    sizes = members.groupBy("family").agg(F.count("*").alias("n"), F.sum(F.octet_length("items") / 8).alias("total"))
+    large = store(sizes.where((F.col("n") > small) | (F.col("total") > SMALL_ITEMS)), "large")
+    whole = members.join(large.select("family"), "family", "left_anti").select(
+        F.col("family").alias("unit"), F.lit(True).alias("query"), "set_id", "items")
+    links = _unit_links(whole, threshold)
+    if not large.isEmpty():
+        links = links.unionByName(_large_links(
+            store(members.join(large.select("family"), "family", "left_semi"), "members"), large, threshold, small))
     return components(links)
 
 
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, threshold: int = THRESHOLD,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    small: int = SMALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_shingles, component_id (smallest id reachable over
     links, itself included), kept (is it that document)."""
     sketched = store(sketch_table(docs, bands, rows, id_col, text_col), "sketches")
-    root = link_sets(docs, sketched, threshold, id_col, text_col)
+    root = link_sets(docs, sketched, threshold, small, id_col, text_col)
     # an empty set is a class of its own for each document
     labelled = sketched.select("id", "n_shingles", "set_id").join(
         root.select(F.col("node").alias("set_id"), "root"), "set_id", "left").select(
@@ -280,7 +326,7 @@ def keep_one(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, threshold: i
     """The rows of ``docs``, all columns, with one document of each
     component.  Of rows with equal id and text one stays; rows with a null id
     all stay."""
-    kept = near_duplicates(docs, bands, rows, threshold, id_col, text_col).where("kept").select(
+    kept = near_duplicates(docs, bands, rows, threshold, id_col=id_col, text_col=text_col).where("kept").select(
         F.col(id_col).alias("__kept")).distinct()
     rest = docs.where(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("__kept"), "left_semi")
     same = Window.partitionBy(id_col, text_col).orderBy(id_col)
