@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rivulet.session import new_folder
 
 
+EDGES = 250_000
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back: later
     jobs survive the loss of any executor without recomputing it."""
@@ -28,6 +31,7 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps until nothing changes.  Only
     minima are grouped (partial aggregates); neighbours are never collected,
     and a hot node's edges meet its minimum in a join that AQE can split.
+    Each step runs in tasks of about ``EDGES`` edges.
     """
     def distinct(df: DataFrame) -> DataFrame:
         return df.where("u <> v").distinct()
@@ -38,17 +42,18 @@ def components(edges: DataFrame) -> DataFrame:
     e = store(distinct(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))), "edges")
     seen = signature(e)
     while seen[0]:
+        tasks = seen[0] // EDGES + 1
         both = e.select(F.col("v").alias("x"), F.col("v").alias("y")).union(
             e.select(F.col("u").alias("x"), F.col("v").alias("y")))
         # every neighbour above x goes to the smallest of x and its neighbours
         low = both.groupBy("x").agg(F.min("y").alias("m"))
-        large = distinct(e.join(low, e.v == low.x).select("u", F.col("m").alias("v")))
+        large = distinct(e.join(low, e.v == low.x).select("u", F.col("m").alias("v")).coalesce(tasks)).coalesce(tasks)
         low = large.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m"))
         joined = large.join(low, large.u == low.x)
         small = distinct(joined.select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
-            F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v"))
-        e = store(small, "edges")
+            F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").coalesce(tasks))
+        e = store(small.coalesce(tasks), "edges")
         now = signature(e)
         if now == seen:
             break
