@@ -26,6 +26,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rivulet.llm._order import range_of
+
 K, ELL, BINS = 3, 2, 64
 _POS = 28
 #: bytes of text that one sorted range of ids should hold, and the most ranges
@@ -130,17 +132,9 @@ def with_next(docs: DataFrame, columns: list[str], id_col: str = "doc_id", text_
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length(text_col)).alias("n")).first()["n"] or 0
     n = min(MAX_RANGES, max(size // RANGE_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    cuts = docs.agg(F.percentile_approx(F.col(id_col), [i / n for i in range(1, n)] or [0.5], 10 * n)).first()[0]
-    cuts = sorted(set(cuts or []))
-    if cuts:
-        steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(cuts).bit_length()))])
-        edges = F.array(*[F.lit(c) for c in cuts])
-        # how many cuts are below the id, by binary search
-        below = F.aggregate(steps, F.lit(0), lambda c, s: F.when(
-            (c + s <= len(cuts)) & (F.get(edges, c + s - 1) < F.col(id_col)), c + s).otherwise(c))
-        place = F.when(F.col(id_col).isNull(), len(cuts) + 1).otherwise(len(cuts) - below)
-    else:
-        place = F.lit(0)
+    # ascending ranges, nulls behind all: turned round, but for the nulls
+    place, ranges = range_of(docs, id_col, n)
+    place = F.when(F.col(id_col).isNull(), ranges).otherwise(ranges - place)
     rows = docs.withColumn("__range", place.cast("int"))
     # at most one row per range from here on
     first = rows.groupBy("__range").agg(F.max(id_col).alias("__first"))
