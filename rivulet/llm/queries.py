@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import decontaminate, language, near_duplicates, order_minhash, repeated_bytes, repeated_passages
+from rivulet.llm import decontaminate, language, mixing, near_duplicates, order_minhash, preferences, quality, repeated_bytes, repeated_passages, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,7 +50,34 @@ def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_minhash.likeness(F.col("entries"), F.col("next_entries")).alias("near_next"))
 
 
+def op9_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = preferences.conversations(_table(spark, sf_dir, "conversations"))
+    out = preferences.format_pairs(preferences.pair_by_opening(chats))
+    runs = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["n_chars"], s["loss"])), ",")
+    return out.select(F.col("conv_id").alias("chosen_id"), "rejected_id", F.col("n_prompt_turns").cast("long").alias("n_prompt_turns"),
+                      "prompt", "chosen", runs("chosen_mask").alias("chosen_mask"),
+                      "rejected", runs("rejected_mask").alias("rejected_mask"))
+
+
+def op5_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(_table(spark, sf_dir, "documents"), [1.0] * 8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
+                         sharding.rendezvous(F.col("key"), [1.0] * 9).alias("grown_shard"))
+
+
+def op3_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_empirical_bayes_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op4_empirical_bayes_quality": op4_empirical_bayes_quality,
+    "op3_hypergeometric_mix": op3_hypergeometric_mix,
+    "op5_rendezvous_shards": op5_rendezvous_shards,
+    "op9_preference_formatting": op9_preference_formatting,
     "op1_order_minhash": op1_order_minhash,
     "op8_bwt_interval_expansion": op8_bwt_interval_expansion,
     "op2_fixed_block_anchors": op2_fixed_block_anchors,
@@ -60,6 +87,47 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_hypergeometric_mix": r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                  md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS draw FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w
+      FROM d GROUP BY source),
+f AS (SELECT *, coalesce(sum(3 * source_size) OVER o, 0) AS full, coalesce(sum(w) OVER o, 0) AS used,
+             sum(source_size) OVER () AS total, sum(w) OVER () AS weights
+      FROM s WINDOW o AS (ORDER BY 3.0 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT min_by(CAST(total - full AS DOUBLE) / CAST(weights - used AS DOUBLE), 3.0 * source_size / w) AS share
+      FROM f WHERE w * (CAST(total - full AS DOUBLE) / CAST(weights - used AS DOUBLE)) <= 3 * source_size),
+t AS (SELECT source, source_size, CASE WHEN w * share > 3 * source_size THEN CAST(3 * source_size AS DOUBLE) ELSE w * share END AS target FROM s, l),
+q AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS quota FROM t),
+c AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE (quota // source_size) * size
+            + least(greatest(quota % source_size - before, 0), size) END AS BIGINT) AS taken
+FROM c JOIN q ON c.source IS NOT DISTINCT FROM q.source
+""",
+    "op9_preference_formatting": r"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS n,
+                  coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+u AS (SELECT conv_id, coalesce(min(n) FILTER (role = 'user'), max(n)) AS first FROM t GROUP BY conv_id),
+o AS (SELECT conv_id, string_agg(role || chr(1) || text, chr(2) ORDER BY n) AS opening FROM t JOIN u USING (conv_id) WHERE n <= first GROUP BY conv_id),
+r AS (SELECT conv_id, opening, row_number() OVER (PARTITION BY opening ORDER BY conv_id) - 1 AS k FROM o),
+p AS (SELECT min(conv_id) AS a, max(conv_id) AS b FROM r GROUP BY opening, k // 2 HAVING count(*) = 2),
+c AS (SELECT a, b, coalesce(min(n) FILTER (same IS NOT TRUE), max(n) + 1) - 1 AS common FROM (
+        SELECT p.a, p.b, coalesce(x.n, y.n) AS n, x.role = y.role AND x.text = y.text AS same
+        FROM p JOIN (SELECT conv_id, max(n) AS m FROM t GROUP BY conv_id) l ON l.conv_id = p.a JOIN t x ON x.conv_id = p.a
+        LEFT JOIN t y ON y.conv_id = p.b AND y.n = x.n) GROUP BY a, b),
+g AS (SELECT conv_id, n, role, '<|' || role || '|>' || chr(10) AS head, replace(text, '<|', '< |') || '<|end|>' || chr(10) AS said FROM t),
+z AS (SELECT a, b, g.conv_id, g.n, role, head, said FROM c JOIN g ON g.conv_id IN (c.a, c.b) WHERE g.n > c.common),
+m AS (SELECT a, b, conv_id, string_agg(head || said, '' ORDER BY n) AS body,
+             string_agg(len(head) || ':0,' || len(said) || CASE WHEN role = 'assistant' THEN ':1' ELSE ':0' END, ',' ORDER BY n) AS mask
+      FROM z GROUP BY a, b, conv_id),
+h AS (SELECT c.a, c.b, string_agg(head || said, '' ORDER BY n) AS prompt FROM c JOIN g ON g.conv_id = c.a AND g.n <= c.common GROUP BY c.a, c.b)
+SELECT c.a AS chosen_id, c.b AS rejected_id, CAST(common AS BIGINT) AS n_prompt_turns, coalesce(h.prompt, '') AS prompt,
+       coalesce(x.body, '') AS chosen, coalesce(x.mask, '') AS chosen_mask, coalesce(y.body, '') AS rejected, coalesce(y.mask, '') AS rejected_mask
+FROM c LEFT JOIN h USING (a, b) LEFT JOIN m x ON x.a = c.a AND x.b = c.b AND x.conv_id = c.a
+LEFT JOIN m y ON y.a = c.a AND y.b = c.b AND y.conv_id = c.b
+""",
     "op8_bwt_interval_expansion": r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 v AS (SELECT doc_id, j, md5(substr(h, 2 * j + 1, 400)) AS s
