@@ -44,8 +44,8 @@ from rivulet.llm.repeated_passages import _bucket, _member, _per_bucket, _runs,
 
 LENGTH = 200
 KGRAM = 32
-GROUP_BYTES = 24 << 20
-BUCKET_BYTES = 48 << 20
+GROUP_BYTES = 16 << 20
+BUCKET_BYTES = 24 << 20
 SHARD = 1 << 20
 HOT = 2000
 

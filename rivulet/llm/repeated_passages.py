@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame, functions as F
 from rivulet.llm._text import U64, WORD_BASE, Words, chunks, covered, mix, powers, separators
 
 WINDOW = 50
-GROUP_BYTES = 24 << 20
-BUCKET_BYTES = 48 << 20
+GROUP_BYTES = 16 << 20
+BUCKET_BYTES = 24 << 20
 NO_ID = np.iinfo(np.int64).max
 
 
