@@ -1,0 +1,223 @@
+"""Fingerprints, language, quality, chat formatting: independent versions,
+held-out accuracy and round trips."""
+
+import hashlib
+import json
+import random
+import re
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from rivulet.llm import language, order_minhash, preferences, quality
+
+from .conftest import corpus
+
+SF = "/root/testdata/sf0.01"
+
+
+def xx(*parts):
+    seed = 42
+    for p in parts:
+        if p is not None:
+            data = p.encode() if isinstance(p, str) else (p & (2**64 - 1)).to_bytes(8 if not isinstance(p, Int) else 4, "little")
+            seed = xxhash.xxh64_intdigest(data, seed)
+    return seed
+
+
+class Int(int):
+    """A 4-byte number."""
+
+
+def brute_fingerprint(text, k=3, ell=2, bins=64):
+    words = [xx(w) for w in re.split(r"[ \t\n\x0b\f\r]+", text or "") if w]
+    if not words:
+        return []
+    mers = [xx(*words[i: i + k]) for i in range(max(1, len(words) - k + 1))]
+    cut = lambda h: h >> 28
+    signed = lambda h: h - (1 << 36) if h >= 1 << 35 else h
+    nth, seen = [], {}
+    for m in mers:
+        nth.append(seen.get(cut(m), 0))
+        seen[cut(m)] = nth[-1] + 1
+    marked = sorted((signed(cut(xx(m, Int(n)))), i) for i, (m, n) in enumerate(zip(mers, nth)))
+    out = {}
+    for h, i in marked:
+        out.setdefault((h % (1 << 36)) >> (36 - (bins.bit_length() - 1)), []).append(i)
+    return sorted((b << 32) | (xx(*[mers[i] for i in sorted(at[:ell])]) & 0xFFFFFFFF) for b, at in out.items())
+
+
+def brute_edit(table):
+    order = sorted((r for r in table if r[0] is not None), key=lambda r: (-r[0], r[1] is not None, r[1] or ""))
+    order += sorted((r for r in table if r[0] is None), key=lambda r: r[1] or "")
+    texts = [r[1] or "" for r in order]
+    out = []
+    for n, r in enumerate(order):
+        t, following = texts[n], texts[(n + 1) % len(texts)]
+        half = len(t) // 2
+        out.append((r[0], t, t[: len(t) - half] + following[:half], following))
+    return out
+
+
+def test_fingerprints(docs, crowded):
+    repeated = " ".join(["again and"] * 40)
+    for text in (repeated, "one", "a b", "a b c", corpus()[0][1]):
+        got = docs.limit(1).select(order_minhash.fingerprint(F.lit(text)).alias("f")).first().f
+        assert sorted(got) == brute_fingerprint(text)
+    want = sorted(((i, t, e, brute_fingerprint(t), brute_fingerprint(e), brute_fingerprint(f)) for i, t, e, f in brute_edit(corpus())), key=str)
+    for table in (docs, crowded):
+        rows = order_minhash.compare_edits(table).collect()
+        got = sorted(((r.doc_id, r.text, r.edited, sorted(r.entries), sorted(r.edited_entries), sorted(r.next_entries))
+                      for r in rows), key=str)
+        assert got == want
+
+
+def test_likeness(spark):
+    r = random.Random(2)
+    words = ["".join(r.choices("abcdefgh", k=5)) for _ in range(300)]
+    near = list(words)
+    near[100] = "changed"
+    moved = words[150:] + words[:150]
+    turned = [w for i in range(0, 300, 3) for w in reversed(words[i: i + 3])]
+    texts = [" ".join(w) for w in (words, words, near, moved, turned)] + ["", "", "x"]
+    df = spark.createDataFrame([(a, b) for a in texts for b in texts], "a string, b string").select(
+        "a", "b", order_minhash.likeness(order_minhash.fingerprint(F.col("a")), order_minhash.fingerprint(F.col("b"))).alias("s"))
+    s = {(r.a, r.b): r.s for r in df.collect()}
+    base = texts[0]
+    assert s[base, base] == 1 and 0.8 < s[base, texts[2]] < 1
+    assert s[base, texts[3]] < s[base, texts[2]]      # same k-mers, other order
+    assert s[base, texts[4]] == 0
+    assert s["", ""] == 1 and s["", "x"] == 0
+
+
+def test_order_minhash_is_native(docs):
+    plan = order_minhash.compare_edits(docs)._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+@pytest.fixture(scope="module")
+def real(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def test_language_held_out(real):
+    held = language.held_out()
+    model = language.fit(real, ~held)
+    got = language.identify(real, model).join(real.select("doc_id", "lang"), "doc_id").where(held)
+    n = got.count()
+    assert n > 150 and got.where("lang_pred = lang").count() >= 0.99 * n
+    assert got.where("score < 0 or score > 1").count() == 0
+
+
+def test_language_edges(docs, crowded, empty):
+    model = language.fit(docs)
+    assert model.languages == ["de", "en"]
+    for table in (docs, crowded):
+        got = {r.doc_id: r for r in language.identify(table, model).collect()}
+        for i, t, *_ in corpus():
+            if i is not None:
+                assert (got[i].lang_pred == "und") == (not any(c.isalpha() for c in t or "")), t
+                assert got[i].lang_pred != "und" or got[i].score == 0
+    kept = language.keep_identified(crowded, model)
+    assert kept.columns == crowded.columns
+    assert kept.count() == sum(any(c.isalpha() for c in t or "") for _, t, *_ in corpus())
+    one = language.fit(docs, F.col("lang") == "en")
+    assert {tuple(r) for r in language.identify(docs, one).select("lang_pred", "score").distinct().collect()} == {("en", 1.0), ("und", 0.0)}
+    none = language.fit(empty)
+    assert language.identify(docs, none).where("lang_pred <> 'und'").count() == 0
+    assert language.identify(empty, model).count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 5, 6, 20, 64])
+def test_codewords(n):
+    code = language.codewords(n)
+    assert code.shape[0] == n and set(code.reshape(-1)) == {-1, 1}
+    least = min((code[a] != code[b]).sum() for a in range(n) for b in range(a))
+    assert least >= (1 if n == 2 else 2 if n == 3 else 4)
+    assert ((code == 1).any(axis=0) & (code == -1).any(axis=0)).all()
+
+
+def test_quality_held_out(spark, real):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = quality.classify(docs, labels.where("doc_id % 4 <> 0")).join(labels.withColumnsRenamed({"quality": "q", "toxic": "t"}), "doc_id").where("doc_id % 4 = 0")
+    n = got.count()
+    right = got.where("kept = (q = 1 and t = 0)").count()
+    assert n > 800 and right >= 0.95 * n
+
+
+def test_quality_shrinks(spark):
+    rows = [(i, "h1" if i < 200 else "h2" if i < 202 else f"h{i}", "p", 0.9 if i < 202 else 0.1) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, host string, path string, p double")
+    got = {r.host: r for r in quality.shrink(df, "p", "host", "path", "post").collect()}
+    assert got["h1"].post_host > got["h2"].post_host       # as good, but sparse
+    assert got["h2"].post > 0.5 > got["h300"].post
+
+
+def test_quality_edges(spark, docs, crowded, empty):
+    labels = spark.createDataFrame(
+        [(0, 1, 0), (3, 1, 0), (6, 0, 0), (9, 1, 1), (None, 1, 0), (12, None, 0), (99999, 0, 0)], "doc_id long, quality int, toxic int")
+    for table in (docs, crowded):
+        got = quality.classify(table, labels)
+        assert got.count() == len(corpus())
+        assert got.where("quality is null or quality < 0 or quality > 1 or toxicity is null or kept is null").count() == 0
+    assert quality.classify(empty, labels).count() == 0
+    blank = quality.classify(docs, labels.limit(0))
+    assert blank.where("abs(quality - 0.5) > 1e-9").count() == 0
+
+
+CHATS = [
+    (1, [("user", "hi"), ("assistant", "yes <|end|>")]), (2, [("user", "hi"), ("assistant", "no"), ("user", "ok")]),
+    (3, [("user", "hi"), ("assistant", "no")]), (4, [("system", "be"), ("user", "q"), ("assistant", "a"), ("user", "r"), ("assistant", "b")]),
+    (5, [("system", "be"), ("user", "q"), ("assistant", "a"), ("user", "r"), ("assistant", "c")]),
+    (6, [("assistant", "alone")]), (7, [(None, None), ("assistant", "")]), (8, [("user", ""), ("assistant", "")]),
+    (9, [("user", "hi"), ("assistant", "no")]), (10, [("user", "w " * 3000)]),
+]
+
+
+def brute_pairs(chats):
+    chats = [(i, [(r or "user", t or "") for r, t in turns]) for i, turns in chats]
+    groups = {}
+    for i, turns in sorted(chats):
+        users = [k for k, (r, _) in enumerate(turns) if r == "user"]
+        groups.setdefault(json.dumps(turns[: users[0] + 1 if users else None]), []).append((i, turns))
+    show = lambda r, t: (f"<|{r}|>\n", t.replace("<|", "< |") + "<|end|>\n")
+    out = []
+    for members in groups.values():
+        for (a, x), (b, y) in zip(members[::2], members[1::2]):
+            n = 0
+            while n < min(len(x), len(y)) and x[n] == y[n]:
+                n += 1
+            row = [a, b, n, "".join("".join(show(*t)) for t in x[:n])]
+            for rest in (x[n:], y[n:]):
+                row += ["".join("".join(show(*t)) for t in rest),
+                        [p for r, t in rest for p in ((len(show(r, t)[0]), 0), (len(show(r, t)[1]), int(r == "assistant")))]]
+            out.append(tuple(row))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("piece", [100_000, 2])
+def test_preferences(spark, piece):
+    rows = [(i, k, r, t, "x", "y") for i, turns in CHATS for k, (r, t) in enumerate(turns)]
+    random.Random(1).shuffle(rows)
+    rows += [(None, 0, "user", "hi", "x", "y")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, turns string, pair string")
+    got = preferences.format_pairs(preferences.pair_by_opening(preferences.conversations(turns), piece))
+    assert not re.search("Python|Arrow|Pandas", got._jdf.queryExecution().toString())
+    got = sorted(((r.conv_id, r.rejected_id, r.n_prompt_turns, r.prompt, r.chosen, [tuple(m) for m in r.chosen_mask],
+                   r.rejected, [tuple(m) for m in r.rejected_mask]) for r in got.collect()), key=str)
+    assert got == brute_pairs(CHATS)
+    assert preferences.format_pairs(preferences.pair_by_opening(preferences.conversations(turns.limit(0)))).count() == 0
+
+
+def test_repeated_turns(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, "user", "b")],
+                                  "conv_id long, turn long, role string, text string")
+    r = preferences.format_pairs(preferences.pair_by_opening(preferences.conversations(turns))).first()
+    assert (r.n_prompt_turns, r.chosen, r.rejected) == (1, "<|user|>\na<|end|>\n", "<|user|>\nb<|end|>\n")
+
+
+def test_edited_digest(spark, docs):
+    e = order_minhash.compare_edits(docs).select("edited", F.sha2("edited", 256).alias("h")).collect()
+    assert all(hashlib.sha256(r.edited.encode()).hexdigest() == r.h for r in e)
