@@ -4,7 +4,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from rivulet.plans.catalogue import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["customer", "orders", "events", "documents"]
@@ -28,26 +29,26 @@ def _norm(df):
     return sorted(rows)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    got = queries()[name](spark, SF).toPandas()
-    want = con.execute(oracle_sql()[name]).df()
+    got = QUERIES[name](spark, SF).toPandas()
+    want = con.execute(ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert _norm(got) == _norm(want)
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_runs(spark):
     assert entry(spark).count() >= 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_stays_jvm_side(spark, name, capsys):
     capsys.readouterr()
-    queries()[name](spark, SF).explain("formatted")
+    QUERIES[name](spark, SF).explain("formatted")
     plan = capsys.readouterr().out
     for op in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
