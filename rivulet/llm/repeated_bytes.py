@@ -62,24 +62,47 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def transform(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the rotations by their first ``depth`` symbols at least (prefix
-    doubling) and the Burrows-Wheeler transform.  Symbols are below 2**16."""
+    """Order of the rotations by their first ``depth`` symbols at least, and
+    the Burrows-Wheeler transform.  Prefix doubling: a rank is the place of a
+    group of rotations that agree so far, and only such groups are sorted on."""
     n = len(symbols)
+    used = np.unique(symbols)
+    code = np.searchsorted(used, symbols).astype(U64)
+    bits = max(1, int(len(used) - 1).bit_length())
+    reach = 64 // bits
     key = np.zeros(n, U64)
-    for j in range(4):
-        key = (key << U64(16)) | np.roll(symbols, -j).astype(U64)
-    reach = 4
+    for j in range(reach):
+        key = (key << U64(bits)) | np.roll(code, -j)
+    order = np.argsort(key)
+    place, s = np.arange(n), key[order]
+    rank = np.empty(n, U64)
     while True:
-        order = np.argsort(key)
-        s = key[order]
-        new = np.ones(n, bool)
+        new = np.ones(len(s), bool)
         new[1:] = s[1:] != s[:-1]
-        if reach >= depth or new.all():
-            return order, symbols[order - 1]
-        rank = np.empty(n, U64)
-        rank[order] = np.cumsum(new).astype(U64)
-        key = (rank << U64(32)) | np.roll(rank, -reach)
+        at = np.flatnonzero(new)
+        size = np.diff(np.append(at, len(s)))
+        rank[order[place]] = np.repeat(place[at], size).astype(U64)
+        if reach >= depth:
+            break
+        place = place[np.repeat(size > 1, size)]
+        if not len(place):
+            break
+        tied = order[place]
+        key = (rank[tied] << U64(32)) | rank[(tied + reach) % n]
+        by = np.argsort(key)
+        order[place] = tied[by]
+        s = key[by]
         reach *= 2
+    return order, symbols[order - 1]
+
+
+def _ascending(x: np.ndarray, n: int) -> np.ndarray:
+    """Sort distinct numbers below n."""
+    if len(x) < n >> 6:
+        return np.sort(x)
+    mark = np.zeros(n, bool)
+    mark[x] = True
+    return np.flatnonzero(mark)
 
 
 def long_boundaries(bwt: np.ndarray, length: int) -> np.ndarray:
@@ -87,26 +110,29 @@ def long_boundaries(bwt: np.ndarray, length: int) -> np.ndarray:
     by interval expansion; entry i is between suffixes i - 1 and i."""
     n = len(bwt)
     by_symbol = np.argsort(bwt, kind="stable")
-    step = np.empty(n, np.int64)              # where the suffix one symbol longer stands
-    step[by_symbol] = np.arange(n)
+    step = np.empty(n, np.int32)              # where the suffix one symbol longer stands
+    step[by_symbol] = np.arange(n, dtype=np.int32)
     same = bwt[by_symbol[1:]] == bwt[by_symbol[:-1]]
-    after = np.full(n, n)                     # next and previous place of the same symbol
+    after = np.full(n, n, np.int32)           # next and previous place of the same symbol
     after[by_symbol[:-1][same]] = by_symbol[1:][same]
-    before = np.full(n, -1)
+    before = np.full(n, -1, np.int32)
     before[by_symbol[1:][same]] = by_symbol[:-1][same]
     unset = np.ones(n + 1, bool)
     unset[0] = unset[n] = False
-    lo, hi = np.zeros(1, np.int64), np.full(1, n, np.int64)
+    lo, hi = np.zeros(1, np.int32), np.full(1, n, np.int32)
     for _ in range(length):
         if not len(lo):
             break
-        at, owner = expand(lo, hi)
-        first = before[at] < lo[owner]
-        last = after[at] >= hi[owner]
-        left = np.sort(step[at[first]])
-        right = np.sort(step[at[last]]) + 1
+        if (hi - lo == 1).all():
+            left = _ascending(step[lo], n)
+            right = left + 1
+        else:
+            size = hi - lo
+            at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum(), dtype=np.int32)
+            left = _ascending(step[at[before[at] < np.repeat(lo, size)]], n)
+            right = _ascending(step[at[after[at] >= np.repeat(hi, size)]], n) + 1
         new = unset[right]
-        lo, hi = left[new], right[new]
+        lo, hi = left[new].astype(np.int32), right[new].astype(np.int32)
         unset[hi] = False
     return unset
 
