@@ -93,11 +93,11 @@ WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
              CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w
       FROM d GROUP BY source),
-f AS (SELECT *, coalesce(sum(3 * source_size) OVER o, 0) AS full, coalesce(sum(w) OVER o, 0) AS used,
+f AS (SELECT *, coalesce(sum(3 * source_size) OVER o, 0) AS capped, coalesce(sum(w) OVER o, 0) AS used,
              sum(source_size) OVER () AS total, sum(w) OVER () AS weights
       FROM s WINDOW o AS (ORDER BY 3.0 * source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-l AS (SELECT min_by(CAST(total - full AS DOUBLE) / CAST(weights - used AS DOUBLE), 3.0 * source_size / w) AS share
-      FROM f WHERE w * (CAST(total - full AS DOUBLE) / CAST(weights - used AS DOUBLE)) <= 3 * source_size),
+l AS (SELECT min_by(CAST(total - capped AS DOUBLE) / CAST(weights - used AS DOUBLE), 3.0 * source_size / w) AS share
+      FROM f WHERE w * (CAST(total - capped AS DOUBLE) / CAST(weights - used AS DOUBLE)) <= 3 * source_size),
 t AS (SELECT source, source_size, CASE WHEN w * share > 3 * source_size THEN CAST(3 * source_size AS DOUBLE) ELSE w * share END AS target FROM s, l),
 q AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS quota FROM t),
 c AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY draw, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d)
