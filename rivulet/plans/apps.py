@@ -8,6 +8,8 @@ forms are the Structured Streaming plans (see each function).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from rivulet.operators import (combine_orders, enrich_asof, enrich_latest, inter
                                table_order_changelog, table_snapshot, tumbling_sum_final,
                                tumbling_sum_updates, with_event_time)
 from rivulet.operators.stateless import hello_values
+from rivulet.streaming.sinks import running_sum_writer, window_writer
 from rivulet.streaming.stateful import running_sum_stream, tumbling_sum_stream
 
 # Parameters of the applications.
@@ -53,7 +56,8 @@ def _orders(topic: DataFrame) -> DataFrame:
 def aggregate_app(orders: DataFrame) -> DataFrame:
     """Running total of price per key: one output per input record.
 
-    Stream form: exact per-record totals with state per key (append mode).
+    Stream form: exact per-record totals with state per key (append mode);
+    ``aggregate_app_writer`` also splits hot keys inside a micro-batch.
     """
     o = _orders(orders)
     if o.isStreaming:
@@ -68,7 +72,8 @@ def windows_app(orders: DataFrame, size: str = WINDOW_SIZE, grace: str = WINDOW_
     dropped per partition; the window key is turned back into the plain key.
 
     Stream form: per-record lateness, then the watermarked window aggregate;
-    start it in ``append`` mode.
+    start it in ``append`` mode.  The watermark is one for all partitions: for
+    a topic with several, use ``windows_app_writer``.
     """
     o = _orders(orders)
     if o.isStreaming:
@@ -83,7 +88,8 @@ def windows_app(orders: DataFrame, size: str = WINDOW_SIZE, grace: str = WINDOW_
 def time_app(orders: DataFrame, size: str = WINDOW_SIZE) -> DataFrame:
     """Window sums on event time taken from the payload, no grace, every
     update emitted.  Stream form: start it in ``update`` mode (one update
-    per key and window per micro-batch)."""
+    per key and window per micro-batch); for every record's update, and for a
+    topic with several partitions, use ``time_app_writer``."""
     o = with_event_time(_orders(orders), "time", "event_time")
     if o.isStreaming:
         return tumbling_sum_stream(o, "key", "event_time", "price", size, "0 seconds",
@@ -93,6 +99,27 @@ def time_app(orders: DataFrame, size: str = WINDOW_SIZE) -> DataFrame:
                                 out="total").select("offset", "key", "window_start", "total")
 
 
+def aggregate_app_writer(out_path: str, state_path: str, **kw) -> Callable[[DataFrame, int], None]:
+    """``aggregate_app`` as a ``foreachBatch`` sink: hot keys are split."""
+    fn = running_sum_writer(out_path, state_path, "key", value="price", out="total", **kw)
+    return lambda batch, batch_id: fn(_orders(batch), batch_id)
+
+
+def windows_app_writer(out_path: str, state_path: str, size: str = WINDOW_SIZE, grace: str = WINDOW_GRACE,
+                       **kw) -> Callable[[DataFrame, int], None]:
+    """``windows_app`` as a ``foreachBatch`` sink: the batch form's windows on
+    any number of partitions, and hot partitions are split."""
+    fn = window_writer(out_path, state_path, "key", "timestamp", "price", size, grace, emit="final", **kw)
+    return lambda batch, batch_id: fn(_orders(batch), batch_id)
+
+
+def time_app_writer(out_path: str, state_path: str, size: str = WINDOW_SIZE, **kw
+                    ) -> Callable[[DataFrame, int], None]:
+    """``time_app`` as a ``foreachBatch`` sink: one update per accepted record."""
+    fn = window_writer(out_path, state_path, "key", "event_time", "price", size, "0 seconds", emit="updates", **kw)
+    return lambda batch, batch_id: fn(with_event_time(_orders(batch), "time", "event_time"), batch_id)
+
+
 def join_app(appliance: DataFrame, electronic: DataFrame, users: DataFrame,
              within: str = JOIN_WINDOW, lookup: str = "latest",
              clock: Column | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from rivulet.streaming.sinks import (changelog_writer, compact_table, enrich_aso
                                      error_budget_writer, fold_writer, mark_late_writer,
                                      materialize_table,
                                      read_table,
-                                     running_sum_writer, write_batch)
+                                     running_sum_writer, window_writer, write_batch)
 from rivulet.streaming.stateful import (enrich_asof_stream, fold_by_key_stream,
                                         mark_late_stream, running_sum_stream,
                                         tumbling_sum_stream)

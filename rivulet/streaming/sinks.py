@@ -13,6 +13,8 @@ first attempt wrote instead of adding to it.
   ``enrich_asof_writer`` -- per-key stream state kept as such a table, and
   each micro-batch computed with the batch operator, so hot keys are split
   within a micro-batch.  A batch reads only state from earlier batches.
+* ``window_writer`` -- tumbling sums, final or every update, with every topic
+  partition on its own clock (no watermark).
 * ``error_budget_writer`` -- quarantine and a bad-record budget across
   restarts.
 """
@@ -274,6 +276,79 @@ def mark_late_writer(out_path: str, state_path: str, ts: str = "timestamp",
     return fn
 
 
+def window_writer(out_path: str, state_path: str, key: str = "key", ts: str = "timestamp",
+                  value: str = "value", size: str = "10 seconds", grace: str = "0 seconds",
+                  partition: str = "partition", order: tuple[str, ...] = ("offset",),
+                  out: str = "total", emit: str = "final", rows_per_chunk: int | None = None
+                  ) -> Callable[[DataFrame, int], None]:
+    """Tumbling sums on a stream with every topic partition on its own clock.
+
+    No watermark is involved: a record is late, and a window closes, by the
+    stream time of its own partition, as in the batch operators, however far
+    another partition has run ahead.  ``emit='final'`` writes a window's sum
+    once its partition has closed it; ``emit='updates'`` writes every accepted
+    record with the running sum of its window.
+
+    State after a batch: the clock of each partition, and the sums of windows
+    that are still open, each written whole to the batch's own folder; a batch
+    reads the folder of the batch before it and nothing older.  Closed windows
+    leave the state, so it is as large as the open windows.
+    """
+    from rivulet.functions.time import interval
+    from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK, running
+    from rivulet.operators.windows import stream_time, window_start
+
+    if emit not in ("final", "updates"):
+        raise ValueError("emit is 'final' or 'updates'")
+    rpc = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
+    groups = [partition, key, "window_start"]
+    ends = interval(size) + interval(grace)
+
+    def earlier(spark: SparkSession, part: str, batch_id: int, schema: T.StructType) -> DataFrame:
+        if batch_id == 0:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(_batch_dir(f"{state_path}/{part}", batch_id - 1))
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        d = batch.persist()
+        try:
+            types = {c: d.schema[c].dataType for c in (partition, key, ts)}
+            clock = earlier(spark, "clock", batch_id, T.StructType([
+                T.StructField(partition, types[partition]), T.StructField("__clock", types[ts])]))
+            sums = earlier(spark, "open", batch_id, T.StructType([
+                T.StructField(partition, types[partition]), T.StructField(key, types[key]),
+                T.StructField("window_start", types[ts]), T.StructField("__sum", T.DoubleType())]))
+            # one row per topic partition: bounded by the partition count
+            timed = stream_time(d, partition, list(order), ts, "__st", rows_per_chunk=rpc)
+            timed = timed.join(F.broadcast(clock), partition, "left").withColumn(
+                "__st", F.greatest("__st", "__clock")).drop("__clock")
+            timed = timed.withColumn("window_start", window_start(ts, size))
+            now = (timed.select(partition, F.col("__st").alias("__clock")).unionByName(clock)
+                   .groupBy(partition).agg(F.max("__clock").alias("__clock")))
+            write_batch(now, f"{state_path}/clock", batch_id)
+            now = spark.read.schema(clock.schema).parquet(_batch_dir(f"{state_path}/clock", batch_id))
+            kept = timed.filter((F.col("window_start") + ends > F.col("__st"))
+                                & F.col(key).isNotNull() & F.col(value).isNotNull()).drop("__st")
+            added = kept.groupBy(*groups).agg(F.sum(value).cast("double").alias("__sum"))
+            total = sums.unionByName(added).groupBy(*groups).agg(F.sum("__sum").alias("__sum"))
+            closed = F.col("window_start") + ends <= F.col("__clock")
+            judged = total.join(F.broadcast(now), partition)
+            if emit == "final":
+                write_batch(judged.filter(closed).select(
+                    key, "window_start", F.col("__sum").alias(out)), out_path, batch_id)
+            else:
+                before = sums.groupBy(key, "window_start").agg(F.sum("__sum").alias("__prior"))
+                run = running(kept, [key, "window_start"], list(order), value, "sum", out, rows_per_chunk=rpc)
+                run = run.join(before, [key, "window_start"], "left")
+                write_batch(run.withColumn(out, F.col(out) + F.coalesce("__prior", F.lit(0.0)))
+                            .drop("__prior"), out_path, batch_id)
+            write_batch(judged.filter(~closed).drop("__clock"), f"{state_path}/open", batch_id)
+        finally:
+            d.unpersist()
+    return fn
+
+
 def fold_writer(out_path: str, state_path: str, key: str = "key",
                 order: tuple[str, ...] = ("offset",), value: str = "value",
                 out: str = "folded", init: float = 0.0, decay: float = 1.0,

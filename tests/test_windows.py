@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,8 @@ from pyspark.sql import functions as F
 from rivulet.operators import late_records, mark_late, tumbling_sum, with_event_time
 from rivulet.plans.apps import time_app, windows_app
 from rivulet.streaming import run_stream
-from tests.fixtures import T0, late_loader, topic, windows_loader, write_files
+from rivulet.sources.schemas import ELECTRONIC_ORDER
+from tests.fixtures import T0, _write_in_order, late_loader, topic, windows_loader, write_files
 
 
 def _totals(rows):
@@ -142,3 +144,35 @@ def test_stream_time_column_is_zone_independent(spark, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     got = {r["offset"]: r["st"] - T0 for r in rows}
     assert got == {0: 0, 1: 14999, 2: 14999, 3: 15000, 4: 15000, 5: 40000, 6: 90000}
+
+
+def _lagging(spark):
+    """Two partitions; partition 1 arrives batches after partition 0 has gone
+    far ahead, with records that are on time by its own clock."""
+    def record(p, off, sec, key, price):
+        return (p, off, T0 + sec * 1000, key, (None, None, None, price, T0 + sec * 1000))
+
+    return [[record(0, 0, 1, "a", 1.0), record(1, 0, 2, "b", 3.0)], [record(0, 1, 40, "a", 2.0)], [record(0, 2, 102, "a", 5.0)],
+            [record(1, 1, 3, "b", 4.0), record(1, 2, 12, "b", 8.0)], [record(1, 3, 1, "b", 16.0), record(1, 4, 60, "b", 32.0)],
+            [record(0, 3, 50, "a", 64.0), record(1, 5, 130, None, 1.0)]]
+
+
+@pytest.mark.parametrize("rows_per_chunk", [None, 2])
+def test_partitions_close_their_own_windows_on_a_stream(spark, tmp_path, rows_per_chunk):
+    from rivulet.plans.apps import time_app_writer, windows_app_writer
+
+    batches = _lagging(spark)
+    whole = topic(spark, [r for b in batches for r in b], value_type=ELECTRONIC_ORDER.struct)
+    folders = str(tmp_path / "in")
+    os.makedirs(folders)
+    for i, b in enumerate(batches):
+        _write_in_order(topic(spark, b, value_type=ELECTRONIC_ORDER.struct).toArrow(), f"{folders}/{i}.parquet", i)
+    for name, app, writer, cols in (("final", windows_app, windows_app_writer, ["key", "window_start", "total"]),
+                                    ("updates", time_app, time_app_writer, ["offset", "key", "window_start", "total"])):
+        s = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(folders)
+        out = str(tmp_path / name)
+        run_stream(s, f"lag_{name}_{rows_per_chunk}", checkpoint=str(tmp_path / f"ckpt_{name}"),
+                   foreach_batch=writer(out, str(tmp_path / f"state_{name}"), rows_per_chunk=rows_per_chunk))
+        got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
+        want = sorted(tuple(r) for r in app(whole).select(*cols).collect())
+        assert got == want and len(got) >= 4
