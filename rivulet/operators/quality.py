@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,22 +56,31 @@ def quarantine_non_numeric(df: DataFrame, marker: str = "order-", col: str = "va
         "order_number", after_first_dash(col))
 
 
-def error_budget(df: DataFrame, is_bad: Column, order: str = "offset",
+def error_budget(df: DataFrame, is_bad: Column, order: str | Sequence[str] = "offset",
                  budget: int = DEFAULT_ERROR_BUDGET) -> DataFrame:
-    """What a run with a bad-record budget processes, in batch.
+    """What a run with a bad-record budget does with each record, in batch.
 
     Bad records are skipped while at most ``budget`` have been seen; the
-    next one fails the run, so nothing at or after it is processed.  Adds
-    ``status`` ('ok' or 'skipped').  The cut is found with a distributed
-    top-k over the bad records only (``budget + 1`` rows reach the driver)
-    and applied as a plain filter on ``order``.
+    next one fails the run.  No row is dropped: ``status`` is ``ok`` or
+    ``skipped`` before the cut, ``failed`` for the record that fails the run
+    and ``unprocessed`` after it.  ``order`` is the arrival order; when only
+    ``offset`` is given and the records have a ``partition``, partitions are
+    read in step (offset, then partition), since offsets repeat over them.
+    The cut is a distributed top-k over the bad records only (``budget + 1``
+    rows reach the driver).
     """
-    d = df.withColumn("__bad", F.coalesce(is_bad, F.lit(False)))
-    first_bad = (d.filter("__bad").select(order).orderBy(order)
-                 .limit(budget + 1).collect())
-    if len(first_bad) > budget:
-        d = d.filter(F.col(order) < F.lit(first_bad[budget][0]))
-    return d.withColumn("status", F.when(F.col("__bad"), "skipped").otherwise("ok")).drop("__bad")
+    names = [order] if isinstance(order, str) else list(order)
+    if names == ["offset"] and "partition" in df.columns:
+        names.append("partition")
+    bad = F.coalesce(is_bad, F.lit(False))
+    first = df.filter(bad).select(*names).orderBy(*names).limit(budget + 1).collect()
+    before = F.when(bad, "skipped").otherwise("ok")
+    if len(first) <= budget:
+        return df.withColumn("status", before)
+    here = F.struct(*[F.col(n) for n in names])
+    cut = F.struct(*[F.lit(v).alias(n) for n, v in zip(names, first[budget])])
+    return df.withColumn("status", F.when(here < cut, before)
+                         .when((here == cut) & bad, "failed").otherwise("unprocessed"))
 
 
 def check_error_budget(bad_so_far: int, budget: int = DEFAULT_ERROR_BUDGET) -> None:

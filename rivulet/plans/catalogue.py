@@ -88,8 +88,10 @@ WITH {SQL_TXT},
 t AS (SELECT *, (value IS NOT NULL AND {_PARSED_AFTER} IS NULL) AS bad FROM txt),
 r AS (SELECT *, SUM(CASE WHEN bad THEN 1 ELSE 0 END) OVER (
         ORDER BY off ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nbad FROM t)
-SELECT off, key, value, CASE WHEN bad THEN 'skipped' ELSE 'ok' END AS status
-FROM r WHERE nbad <= {BUDGET}""", ("orders",))
+SELECT off, key, value, CASE WHEN nbad > {BUDGET} THEN
+         CASE WHEN bad AND nbad = {BUDGET} + 1 THEN 'failed' ELSE 'unprocessed' END
+       WHEN bad THEN 'skipped' ELSE 'ok' END AS status
+FROM r""", ("orders",))
 def error_budget_q(spark, sf_dir):
     t = order_text_topic(spark, sf_dir)
     bad = F.col("value").isNotNull() & parse_long(after_first_dash("value")).isNull()

@@ -24,9 +24,10 @@ def test_budget_batch_cut_at_26th_bad(spark):
     assert bad.count() == 30
     flagged = t.withColumn("bad", F.col("value").startswith("{bad"))
     out = error_budget(flagged, F.col("bad"), "offset", 25)
-    skipped = out.filter("status = 'skipped'").count()
-    assert skipped == 25
-    assert out.agg(F.max("offset")).first()[0] == 25 * 3 - 1  # just before the 26th bad
+    n = {r["status"]: r["count"] for r in out.groupBy("status").count().collect()}
+    cut = 25 * 3   # offset of the 26th bad record
+    assert n == {"ok": 50, "skipped": 25, "failed": 1, "unprocessed": t.count() - cut - 1}
+    assert out.filter("status = 'failed'").first()["offset"] == cut
     with pytest.raises(ErrorBudgetExceeded):
         check_error_budget(26)
     check_error_budget(25)
@@ -66,3 +67,14 @@ def test_split_oversize(spark):
     assert sorted(r["n_bytes"] for r in ok.collect()) == [10]
     assert sorted(r["n_bytes"] for r in big.collect()) == [20, 30]
     assert isinstance(big.schema["n_bytes"].dataType, T.IntegerType)
+
+
+def test_budget_with_repeated_offsets_over_partitions(spark):
+    """Partitions are read in step; no row of another partition vanishes."""
+    rows = [(0, 0, 0, "k", "{bad"), (0, 1, 1, "k", "{bad"), (0, 2, 2, "k", "{bad"),
+            (1, 0, 0, "k", "a"), (1, 1, 1, "k", "b"), (1, 2, 2, "k", "c"), (1, 3, 3, "k", "d")]
+    t = topic(spark, rows)
+    out = error_budget(t, F.col("value").startswith("{bad"), "offset", 2)
+    got = {(r["partition"], r["offset"]): r["status"] for r in out.collect()}
+    assert got == {(0, 0): "skipped", (1, 0): "ok", (0, 1): "skipped", (1, 1): "ok", (0, 2): "failed",
+                   (1, 2): "unprocessed", (1, 3): "unprocessed"}
