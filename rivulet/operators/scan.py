@@ -7,14 +7,17 @@ more than ``rows_per_chunk`` rows -- into chunks along the ordering column:
 
 1. one partial aggregate counts rows per key and takes each key's order
    range; keys over the limit get a chunk width that gives about
-   ``rows_per_chunk`` rows per chunk.  At most ``rows / rows_per_chunk``
-   keys can be over the limit, which bounds the broadcast of their widths;
+   ``rows_per_chunk`` rows per chunk.  The keys over the limit are listed
+   once; up to ``MAX_BROADCAST_KEYS`` are broadcast, more are joined by
+   shuffle;
 2. the window runs per ``(key, chunk)`` -- every other key is one chunk and
    costs exactly the plain window;
 3. one total per hot chunk (a partial aggregate over the hot rows) and a
    small window over those totals give each chunk the carry of the chunks
-   before it, joined back by broadcast (again at most ``rows /
-   rows_per_chunk`` rows).
+   before it, joined back on (key, chunk), the window's own partitioning.
+
+Whether a key is hot changes the plan, not the rows; only plain-double sums
+may differ in their last digits.
 
 ``chunk_by_range`` gives explicit equal-width chunks for every key instead
 (used in tests, or when the caller knows the data).
@@ -34,6 +37,9 @@ from rivulet.functions.time import local_time_to_micros
 # Rows one task is meant to hold for one key: keys above it are split.
 DEFAULT_ROWS_PER_CHUNK = 1 << 20
 
+# The most hot keys whose ranges are broadcast (a few numbers per key).
+MAX_BROADCAST_KEYS = 10_000
+
 _CHUNK = "__chunk"
 _HOT = "__hot"
 _LOCAL = "__local"
@@ -93,12 +99,19 @@ def with_hot_key_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
         / F.col("__n")).cast("long"))
     hot = stats.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)],
                        F.col("__lo").alias("__hlo"), width.alias("__hw"))
-    # at most rows / rows_per_chunk keys pass the filter: a bounded broadcast
+    # Taken once, here: mostly no key is hot, and then the plan has no join,
+    # no totals and no carries at all.  A list of checked size is broadcast;
+    # a longer one is joined by shuffle, where AQE splits the hot keys.
+    found = hot.limit(MAX_BROADCAST_KEYS + 1).collect()
+    if not found:
+        return df.withColumn(_CHUNK, F.lit(0).cast("long")).withColumn(_HOT, F.lit(False))
+    if len(found) <= MAX_BROADCAST_KEYS:
+        hot = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
     cond = None
     for i, k in enumerate(keys):
         c = F.col(k) == F.col(f"__hk{i}")
         cond = c if cond is None else cond & c
-    d = df.join(F.broadcast(hot), cond, "left")
+    d = df.join(hot, cond, "left")
     chunk = F.when(F.col("__hw").isNull(), F.lit(0).cast("long")).otherwise(
         F.floor((o - F.col("__hlo")) / F.col("__hw")).cast("long"))
     return (d.withColumn(_CHUNK, chunk).withColumn(_HOT, F.col("__hw").isNotNull())
@@ -128,7 +141,6 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
         if not isinstance(order[0], str):
             raise ValueError("hot-key splitting needs the first order column by name")
         d = with_hot_key_chunks(df, keys, order[0], rows_per_chunk, stats_from)
-        bounded = True
     else:
         # Rows with a null key form one group that is not split (it has no
         # carry), so the join below can use plain equality: a null-safe join
@@ -138,7 +150,6 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
             has_key = has_key & F.col(k).isNotNull()
         d = (df.withColumn(_CHUNK, F.when(has_key, chunk).otherwise(F.lit(0).cast("long")))
              .withColumn(_HOT, has_key))
-        bounded = False
     w_local = (Window.partitionBy(*keys, _CHUNK).orderBy(*order_cols)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     w_carry = (Window.partitionBy(*keys).orderBy(_CHUNK)
@@ -169,9 +180,6 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                .filter(F.col(_CARRY).isNotNull())
                .select(*[F.col(k).alias(f"__rk{i}") for i, k in enumerate(keys)],
                        F.col(_CHUNK).alias("__rchunk"), _CARRY))
-    if bounded:
-        # one row per chunk of a hot key: at most rows / rows_per_chunk
-        carries = F.broadcast(carries)
     cond = F.col(_CHUNK) == F.col("__rchunk")
     for i, k in enumerate(keys):
         cond = cond & (F.col(k) == F.col(f"__rk{i}"))

@@ -87,13 +87,32 @@ def test_fold_exact_on_hot_key(spark, skewed):
         assert abs(f - want[uid]) < 1e-9
 
 
-def test_default_plan_broadcasts_only_bounded_tables(spark, skewed, capsys):
+def test_plan_without_hot_keys_is_the_plain_window(spark, skewed, capsys):
     capsys.readouterr()
     running_sum(skewed, "user_id", ["event_id"], "value", "rt").explain("formatted")
     plan = capsys.readouterr().out
-    # the data is shuffled once for the window; hot-key stats and carries
-    # are broadcast (bounded by rows / rows_per_chunk)
-    assert plan.count("BroadcastExchange") >= 2
+    assert "Join" not in plan and plan.count("Exchange") <= 3
+
+
+def test_hot_keys_are_broadcast_only_below_the_checked_size(spark, skewed, capsys, monkeypatch):
+    from rivulet.operators import scan
+
+    def plan():
+        capsys.readouterr()
+        with_chunks = scan.with_hot_key_chunks(skewed, ["user_id"], "event_id", 100)
+        with_chunks.explain("formatted")
+        return capsys.readouterr().out, with_chunks
+
+    few, a = plan()
+    assert "BroadcastExchange" in few
+    monkeypatch.setattr(scan, "MAX_BROADCAST_KEYS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many, b = plan()
+        assert "Broadcast" not in many and "SortMergeJoin" in many
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_window_updates_exact_with_hot_windows(spark, skewed):
