@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # The digits a Java-style long parser accepts (optional sign,
 # one or more ASCII digits, nothing else -- no spaces).
-LONG_PATTERN = r"^[+-]?[0-9]+$"
+LONG_PATTERN = r"\A[+-]?[0-9]+\z"
 
 
 def _c(c: Column | str) -> Column:

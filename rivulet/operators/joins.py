@@ -37,7 +37,7 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     must then be a TIMESTAMP.
     """
     half = duration_micros(within)
-    width = 2 * half
+    width = max(1, 2 * half)   # a width of 0 still needs a bucket
     if left.isStreaming and watermark:
         left = left.withWatermark(left_ts, watermark)
     if right.isStreaming and watermark:

@@ -89,7 +89,7 @@ def _field_or_default(df: DataFrame, rs: RecordSchema, name: str, prefix: str) -
     dtype = rs.struct[name].dataType
     present = {f.name for f in (df.schema[prefix[:-1]].dataType.fields if prefix
                                 else df.schema.fields)}
-    c = F.col(prefix + name).cast(dtype) if name in present else F.lit(None).cast(dtype)
+    c = F.col(prefix + name).try_cast(dtype) if name in present else F.lit(None).cast(dtype)
     if name in rs.defaults:
         c = F.coalesce(c, F.lit(rs.defaults[name]).cast(dtype))
     return c.alias(name)
@@ -101,24 +101,32 @@ def conform(df: DataFrame, rs: RecordSchema, value_col: str | None = None,
 
     Missing fields take their default (or null), extra fields are dropped,
     types are cast.  Returns ``(good, rejected)``: ``rejected`` holds rows with
-    a null required field, plus a ``missing`` array naming those fields.
+    a null required field (``missing`` names them) or a value that does not
+    cast to its field's type (``invalid`` names them; a default hides none).
     ``value_col`` names a struct column to conform instead of the top level;
     ``keep`` lists top-level columns (e.g. key, offset) carried along.
     """
     prefix = f"{value_col}." if value_col else ""
     rec = F.struct(*[_field_or_default(df, rs, n, prefix) for n in rs.fields])
-    out = df.select(*keep, rec.alias("_rec"))
+    present = {f.name for f in (df.schema[value_col].dataType.fields if value_col else df.schema.fields)}
+    wrong = [F.when(F.col(prefix + n).isNotNull() & F.col(prefix + n).try_cast(rs.struct[n].dataType).isNull(), F.lit(n))
+             for n in rs.fields if n in present]
+    invalid = F.filter(F.array(*(wrong or [F.lit(None).cast(S)])), lambda x: x.isNotNull())
+    out = df.select(*keep, rec.alias("_rec"), invalid.alias("_invalid"))
     missing = F.filter(
         F.array(*[F.when(F.col(f"_rec.{n}").isNull(), F.lit(n)) for n in rs.required]
                 or [F.lit(None).cast(S)]),
         lambda x: x.isNotNull())
     out = out.withColumn("_missing", missing)
-    good = out.filter(F.size("_missing") == 0)
-    bad = out.filter(F.size("_missing") > 0)
+    rejected = (F.size("_missing") > 0) | (F.size("_invalid") > 0)
+    good = out.filter(~rejected)
+    bad = out.filter(rejected)
     if value_col:
         good = good.select(*keep, F.col("_rec").alias(value_col))
-        bad = bad.select(*keep, F.col("_rec").alias(value_col), F.col("_missing").alias("missing"))
+        bad = bad.select(*keep, F.col("_rec").alias(value_col), F.col("_missing").alias("missing"),
+                         F.col("_invalid").alias("invalid"))
     else:
         good = good.select(*keep, "_rec.*")
-        bad = bad.select(*keep, "_rec.*", F.col("_missing").alias("missing"))
+        bad = bad.select(*keep, "_rec.*", F.col("_missing").alias("missing"),
+                         F.col("_invalid").alias("invalid"))
     return good, bad

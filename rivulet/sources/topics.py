@@ -76,6 +76,27 @@ def decode_value(df: DataFrame, value_type: T.DataType, col: str = "value") -> D
     return df.withColumn(col, F.expr(f"try_cast(`{col}` as {value_type.simpleString()})"))
 
 
+def decode_checked(df: DataFrame, value_type: T.DataType, col: str = "value"
+                   ) -> tuple[DataFrame, DataFrame]:
+    """Decode a text value to ``value_type``; returns ``(good, rejected)``.
+
+    Rejected rows keep their text: malformed JSON, or text that is no double
+    or long.  A null value is no bad record (in a table topic it is a
+    delete) and stays in ``good``."""
+    from rivulet.operators.quality import split_malformed
+
+    if isinstance(value_type, T.StringType):
+        return decode_value(df, value_type, col), df.limit(0)
+    if isinstance(value_type, T.StructType):
+        present = df.filter(F.col(col).isNotNull())
+        good, bad = split_malformed(present, value_type, col)
+        deletes = decode_value(df.filter(F.col(col).isNull()), value_type, col)
+        return good.unionByName(deletes), bad
+    parsed = F.expr(f"try_cast(`{col}` as {value_type.simpleString()})")
+    bad = F.col(col).isNotNull() & parsed.isNull()
+    return df.filter(~bad).withColumn(col, parsed), df.filter(bad)
+
+
 def to_topic_records(df: DataFrame, topic: str, key: Column | str, *,
                      value: Column | None = None, time_millis: Column | str | None = None,
                      offset: Column | str | None = None, partition: Column | str | None = None,
@@ -85,9 +106,12 @@ def to_topic_records(df: DataFrame, topic: str, key: Column | str, *,
     ``key`` picks the record key from a field; ``value`` defaults to the
     struct of all input columns; ``time_millis`` gives the record timestamp
     from an epoch-millisecond field (default: now); ``partition`` defaults to
-    a hash of the key over ``partitions`` (Spark's hash, not a broker's);
-    ``offset`` defaults to a unique increasing id.
+    a hash of the key over ``partitions`` (Spark's hash, not a broker's).
+    ``offset`` defaults in batch to a unique increasing id, which another run
+    may assign differently; a stream has no such id and must name its offset.
     """
+    if df.isStreaming and offset is None:
+        raise ValueError("a stream has no default offset: name the offset column")
     as_col = lambda c: F.col(c) if isinstance(c, str) else c
     key_c = as_col(key).cast("string")
     value_c = value if value is not None else F.struct(*[F.col(c) for c in df.columns])
@@ -117,7 +141,9 @@ def write_topic(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
     kafka = "kafka.bootstrap.servers" in options
     out = df
     if kafka:
-        out = df.select(F.col("key").cast("string").alias("key"),
+        # the sink writes to the partition that a record names, if it names one
+        explicit = [F.col("partition").cast("int").alias("partition")] if "partition" in df.columns else []
+        out = df.select(*explicit, F.col("key").cast("string").alias("key"),
                         F.to_json(F.col("value")).alias("value")
                         if isinstance(df.schema["value"].dataType, T.StructType)
                         else F.col("value").cast("string").alias("value"))

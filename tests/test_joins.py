@@ -102,3 +102,11 @@ def test_null_keys_are_skipped_by_both_joins(spark):
     t = spark.createDataFrame([("u", "U")], "k string, name string")
     out = enrich_latest(l, t, "lk", "k", "name", "user_name").collect()
     assert [(o["lid"], o["user_name"]) for o in out] == [(2, "U")]
+
+
+def test_interval_join_of_width_zero(spark):
+    from rivulet.operators import interval_join
+
+    a = spark.sql("select 'k' as lk, timestamp'2024-01-01 00:00:01' as lt union all select 'k', timestamp'2024-01-01 00:00:02'")
+    b = spark.sql("select 'k' as rk, timestamp'2024-01-01 00:00:01' as rt")
+    assert interval_join(a, b, "lk", "rk", "lt", "rt", "0 seconds").count() == 1

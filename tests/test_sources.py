@@ -134,3 +134,42 @@ def test_stream_backlog_is_read_in_bounded_batches(spark, tmp_path):
     q.awaitTermination()
     sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
     assert sizes == [2, 2, 2]
+
+
+def test_decode_checked_keeps_bad_text_aside(spark):
+    from pyspark.sql import types as T
+
+    from rivulet.sources.topics import decode_checked
+
+    df = spark.createDataFrame([(1, "1.5"), (2, "x"), (3, None)], "n int, value string")
+    good, bad = decode_checked(df, T.DoubleType())
+    assert sorted((r["n"], r["value"]) for r in good.collect() if r["n"] < 3) == [(1, 1.5)]
+    assert [r["n"] for r in good.collect() if r["value"] is None] == [3]   # a delete, not a bad record
+    assert [(r["n"], r["value"]) for r in bad.collect()] == [(2, "x")]
+    js = spark.createDataFrame([(1, '{"a": 1}'), (2, "{a"), (3, None)], "n int, value string")
+    good, bad = decode_checked(js, T.StructType([T.StructField("a", T.LongType())]))
+    assert sorted(r["n"] for r in good.collect()) == [1, 3]
+    assert [r["n"] for r in bad.collect()] == [2]
+
+
+def test_conform_rejects_a_wrong_typed_field(spark):
+    from rivulet.sources.schemas import ELECTRONIC_ORDER, conform
+
+    df = spark.createDataFrame(
+        [("o1", "e", "u", "1.5", "7"), ("o2", "e", "u", "cheap", "7"), ("o3", "e", "u", None, "7"), ("o4", "e", "u", "1", "soon")],
+        "order_id string, electronic_id string, user_id string, price string, time string")
+    good, bad = conform(df, ELECTRONIC_ORDER)
+    assert sorted((r["order_id"], r["price"]) for r in good.collect()) == [("o1", 1.5), ("o3", 0.0)]
+    assert sorted((r["order_id"], r["invalid"]) for r in bad.collect()) == [("o2", ["price"]), ("o4", ["time"])]
+
+
+def test_stream_needs_a_named_offset(spark, tmp_path):
+    import pytest
+
+    from rivulet.sources.topics import to_topic_records
+
+    spark.range(1).write.parquet(str(tmp_path / "in"))
+    s = spark.readStream.schema("id long").parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="offset"):
+        to_topic_records(s, "t", "id")
+    assert to_topic_records(s, "t", "id", offset="id").isStreaming

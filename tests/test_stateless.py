@@ -78,3 +78,12 @@ def test_chain_filters_reach_the_scan(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     assert "StringContains(value,order-)" in plan
     assert "WholeStageCodegen" in plan or "* Filter" in plan
+
+
+def test_parse_long_rejects_a_trailing_newline(spark):
+    from pyspark.sql import functions as F
+
+    from rivulet.functions.text import parse_long
+
+    df = spark.createDataFrame([("2000\n",), ("2000",), ("+7",), ("",)], "v string")
+    assert [r[0] for r in df.select(parse_long(F.col("v"))).collect()] == [None, 2000, 7, None]
