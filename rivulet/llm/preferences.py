@@ -52,6 +52,23 @@ def pair_by_opening(chats: DataFrame, piece: int = PIECE) -> DataFrame:
         chats.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected_turns")), "rejected_id")
 
 
+def pair_with_next_reply(chats: DataFrame, piece: int = PIECE) -> DataFrame:
+    """Every conversation with an assistant's turn, up to its last one, as
+    chosen; the same with that reply replaced by the last reply of the next
+    such conversation by id (after the last comes the first) as rejected.
+    Returns conv_id, turns, rejected_id (whose reply it is), rejected_turns."""
+    back = F.array_position(F.reverse(F.transform("turns", lambda t: t["role"])), "assistant")
+    last = (F.size("turns") - back + 1).cast("int")
+    rows = chats.where(back > 0).select("conv_id", F.slice("turns", F.lit(1), last).alias("turns"))
+    part, _ = range_of(rows, "conv_id", rows.count() // piece + 1)
+    numbered = number(rows.select("conv_id", F.element_at("turns", -1).alias("reply")), [], part, ["conv_id"], "n")
+    total = F.lit(rows.count())
+    other = numbered.select(F.pmod(F.col("n") - 1 + total, total).alias("n"), F.col("conv_id").alias("rejected_id"), F.col("reply").alias("other"))
+    pairs = numbered.select("conv_id", "n").join(other, "n").drop("n")
+    return rows.join(pairs, "conv_id").withColumn(
+        "rejected_turns", F.concat(F.slice("turns", F.lit(1), F.size("turns") - 1), F.array("other"))).drop("other")
+
+
 def common_prefix(a: Column, b: Column) -> Column:
     """How many leading turns are equal."""
     n = F.least(F.size(a), F.size(b))

@@ -52,7 +52,7 @@ def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = preferences.conversations(_table(spark, sf_dir, "conversations"))
-    out = preferences.format_pairs(preferences.pair_by_opening(chats))
+    out = preferences.format_pairs(preferences.pair_with_next_reply(chats))
     runs = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["n_chars"], s["loss"])), ",")
     return out.select(F.col("conv_id").alias("chosen_id"), "rejected_id", F.col("n_prompt_turns").cast("long").alias("n_prompt_turns"),
                       "prompt", "chosen", runs("chosen_mask").alias("chosen_mask"),
@@ -109,24 +109,21 @@ FROM c JOIN q ON c.source IS NOT DISTINCT FROM q.source
     "op9_preference_formatting": r"""
 WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) AS n,
                   coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
-u AS (SELECT conv_id, coalesce(min(n) FILTER (role = 'user'), max(n)) AS first FROM t GROUP BY conv_id),
-o AS (SELECT conv_id, string_agg(role || chr(1) || text, chr(2) ORDER BY n) AS opening FROM t JOIN u USING (conv_id) WHERE n <= first GROUP BY conv_id),
-r AS (SELECT conv_id, opening, row_number() OVER (PARTITION BY opening ORDER BY conv_id) - 1 AS k FROM o),
-p AS (SELECT min(conv_id) AS a, max(conv_id) AS b FROM r GROUP BY opening, k // 2 HAVING count(*) = 2),
-c AS (SELECT a, b, coalesce(min(n) FILTER (same IS NOT TRUE), max(n) + 1) - 1 AS common FROM (
-        SELECT p.a, p.b, coalesce(x.n, y.n) AS n, x.role = y.role AND x.text = y.text AS same
-        FROM p JOIN (SELECT conv_id, max(n) AS m FROM t GROUP BY conv_id) l ON l.conv_id = p.a JOIN t x ON x.conv_id = p.a
-        LEFT JOIN t y ON y.conv_id = p.b AND y.n = x.n) GROUP BY a, b),
-g AS (SELECT conv_id, n, role, '<|' || role || '|>' || chr(10) AS head, replace(text, '<|', '< |') || '<|end|>' || chr(10) AS said FROM t),
-z AS (SELECT a, b, g.conv_id, g.n, role, head, said FROM c JOIN g ON g.conv_id IN (c.a, c.b) WHERE g.n > c.common),
-m AS (SELECT a, b, conv_id, string_agg(head || said, '' ORDER BY n) AS body,
-             string_agg(len(head) || ':0,' || len(said) || CASE WHEN role = 'assistant' THEN ':1' ELSE ':0' END, ',' ORDER BY n) AS mask
-      FROM z GROUP BY a, b, conv_id),
-h AS (SELECT c.a, c.b, string_agg(head || said, '' ORDER BY n) AS prompt FROM c JOIN g ON g.conv_id = c.a AND g.n <= c.common GROUP BY c.a, c.b)
-SELECT c.a AS chosen_id, c.b AS rejected_id, CAST(common AS BIGINT) AS n_prompt_turns, coalesce(h.prompt, '') AS prompt,
-       coalesce(x.body, '') AS chosen, coalesce(x.mask, '') AS chosen_mask, coalesce(y.body, '') AS rejected, coalesce(y.mask, '') AS rejected_mask
-FROM c LEFT JOIN h USING (a, b) LEFT JOIN m x ON x.a = c.a AND x.b = c.b AND x.conv_id = c.a
-LEFT JOIN m y ON y.a = c.a AND y.b = c.b AND y.conv_id = c.b
+l AS (SELECT conv_id, max(n) AS last FROM t WHERE role = 'assistant' GROUP BY conv_id),
+r AS (SELECT l.conv_id, l.last, t.text AS reply, row_number() OVER (ORDER BY l.conv_id) - 1 AS k, count(*) OVER () AS total
+      FROM l JOIN t ON t.conv_id = l.conv_id AND t.n = l.last),
+p AS (SELECT a.conv_id AS a, b.conv_id AS b, a.last, a.reply = b.reply AS same,
+             CASE WHEN a.reply = b.reply THEN a.last ELSE a.last - 1 END AS common,
+             replace(a.reply, '<|', '< |') || '<|end|>' || chr(10) AS good, replace(b.reply, '<|', '< |') || '<|end|>' || chr(10) AS bad
+      FROM r a JOIN r b ON b.k = (a.k + 1) % a.total),
+h AS (SELECT p.a, string_agg('<|' || role || '|>' || chr(10) || replace(text, '<|', '< |') || '<|end|>' || chr(10), '' ORDER BY n) AS prompt
+      FROM p JOIN t ON t.conv_id = p.a AND t.n <= p.common GROUP BY p.a)
+SELECT p.a AS chosen_id, p.b AS rejected_id, CAST(common AS BIGINT) AS n_prompt_turns, coalesce(h.prompt, '') AS prompt,
+       CASE WHEN same THEN '' ELSE '<|assistant|>' || chr(10) || good END AS chosen,
+       CASE WHEN same THEN '' ELSE '14:0,' || len(good) || ':1' END AS chosen_mask,
+       CASE WHEN same THEN '' ELSE '<|assistant|>' || chr(10) || bad END AS rejected,
+       CASE WHEN same THEN '' ELSE '14:0,' || len(bad) || ':1' END AS rejected_mask
+FROM p LEFT JOIN h ON h.a = p.a
 """,
     "op8_bwt_interval_expansion": r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),

@@ -211,6 +211,22 @@ def test_preferences(spark, piece):
     assert preferences.format_pairs(preferences.pair_by_opening(preferences.conversations(turns.limit(0)))).count() == 0
 
 
+@pytest.mark.parametrize("piece", [100_000, 2])
+def test_replies_of_the_next_conversation(spark, piece):
+    rows = [(i, k, r, t) for i, turns in CHATS for k, (r, t) in enumerate(turns)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    own = {i: max(k for k, (r, _) in enumerate(t) if r == "assistant") for i, t in CHATS if any(r == "assistant" for r, _ in t)}
+    chats, ids = dict(CHATS), sorted(own)
+    want = []
+    for i, j in zip(ids, ids[1:] + ids[:1]):
+        before, reply, other = chats[i][: own[i]], chats[i][own[i]][1] or "", chats[j][own[j]][1] or ""
+        want.append((i, j, len(before) + (reply == other), "" if reply == other else "<|assistant|>\n" + reply.replace("<|", "< |") + "<|end|>\n"))
+    got = preferences.format_pairs(preferences.pair_with_next_reply(preferences.conversations(turns), piece))
+    assert not re.search("Python|Arrow|Pandas", got._jdf.queryExecution().toString())
+    assert sorted((r.conv_id, r.rejected_id, r.n_prompt_turns, r.chosen) for r in got.collect()) == want
+    assert preferences.pair_with_next_reply(preferences.conversations(turns.limit(0))).count() == 0
+
+
 def test_repeated_turns(spark):
     turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, "user", "b")],
                                   "conv_id long, turn long, role string, text string")
