@@ -407,41 +407,54 @@ def enrich_asof_writer(out_path: str, state_path: str, value_cols: tuple[str, ..
 
     Feed it a stream built by ``operators.asof_union`` (records and table
     changes in one frame).  Each micro-batch is resolved with the batch
-    operator (``asof_resolve``: one running "last" over both sides, hot
-    keys cut into chunks), seeded with each key's last table value from
-    earlier batches, kept in a table at ``state_path`` (``materialize_table``
-    layout, compacted every ``compact_every`` batches).  A record older than
-    the last change seen in an earlier batch gets that change (the value
-    known when it is processed); within a batch the lookup is exact.
+    operator (one running "last" over both sides, hot keys cut into chunks of
+    the batch's own rows); a record then takes the later of that change and
+    the key's last change of earlier batches, by event time.  That one is kept
+    in a table at ``state_path`` (``materialize_table`` layout, compacted every
+    ``compact_every`` batches) with its time, so an older change that arrives
+    late does not replace a newer one.  A record older than the kept change,
+    with no change before it in its own batch, gets the kept value: earlier
+    values of the key are not stored.
     """
-    from rivulet.operators.joins import asof_resolve
-    from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK
+    from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK, running
 
     rpc = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
+    outs = list(out_cols or value_cols)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
             compact_table(spark, state_path, "key", "offset", "value", upto=batch_id - 1)
-        rows = _table_rows(spark, state_path, upto=batch_id - 1)
-        u = batch
-        if rows is not None:
-            t_type = batch.schema["__t"].dataType
-            row_type = batch.schema["__row"].dataType
-            # the last known value goes first in the key's order
-            seeds = table_from_topic(rows, "key", "offset", "value").select(
-                F.col("key").alias("__k"),
-                F.lit("0001-01-01 00:00:00").cast(t_type).alias("__t"),
-                F.lit(0).alias("__side"), F.lit(-1).cast("long").alias("__tie"),
-                F.col("value").alias("__v"), F.lit(None).cast(row_type).alias("__row"))
-            u = seeds.unionByName(batch)
-        write_batch(asof_resolve(u, value_cols, out_cols, rows_per_chunk=rpc),
-                    out_path, batch_id)
-        latest = (batch.filter(F.col("__side") == 0).groupBy("__k")
-                  .agg(F.max_by("__v", F.struct("__t", "__tie")).alias("value"))
-                  .select(F.col("__k").alias("key"),
-                          F.lit(batch_id).cast("long").alias("offset"), "value"))
-        write_batch(latest, _table_parts(state_path)[0], batch_id)
+        d = batch.withColumn("__v", F.when(F.col("__side") == 0, F.struct(
+            F.col("__t").alias("t"), F.col("__tie").alias("tie"), F.col("__v").alias("v")))).persist()
+        try:
+            rows = _table_rows(spark, state_path, upto=batch_id - 1)
+            if rows is None:
+                prior = spark.createDataFrame([], T.StructType([
+                    T.StructField("__pk", d.schema["__k"].dataType), T.StructField("__prior", d.schema["__v"].dataType)]))
+            else:
+                prior = table_from_topic(rows, "key", "offset", "value").select(
+                    F.col("key").alias("__pk"), F.col("value").alias("__prior"))
+            r = running(d, ["__k"], ["__t", "__side", "__tie"], "__v", "last", "__asof", rows_per_chunk=rpc)
+            r = r.filter(F.col("__side") == 1).join(prior, F.col("__k") == F.col("__pk"), "left")
+            newer = F.struct("__prior.t", "__prior.tie") > F.struct("__asof.t", "__asof.tie")
+            # a delete is a change with null values: presence is that of the struct
+            value = F.when(F.col("__asof").isNull(), F.col("__prior.v")).when(
+                F.col("__prior").isNotNull() & (F.col("__prior.t") <= F.col("__t")) & newer, F.col("__prior.v")
+            ).otherwise(F.col("__asof.v"))
+            r = r.withColumn("__value", value)
+            write_batch(r.select("__row.*", *[F.col(f"__value.{c}").alias(o) for c, o in zip(value_cols, outs)]),
+                        out_path, batch_id)
+            latest = (d.filter(F.col("__side") == 0).groupBy("__k")
+                      .agg(F.max_by("__v", F.struct("__t", "__tie")).alias("__last"))
+                      .join(prior, F.col("__k") == F.col("__pk"), "left"))
+            kept = F.struct("__prior.t", "__prior.tie") > F.struct("__last.t", "__last.tie")
+            write_batch(latest.select(
+                F.col("__k").alias("key"), F.lit(batch_id).cast("long").alias("offset"),
+                F.when(F.col("__prior").isNotNull() & kept, F.col("__prior")).otherwise(F.col("__last")).alias("value")),
+                _table_parts(state_path)[0], batch_id)
+        finally:
+            d.unpersist()
     return fn
 
 

@@ -1,12 +1,14 @@
 """Stream twins give the batch results (several file layouts)."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from rivulet.operators import enrich_asof, fold_by_key, table_from_topic
 from rivulet.streaming import (changelog_writer, enrich_asof_stream, fold_by_key_stream,
                                run_stream, start_stream)
-from tests.fixtures import T0, topic, write_files, write_ordered_files
+from tests.fixtures import T0, _write_in_order, topic, write_files, write_ordered_files
 
 SF = "/root/testdata/sf0.001"
 
@@ -170,3 +172,43 @@ def test_fold_writer_ends_at_the_batch_fold(spark, tmp_path, files):
     assert got.keys() == want.keys()
     for k, v in want.items():
         assert got[k] == pytest.approx(v, rel=1e-9, abs=1e-9)
+
+
+def test_asof_writer_keeps_time_and_chunks_in_later_batches(spark, tmp_path, monkeypatch):
+    """A change that arrives late does not replace a newer one, a delete is
+    kept, and a hot key is split in every batch, not only the first."""
+    from rivulet.operators import asof_union, scan
+    from rivulet.streaming import enrich_asof_writer
+
+    largest = []
+    plain = scan.with_hot_key_chunks
+
+    def spy(df, *a, **kw):
+        out = plain(df, *a, **kw)
+        largest.append(max((r["count"] for r in out.groupBy("__k", "__chunk").count().collect()), default=0))
+        return out
+
+    monkeypatch.setattr(scan, "with_hot_key_chunks", spy)
+    changes = "k string, at timestamp, v int, gone boolean"
+    records = "k string, at timestamp, n int"
+    t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    batches = [
+        ([("a", t(10), 1, False), ("b", t(1), 7, False)], [("a", t(12), 1)]),
+        ([("a", t(5), 2, False)], [("a", t(20), 2), ("a", t(7), 3)]),
+        ([("b", t(30), None, True)], [("b", t(31), 4), ("b", t(2), 5), *[("a", t(100 + i), 100 + i) for i in range(200)]]),
+    ]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i, (c, r) in enumerate(batches):
+        cd, rd = spark.createDataFrame(c, changes), spark.createDataFrame(r, records)
+        u = asof_union(rd, cd, "k", "k", "at", "at", ["v"], deleted=F.col("gone"))
+        _write_in_order(u.toArrow(), f"{folder}/{i}.parquet", i)
+    s = spark.readStream.schema(u.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+    out = str(tmp_path / "out")
+    sink = enrich_asof_writer(out, str(tmp_path / "state"), ("v",), rows_per_chunk=20)
+    start_stream(s, "asof_late", foreach_batch=sink, checkpoint=str(tmp_path / "ck")).awaitTermination()
+    got = {r["n"]: r["v"] for r in spark.read.parquet(out).collect()}
+    # n=3: the change at 5 is in its batch; n=5: only the kept value of b is known, and it is older
+    assert {k: got[k] for k in (1, 2, 3, 4, 5)} == {1: 1, 2: 1, 3: 2, 4: None, 5: 7}
+    assert all(got[100 + i] == 1 for i in range(200))
+    assert largest[-1] <= 40
