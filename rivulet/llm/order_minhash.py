@@ -83,9 +83,10 @@ def fingerprint(text: Column, k: int = K, ell: int = ELL, bins: int = BINS) -> C
         """(occurrence hash, position), sorted by hash."""
         def number(p: Column) -> Column:
             def label(x: Column, i: Column) -> Column:
+                # a first occurrence keeps the k-mer's own hash
                 repeat = (i > 0) & (_high(F.get(p, i - 1)) == _high(x))
-                nth = F.when(repeat, i - _before(p, i, _high(x))).otherwise(F.lit(0))
-                return _pack(F.xxhash64(F.get(mers, _pos(x)), nth), _pos(x))
+                nth = i - _before(p, i, _high(x))
+                return F.when(repeat, _pack(F.xxhash64(F.get(mers, _pos(x)), nth), _pos(x))).otherwise(x)
             return F.transform(p, label)
         return F.sort_array(_let(F.sort_array(F.transform(mers, _pack)), number))
 

@@ -41,7 +41,7 @@ def brute_fingerprint(text, k=3, ell=2, bins=64):
     for m in mers:
         nth.append(seen.get(cut(m), 0))
         seen[cut(m)] = nth[-1] + 1
-    marked = sorted((signed(cut(xx(m, Int(n)))), i) for i, (m, n) in enumerate(zip(mers, nth)))
+    marked = sorted((signed(cut(xx(m, Int(n)) if n else m)), i) for i, (m, n) in enumerate(zip(mers, nth)))
     out = {}
     for h, i in marked:
         out.setdefault((h % (1 << 36)) >> (36 - (bins.bit_length() - 1)), []).append(i)
