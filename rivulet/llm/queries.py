@@ -127,8 +127,9 @@ FROM p LEFT JOIN h ON h.a = p.a
 """,
     "op8_bwt_interval_expansion": r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-v AS (SELECT doc_id, j, md5(substr(h, 2 * j + 1, 400)) AS s
-      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS j FROM d WHERE len(h) >= 400)),
+b AS (SELECT doc_id, k, substr(h, 2000 * k + 1, 2398) AS h FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2000 + 1)) AS k FROM d)),
+v AS (SELECT doc_id, 1000 * k + i AS j, md5(substr(h, 2 * i + 1, 400)) AS s
+      FROM (SELECT doc_id, k, h, unnest(range(0, least(1000, len(h) // 2 - 199))) AS i FROM b WHERE len(h) >= 400)),
 m AS (SELECT s FROM v GROUP BY s HAVING count(*) > 1),
 x AS (SELECT DISTINCT doc_id, unnest(range(j, j + 200)) AS p FROM v JOIN m USING (s)),
 r AS (SELECT doc_id, p, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS run FROM x),
