@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.functions.text import after_first_dash, parse_long
 from rivulet.functions.time import local_time_to_millis, millis_to_local_time
@@ -25,7 +26,7 @@ from rivulet.plans.views import (SQL_AFTER_DASH, SQL_ARR, SQL_TXT, TOPIC_PARTITI
                                  event_arrivals, events_of_type, order_text_topic,
                                  sql_parse_long, table)
 from rivulet.sources.schemas import ELECTRONIC_ORDER, conform
-from rivulet.sources.topics import to_topic_records
+from rivulet.sources.topics import decode_checked, to_topic_records
 
 # Parameters of the catalogue queries.
 MARKER = "order-"
@@ -389,3 +390,83 @@ def join_enriched(spark, sf_dir):
     users = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("user_key"), "c_name")
     return enrich_latest(combined, users, "key", "user_key", "c_name", "user_name")
+
+
+# --- hot keys: the same results when every larger key is split -------------
+# Rows per chunk small enough that keys of the small tables split.
+SPLIT_KEY_ROWS, SPLIT_PARTITION_ROWS = 20, 1000
+
+
+@query("running_sum_split", ORACLE["running_sum"])
+def running_sum_split_q(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    return running_sum(e, "user_id", ["event_id"], "value", "running_total", exact_scale=SCALE,
+                       rows_per_chunk=SPLIT_KEY_ROWS).select("event_id", "user_id", "running_total")
+
+
+@query("stream_time_split", ORACLE["stream_time"])
+def stream_time_split_q(spark, sf_dir):
+    arr = event_arrivals(spark, sf_dir)
+    return stream_time(arr, "part", ["arrival", "event_id"], "ts", "stream_time",
+                       rows_per_chunk=SPLIT_PARTITION_ROWS).select("event_id", "part", "stream_time")
+
+
+@query("enrich_asof_split", ORACLE["enrich_asof"])
+def enrich_asof_split_q(spark, sf_dir):
+    p = events_of_type(spark, sf_dir, "purchase", "event_id", "user_id", "ts")
+    s = events_of_type(spark, sf_dir, "signup", "user_id", "ts", "value")
+    return enrich_asof(p, s, "user_id", "user_id", "ts", "ts", ["value"],
+                       out_cols=["signup_value"], rows_per_chunk=SPLIT_KEY_ROWS)
+
+
+@query("enrich_asof_deletes", """
+SELECT p.event_id, p.user_id, p.ts, s.value AS signup_value
+FROM (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'
+      AND user_id IS NOT NULL) p
+ASOF LEFT JOIN (SELECT user_id, ts, CASE WHEN event_id % 5 <> 0 THEN value END AS value
+                FROM events WHERE event_type = 'signup') s
+  ON p.user_id = s.user_id AND p.ts >= s.ts""")
+def enrich_asof_deletes_q(spark, sf_dir):
+    p = events_of_type(spark, sf_dir, "purchase", "event_id", "user_id", "ts")
+    s = events_of_type(spark, sf_dir, "signup", "event_id", "user_id", "ts", "value")
+    return enrich_asof(p, s, "user_id", "user_id", "ts", "ts", ["value"], deleted=F.col("event_id") % 5 == 0,
+                       out_cols=["signup_value"])
+
+
+# --- bad input: kept aside, whatever its kind ------------------------------
+
+@query("decode_bad_numbers", """
+SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN CAST(event_id + 0 AS VARCHAR) END AS number,
+       CASE WHEN event_id % 7 = 0 THEN CAST(event_id AS VARCHAR) || 'x' END AS rejected FROM events""")
+def decode_bad_numbers_q(spark, sf_dir):
+    text = F.concat(F.col("event_id").cast("string"), F.when(F.col("event_id") % 7 == 0, "x").otherwise(""))
+    good, bad = decode_checked(table(spark, sf_dir, "events").select("event_id", text.alias("value")), T.LongType())
+    return good.select("event_id", F.col("value").cast("string").alias("number"), F.lit(None).cast("string").alias("rejected")).unionByName(
+        bad.select("event_id", F.lit(None).cast("string").alias("number"), F.col("value").alias("rejected")))
+
+
+@query("decode_bad_json", """
+SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id, event_id % 7 = 0 AS rejected
+FROM events WHERE user_id IS NOT NULL""")
+def decode_bad_json_q(spark, sf_dir):
+    e = table(spark, sf_dir, "events").filter("user_id is not null")
+    text = F.concat(F.lit('{"user_id": '), F.col("user_id").cast("string"), F.when(F.col("event_id") % 7 == 0, ", ").otherwise("}"))
+    shape = T.StructType([T.StructField("user_id", e.schema["user_id"].dataType)])
+    good, bad = decode_checked(e.select("event_id", text.alias("value")), shape)
+    return good.select("event_id", F.col("value.user_id").cast("string").alias("user_id"), F.lit(False).alias("rejected")).unionByName(
+        bad.select("event_id", F.lit(None).cast("string").alias("user_id"), F.lit(True).alias("rejected")))
+
+
+@query("conform_rejects", """
+SELECT CAST(event_id AS VARCHAR) AS order_id,
+       CASE WHEN event_id % 7 = 0 THEN 'price' ELSE '' END AS invalid,
+       CASE WHEN event_id % 11 = 0 THEN 'electronic_id' ELSE '' END AS missing
+FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0""")
+def conform_rejects_q(spark, sf_dir):
+    n = F.col("event_id")
+    raw = table(spark, sf_dir, "events").select(
+        n.cast("string").alias("order_id"), F.when(n % 11 != 0, F.col("event_type")).alias("electronic_id"),
+        F.coalesce(F.col("user_id").cast("string"), F.lit("none")).alias("user_id"),
+        F.when(n % 7 == 0, "cheap").otherwise("1.5").alias("price"), local_time_to_millis("ts").alias("time"))
+    _, bad = conform(raw, ELECTRONIC_ORDER)
+    return bad.select("order_id", F.array_join("invalid", ",").alias("invalid"), F.array_join("missing", ",").alias("missing"))
