@@ -35,6 +35,7 @@ MAX_LANGUAGES = 64          # bounds the model; more languages are an error
 SMOOTH = 0.5                # added to every n-gram count
 GAP = 0.1                   # least loss between the best two codewords
 SHARPNESS = 4.0             # of the softmax that turns losses into a score
+PIECE = 1 << 18             # bytes of text whose n-grams are in memory at once
 SHRINK = 8                  # n-grams of no evidence that every text carries
 
 
@@ -53,7 +54,7 @@ def _grams(texts: pa.Array):
     padded = pc.binary_join_element_wise(pa.scalar(" "), pc.fill_null(texts.cast(pa.string()), ""),
                                          pa.scalar(" "), pa.scalar(""))
     table = _letters()
-    for a, b, data, off in chunks(padded):
+    for a, b, data, off in chunks(padded, PIECE):
         c = table[data]
         two = (c[:-1] << 8) | c[1:]
         three = (two[:-1] << 8) | c[2:]
