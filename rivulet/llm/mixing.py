@@ -23,7 +23,8 @@ taken in part, so a source gives its target to the word.
 
 Edge cases: null and empty texts have size 0 and are never taken; a null
 source is a source; a source without words has target 0; repeated rows count
-each; a null id is ordered by its text's hash; empty tables give empty results.
+each; a null id is ordered by its text's hash, and rows of equal order by
+another hash of the text; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -105,17 +106,20 @@ def plan(totals: list[tuple[str | None, int]], weights=WEIGHTS, cap: int = CAP,
     return out
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, shards: int = SHARDS, block: int = BLOCK, seed: str = SEED,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per document: id, source, size, source_size, target, taken (words), and
-    draws: one (epoch, shard, block, words, place) for each time it is taken;
-    ``words`` below the size means the first words only, ``place`` orders the
-    documents of a shard."""
-    spark = docs.sparkSession
+def _draw_key(seed: str, id_col: str, text_col: str) -> Column:
     key = F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    return F.md5(F.concat(F.lit(seed + ":"), key))
+
+
+def _placed(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, shards: int = SHARDS, block: int = BLOCK, seed: str = SEED,
+            id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, int]:
+    """Every row with its source's plan and ``before``, the words ahead of it
+    in its source's order, and the block size.  Rows of equal ``draw`` and
+    ``text_key`` in one source follow each other in the order."""
+    spark = docs.sparkSession
     thin = store(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
-        F.md5(F.concat(F.lit(seed + ":"), key)).alias("draw")), "sizes")
+        _draw_key(seed, id_col, text_col).alias("draw"), F.xxhash64(text_col).alias("text_key")), "sizes")
     found = thin.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(found) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -131,12 +135,22 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, shards: int = SHARDS,
     sums = rows.groupBy("source", "part").agg(F.sum("size").alias("n"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("source").alias("s"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"))
-    within = Window.partitionBy("source", "part").orderBy("draw", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "part").orderBy("draw", "size", "text_key").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0)))
     rows = rows.join(sums, rows["source"].eqNullSafe(sums["s"]) & (rows["part"] == sums["p"]))
     # at most MAX_SOURCES rows of fixed width
     rows = rows.join(F.broadcast(sources), rows["source"].eqNullSafe(sources["source_"]))
-    before = F.col("earlier") + F.col("within")
+    return rows.withColumn("before", F.col("earlier") + F.col("within")), block
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, shards: int = SHARDS, block: int = BLOCK, seed: str = SEED,
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Per document: id, source, size, source_size, target, taken (words), and
+    draws: one (epoch, shard, block, words, place) for each time it is taken;
+    ``words`` below the size means the first words only, ``place`` orders the
+    documents of a shard."""
+    rows, block = _placed(docs, weights, cap, shards, block, seed, id_col, text_col, source_col)
+    before = F.col("before")
     last = F.least(F.greatest(F.col("rest") - before, F.lit(0)), F.col("size"))
 
     def draw(epoch: Column) -> Column:
@@ -155,13 +169,29 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, shards: int = SHARDS,
         F.aggregate("draws", F.lit(0).cast("long"), lambda n, d: n + d["words"]).alias("taken"), "draws")
 
 
-def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str | None = "n_chars", **options) -> DataFrame:
+def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+         n_chars_col: str | None = "n_chars", seed: str = SEED, **options) -> DataFrame:
     """The mix as documents: the rows of ``docs``, all columns, once for each
     time a document is taken; one taken in part keeps its first words, joined
-    by one space.  Rows with a null id, or an id that repeats, are taken as the first of them."""
-    mixed = mix(docs, id_col=id_col, text_col=text_col, **options).where("taken > 0 and " + f"`{id_col}` is not null")
-    mixed = mixed.select(F.col(id_col).alias("__id"), F.col("size").alias("__size"), F.explode(F.transform("draws", lambda d: d["words"])).alias("__words"))
-    rows = docs.join(mixed, F.col(id_col) == F.col("__id")).where(word_count(F.col(text_col)) == F.col("__size"))
+    by one space.  Rows are found by draw key, text and source, not by id: rows
+    with a null id or a repeated one are each taken as ``mix`` says."""
+    placed, _ = _placed(docs, seed=seed, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+
+    def row_key(draw: Column, text_key: Column, source: Column) -> Column:
+        # concat_ws leaves a null source out
+        return F.concat_ws(":", draw, text_key.cast("string"), F.concat(F.lit("s"), source.cast("string")))
+
+    # one row per key: rows of equal keys follow each other, the first is __before words into its source
+    wanted = placed.where("size > 0 and (whole > 0 or before < rest)").groupBy(
+        row_key(F.col("draw"), F.col("text_key"), F.col("source")).alias("__key")).agg(
+        F.min("before").alias("__before"), F.first("size").alias("__size"),
+        F.first("whole").alias("__whole"), F.first("rest").alias("__rest"))
+    rows = docs.withColumn("__row", row_key(_draw_key(seed, id_col, text_col), F.xxhash64(text_col), F.col(source_col)))
+    rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy("__row").orderBy("__row")) - 1)
+    rows = rows.join(wanted, F.col("__row") == F.col("__key"))
+    last = F.least(F.greatest(F.col("__rest") - F.col("__before") - F.col("__nth") * F.col("__size"), F.lit(0)), F.col("__size"))
+    rows = rows.withColumn("__words", F.explode(F.filter(
+        F.concat(F.array_repeat(F.col("__size"), F.col("__whole").cast("int")), F.array(last)), lambda n: n > 0)))
     cut = F.when(F.col("__words") < F.col("__size"), F.array_join(F.slice(
         F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), F.lit(1), F.col("__words").cast("int")), " "))
     rows = rows.withColumn(text_col, F.coalesce(cut, F.col(text_col)))

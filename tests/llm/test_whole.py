@@ -72,3 +72,38 @@ def test_pipeline_at_its_threshold(spark):
     for r in corpus_pipeline.run(spark, SF).collect():
         got[r.doc_id] += len(re.findall(BLANK, r.text))
     assert got == want
+
+
+def without_ids():
+    """A third of the ids null, some texts and ids several times."""
+    r = random.Random(11)
+    rows = []
+    for i in range(60):
+        rows.append((None if i % 3 == 0 else i, " ".join(words(100 + i, r.randint(5, 60))), "en", (None, "a", "b", "c")[i % 4], 0))
+    rows += [rows[0]] * 3 + [rows[1]] * 4               # equal rows
+    rows += [(2, " ".join(words(7, len(rows[2][1].split()))), "en", rows[2][3], 0)]   # an id with two texts of one length
+    rows += [(None, rows[0][1], "en", "c", 0), (None, rows[5][1], "en", rows[5][3], 0)]   # texts in other rows
+    return rows + [(None, None, "en", "a", 0), (None, "", "en", "b", 0), (None, " ", None, None, None)]
+
+
+def test_take_takes_what_mix_says(spark, docs):
+    """Null and repeated ids too: words by (id, source) are those of the mix."""
+    from rivulet.llm import mixing
+
+    for table in (spark.createDataFrame(without_ids(), SCHEMA).repartition(4), docs):
+        mixed = mixing.mix(table).collect()
+        want, got = Counter(), Counter()
+        for r in mixed:
+            want[r.doc_id, r.source] += r.taken
+        n = 0
+        for r in mixing.take(table).collect():
+            got[r.doc_id, r.source] += len(re.findall(BLANK, r.text))
+            n += 1
+        assert got == Counter({k: v for k, v in want.items() if v})
+        assert n == sum(len(r.draws) for r in mixed)
+        by_source, target = Counter(), {}
+        for (_, source), v in got.items():
+            by_source[source] += v
+        for r in mixed:
+            target[r.source] = r.target
+        assert all(abs(by_source[s] - t) <= 0.5 for s, t in target.items())
