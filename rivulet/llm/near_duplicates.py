@@ -29,15 +29,15 @@ are identified by 64-bit hashes.
 
 Edge cases: null, empty and blank texts have an empty set and link with
 nothing; repeated rows are copies of each other; rows that repeat an id are
-judged by their own text; rows with a null id count, but give no
-component_id; empty tables give empty results; other columns are not read.
+judged by their own text; rows with a null id count, and link others, but give
+no component_id; empty tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.llm._store import components, store
 from rivulet.llm._text import U64, WORD_BASE, Words, chunks, lists, mix, powers, separators
@@ -120,34 +120,39 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def sketch_table(docs: DataFrame, bands: int = BANDS, rows: int = ROWS,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, set_id, bands): one scan, no shuffle.  An empty set
-    has no bands."""
+    """(id, text_key, n_shingles, set_id, bands): one scan, no shuffle.  An
+    empty set has no bands; text_key is a hash of the text as it is."""
     kind = docs.select(id_col).schema[0].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             size, sid, keys = [], [], []
-            for _, _, value, first in shingle_sets(batch.column(1)):
+            for _, _, value, first in shingle_sets(batch.column(2)):
                 n = np.diff(first)
                 size.append(n)
                 sid.append(set_ids(value, first))
                 keys.append(band_keys(sketches(value, first, bands * rows)[n > 0], bands, rows).reshape(-1))
             size = np.concatenate(size) if size else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(size, pa.int64()),
+                batch.column(0), batch.column(1), pa.array(size, pa.int64()),
                 pa.array(np.concatenate(sid) if sid else [], pa.int64()),
                 lists(pa.array(np.concatenate(keys) if keys else [], pa.int64()), np.where(size > 0, bands, 0)),
-            ], names=["id", "n_shingles", "set_id", "bands"])
+            ], names=["id", "text_key", "n_shingles", "set_id", "bands"])
 
-    return docs.select(id_col, text_col).mapInArrow(
-        run, f"id {kind}, n_shingles long, set_id long, bands array<long>")
+    return docs.select(id_col, F.xxhash64(text_col), text_col).mapInArrow(
+        run, f"id {kind}, text_key long, n_shingles long, set_id long, bands array<long>")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(set_id, family, items): the full set of one document per wanted set,
     as sorted 64-bit values in a binary column."""
     # the wanted ids grow with the input: both sides are shuffled at any size
-    joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(wanted.hint("merge"), "id")
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    columns = ["set_id", "family", "text"]
+    joined = docs.join(wanted.where("id is not null").hint("merge"), "id").select(columns)
+    # sets that only rows without an id hold: by text, of which one copy is enough
+    texts = docs.where("id is null").select(F.xxhash64("text").alias("text_key"), "text").dropDuplicates(["text_key"])
+    joined = joined.unionByName(texts.join(wanted.where("id is null").hint("merge"), "text_key").select(columns))
 
     def run(batches):
         for batch in batches:
@@ -285,9 +290,10 @@ def link_sets(docs: DataFrame, sketched: DataFrame, threshold: int = THRESHOLD,
     family = components(stars)
     # one document of each set brings its text
     wanted = store(
-        sketched.where("n_shingles > 0").groupBy("set_id").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+        sketched.where("n_shingles > 0").groupBy("set_id").agg(
+            F.min("id").alias("id"), F.min(F.when(F.col("id").isNull(), F.col("text_key"))).alias("text_key"), F.count("*").alias("copies"))
         .join(family.select(F.col("node").alias("set_id"), F.col("root").alias("family")), "set_id"), "wanted")
-    members = _full_sets(docs, wanted.select("id", "set_id", "family"), id_col, text_col)
+    members = _full_sets(docs, wanted.select("id", "text_key", "set_id", "family"), id_col, text_col)
     members = store(members.join(wanted.select("set_id", "copies"), "set_id"), "sets")
     sizes = members.groupBy("family").agg(F.count("*").alias("n"), F.sum(F.octet_length("items") / 8).alias("total"))
     large = store(sizes.where((F.col("n") > small) | (F.col("total") > SMALL_ITEMS)), "large")
@@ -300,17 +306,22 @@ def link_sets(docs: DataFrame, sketched: DataFrame, threshold: int = THRESHOLD,
     return components(links)
 
 
+def _labelled(docs: DataFrame, bands: int, rows: int, threshold: int, small: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, text_key, n_shingles, class) of every row."""
+    sketched = store(sketch_table(docs, bands, rows, id_col, text_col), "sketches")
+    root = link_sets(docs, sketched, threshold, small, id_col, text_col)
+    labelled = sketched.select("id", "text_key", "n_shingles", "set_id").join(
+        root.select(F.col("node").alias("set_id"), "root"), "set_id", "left").select(
+        "id", "text_key", "n_shingles", F.coalesce("root", "set_id").alias("class"))
+    return store(labelled, "labelled")
+
+
 def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, threshold: int = THRESHOLD,
                     small: int = SMALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, n_shingles, component_id (smallest id reachable over
     links, itself included), kept (is it that document)."""
-    sketched = store(sketch_table(docs, bands, rows, id_col, text_col), "sketches")
-    root = link_sets(docs, sketched, threshold, small, id_col, text_col)
+    labelled = _labelled(docs, bands, rows, threshold, small, id_col, text_col)
     # an empty set is a class of its own for each document
-    labelled = sketched.select("id", "n_shingles", "set_id").join(
-        root.select(F.col("node").alias("set_id"), "root"), "set_id", "left").select(
-        "id", "n_shingles", F.coalesce("root", "set_id").alias("class"))
-    labelled = store(labelled, "labelled")
     least = (labelled.where("n_shingles > 0").groupBy("class").agg(F.min("id").alias("least"), F.count("*").alias("n"))
              .where("n > 1").select("class", "least"))
     out = labelled.join(least, "class", "left")
@@ -323,12 +334,22 @@ def near_duplicates(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, thres
 
 def keep_one(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, threshold: int = THRESHOLD,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, with one document of each
-    component.  Of rows with equal id and text one stays; rows with a null id
-    all stay."""
-    kept = near_duplicates(docs, bands, rows, threshold, id_col=id_col, text_col=text_col).where("kept").select(
-        F.col(id_col).alias("__kept")).distinct()
-    rest = docs.where(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("__kept"), "left_semi")
-    same = Window.partitionBy(id_col, text_col).orderBy(id_col)
+    """The rows of ``docs``, all columns, with one row of each component: that
+    of the smallest id (nulls last), then of the smallest hash of the text.
+    Rows without a word all stay, but for those of equal id and text."""
+    labelled = _labelled(docs, bands, rows, threshold, SMALL, id_col, text_col)
+    best = F.min(F.struct(F.col("id").isNull().alias("null"), "id", "text_key"))
+    kept = labelled.where("n_shingles > 0").groupBy("class").agg(best.alias("best")).select("best.id", "best.text_key")
+    kept = kept.unionByName(labelled.where("n_shingles = 0 and id is not null").select("id", "text_key"))
+
+    def row_key(id_: Column, text_key: Column) -> Column:
+        # concat_ws leaves a null id out; one column, so the join and the window share a shuffle
+        return F.concat_ws(":", text_key.cast("string"), id_.cast("string"))
+
+    kept = kept.select(row_key(F.col("id"), F.col("text_key")).alias("__kept")).distinct()
+    rest = docs.withColumn("__key", row_key(F.col(id_col), F.xxhash64(text_col)))
+    rest = rest.join(kept, F.col("__key") == F.col("__kept"), "left_semi")
+    same = Window.partitionBy("__key").orderBy("__key")
     rest = rest.withColumn("__nth", F.row_number().over(same)).where("__nth = 1").select(*docs.columns)
-    return rest.unionByName(docs.where(F.col(id_col).isNull()))
+    blank = F.coalesce(F.trim(F.translate(text_col, "\t\n\x0b\x0c\r", "     ")), F.lit("")) == ""
+    return rest.unionByName(docs.where(F.col(id_col).isNull() & blank))

@@ -107,3 +107,45 @@ def test_take_takes_what_mix_says(spark, docs):
         for r in mixed:
             target[r.source] = r.target
         assert all(abs(by_source[s] - t) <= 0.5 for s, t in target.items())
+
+
+def null_copies():
+    """Copies and near copies in rows without an id."""
+    base, hub, lone = words(1, 120), words(2, 104), words(3, 90)
+    text = " ".join
+    return [
+        (5, text(base), "en", "s", 0), (None, text(changed(base, 60)), "en", "s", 0),
+        # 20 and 21 are near only through the row without an id
+        (20, text(changed(hub, 10, 11)), "en", "s", 0), (21, text(changed(hub, 90, 91)), "en", "s", 0), (None, text(hub), "en", "s", 0),
+        *[(None, text(lone), "en", "s", 0)] * 5, (None, "  ".join(lone).upper(), "en", "s", 0), (None, text(changed(lone, 2)), "en", "s", 0),
+        # an id with two texts, one of them a copy
+        (30, text(words(4, 50)), "en", "s", 0), (30, text(base), "en", "s", 0), (31, text(words(4, 50)), "en", "s", 0),
+        (None, " ", "en", "s", 0), (None, None, "en", "s", 0), (None, None, "en", "s", 0), (40, "", "en", "s", 0), (41, "", "en", "s", 0)]
+
+
+def test_rows_without_an_id_link(spark):
+    from rivulet.llm import near_duplicates
+
+    rows = null_copies()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    root, least = classes([r[1] for r in rows], 85), defaultdict(list)
+    for r, c in zip(rows, root):
+        least[c].append(r[0])
+    want = Counter((r[0], min((i for i in least[c] if i is not None), default=None)) for r, c in zip(rows, root))
+    assert want[None, 5] == 1 and want[21, 20] == 1
+    for small in (1000, 1):
+        got = near_duplicates.near_duplicates(df, small=small).collect()
+        assert Counter((r.doc_id, r.component_id) for r in got) == want
+        assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_keep_one_of_rows_without_an_id(spark):
+    from rivulet.llm import near_duplicates
+
+    rows = null_copies()
+    root = classes([r[1] for r in rows], 85)
+    got = [(r.doc_id, r.text) for r in near_duplicates.keep_one(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()]
+    number = {r[1]: c for r, c in zip(rows, root) if shingles(r[1])}
+    assert Counter(number[t] for _, t in got if shingles(t)) == Counter(set(number.values()))
+    assert sorted((str(i), str(t)) for i, t in got if not shingles(t)) == sorted((str(r[0]), str(r[1])) for r in rows if not shingles(r[1]))
+    assert sorted(str(i) for i, t in got if shingles(t)) == ["20", "30", "5", "None"]
