@@ -8,9 +8,12 @@ exponential loss, each bit weighted by how far apart its two sides lie; a
 small gap between the best two codewords flags the text as ambiguous.
 
 Fitting counts the n-grams of all learning documents in one pass: a task
-sums its own counts first, the shuffle carries at most (languages x features)
-rows a task, and the model that is sent out has a fixed size (features x
-bits), whatever the input.  Prediction is one scan without a shuffle.
+sums its own counts first, and the shuffle carries at most (languages x
+features) rows a task.  Up to ``DENSE`` languages the counts come to the
+driver; beyond, they stay in the tasks as rows of (language, feature) and the
+sums that the bits weigh are aggregated by feature.  The model that is sent
+out has (features x bits) numbers, 15 log2(languages) bits.  Prediction is one
+scan without a shuffle.
 
 Edge cases: a null text or one without any letter is ``und`` with score 0 and
 not ambiguous; with no learnable row every text is ``und``; with one
@@ -27,11 +30,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rivulet.llm._store import store
 from rivulet.llm._text import chunks
 
 UND = "und"
 FEATURES = 2 << 16          # exact bigrams, then hashed trigrams
-MAX_LANGUAGES = 64          # bounds the model; more languages are an error
+DENSE = 64                  # languages whose counts are one array in a task and on the driver
+DRAWS_BELOW = 1000          # languages for which the best of 50 codes is looked for
 SMOOTH = 0.5                # added to every n-gram count
 GAP = 0.1                   # least loss between the best two codewords
 SHARPNESS = 4.0             # of the softmax that turns losses into a score
@@ -48,13 +53,13 @@ def _letters() -> np.ndarray:
     return t
 
 
-def _grams(texts: pa.Array):
+def _grams(texts: pa.Array, piece: int = PIECE):
     """Per chunk: first row, last row + 1, feature of each n-gram, the offsets
     of the documents in it.  Texts are padded with a space at both ends."""
     padded = pc.binary_join_element_wise(pa.scalar(" "), pc.fill_null(texts.cast(pa.string()), ""),
                                          pa.scalar(" "), pa.scalar(""))
     table = _letters()
-    for a, b, data, off in chunks(padded, PIECE):
+    for a, b, data, off in chunks(padded, piece):
         c = table[data]
         two = (c[:-1] << 8) | c[1:]
         three = (two[:-1] << 8) | c[2:]
@@ -84,7 +89,8 @@ class Model:
 
 def codewords(n: int, seed: int = 7) -> np.ndarray:
     """Rows of +1/-1: exhaustive codes up to 5 languages, beyond that random
-    balanced columns, the draw with the largest least distance of 50."""
+    balanced columns, the draw with the largest least distance of 50 (from
+    ``DRAWS_BELOW`` languages on the first draw, whose distances are large)."""
     if n <= 5:
         m = np.arange(1, 1 << max(0, n - 1))
         code = [np.where((m >> i) & 1, 1, -1) for i in range(n - 1)]
@@ -92,6 +98,8 @@ def codewords(n: int, seed: int = 7) -> np.ndarray:
     rng = np.random.RandomState(seed)
     bits = int(np.ceil(15 * np.log2(n)))
     half = np.where(np.arange(n) < n // 2, 1, -1)
+    if n >= DRAWS_BELOW:
+        return np.stack([rng.permutation(half.astype(np.int8)) for _ in range(bits)], axis=1)
     best, score = None, -1
     for _ in range(50):
         code = np.stack([rng.permutation(half) for _ in range(bits)], axis=1)
@@ -106,6 +114,13 @@ def count_grams(docs: DataFrame, languages: list[str], text_col: str, lang_col:
     """(lang index, feature, n) over whole texts of all rows."""
     number = {x: i for i, x in enumerate(languages)}
 
+    def count_sparse(batches):
+        for batch in batches:
+            lang = np.array([number.get(x, 0) for x in batch.column(1).to_pylist()], np.int64)
+            for a, b, f, off in _grams(batch.column(0)):
+                key, n = np.unique(f + np.repeat(lang[a:b] * FEATURES, np.diff(off)), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64())], names=["k", "n"])
+
     def count(batches):
         total = np.zeros(len(languages) * FEATURES, np.int64)
         for batch in batches:
@@ -117,35 +132,77 @@ def count_grams(docs: DataFrame, languages: list[str], text_col: str, lang_col:
         yield pa.RecordBatch.from_arrays(
             [pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["k", "n"])
 
-    return (docs.select(text_col, lang_col).mapInArrow(count, "k long, n long")
+    return (docs.select(text_col, lang_col).mapInArrow(count if len(languages) <= DENSE else count_sparse, "k long, n long")
             .groupBy("k").agg(F.sum("n").alias("n")))
 
 
+def _sides(counts: DataFrame, n: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean n-gram shares of the languages on either side of each bit, two
+    arrays of features x bits, without an array of languages x features."""
+    counts = store(counts.where(~(F.col("k") % FEATURES).isin(*_BLANK)), "grams")
+    totals = counts.groupBy(F.floor(F.col("k") / FEATURES).alias("lang")).agg(F.sum("n").alias("n")).toArrow()
+    whole = np.full(n, SMOOTH * FEATURES)
+    whole[totals["lang"].to_numpy()] += totals["n"].to_numpy()
+    state = counts.sparkSession.sparkContext.broadcast((whole, code > 0))
+
+    def add(batches):
+        whole, plus = state.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k, c = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            lang, feature = k // FEATURES, k % FEATURES
+            share = (c / whole[lang])[:, None]
+            both = np.concatenate([plus[lang] * share, ~plus[lang] * share], axis=1)
+            first = np.flatnonzero(np.diff(feature, prepend=-1))
+            sums = np.add.reduceat(both, first, axis=0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(feature[first], pa.int64()), pa.array([x.tobytes() for x in sums], pa.binary())], names=["feature", "sums"])
+
+    at = F.col("k") % FEATURES
+    got = (counts.repartition(at).sortWithinPartitions(at, "k").mapInArrow(add, "feature long, sums binary")).toArrow()
+    plus = code > 0
+    bits = code.shape[1]
+    # what smoothing alone gives, then the counted n-grams
+    base = np.concatenate([(SMOOTH / whole) @ plus, (SMOOTH / whole) @ ~plus])
+    sums = np.tile(base, (FEATURES, 1))
+    for batch in got.to_batches():
+        for f, x in zip(batch.column(0).to_numpy(), batch.column(1)):
+            sums[f] += np.frombuffer(x.as_buffer())
+    return sums[:, :bits] / plus.sum(axis=0), sums[:, bits:] / (~plus).sum(axis=0)
+
+
 def fit(docs: DataFrame, learn: Column | None = None, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learn from the rows of ``docs`` where ``learn`` holds and the language
     is not null."""
     rows = docs.where(F.col(lang_col).isNotNull())
     rows = rows.where(learn) if learn is not None else rows
-    languages = sorted(r[0] for r in rows.select(F.col(lang_col).alias("lang")).distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    languages = sorted(r[0] for r in rows.select(F.col(lang_col).alias("lang")).distinct().collect())
     n = len(languages)
     code = codewords(n)
     if n < 2:
         return Model(languages, code, np.zeros((FEATURES, 1), np.float32), np.empty(0), np.empty(0))
-    got = count_grams(rows, languages, text_col, lang_col).toArrow()
-    counts = np.zeros(n * FEATURES)
-    counts[got["k"].to_numpy()] = got["n"].to_numpy()
-    counts = counts.reshape(n, FEATURES)
-    counts[:, list(_BLANK)] = 0
-    p = (counts + SMOOTH) / (counts + SMOOTH).sum(axis=1, keepdims=True)
-    p[:, list(_BLANK)] = 0
+    grams = count_grams(rows, languages, text_col, lang_col)
+    if n <= DENSE:
+        got = grams.toArrow()
+        counts = np.zeros(n * FEATURES)
+        counts[got["k"].to_numpy()] = got["n"].to_numpy()
+        counts = counts.reshape(n, FEATURES)
+        counts[:, list(_BLANK)] = 0
+        p = (counts + SMOOTH) / (counts + SMOOTH).sum(axis=1, keepdims=True)
+        p[:, list(_BLANK)] = 0
+    else:
+        ones, zeros = _sides(grams, n, code)
+        ones[list(_BLANK)] = zeros[list(_BLANK)] = 0
     weight = np.zeros((FEATURES, code.shape[1] + 1), np.float32)
     weight[:, -1] = 1
     weight[list(_BLANK), -1] = 0
     centre, half = np.empty(code.shape[1]), np.empty(code.shape[1])
     for b in range(code.shape[1]):
-        one, zero = p[code[:, b] > 0].mean(axis=0), p[code[:, b] < 0].mean(axis=0)
+        if n <= DENSE:
+            one, zero = p[code[:, b] > 0].mean(axis=0), p[code[:, b] < 0].mean(axis=0)
+        else:
+            one, zero = ones[:, b], zeros[:, b]
         w = np.clip(np.log(np.maximum(one, 1e-300) / np.maximum(zero, 1e-300)), -4, 4)
         w[list(_BLANK)] = 0
         weight[:, b] = w
@@ -160,7 +217,12 @@ def _decode(model: Model, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     margin = (sums[:, :-1] + SHRINK * model.centre) / (n + SHRINK)
     z = np.clip((margin - model.centre) / model.half, -3, 3)
     share = model.half / model.half.sum()
-    loss = np.stack([(np.exp(-z * word) * share).sum(axis=1) for word in model.code], axis=1)
+    if len(model.languages) <= DENSE:
+        loss = np.stack([(np.exp(-z * word) * share).sum(axis=1) for word in model.code], axis=1)
+    else:
+        plus = (model.code > 0).T.astype(np.float64)
+        up, down = np.exp(-z) * share, np.exp(z) * share
+        loss = up @ plus + down @ (1 - plus)
     order = np.argsort(loss, axis=1, kind="stable")
     first = np.take_along_axis(loss, order[:, :1], 1)
     second = np.take_along_axis(loss, order[:, 1:2], 1)
@@ -177,9 +239,14 @@ def predict_batch(model: Model, texts: pa.Array) -> tuple[pa.Array, np.ndarray,
     if len(model.languages) == 1:
         score[:] = 1
     elif len(model.languages) > 1:
-        for a, b, f, off in _grams(texts):
+        # a task holds about as much for any number of languages
+        wide = max(1, len(model.code[0]) // 64)
+        for a, b, f, off in _grams(texts, PIECE // wide):
             sums = np.add.reduceat(model.weight[f], off[:-1], axis=0, dtype=np.float64)
-            best[a:b], score[a:b], vague[a:b] = _decode(model, sums)
+            step = max(1, (1 << 20) // len(model.languages))
+            for i in range(a, b, step):
+                j = min(b, i + step)
+                best[i:j], score[i:j], vague[i:j] = _decode(model, sums[i - a: j - a])
     else:
         letters[:] = False
     names = np.array([*model.languages, UND], object)

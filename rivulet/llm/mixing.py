@@ -10,8 +10,11 @@ every shard gets a random share of each source and the shares add up exactly.
 Within a source, a seeded permutation of its blocks deals disjoint runs of
 them to the shards, and a shard orders its documents by another hash.
 
-The tree works on one row per source, on the driver, checked against
-``MAX_SOURCES``; documents are only scanned, counted per (source, piece of the
+The tree works on one row per source, on the driver, up to ``MAX_SOURCES``.
+Beyond, sources are numbered in ranges, shares are found by aggregates, and the
+tree goes in two steps: the driver draws for buckets of sources, then a task
+per bucket draws for its sources what the bucket was given; a draw from a draw
+has the law of one.  Documents are only scanned, counted per (source, piece of the
 order), and numbered within pieces, so a source of any size is cut into
 pieces of about ``PIECE`` documents.  The shuffled rows are (id, source,
 size, hash).
@@ -32,12 +35,16 @@ from __future__ import annotations
 from math import gcd
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.llm._store import store
 
 WEIGHTS, CAP, SHARDS, BLOCK, SEED = (5, 2, 1), 3, 8, 4096, "mix-1"
 MAX_SOURCES, PIECE = 100_000, 200_000
+PLAN = ("source_ string, source_size long, target double, whole long, rest long, per_epoch long, blocks long, "
+        "step long, shift long, cuts array<long>")
+PLAN_COLUMNS = [c.split()[0] for c in PLAN.split(", ")]
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -59,9 +66,10 @@ def targets(sizes: list[int], weights: list[int], cap: int = CAP) -> list[float]
         full |= over
 
 
-def split(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarray:
+def split(quotas: np.ndarray, shards: int, rng: np.random.Generator, given: np.ndarray | None = None) -> np.ndarray:
     """Blocks of each source for each shard (sources x shards): at every node
-    of a binary tree the left shards' blocks are drawn from the node's."""
+    of a binary tree the left shards' blocks are drawn from the node's.  Shards
+    get equal shares, or as many blocks as ``given`` says."""
     out = np.zeros((len(quotas), shards), np.int64)
 
     def node(blocks: np.ndarray, lo: int, hi: int) -> None:
@@ -70,7 +78,7 @@ def split(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarr
             return
         mid = (lo + hi) // 2
         n = int(blocks.sum())
-        k = n * (mid - lo) // (hi - lo)
+        k = n * (mid - lo) // (hi - lo) if given is None else int(given[lo:mid].sum())
         left = rng.multivariate_hypergeometric(blocks, k, method="marginals") if n else blocks
         node(left, lo, mid)
         node(blocks - left, mid, hi)
@@ -96,14 +104,72 @@ def plan(totals: list[tuple[str | None, int]], weights=WEIGHTS, cap: int = CAP,
         per_epoch = -(-size // block)
         rows.append([source, size, target, whole, rest, per_epoch, whole * per_epoch + -(-rest // block)])
     parts = split(np.array([r[6] for r in rows], np.int64), shards, rng)
-    out = []
-    for row, part in zip(rows, parts):
-        n = max(1, row[6])
-        step = int(rng.integers(1, n + 1))
-        while gcd(step, n) != 1:
-            step = step % n + 1
-        out.append((*row, step, int(rng.integers(0, n)), np.cumsum(part).tolist()))
-    return out
+    return [(*row, *_permutation(row[6], rng), np.cumsum(part).tolist()) for row, part in zip(rows, parts)]
+
+
+def _permutation(blocks: int, rng: np.random.Generator) -> tuple[int, int]:
+    """Multiplier and shift."""
+    n = max(1, blocks)
+    step = int(rng.integers(1, n + 1))
+    while gcd(step, n) != 1:
+        step = step % n + 1
+    return step, int(rng.integers(0, n))
+
+
+def plan_many(found: DataFrame, weights, cap: int, shards: int, block: int, seed: str) -> DataFrame:
+    """``plan`` as a table, for any number of sources.  ``found``: source,
+    size, n.  The driver sees one row per ``MAX_SOURCES`` sources."""
+    spark, most = found.sparkSession, MAX_SOURCES
+    named = found.where("source is not null")
+    ranged = store(named.repartitionByRange(named.count() // most + 1, "source").withColumn("part", F.spark_partition_id()), "ranged")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)     # one row per range
+    counts = ranged.groupBy("part").agg(F.count("*").alias("rows")).select(
+        "part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("earlier"))
+    own = Window.partitionBy("part").orderBy("source")
+    numbered = ranged.withColumn("row", F.row_number().over(own)).join(counts, "part").select(
+        "source", "size", (F.col("earlier") + F.col("row") - 1).alias("i"))
+    numbered = numbered.unionByName(found.where("source is null").select("source", "size", F.lit(ranged.count()).cast("long").alias("i")))
+    every = F.array(*[F.lit(w) for w in weights])
+    numbered = store(numbered.withColumn("w", F.get(every, (F.col("i") % len(weights)).cast("int"))), "numbered")
+    # as ``targets``: the share only grows, so those beyond their cap are known from it
+    total, used = numbered.agg(F.sum("size"), F.sum("w")).first()
+    share, full = total / used, 0
+    while True:
+        over = F.col("w") * F.lit(share) > cap * F.col("size")
+        capped, used, n = numbered.agg(
+            F.coalesce(F.sum(F.when(over, cap * F.col("size"))), F.lit(0)), F.coalesce(F.sum(F.when(~over, F.col("w"))), F.lit(0)),
+            F.count_if(over)).first()
+        if n == full:
+            break
+        full, share = n, (total - capped) / used if used else float("inf")
+    goal = F.when(F.col("w") * F.lit(share) > cap * F.col("size"), (cap * F.col("size")).cast("double")).otherwise(F.col("w") * F.lit(share))
+    quota, size = F.col("quota"), F.greatest(F.col("size"), F.lit(1))
+    rows = numbered.withColumn("target", goal).withColumn("quota", F.floor(F.col("target") + 0.5)).select(
+        F.floor(F.col("i") / most).alias("bucket"), "i", F.col("source").alias("source_"), F.col("size").alias("source_size"), "target",
+        F.when(F.col("size") > 0, F.floor((quota - quota % size) / size)).otherwise(0).cast("long").alias("whole"),
+        F.when(F.col("size") > 0, quota % size).otherwise(0).cast("long").alias("rest"),
+        F.ceil(F.col("size") / block).alias("per_epoch"))
+    rows = store(rows.withColumn("blocks", F.col("whole") * F.col("per_epoch") + F.ceil(F.col("rest") / block)), "quotas")
+    buckets = rows.groupBy("bucket").agg(F.sum("blocks").alias("n")).orderBy("bucket").collect()
+    rng = np.random.Generator(np.random.PCG64([full, *seed.encode()]))
+    quotas = np.array([r["n"] for r in buckets], np.int64)
+    # numpy draws from less than 1e9 blocks at once: runs of buckets that have no more
+    runs = np.cumsum(quotas) // (4 * 10**8) if quotas.sum() >= 9 * 10**8 else np.zeros(len(quotas), np.int64)
+    parts = np.concatenate([split(quotas[runs == r], shards, rng) for r in np.unique(runs)])
+    given = spark.createDataFrame([(r["bucket"], p.tolist()) for r, p in zip(buckets, parts)], "bucket long, given array<long>")
+
+    def draw(table: pa.Table) -> pa.Table:
+        table = table.sort_by("i")
+        blocks = table["blocks"].to_numpy()
+        rng = np.random.Generator(np.random.PCG64([table["bucket"][0].as_py() + 1, *seed.encode()]))
+        parts = split(blocks, shards, rng, np.array(table["given"][0].as_py()))
+        moves = [_permutation(int(n), rng) for n in blocks]
+        for k, name in enumerate(("step", "shift")):
+            table = table.append_column(name, pa.array([m[k] for m in moves], pa.int64()))
+        table = table.append_column("cuts", pa.array(np.cumsum(parts, axis=1).tolist(), pa.list_(pa.int64())))
+        return table.select(PLAN_COLUMNS)
+
+    return store(rows.join(given, "bucket").groupBy("bucket").applyInArrow(draw, PLAN), "plan")
 
 
 def _draw_key(seed: str, id_col: str, text_col: str) -> Column:
@@ -120,17 +186,24 @@ def _placed(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, shards: int = SHAR
     thin = store(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
         _draw_key(seed, id_col, text_col).alias("draw"), F.xxhash64(text_col).alias("text_key")), "sizes")
-    found = thin.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
-    if len(found) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    totals = thin.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
+    found = totals.limit(MAX_SOURCES + 1).collect()
+    many = len(found) > MAX_SOURCES
+    if many:
+        totals = store(totals, "totals")
+        size, n = totals.agg(F.sum("size"), F.sum("n")).first()
+    else:
+        size, n = sum(r["size"] for r in found), sum(r["n"] for r in found)
     # so that no source, however large, needs more than 1e8 blocks or so
-    block = max(block, -(-sum(r["size"] for r in found) // 10**8))
-    sources = spark.createDataFrame(
-        plan([(r["source"], r["size"]) for r in found], weights, cap, shards, block, seed),
-        "source_ string, source_size long, target double, whole long, rest long, per_epoch long, blocks long, "
-        "step long, shift long, cuts array<long>")
+    block = max(block, -(-size // 10**8))
+    if many:
+        sources = plan_many(totals, weights, cap, shards, block, seed)
+    else:
+        # at most MAX_SOURCES rows of fixed width
+        sources = F.broadcast(spark.createDataFrame(
+            plan([(r["source"], r["size"]) for r in found], weights, cap, shards, block, seed), PLAN))
     # words before a document in its source's order: of earlier pieces, and within its piece
-    pieces = sum(r["n"] for r in found) // PIECE + 1
+    pieces = n // PIECE + 1
     rows = thin.withColumn("part", F.floor(F.conv(F.substring("draw", 1, 8), 16, 10).cast("double") * pieces / float(1 << 32)).cast("int"))
     sums = rows.groupBy("source", "part").agg(F.sum("size").alias("n"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -138,8 +211,7 @@ def _placed(docs: DataFrame, weights=WEIGHTS, cap: int = CAP, shards: int = SHAR
     within = Window.partitionBy("source", "part").orderBy("draw", "size", "text_key").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("within", F.coalesce(F.sum("size").over(within), F.lit(0)))
     rows = rows.join(sums, rows["source"].eqNullSafe(sums["s"]) & (rows["part"] == sums["p"]))
-    # at most MAX_SOURCES rows of fixed width
-    rows = rows.join(F.broadcast(sources), rows["source"].eqNullSafe(sources["source_"]))
+    rows = rows.join(sources, rows["source"].eqNullSafe(sources["source_"]))
     return rows.withColumn("before", F.col("earlier") + F.col("within")), block
 
 

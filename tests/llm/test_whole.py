@@ -149,3 +149,58 @@ def test_keep_one_of_rows_without_an_id(spark):
     assert Counter(number[t] for _, t in got if shingles(t)) == Counter(set(number.values()))
     assert sorted((str(i), str(t)) for i, t in got if not shingles(t)) == sorted((str(r[0]), str(r[1])) for r in rows if not shingles(r[1]))
     assert sorted(str(i) for i, t in got if shingles(t)) == ["20", "30", "5", "None"]
+
+
+def test_any_number_of_languages(spark, monkeypatch):
+    """90 languages; the two ways to count give the same model."""
+    import numpy as np
+
+    from rivulet.llm import language
+
+    rows = []
+    for k in range(90):
+        r = random.Random(k)
+        own = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)]
+        rows += [(100 * k + i, " ".join(r.choices(own, k=40)), f"l{k:03}", "s", 0) for i in range(6)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    model = language.fit(df, F.col("doc_id") % 100 < 5)
+    assert len(model.languages) == 90
+    got = language.identify(df, model).join(df.select("doc_id", "lang"), "doc_id").where("doc_id % 100 = 5")
+    assert got.count() == 90 and got.where("lang = lang_pred").count() >= 88
+    sparse = language.identify(df, model).orderBy("doc_id").collect()
+    monkeypatch.setattr(language, "DENSE", 1000)
+    dense = language.fit(df, F.col("doc_id") % 100 < 5)
+    assert np.allclose(model.weight, dense.weight, atol=1e-5) and np.allclose(model.centre, dense.centre)
+    same = language.identify(df, dense).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in sparse] == [r.lang_pred for r in same]
+    code = language.codewords(2000)
+    assert code.shape[0] == 2000 and len(np.unique(code, axis=0)) == 2000
+
+
+def test_any_number_of_sources(spark, monkeypatch):
+    """More sources than the driver plans for: targets as before, and blocks
+    that add up."""
+    from rivulet.llm import mixing
+
+    from .test_exact import brute_mix, rows
+
+    table = [(i, " ".join(words(i, i * 7 % 90)), "en", None if i % 23 == 22 else f"h{i % 23}", 0) for i in range(200)]
+    table += [(900, "", "en", "empty", 0), (901, " ".join(words(901, 2000)), "en", "h1", 0)]
+    want = brute_mix(table)
+    df = spark.createDataFrame(table, SCHEMA).repartition(3)
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    for most in (100_000, 4):
+        monkeypatch.setattr(mixing, "MAX_SOURCES", most)
+        got = mixing.mix(df, block=32).cache()
+        assert [(a, b, c, round(d, 6), e) for a, b, c, d, e in rows(got, *columns)] == want
+        draws = got.select("source", F.explode("draws").alias("d")).select("source", "d.*")
+        assert draws.where("shard < 0 or shard >= 8").count() == 0
+        assert draws.groupBy("source", "block").agg(F.countDistinct("shard").alias("n")).where("n > 1").count() == 0
+        assert draws.select("shard").distinct().count() == 8
+    totals = spark.createDataFrame([(f"s{i:04}" if i else None, i * 50 % 999, 1) for i in range(300)], "source string, size long, n long")
+    plan = mixing.plan_many(totals, (5, 2, 1), 3, 8, 32, "x").collect()
+    assert len(plan) == 300 and all(r.cuts[-1] == r.blocks and r.cuts == sorted(r.cuts) for r in plan)
+    shards = [sum(r.cuts[k] - (r.cuts[k - 1] if k else 0) for r in plan) for k in range(8)]
+    assert max(shards) - min(shards) <= 3
+    want = {r[0]: r[1:7] for r in mixing.plan([(t.source, t["size"]) for t in totals.collect()], (5, 2, 1), 3, 8, 32, "x")}
+    assert {r.source_: tuple(r)[1:7] for r in plan} == want
