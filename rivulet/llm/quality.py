@@ -17,7 +17,9 @@ path's posterior odds differ from the global ones.
 
 Feature counts are summed per task and then by feature; sites are aggregates
 (path, then host from its paths, then one global row), joined back by key.
-Only the model (FEATURES rows at most) and single rows reach the driver.
+Only the model (FEATURES rows at most) and single rows reach the driver.  Labels
+meet ids and hashes of texts; the texts themselves are not shuffled for them
+(beyond ``MOST_BROADCAST`` labelled texts, once).
 
 Edge cases: null and empty texts have no features, so only prior and site
 speak; null hosts or paths are sites of their own; labels without a document,
@@ -40,6 +42,7 @@ FEATURES = HASHED + SHARES * RANGES
 LEAST_RATIO, LEAST_Z = 1.0, 4.0
 BIN, MOST = 0.25, 10.0     # calibration bins of the evidence
 WEAKEST, STRONGEST = 1.0, 1e6   # prior strengths, in documents
+MOST_BROADCAST = 2_000_000      # labelled texts whose ids and labels are broadcast
 
 
 def _classes() -> np.ndarray:
@@ -88,21 +91,44 @@ def features(texts: pa.Array):
 
 
 def count_features(labelled: DataFrame) -> DataFrame:
-    """(feature, n, good, toxic) over the rows (text, quality, toxic)."""
+    """(feature, n, good, toxic) over the rows (text, quality, toxic, share);
+    a row counts as its ``share``, and the shares of one text add up to 1."""
     def run(batches):
-        total = np.zeros((3, FEATURES), np.int64)
+        total = np.zeros((3, FEATURES))
         for batch in batches:
             marks = [batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2)]
+            share = batch.column(3).to_numpy(zero_copy_only=False)
             for a, _, f, doc in features(batch.column(0)):
-                total[0] += np.bincount(f, minlength=FEATURES)
+                total[0] += np.bincount(f, weights=share[doc + a], minlength=FEATURES)
                 for i, m in enumerate(marks):
-                    total[i + 1] += np.bincount(f, weights=m[doc + a], minlength=FEATURES).astype(np.int64)
+                    total[i + 1] += np.bincount(f, weights=(m * share)[doc + a], minlength=FEATURES)
         at = np.flatnonzero(total[0])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x, pa.int64()) for x in (at, *total[:, at])], names=["feature", "n", "good", "toxic"])
+            [pa.array(at, pa.int64()), *[pa.array(x) for x in total[:, at]]], names=["feature", "n", "good", "toxic"])
 
-    return labelled.mapInArrow(run, "feature long, n long, good long, toxic long").groupBy("feature").agg(
-        *[F.sum(c).alias(c) for c in ("n", "good", "toxic")])
+    return labelled.mapInArrow(run, "feature long, n double, good double, toxic double").groupBy("feature").agg(
+        *[F.round(F.sum(c)).cast("long").alias(c) for c in ("n", "good", "toxic")])
+
+
+def learnt_texts(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """One row (id, hash, quality, toxic, share) per labelled text and pair of
+    labels, found on ids and hashes alone; ``share`` is one over how many rows
+    hold that id and text.  Stored: a thin table."""
+    thin = rows.select("id", F.xxhash64("text").alias("hash")).join(known.distinct(), F.col("id") == F.col("__id"))
+    return store(thin.groupBy("hash", "quality", "toxic", "id").agg(F.count("*").alias("n"))
+                 .groupBy("hash", "quality", "toxic").agg(F.min(F.struct("id", "n")).alias("one"))
+                 .select("one.id", "hash", "quality", "toxic", (1 / F.col("one.n")).alias("share")), "learnt")
+
+
+def _with_labels(rows: DataFrame, learnt: DataFrame) -> DataFrame:
+    """Texts of ``learnt``: it is broadcast up to MOST_BROADCAST rows (of five
+    numbers each); more are joined by one shuffle of texts, which the one scan
+    of them then reads."""
+    if learnt.count() <= MOST_BROADCAST:
+        learnt = F.broadcast(learnt)
+    learnt = learnt.withColumnRenamed("id", "__id")
+    same = (F.col("id") == F.col("__id")) & (F.xxhash64("text") == F.col("hash"))
+    return rows.select("id", "text").join(learnt, same).select("text", "quality", "toxic", "share")
 
 
 def _weights(n: np.ndarray, yes: np.ndarray, total: int, total_yes: int) -> np.ndarray:
@@ -112,11 +138,11 @@ def _weights(n: np.ndarray, yes: np.ndarray, total: int, total_yes: int) -> np.n
     return np.where((np.abs(ratio) >= LEAST_RATIO) & (z >= LEAST_Z), ratio, 0.0)
 
 
-def fit(labelled: DataFrame) -> np.ndarray:
-    """Weights (2 x FEATURES: quality, toxicity) from (text, quality, toxic)."""
-    totals = labelled.agg(F.count("*"), F.sum("quality"), F.sum("toxic")).first()
+def fit(rows: DataFrame, learnt: DataFrame) -> np.ndarray:
+    """Weights (2 x FEATURES: quality, toxicity) from the texts of ``learnt``."""
+    totals = learnt.agg(F.count("*"), F.sum("quality"), F.sum("toxic")).first()
     out = np.zeros((2, FEATURES))
-    got = count_features(labelled).toArrow()
+    got = count_features(_with_labels(rows, learnt)).toArrow()
     at, n = got["feature"].to_numpy(), got["n"].to_numpy()
     for i, c in enumerate(("good", "toxic")):
         yes = totals[i + 1] or 0
@@ -219,8 +245,7 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        host.cast("string").alias("host"), path.cast("string").alias("path"))
     # copies of a text say no more about its words than one
-    learnt = rows.join(known, F.col("id") == F.col("__id")).withColumn("__text", F.xxhash64("text"))
-    weights = fit(learnt.dropDuplicates(["__text", "quality", "toxic"]).select("text", "quality", "toxic"))
+    weights = fit(rows, learnt_texts(rows, known))
     scored = store(evidence(rows, weights, "text", ["id", "host", "path"]), "evidence")
     marked = store(scored.join(known, F.col("id") == F.col("__id")), "marked")
     for score, label, p in (("s_quality", "quality", "p_quality"), ("s_toxic", "toxic", "p_toxic")):

@@ -89,7 +89,7 @@ def test_interval_expansion():
                 assert [seen[r[i: i + length]] > 1 for i in range(len(r) - length + 1)] == hit.tolist()
 
 
-def brute_components(table):
+def brute_components(table, threshold=85):
     sets = []
     for i, t, *_ in table:
         w = re.findall(BLANK, fold(t))
@@ -104,7 +104,7 @@ def brute_components(table):
     for a in range(len(sets)):
         for b in range(a):
             x, y = sets[a][1], sets[b][1]
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= threshold * len(x | y):
                 root[find(a)] = find(b)
     least = defaultdict(list)
     for k, (i, _) in enumerate(sets):
