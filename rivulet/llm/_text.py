@@ -11,13 +11,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 CHUNK = 1 << 20
 
 U64 = np.uint64
-#: odd multipliers of the polynomial hashes (arithmetic is modulo 2**64)
-BYTE_BASE = 0x9E3779B97F4A7C15
-WORD_BASE = 0xD6E8FEB86659FD93
+#: words of up to 8 * ROUNDS bytes are hashed side by side, longer ones each
+ROUNDS = 32
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -31,43 +31,90 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x
 
 
-def byte_table(seed: int) -> np.ndarray:
-    return mix(np.arange(256, dtype=U64), seed + 17)
-
-
-class Cache(dict):
-    """Tables of one process; pickled empty, so tasks stay small."""
-
-    def __reduce__(self):
-        return Cache, ()
-
-
-_POWERS = Cache()
-
-
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    key = base, max(16, int(n).bit_length())
-    if key not in _POWERS:
-        pair = []
-        for b in (base, pow(base, -1, 2**64)):
-            p = np.full(1 << key[1], b, U64)
-            p[0] = 1
-            pair.append(np.multiply.accumulate(p))
-        _POWERS[key] = pair
-    up, down = _POWERS[key]
-    return up[:n], down[:n]
+def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One hash for the ordered pairs (a, b) of hashes.  Mixed at every step:
+    unlike sums of powers, no pattern of equal terms cancels."""
+    x = a * U64(0x9E3779B97F4A7C15) + (b ^ (b >> U64(31))) * U64(0xD6E8FEB86659FD93)
+    x ^= x >> U64(32)
+    x *= U64(0xBF58476D1CE4E5B9)
+    x ^= x >> U64(29)
+    return x
 
 
-def windows(x: np.ndarray, width: int, base: int) -> np.ndarray:
-    """Polynomial hash of every run of ``width`` consecutive entries of the
-    uint64 array ``x``; entry i covers x[i : i + width]."""
-    n = len(x)
-    if n < width:
+def windows(x: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every run of ``width`` consecutive entries of the uint64 array
+    ``x``; entry i covers x[i : i + width].  Runs of 1, 2, 4 ... entries are
+    doubled, and those that add up to ``width`` are combined."""
+    n = len(x) - width + 1
+    if n <= 0:
         return np.empty(0, U64)
-    up, down = powers(base, n)
-    total = np.concatenate([np.zeros(1, U64), np.cumsum(x * up, dtype=U64)])
-    return (total[width:] - total[:-width]) * down[: n - width + 1]
+    out, done, step = None, 0, 1
+    while True:
+        if width & step:
+            piece = x[done: done + n]
+            out = piece if out is None else combine(out, piece)
+            done += step
+        if 2 * step > width:
+            return out
+        x = combine(x[:-step], x[step:])
+        step *= 2
+
+
+def byte_strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each byte string data[start : end], in blocks of 8 bytes."""
+    size = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    word = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))   # the 8 bytes from every place on
+    mask = np.array([(1 << 8 * i) - 1 for i in range(9)], U64)
+    out = combine(mix(word[starts] & mask[np.minimum(size, 8)]), size.astype(U64))
+    left = np.flatnonzero((size > 8) & (size <= 8 * ROUNDS))
+    at = 8
+    while len(left):
+        block = word[starts[left] + at] & mask[np.minimum(size[left] - at, 8)]
+        out[left] = combine(out[left], mix(block, at))
+        at += 8
+        left = left[size[left] > at]
+    for i in np.flatnonzero(size > 8 * ROUNDS).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]: ends[i]].tobytes())
+    return out
+
+
+class Spans:
+    """Hashes of long substrings of one buffer: every run of 2**k bytes is
+    hashed by doubling, and a substring is known by its length and the two such
+    runs that begin and end it.  Holds one array, of runs of ``least`` bytes."""
+
+    def __init__(self, data: np.ndarray, width: int):
+        """``width``: the shortest substring asked for."""
+        self.level, self.step = data.astype(U64), 1
+        self.least = 1 << (int(width).bit_length() - 1)
+
+    def _doubled(self, level: np.ndarray, step: int) -> np.ndarray:
+        if step <= 4:
+            return level[:-step] | (level[step:] << U64(8 * step))
+        return combine(level[:-step], level[step:])
+
+    def upto(self, step: int) -> np.ndarray:
+        """Hashes of the runs of ``step`` bytes, a power of two up to ``least``
+        and not below an earlier one."""
+        while self.step < step:
+            self.level = self._doubled(self.level, self.step)
+            self.step *= 2
+        return self.level
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        size = ends - starts
+        out = np.empty(len(size), U64)
+        level, step = self.upto(self.least), self.least
+        todo = np.arange(len(size))
+        while len(todo):
+            more = size[todo] >= 2 * step
+            i = todo[~more]
+            out[i] = combine(combine(level[starts[i]], level[ends[i] - step]), size[i].astype(U64))
+            todo = todo[more]
+            if len(todo):
+                level, step = self._doubled(level, step), 2 * step
+        return out
 
 
 def separators(pattern: str) -> np.ndarray:
@@ -134,10 +181,7 @@ class Words:
         self.doc = np.repeat(np.arange(len(offsets) - 1), self.count)
         self.data = data
         if hashed:
-            up, down = powers(BYTE_BASE, n + 1)
-            total = np.zeros(n + 1, U64)
-            np.cumsum(byte_table(0)[data] * up[:n], dtype=U64, out=total[1:])
-            self.hash = mix((total[self.ends] - total[self.starts]) * down[self.starts], 1)
+            self.hash = byte_strings(data, self.starts, self.ends)
 
     def fits(self, width: int) -> np.ndarray:
         """Start words of the windows of ``width`` words inside a document."""

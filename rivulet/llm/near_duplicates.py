@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivulet.llm._store import components, store
-from rivulet.llm._text import U64, WORD_BASE, Words, chunks, lists, mix, powers, separators
+from rivulet.llm._text import U64, Words, chunks, combine, lists, mix, separators, windows
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5
@@ -55,15 +55,13 @@ def shingle_sets(texts: pa.Array):
     sep = separators("space")
     for a, b, data, off in chunks(texts):
         w = Words(data, off, sep, fold=True)
-        n = len(w.hash)
-        up, down = powers(WORD_BASE, n + 1)
-        total = np.zeros(n + 1, U64)
-        np.cumsum(w.hash * up[:n], dtype=U64, out=total[1:])
         at = w.fits(SHINGLE)
-        full = mix((total[at + SHINGLE] - total[at]) * down[at], SHINGLE)
+        full = mix(windows(w.hash, SHINGLE)[at], SHINGLE)
         few = np.flatnonzero((w.count > 0) & (w.count < SHINGLE))
-        lo, hi = w.first[few], w.first[few + 1]
-        short = mix((total[hi] - total[lo]) * down[lo] + (hi - lo).astype(U64), 0)
+        short = np.empty(len(few), U64)
+        for size in range(1, SHINGLE):
+            mine = w.count[few] == size
+            short[mine] = mix(windows(w.hash, size)[w.first[few[mine]]], -size)
         doc = np.concatenate([w.doc[at], few])
         value = np.concatenate([full, short])
         order = np.argsort(value)
@@ -113,8 +111,10 @@ def sketches(value: np.ndarray, first: np.ndarray, bins: int) -> np.ndarray:
 
 def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One key per band: the band's number is part of the hash."""
-    up, _ = powers(WORD_BASE, rows)
-    part = (mix(sketch, 5).reshape(len(sketch), bands, rows) * up).sum(axis=2, dtype=U64)
+    of_band = mix(sketch, 5).reshape(len(sketch), bands, rows)
+    part = of_band[:, :, 0]
+    for i in range(1, rows):
+        part = combine(part, of_band[:, :, i])
     return mix(part + np.arange(bands, dtype=U64) * U64(0xD6E8FEB86659FD93), 6).view(np.int64)
 
 

@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rivulet.llm._text import BYTE_BASE, U64, byte_table, chunks, covered, expand, mix, powers, windows
+from rivulet.llm._text import U64, Spans, chunks, covered, expand, mix
 from rivulet.llm.repeated_passages import _bucket, _member, _per_bucket, _runs, planes, text_bytes, unplanes
 
 LENGTH = 200
@@ -156,7 +156,7 @@ class Repeats:
 
     def __init__(self, length: int, n_buckets: int, hot: int = HOT, shard: int = SHARD):
         self.length, self.n, self.hot, self.shard = length, n_buckets, hot, shard
-        self.kgram = min(KGRAM, length)
+        self.kgram = min(KGRAM, 1 << (length.bit_length() - 1))
 
     def _loops(self, h: np.ndarray, st: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
         """May a run repeat a string of its own?  Only if its key occurs twice
@@ -171,32 +171,26 @@ class Repeats:
 
     def _runs(self, texts: pa.Array, loops: bool = False):
         """Per chunk: first row, bytes, offsets, starts, and the runs: place in
-        starts, key, content hash, number of starts, then the sums for string
-        hashes (``loops``: whether each run may repeat a string of its own)."""
+        starts, key, content hash, number of starts, then the hashes of
+        substrings (``loops``: whether each run may repeat a string of its own)."""
         for a, _, data, off in chunks(texts):
-            n = len(data)
             st, doc = expand(off[:-1], np.maximum(off[:-1], off[1:] - self.length + 1))
             if not len(st):
                 yield a, data, off, st, *[np.empty(0, t) for t in (np.int64, U64, U64, np.int64, bool)]
                 continue
-            x = byte_table(1)[data]
-            h = mix(windows(x, self.kgram, BYTE_BASE), 7)
+            spans = Spans(data, self.length)
+            h = mix(spans.upto(self.kgram), 7)
             low = sliding_min(h, self.length - self.kgram + 1)[st]
             new = np.ones(len(st), bool)
             new[1:] = (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])
             at = np.flatnonzero(new)
             count = np.diff(np.append(at, len(st)))
-            up, down = powers(BYTE_BASE, n + 1)
-            total = np.zeros(n + 1, U64)
-            np.cumsum(x * up[:n], dtype=U64, out=total[1:])
             b = st[at]
-            e = b + count - 1 + self.length
-            content = mix((total[e] - total[b]) * down[b] + count.astype(U64) * U64(0x9E3779B97F4A7C15), 8)
-            yield a, data, off, st, at, low[at], content, count, self._loops(h, st, at, count) if loops else (total, down)
+            content = mix(spans.of(b, b + count - 1 + self.length) ^ count.astype(U64), 8)
+            yield a, data, off, st, at, low[at], content, count, self._loops(h, st, at, count) if loops else spans
 
-    def _strings(self, sums, start: np.ndarray) -> np.ndarray:
-        total, down = sums
-        return mix((total[start + self.length] - total[start]) * down[start], 10)
+    def _strings(self, spans: Spans, start: np.ndarray) -> np.ndarray:
+        return mix(spans.of(start, start + self.length), 10)
 
     ENTRIES = pa.schema([("g", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()),
                          ("contents", pa.binary()), ("many", pa.binary()), ("loops", pa.binary())])
@@ -296,7 +290,7 @@ class Repeats:
         name, bucket, key, content, many = name[order], bucket[order], key[order], content[order], many[order]
         found: list = [None] * len(name)
         strings = []
-        for _, data, _, st, at, k, c, count, sums in self._runs(group["text"].combine_chunks()):
+        for _, data, _, st, at, k, c, count, hashes in self._runs(group["text"].combine_chunks()):
             if len(name):
                 label = mix(k, 11) ^ c
                 for r in np.flatnonzero(_member(label, name)):
@@ -308,7 +302,7 @@ class Repeats:
                 r = _member(k, hot_keys)
                 if r.any():
                     pos, _ = expand(at[r], at[r] + count[r])
-                    strings.append(self._strings(sums, st[pos]))
+                    strings.append(self._strings(hashes, st[pos]))
         g = group["g"][0].as_py()
         out = []
         for b in np.unique(bucket):
@@ -425,7 +419,7 @@ class Repeats:
         order = np.argsort(names, kind="stable")
         names, spans = names[order], spans[order]
         size, gone_n, span_n, kept, cut = [], [], [], [], []
-        for a, data, off, st, at, k, c, count, sums in self._runs(group["text"].combine_chunks()):
+        for a, data, off, st, at, k, c, count, hashes in self._runs(group["text"].combine_chunks()):
             name = mix(k, 11) ^ c
             begin = st[at] if len(at) else at
             r = _member(name, whole)
@@ -435,7 +429,7 @@ class Repeats:
             first.append(begin[src] + spans[pos, 0])
             extent.append(spans[pos, 1] - spans[pos, 0] - 1 + self.length)
             if len(strings) and len(st):
-                s = st[_member(self._strings(sums, st), strings)]
+                s = st[_member(self._strings(hashes, st), strings)]
                 first.append(s)
                 extent.append(np.full(len(s), self.length))
             gone = covered(np.concatenate(first).astype(np.int64), np.concatenate(extent).astype(np.int64), len(data))

@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rivulet.llm._text import U64, WORD_BASE, Words, chunks, covered, mix, powers, separators
+from rivulet.llm._text import U64, Words, chunks, covered, mix, separators, windows
 
 WINDOW = 50
 GROUP_BYTES = 16 << 20
@@ -58,12 +58,9 @@ def unplanes(b: bytes, dtype) -> np.ndarray:
 
 def _rolling(w: Words, width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Start words and hashes of the windows of ``width`` words."""
-    n = len(w.hash)
-    up, down = powers(WORD_BASE, n + 1)
-    total = np.zeros(n + 1, U64)
-    np.cumsum(w.hash * up[:n], dtype=U64, out=total[1:])
     at = w.fits(width)
-    return at, mix((total[at + width] - total[at]) * down[at], seed)
+    h = windows(w.hash, width)
+    return at, mix(h[at], seed)
 
 
 def _bucket(h: np.ndarray, n: int) -> np.ndarray:
