@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import decontaminate, language, mixing, near_duplicates, order_minhash, preferences, quality, repeated_bytes, repeated_passages, sharding
+from rivulet.llm import decontaminate, language, mixing, near_duplicates, order_minhash, preferences, quality, quality_rules, repeated_bytes, repeated_passages, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,7 +73,13 @@ def op4_empirical_bayes_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
+    "op13_robust_outliers": op13_robust_outliers,
     "op4_empirical_bayes_quality": op4_empirical_bayes_quality,
     "op3_hypergeometric_mix": op3_hypergeometric_mix,
     "op5_rendezvous_shards": op5_rendezvous_shards,
