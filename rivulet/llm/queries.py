@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import decontaminate, language, mixing, near_duplicates, order_minhash, preferences, quality, quality_rules, repeated_bytes, repeated_passages, sharding
+from rivulet.llm import decontaminate, language, merkle, mixing, near_duplicates, order_minhash, preferences, quality, quality_rules, repeated_bytes, repeated_passages, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,7 +78,14 @@ def op13_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_bitmap_rank_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return merkle.audit(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 0).select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {
+    "op11_bitmap_rank_manifest": op11_bitmap_rank_manifest,
     "op13_robust_outliers": op13_robust_outliers,
     "op4_empirical_bayes_quality": op4_empirical_bayes_quality,
     "op3_hypergeometric_mix": op3_hypergeometric_mix,
@@ -93,6 +100,47 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op11_bitmap_rank_manifest": r"""
+WITH RECURSIVE d AS (
+  SELECT *, crc32sum % 7 = 0 AS bad FROM (
+    SELECT doc_id, source, lang, n_chars, text, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+             list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+             lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384))), 4294967295) AS crc32sum
+    FROM documents)),
+f AS (
+  SELECT doc_id, lang, bad,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') AS front,
+         coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS size,
+         coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') AS size1,
+         coalesce(strlen(text) || ':' || text, '-') AS rest FROM d),
+l AS (SELECT doc_id, lang, sha256(front || size || rest) AS leaf,
+             sha256(front || CASE WHEN bad THEN size1 ELSE size END || rest) AS seen FROM f),
+p AS (SELECT *, row_number() OVER o - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n, row_number() OVER () AS rid
+      FROM l WINDOW o AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf)),
+lv AS (SELECT lang, 0 AS lvl, pos AS idx, leaf AS h, n FROM p
+       UNION ALL
+       SELECT lang, lvl + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (max(n) + 1) // 2 FROM lv WHERE n > 1 GROUP BY lang, lvl, idx // 2),
+s AS (SELECT lang, h AS subroot, lvl AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM lv WHERE n = 1),
+tv AS (SELECT 0 AS lvl, pos AS idx, subroot AS h, n FROM s
+       UNION ALL
+       SELECT lvl + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (max(n) + 1) // 2 FROM tv WHERE n > 1 GROUP BY lvl, idx // 2),
+r AS (SELECT h AS root, lvl AS height FROM tv WHERE n = 1),
+a AS (SELECT p.rid, x.lvl AS lvl, CASE WHEN lv.h IS NULL THEN 'N' WHEN (p.pos >> x.lvl) & 1 = 0 THEN 'R' || lv.h ELSE 'L' || lv.h END AS step
+      FROM p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang JOIN (SELECT unnest(range(0, 64)) AS lvl) x ON x.lvl < s.height
+      LEFT JOIN lv ON lv.lang IS NOT DISTINCT FROM p.lang AND lv.lvl = x.lvl AND lv.idx = xor(p.pos >> x.lvl, 1)
+      UNION ALL
+      SELECT p.rid, 100 + x.lvl, CASE WHEN tv.h IS NULL THEN 'N' WHEN (s.pos >> x.lvl) & 1 = 0 THEN 'R' || tv.h ELSE 'L' || tv.h END
+      FROM p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang CROSS JOIN r JOIN (SELECT unnest(range(0, 64)) AS lvl) x ON x.lvl < r.height
+      LEFT JOIN tv ON tv.lvl = x.lvl AND tv.idx = xor(s.pos >> x.lvl, 1)),
+w AS (SELECT rid, list(step ORDER BY lvl) AS steps FROM a GROUP BY rid)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM (
+  SELECT p.doc_id, p.leaf, s.subroot, r.root,
+         sha256(coalesce(array_to_string(list_transform(w.steps, lambda x: substr(x, 2)), ''), '')) AS proof_sha256,
+         list_reduce(list_prepend(p.seen, coalesce(w.steps, [])), lambda h, x: sha256(
+           CASE substr(x, 1, 1) WHEN 'N' THEN h WHEN 'R' THEN h || substr(x, 2) ELSE substr(x, 2) || h END)) AS folded_root
+  FROM p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang CROSS JOIN r LEFT JOIN w ON w.rid = p.rid)
+""",
     "op3_hypergeometric_mix": r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
                   md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))) AS draw FROM documents),
