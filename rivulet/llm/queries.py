@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rivulet.llm import decontaminate, language, merkle, mixing, near_duplicates, order_minhash, preferences, quality, quality_rules, repeated_bytes, repeated_passages, sharding
+from rivulet.llm import decontaminate, language, merkle, mixing, near_duplicates, order_minhash, preferences, prefix_trie, quality, quality_rules, repeated_bytes, repeated_passages, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,7 +84,15 @@ def op11_bitmap_rank_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", merkle.proof_digest().alias("proof_sha256"), "folded_root", "verified")
 
 
+def op12_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.turns(_table(spark, sf_dir, "conversations"))
+    c = F.col("c")
+    rebuilt, convs = prefix_trie.with_shared_openings(own, c - c % 5, F.crc32(c.cast("string")) % 9, 8)
+    return prefix_trie.trie(prefix_trie.named(rebuilt), convs).drop("name")
+
+
 QUERIES = {
+    "op12_zfast_trie": op12_zfast_trie,
     "op11_bitmap_rank_manifest": op11_bitmap_rank_manifest,
     "op13_robust_outliers": op13_robust_outliers,
     "op4_empirical_bayes_quality": op4_empirical_bayes_quality,
@@ -100,6 +108,39 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op12_zfast_trie": r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                            sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+c AS (
+  SELECT s.conv_id, s.n, b.n AS nb, s.conv_id - s.conv_id % 5 AS base,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+               list_transform(string_split(CAST(s.conv_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+               lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384))), 4294967295) % 9 AS h
+  FROM s LEFT JOIN s b ON b.conv_id = s.conv_id - s.conv_id % 5),
+r AS (
+  SELECT c.conv_id, t.k AS d, role, text FROM c JOIN t ON t.conv_id = c.base AND t.k <= c.h
+  UNION ALL
+  SELECT c.conv_id, least(c.h, coalesce(c.nb, 0)) + t.k - c.h, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.k > c.h),
+x AS (SELECT conv_id, d, strlen(text) AS bytes,
+             md5(string_agg(strlen(role) || ':' || role || strlen(text) || ':' || text, '') OVER (
+               PARTITION BY conv_id ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS name FROM r),
+y AS (SELECT conv_id, d, bytes, name, lag(name, 1, '') OVER (PARTITION BY conv_id ORDER BY d) AS up,
+             d = max(d) OVER (PARTITION BY conv_id) AS last FROM x
+      UNION ALL SELECT conv_id, 0, 0, '', NULL, conv_id NOT IN (SELECT conv_id FROM x) FROM c),
+n AS (SELECT d, name, min(conv_id) AS conv, count(*) AS n_convs, max(bytes) AS bytes, max(up) AS up,
+             string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE last) AS ends FROM y GROUP BY d, name),
+k AS (SELECT d - 1 AS d, up AS name, count(*) AS n_children FROM n WHERE d > 0 GROUP BY d, up),
+m AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k ON k.d = n.d AND k.name = n.name),
+u AS (SELECT y.d, y.name, sum(CASE WHEN m.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((m.n_convs - 1) * m.bytes) AS saved_tokens
+      FROM m JOIN y ON y.conv_id = m.conv AND y.d <= m.d GROUP BY y.d, y.name)
+SELECT m.conv AS conv_id, CAST(m.d AS BIGINT) AS depth, p.conv AS parent_conv_id, m.n_convs, m.n_children,
+       CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM m JOIN u ON u.d = m.d AND u.name = m.name LEFT JOIN m p ON p.d = m.d - 1 AND p.name = m.up
+""",
     "op11_bitmap_rank_manifest": r"""
 WITH RECURSIVE d AS (
   SELECT *, crc32sum % 7 = 0 AS bad FROM (
