@@ -275,7 +275,7 @@ def distance() -> Column:
     """Squared Mahalanobis distance of x0.. under the row's ``mu`` and ``inv``."""
     d = [F.col(f"x{i}") - F.get("mu", F.lit(i)) for i in range(P)]
     parts = [F.get("inv", F.lit(k)) * (1.0 if i == j else 2.0) * d[i] * d[j] for k, (i, j) in enumerate(PAIRS)]
-    return F.greatest(sum(parts[1:], parts[0]), F.lit(0.0))
+    return F.when(F.col("mu").isNotNull(), F.greatest(sum(parts[1:], parts[0]), F.lit(0.0)))
 
 
 def _meet(rows: DataFrame, est: DataFrame) -> DataFrame:

@@ -27,8 +27,8 @@ def con():
 
 def normal(df):
     df = df[sorted(df.columns)]
-    return sorted(tuple("null" if not isinstance(v, str) and pd.isna(v) else repr(round(v, 9)) if isinstance(v, float) else str(v)
-                        for v in row) for row in df.itertuples(index=False))
+    return sorted(tuple("null" if not isinstance(v, str) and pd.isna(v) else str(int(v)) if isinstance(v, float) and v.is_integer()
+                        else repr(round(v, 9)) if isinstance(v, float) else str(v) for v in row) for row in df.itertuples(index=False))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
