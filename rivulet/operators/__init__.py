@@ -1,4 +1,5 @@
 from rivulet.operators.aggregates import fold_by_key, keyed_sum, running_sum
+from rivulet.operators.folds import Fold, fold_keys, fold_updates, rising_run
 from rivulet.operators.joins import (asof_resolve, asof_union, combine_orders, enrich_asof,
                                      enrich_latest, interval_join)
 from rivulet.operators.quality import (ErrorBudgetExceeded, check_error_budget, error_budget,

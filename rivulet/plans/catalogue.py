@@ -17,11 +17,12 @@ from pyspark.sql import types as T
 from rivulet.functions.text import after_first_dash, parse_long
 from rivulet.functions.time import local_time_to_millis, millis_to_local_time
 from rivulet.operators import (combine_orders, enrich_asof, enrich_latest, error_budget,
-                               fold_by_key, hello_values, interval_join, keyed_sum,
-                               late_records, order_number_chain, quarantine_non_numeric,
-                               running_sum, split_oversize, stream_time, table_from_topic,
+                               fold_by_key, fold_keys, fold_updates, hello_values, interval_join,
+                               keyed_sum, late_records, order_number_chain,
+                               quarantine_non_numeric, rising_run, running_sum, split_oversize, stream_time, table_from_topic,
                                table_order_changelog, table_snapshot, tumbling_sum,
-                               tumbling_sum_final, tumbling_sum_updates, with_event_time)
+                               tumbling_sum_final, tumbling_sum_updates, window_start,
+                               with_event_time)
 from rivulet.plans.views import (SQL_AFTER_DASH, SQL_ARR, SQL_TXT, TOPIC_PARTITIONS,
                                  event_arrivals, events_of_type, order_text_topic,
                                  sql_parse_long, table)
@@ -201,6 +202,50 @@ def running_sum_q(spark, sf_dir):
     return r.select("event_id", "user_id", "running_total")
 
 
+def _sql_rising(keys: str) -> str:
+    """Runs of rising values per ``keys``: k is a record's place in its run."""
+    return f"""b AS (
+  SELECT *, CASE WHEN value > lag(value) OVER (PARTITION BY {keys} ORDER BY event_id) THEN 0 ELSE 1 END AS cut
+  FROM e),
+r AS (SELECT *, SUM(cut) OVER (PARTITION BY {keys} ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM b),
+k AS (SELECT *, CASE WHEN value IS NULL THEN 0
+                     ELSE row_number() OVER (PARTITION BY {keys}, run ORDER BY event_id) END AS k FROM r)"""
+
+
+_SQL_WINDOW = f"time_bucket(INTERVAL '{WINDOW}', ts, TIMESTAMP '1970-01-01')"
+
+
+@query("user_fold", f"""
+WITH e AS (SELECT * FROM events WHERE user_id IS NOT NULL), {_sql_rising('user_id')}
+SELECT user_id, MAX(k) AS longest_rise, arg_max(value, event_id) AS last_value FROM k GROUP BY user_id""")
+def user_fold_q(spark, sf_dir):
+    f = fold_keys(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], rising_run("value"))
+    return f.select("user_id", F.col("folded.longest").alias("longest_rise"), F.col("folded.last").alias("last_value"))
+
+
+@query("user_fold_updates", f"""
+WITH e AS (SELECT * FROM events WHERE user_id IS NOT NULL), {_sql_rising('user_id')}
+SELECT event_id, user_id, value AS last_value,
+       MAX(k) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS longest_rise FROM k""")
+def user_fold_updates_q(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    f = fold_updates(e, ["user_id"], ["event_id"], rising_run("value"))
+    return f.select("event_id", "user_id", F.col("folded.last").alias("last_value"),
+                    F.col("folded.longest").alias("longest_rise"))
+
+
+@query("user_fold_windows", f"""
+WITH e AS (SELECT *, {_SQL_WINDOW} AS window_start FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+{_sql_rising('user_id, window_start')}
+SELECT user_id, window_start, MAX(k) AS longest_rise, arg_max(value, event_id) AS last_value
+FROM k GROUP BY user_id, window_start""")
+def user_fold_windows_q(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("window_start", window_start("ts", WINDOW))
+    f = fold_keys(e, ["user_id", "window_start"], ["event_id"], rising_run("value"))
+    return f.select("user_id", "window_start", F.col("folded.longest").alias("longest_rise"),
+                    F.col("folded.last").alias("last_value"))
+
+
 @query("fold_by_key", f"""
 SELECT user_id,
        round(list_reduce(list_prepend(0.0, list(value ORDER BY event_id)),
