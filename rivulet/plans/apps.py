@@ -20,7 +20,7 @@ from rivulet.operators import (combine_orders, enrich_asof, enrich_latest, inter
                                tumbling_sum_updates, with_event_time)
 from rivulet.operators.stateless import hello_values
 from rivulet.streaming.sinks import running_sum_writer, window_writer
-from rivulet.streaming.stateful import running_sum_stream, tumbling_sum_stream
+from rivulet.streaming.stateful import running_sum_stream, window_stream, with_state_before
 
 # Parameters of the applications.
 ORDER_MARKER = "order-"
@@ -57,7 +57,8 @@ def aggregate_app(orders: DataFrame) -> DataFrame:
     """Running total of price per key: one output per input record.
 
     Stream form: exact per-record totals with state per key (append mode);
-    ``aggregate_app_writer`` also splits hot keys inside a micro-batch.
+    ``aggregate_app_before`` with ``aggregate_app_writer`` also splits hot keys
+    inside a micro-batch.
     """
     o = _orders(orders)
     if o.isStreaming:
@@ -71,15 +72,12 @@ def windows_app(orders: DataFrame, size: str = WINDOW_SIZE, grace: str = WINDOW_
     """Final sum per key and tumbling window (record time), late records
     dropped per partition; the window key is turned back into the plain key.
 
-    Stream form: per-record lateness, then the watermarked window aggregate;
-    start it in ``append`` mode.  The watermark is one for all partitions: for
-    a topic with several, use ``windows_app_writer``.
+    Stream form (``append`` mode): every topic partition follows its own clock,
+    record by record; there is no watermark.
     """
     o = _orders(orders)
     if o.isStreaming:
-        w = tumbling_sum_stream(o, "key", "timestamp", "price", size, grace, "total",
-                                exact_late=True, partition="partition", order=["offset"])
-        return w.select("key", "window_start", "total")
+        return window_stream(o, "key", "timestamp", "price", size, grace, "partition", ["offset"], "total", "final")
     return tumbling_sum_final(o, key="key", ts="timestamp", value="price", size=size,
                               grace=grace, partition="partition", order=["offset"],
                               out="total")
@@ -87,22 +85,26 @@ def windows_app(orders: DataFrame, size: str = WINDOW_SIZE, grace: str = WINDOW_
 
 def time_app(orders: DataFrame, size: str = WINDOW_SIZE) -> DataFrame:
     """Window sums on event time taken from the payload, no grace, every
-    update emitted.  Stream form: start it in ``update`` mode (one update
-    per key and window per micro-batch); for every record's update, and for a
-    topic with several partitions, use ``time_app_writer``."""
+    update emitted.  Stream form (``append`` mode): one update per accepted
+    record, every topic partition by its own clock."""
     o = with_event_time(_orders(orders), "time", "event_time")
     if o.isStreaming:
-        return tumbling_sum_stream(o, "key", "event_time", "price", size, "0 seconds",
-                                   "total").select("key", "window_start", "total")
+        return window_stream(o, "key", "event_time", "price", size, "0 seconds", "partition", ["offset"], "total",
+                             "updates").select("offset", "key", "window_start", "total")
     return tumbling_sum_updates(o, key="key", ts="event_time", value="price", size=size,
                                 grace="0 seconds", partition="partition", order=["offset"],
                                 out="total").select("offset", "key", "window_start", "total")
 
 
-def aggregate_app_writer(out_path: str, state_path: str, **kw) -> Callable[[DataFrame, int], None]:
+def aggregate_app_before(orders: DataFrame) -> DataFrame:
+    """Order records with their key's total before the micro-batch: the stream
+    that ``aggregate_app_writer`` takes."""
+    return with_state_before(_orders(orders), "key", "price")
+
+
+def aggregate_app_writer(out_path: str, **kw) -> Callable[[DataFrame, int], None]:
     """``aggregate_app`` as a ``foreachBatch`` sink: hot keys are split."""
-    fn = running_sum_writer(out_path, state_path, "key", value="price", out="total", **kw)
-    return lambda batch, batch_id: fn(_orders(batch), batch_id)
+    return running_sum_writer(out_path, "key", value="price", out="total", **kw)
 
 
 def windows_app_writer(out_path: str, state_path: str, size: str = WINDOW_SIZE, grace: str = WINDOW_GRACE,

@@ -1,13 +1,13 @@
+"""Structured Streaming: starting queries, stateful operators, sinks."""
+
 from rivulet.streaming.runner import (RetryPolicy, run_stream, run_with_policy, start_stream,
                                       stream_checkpoint)
-from rivulet.streaming.sinks import (changelog_writer, compact_table, enrich_asof_writer,
-                                     enrich_latest_writer,
-                                     error_budget_writer, fold_writer, mark_late_writer,
-                                     materialize_table,
-                                     read_table,
-                                     running_sum_writer, window_writer, write_batch)
-from rivulet.streaming.stateful import (enrich_asof_stream, fold_by_key_stream,
-                                        mark_late_stream, running_sum_stream,
-                                        tumbling_sum_stream)
+from rivulet.streaming.sinks import (changelog_writer, enrich_latest_writer, error_budget_writer,
+                                     has_finished_batch, mark_late_writer, read_table,
+                                     running_sum_writer, start_table, window_writer, write_batch)
+from rivulet.streaming.stateful import (StreamFold, enrich_asof_stream, fold_by_key_stream,
+                                        fold_stream, mark_late_stream, read_state,
+                                        running_sum_stream, tumbling_sum_stream,
+                                        window_stream, with_clock_before, with_state_before)
 
 __all__ = [n for n in dir() if not n.startswith("_")]

@@ -6,13 +6,12 @@ again with the same id.  Every sink here writes a batch into its own
 first attempt wrote instead of adding to it.
 
 * ``changelog_writer`` -- update-mode results, one folder per batch.
-* ``materialize_table`` / ``compact_table`` / ``read_table`` -- an upsert
-  table: per-batch change folders plus versioned snapshots.
-* ``enrich_latest_writer`` -- lookup in a table that keeps changing.
-* ``running_sum_writer``, ``mark_late_writer``, ``fold_writer``,
-  ``enrich_asof_writer`` -- per-key stream state kept as such a table, and
-  each micro-batch computed with the batch operator, so hot keys are split
-  within a micro-batch.  A batch reads only state from earlier batches.
+* ``start_table`` / ``read_table`` -- an upsert table in a query's state
+  store, and its content.
+* ``enrich_latest_writer`` -- lookup in such a table while it keeps changing.
+* ``running_sum_writer``, ``mark_late_writer`` -- each micro-batch computed
+  with the batch operator, so hot keys are split within a micro-batch, on top
+  of what ``with_state_before`` has found in the state store.
 * ``window_writer`` -- tumbling sums, final or every update, with every topic
   partition on its own clock (no watermark).
 * ``error_budget_writer`` -- quarantine and a bad-record budget across
@@ -27,6 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.operators.quality import DEFAULT_ERROR_BUDGET, ErrorBudgetExceeded
 from rivulet.operators.tables import table_from_topic
@@ -61,216 +61,125 @@ def changelog_writer(path: str, fmt: str = "parquet") -> Callable[[DataFrame, in
     return fn
 
 
-def _table_parts(path: str) -> tuple[str, str, str]:
-    root = path.rstrip("/")
-    return f"{root}/changes", f"{root}/snapshots", f"{root}/_versions"
+def has_finished_batch(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether the query of a checkpoint has committed a micro-batch."""
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/commits")
+    fs = commits.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(commits) and any(f.getPath().getName().isdigit() for f in fs.listStatus(commits))
 
 
-def _latest_version(spark: SparkSession, path: str) -> int | None:
-    """Newest complete snapshot: versions are recorded only after the
-    snapshot folder is fully written, so a crashed compaction is ignored."""
-    _, _, versions = _table_parts(path)
-    try:
-        return spark.read.parquet(versions).agg(F.max("version")).first()[0]
-    except AnalysisException:
-        return None
+def start_table(topic: DataFrame, app_id: str, *, key: str = "key", offset: str = "offset", value: str = "value",
+                carry: tuple[str, ...] = (), changes: str | None = None, **kw) -> StreamingQuery:
+    """Materialise an upsert topic as a table: the latest record per key, in
+    the query's own state store (a native aggregate: hot keys are reduced
+    before the shuffle, and a micro-batch touches the keys it holds, whatever
+    the history).  ``read_table`` shows it; ``changes`` names a folder for the
+    changelog (``changelog_writer``), else updates go nowhere.  Deletes stay in
+    the state, so that an older record that comes late cannot undo one."""
+    from rivulet.streaming.runner import start_stream
 
+    def nowhere(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format("noop").mode("overwrite").save()
 
-def _table_rows(spark: SparkSession, path: str, upto: int | None = None
-                ) -> DataFrame | None:
-    """Rows that define the table: the newest snapshot plus the change
-    folders written after it (up to batch ``upto``)."""
-    changes_p, snaps_p, _ = _table_parts(path)
-    try:
-        changes = spark.read.parquet(changes_p)
-    except AnalysisException:
-        return None
-    v = _latest_version(spark, path)
-    if v is not None and upto is not None and v > upto:
-        raise ValueError(f"table at {path} is compacted past batch {upto}")
-    newer = changes
-    if v is not None:
-        newer = newer.filter(F.col(BATCH_COL) > v)
-    if upto is not None:
-        newer = newer.filter(F.col(BATCH_COL) <= upto)
-    newer = newer.drop(BATCH_COL)
-    if v is None:
-        return newer
-    snap = spark.read.schema(newer.schema).parquet(f"{snaps_p}/v={v}")
-    return snap.unionByName(newer)
-
-
-def materialize_table(path: str, key: str = "key", offset: str = "offset",
-                      value: str = "value", carry: tuple[str, ...] = (),
-                      compact_every: int | None = None
-                      ) -> Callable[[DataFrame, int], None]:
-    """Upsert sink for a changelog stream (the named state store of a table).
-
-    Each batch is reduced to its latest record per key (deletes kept) and
-    written to its own change folder, so a batch costs its own size only.
-    Every ``compact_every`` batches the table is compacted: the newest
-    snapshot and the newer change folders are merged into a new snapshot
-    version, after which readers skip everything older.
-    """
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        changes_p, _, _ = _table_parts(path)
-        write_batch(table_from_topic(batch, key, offset, value, carry), changes_p, batch_id)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            compact_table(batch.sparkSession, path, key, offset, value, carry, upto=batch_id)
-    return fn
+    return start_stream(table_from_topic(topic, key, offset, value, carry), app_id, output_mode="update",
+                        foreach_batch=changelog_writer(changes) if changes else nowhere, **kw)
 
 
-def compact_table(spark: SparkSession, path: str, key: str = "key", offset: str = "offset",
-                  value: str = "value", carry: tuple[str, ...] = (),
-                  upto: int | None = None) -> int | None:
-    """Write the table as of batch ``upto`` (default: the newest) as a new
-    snapshot version and record it.  Idempotent: running it again for the
-    same batch rewrites the same version.  Returns the version."""
-    changes_p, snaps_p, versions_p = _table_parts(path)
-    if upto is None:
-        try:
-            upto = spark.read.parquet(changes_p).agg(F.max(BATCH_COL)).first()[0]
-        except AnalysisException:
-            return None
-    v = _latest_version(spark, path)
-    if upto is None or (v is not None and upto <= v):
-        return v
-    rows = _table_rows(spark, path, upto)
-    snap = table_from_topic(rows, key, offset, value, carry).filter(F.col(value).isNotNull())
-    snap.write.mode("overwrite").parquet(f"{snaps_p}/v={upto}")
-    spark.range(1).select(F.lit(upto).cast("long").alias("version")) \
-        .write.mode("append").parquet(versions_p)
-    return upto
-
-
-def read_table(spark: SparkSession, path: str, key: str = "key", offset: str = "offset",
-               value: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Current snapshot of a table written by ``materialize_table``: the
-    newest compacted version merged (by offset) with the newer batches."""
-    rows = _table_rows(spark, path)
-    if rows is None:
-        raise FileNotFoundError(f"no table at {path}")
-    latest = table_from_topic(rows, key, offset, value, carry)
-    return latest.filter(F.col(value).isNotNull())
-
-
-def enrich_latest_writer(table_path: str, out_path: str, stream_key: str, name_col: str,
+def read_table(spark: SparkSession, checkpoint: str, key: str = "key", offset: str = "offset",
+               value: str = "value", carry: tuple[str, ...] = (), deletes: bool = False) -> DataFrame:
+    """The table of a ``start_table`` query as of its last finished micro-batch,
+    read from its state store: one row per key, not one per record.  The
+    column names are those given to ``start_table``; ``deletes`` keeps deleted
+    keys (null value)."""
+    s = spark.read.format("statestore").load(checkpoint)
+    k = s.schema["key"].dataType.names[0]
+    latest = next(f.name for f in s.schema["value"].dataType.fields if isinstance(f.dataType, T.StructType))
+    names = s.schema["value"].dataType[latest].dataType.names
+    t = s.select(F.col(f"key.{k}").alias(key), *[F.col(f"value.{latest}.{n}").alias(n) for n in names])
+    t = t.select(key, offset, value, *carry)
+    return t if deletes else t.filter(F.col(value).isNotNull())
+
+
+def enrich_latest_writer(table_checkpoint: str, out_path: str, stream_key: str, name_col: str,
                          out: str = "user_name", key: str = "key", offset: str = "offset",
                          value: str = "value", default: str = ""
                          ) -> Callable[[DataFrame, int], None]:
     """Stream-table lookup against a table that keeps changing.
 
-    A stream-static join fixes the table's file listing when the query
-    starts.  This sink instead reads the table written by
-    ``materialize_table`` afresh for every micro-batch, so each batch sees
-    the table as it is when the batch runs (the processing-time lookup of a
-    changelog table), joins it with ``enrich_latest`` and writes the batch
-    to its own folder.  ``name_col`` is a field of the table's value struct.
+    A stream-static join fixes the table's file listing when the query starts.
+    This sink reads the state of the table's query (``start_table``) for every
+    micro-batch, so each batch sees the table as it is when the batch runs (the
+    processing-time lookup of a changelog table), joins it with
+    ``enrich_latest`` and writes the batch to its own folder.  ``name_col`` is a
+    field of the table's value struct.  Before the table's query has finished a
+    micro-batch there is no table, and every name is the default.
     """
     from rivulet.operators.joins import enrich_latest
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            t = read_table(spark, table_path, key, offset, value)
+        if has_finished_batch(spark, table_checkpoint):
+            t = read_table(spark, table_checkpoint, key, offset, value)
             names = t.select(F.col(key).alias("__tk"), F.col(f"{value}.{name_col}").alias("__tn"))
-        except FileNotFoundError:
+        else:
             names = spark.createDataFrame([], "__tk string, __tn string")
         write_batch(enrich_latest(batch, names, stream_key, "__tk", "__tn", out, default),
                     out_path, batch_id)
     return fn
 
 
-def running_sum_writer(out_path: str, state_path: str, key: str = "key",
-                       value: str = "value", order: tuple[str, ...] = ("offset",),
-                       out: str = "total", rows_per_chunk: int | None = None,
-                       compact_every: int = 50) -> Callable[[DataFrame, int], None]:
-    """Per-record running total on a stream, with hot keys split.
+def running_sum_writer(out_path: str, key: str = "key", value: str = "value", order: tuple[str, ...] = ("offset",),
+                       out: str = "total", before: str = "__before", rows_per_chunk: int | None = None
+                       ) -> Callable[[DataFrame, int], None]:
+    """Per-record running totals on a stream, with hot keys split.
 
-    Each micro-batch is computed with the batch operator
-    (``operators.scan.running``: a hot key is cut into chunks, never one
-    task) and offset by the key's total before the batch, kept in a table at
-    ``state_path`` (``materialize_table`` layout: one change folder per batch,
-    compacted every ``compact_every`` batches).  A batch reads only the
-    state of earlier batches, so a replay recomputes the same output.
+    Feed it ``with_state_before(stream, key, value)``: the key's total before
+    the micro-batch comes from Spark's state store, and the micro-batch is
+    summed with the batch operator (``operators.scan.running``: a hot key is
+    cut into chunks).  A replayed batch starts from the same state and replaces
+    its own folder.
     """
     from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK, running
 
     rpc = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_table(spark, state_path, "key", "offset", "value", upto=batch_id - 1)
         d = batch.filter(F.col(key).isNotNull() & F.col(value).isNotNull()).persist()
         try:
-            rows = _table_rows(spark, state_path, upto=batch_id - 1)
-            if rows is None:
-                prior = spark.createDataFrame([], T.StructType([
-                    T.StructField("__pk", d.schema[key].dataType),
-                    T.StructField("__prior", T.DoubleType())]))
-            else:
-                prior = table_from_topic(rows, "key", "offset", "value").select(
-                    F.col("key").alias("__pk"), F.col("value").alias("__prior"))
             r = running(d, [key], list(order), value, "sum", "__run", rows_per_chunk=rpc)
-            res = (r.join(prior, F.col(key) == F.col("__pk"), "left")
-                   .withColumn(out, F.col("__run") + F.coalesce(F.col("__prior"), F.lit(0.0)))
-                   .drop("__run", "__pk", "__prior"))
-            write_batch(res, out_path, batch_id)
-            totals = (d.groupBy(key).agg(F.sum(value).alias("__s"))
-                      .join(prior, F.col(key) == F.col("__pk"), "left")
-                      .select(F.col(key).alias("key"), F.lit(batch_id).cast("long").alias("offset"),
-                              (F.col("__s") + F.coalesce(F.col("__prior"), F.lit(0.0)))
-                              .cast("double").alias("value")))
-            write_batch(totals, _table_parts(state_path)[0], batch_id)
+            write_batch(r.withColumn(out, F.col("__run") + F.coalesce(F.col(before), F.lit(0.0))).drop("__run", before),
+                        out_path, batch_id)
         finally:
             d.unpersist()
     return fn
 
 
-def mark_late_writer(out_path: str, state_path: str, ts: str = "timestamp",
-                     size: str = "10 seconds", grace: str = "0 seconds",
-                     partition: str = "partition", order: tuple[str, ...] = ("offset",),
-                     rows_per_chunk: int | None = None, compact_every: int = 50
-                     ) -> Callable[[DataFrame, int], None]:
+def mark_late_writer(out_path: str, ts: str = "timestamp", size: str = "10 seconds", grace: str = "0 seconds",
+                     partition: str = "partition", order: tuple[str, ...] = ("offset",), before: str = "__before",
+                     rows_per_chunk: int | None = None) -> Callable[[DataFrame, int], None]:
     """Per-record lateness on a stream, with hot topic partitions split.
 
-    Each micro-batch gets ``window_start``, ``stream_time`` and ``is_late``
-    from the batch operator (running max per topic partition, cut into
-    chunks), raised to the partition's stream time after earlier batches,
-    kept in a table at ``state_path``.  Write the result to a topic and
-    window it downstream; a replay recomputes the same batch.
+    Feed it ``with_clock_before(stream, partition, ts)``: each micro-batch gets
+    ``window_start``, ``stream_time`` and ``is_late`` from the batch operator
+    (running max per topic partition, cut into chunks), raised to the
+    partition's clock before the batch.
     """
     from rivulet.functions.time import interval
     from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK
     from rivulet.operators.windows import stream_time, window_start
+    from rivulet.streaming.stateful import _from_micros
 
     rpc = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_table(spark, state_path, "key", "offset", "value", upto=batch_id - 1)
         d = batch.persist()
         try:
             marked = stream_time(d, partition, list(order), ts, "__st", rows_per_chunk=rpc)
-            rows = _table_rows(spark, state_path, upto=batch_id - 1)
-            if rows is not None:
-                prior = table_from_topic(rows, "key", "offset", "value").select(
-                    F.col("key").alias("__pp"), F.col("value").alias("__prior"))
-                # one row per topic partition: bounded by the partition count
-                marked = marked.join(F.broadcast(prior), F.col(partition) == F.col("__pp"),
-                                     "left").withColumn(
-                    "__st", F.greatest("__st", "__prior")).drop("__pp", "__prior")
-            marked = (marked.withColumnRenamed("__st", "stream_time")
-                      .withColumn("window_start", window_start(ts, size)))
+            clock = _from_micros(before, d.schema[ts].dataType)
+            marked = marked.withColumn("stream_time", F.greatest("__st", clock)).drop("__st", before)
+            marked = marked.withColumn("window_start", window_start(ts, size))
             closes = F.col("window_start") + interval(size) + interval(grace)
-            write_batch(marked.withColumn("is_late", closes <= F.col("stream_time")),
-                        out_path, batch_id)
-            st = marked.groupBy(partition).agg(F.max("stream_time").alias("value")).select(
-                F.col(partition).alias("key"), F.lit(batch_id).cast("long").alias("offset"),
-                "value")
-            write_batch(st, _table_parts(state_path)[0], batch_id)
+            write_batch(marked.withColumn("is_late", closes <= F.col("stream_time")), out_path, batch_id)
         finally:
             d.unpersist()
     return fn
@@ -349,115 +258,6 @@ def window_writer(out_path: str, state_path: str, key: str = "key", ts: str = "t
     return fn
 
 
-def fold_writer(out_path: str, state_path: str, key: str = "key",
-                order: tuple[str, ...] = ("offset",), value: str = "value",
-                out: str = "folded", init: float = 0.0, decay: float = 1.0,
-                rows_per_chunk: int | None = None, compact_every: int = 50
-                ) -> Callable[[DataFrame, int], None]:
-    """Ordered fold ``acc = acc * decay + value`` per key on a stream; one
-    updated value per key and micro-batch (update semantics).
-
-    The micro-batch is folded with the batch operator (hot keys cut into
-    chunks) from 0, then combined with the key's accumulator after earlier
-    batches (``acc = prior * decay**n + s``), kept at ``state_path``.
-    """
-    from rivulet.operators.aggregates import fold_by_key
-    from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK
-
-    rpc = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
-
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_table(spark, state_path, "key", "offset", "value", upto=batch_id - 1)
-        d = batch.filter(F.col(key).isNotNull() & F.col(value).isNotNull()).persist()
-        try:
-            s_part = fold_by_key(d, key, list(order), value, "__s", 0.0, decay,
-                                 rows_per_chunk=rpc)
-            n_part = d.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-            cur = s_part.join(n_part, key)
-            rows = _table_rows(spark, state_path, upto=batch_id - 1)
-            if rows is None:
-                cur = cur.withColumn("__prior", F.lit(None).cast("double"))
-            else:
-                prior = table_from_topic(rows, "key", "offset", "value").select(
-                    F.col("key").alias("__pk"), F.col("value").alias("__prior"))
-                cur = cur.join(prior, F.col(key) == F.col("__pk"), "left").drop("__pk")
-            acc = (F.coalesce(F.col("__prior"), F.lit(float(init)))
-                   * F.pow(F.lit(float(decay)), F.col("__n")) + F.col("__s"))
-            res = cur.select(F.col(key), acc.alias(out)).persist()
-            try:
-                write_batch(res, out_path, batch_id)
-                write_batch(res.select(F.col(key).alias("key"),
-                                       F.lit(batch_id).cast("long").alias("offset"),
-                                       F.col(out).alias("value")),
-                            _table_parts(state_path)[0], batch_id)
-            finally:
-                res.unpersist()
-        finally:
-            d.unpersist()
-    return fn
-
-
-def enrich_asof_writer(out_path: str, state_path: str, value_cols: tuple[str, ...],
-                       out_cols: tuple[str, ...] | None = None,
-                       rows_per_chunk: int | None = None, compact_every: int = 50
-                       ) -> Callable[[DataFrame, int], None]:
-    """As-of table lookup on a stream, with hot keys split.
-
-    Feed it a stream built by ``operators.asof_union`` (records and table
-    changes in one frame).  Each micro-batch is resolved with the batch
-    operator (one running "last" over both sides, hot keys cut into chunks of
-    the batch's own rows); a record then takes the later of that change and
-    the key's last change of earlier batches, by event time.  That one is kept
-    in a table at ``state_path`` (``materialize_table`` layout, compacted every
-    ``compact_every`` batches) with its time, so an older change that arrives
-    late does not replace a newer one.  A record older than the kept change,
-    with no change before it in its own batch, gets the kept value: earlier
-    values of the key are not stored.
-    """
-    from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK, running
-
-    rpc = rows_per_chunk or DEFAULT_ROWS_PER_CHUNK
-    outs = list(out_cols or value_cols)
-
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_table(spark, state_path, "key", "offset", "value", upto=batch_id - 1)
-        d = batch.withColumn("__v", F.when(F.col("__side") == 0, F.struct(
-            F.col("__t").alias("t"), F.col("__tie").alias("tie"), F.col("__v").alias("v")))).persist()
-        try:
-            rows = _table_rows(spark, state_path, upto=batch_id - 1)
-            if rows is None:
-                prior = spark.createDataFrame([], T.StructType([
-                    T.StructField("__pk", d.schema["__k"].dataType), T.StructField("__prior", d.schema["__v"].dataType)]))
-            else:
-                prior = table_from_topic(rows, "key", "offset", "value").select(
-                    F.col("key").alias("__pk"), F.col("value").alias("__prior"))
-            r = running(d, ["__k"], ["__t", "__side", "__tie"], "__v", "last", "__asof", rows_per_chunk=rpc)
-            r = r.filter(F.col("__side") == 1).join(prior, F.col("__k") == F.col("__pk"), "left")
-            newer = F.struct("__prior.t", "__prior.tie") > F.struct("__asof.t", "__asof.tie")
-            # a delete is a change with null values: presence is that of the struct
-            value = F.when(F.col("__asof").isNull(), F.col("__prior.v")).when(
-                F.col("__prior").isNotNull() & (F.col("__prior.t") <= F.col("__t")) & newer, F.col("__prior.v")
-            ).otherwise(F.col("__asof.v"))
-            r = r.withColumn("__value", value)
-            write_batch(r.select("__row.*", *[F.col(f"__value.{c}").alias(o) for c, o in zip(value_cols, outs)]),
-                        out_path, batch_id)
-            latest = (d.filter(F.col("__side") == 0).groupBy("__k")
-                      .agg(F.max_by("__v", F.struct("__t", "__tie")).alias("__last"))
-                      .join(prior, F.col("__k") == F.col("__pk"), "left"))
-            kept = F.struct("__prior.t", "__prior.tie") > F.struct("__last.t", "__last.tie")
-            write_batch(latest.select(
-                F.col("__k").alias("key"), F.lit(batch_id).cast("long").alias("offset"),
-                F.when(F.col("__prior").isNotNull() & kept, F.col("__prior")).otherwise(F.col("__last")).alias("value")),
-                _table_parts(state_path)[0], batch_id)
-        finally:
-            d.unpersist()
-    return fn
-
-
 def error_budget_writer(out_path: str, quarantine_path: str, is_bad: Column,
                         order: str = "offset", budget: int = DEFAULT_ERROR_BUDGET
                         ) -> Callable[[DataFrame, int], None]:

@@ -58,11 +58,10 @@ def test_time_app_stream_updates_end_in_batch_totals(spark, tmp_path):
     t = windows_loader(spark)
     s = _stream(spark, t, str(tmp_path / "in"))
     path = str(tmp_path / "updates")
-    q = start_stream(time_app(s), "time_updates", output_mode="update",
-                     foreach_batch=changelog_writer(path), checkpoint=str(tmp_path / "ck"))
+    q = start_stream(time_app(s), "time_updates", foreach_batch=changelog_writer(path), checkpoint=str(tmp_path / "ck"))
     q.awaitTermination()
     upd = spark.read.parquet(path)
-    last = upd.groupBy("key", "window_start").agg(F.max_by("total", "_batch").alias("total"))
+    last = upd.groupBy("key", "window_start").agg(F.max_by("total", "offset").alias("total"))
     batch = time_app(t).groupBy("key", "window_start").agg(
         F.max_by("total", "offset").alias("total"))
     norm = lambda df: sorted((r["key"], str(r["window_start"]), round(r["total"], 6))  # noqa

@@ -3,10 +3,10 @@ import os
 import pytest
 from pyspark.errors import StreamingQueryException
 
-from rivulet.streaming import (RetryPolicy, changelog_writer, materialize_table, read_table,
-                               run_with_policy, start_stream, stream_checkpoint)
+from rivulet.streaming import (RetryPolicy, changelog_writer, read_state, read_table, run_stream,
+                               run_with_policy, start_stream, start_table, stream_checkpoint)
 from rivulet.session import checkpoint_root
-from tests.fixtures import topic, write_files
+from tests.fixtures import _write_in_order, topic, write_files
 
 
 def _flaky_sink(out, flag, message):
@@ -59,11 +59,9 @@ def test_materialized_table_upserts_and_deletes(spark, tmp_path):
     t = topic(spark, rows)
     src = write_files(t, str(tmp_path / "in"), True)
     s = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 2).parquet(src)
-    path = str(tmp_path / "store")
-    q = start_stream(s, "store", foreach_batch=materialize_table(path),
-                     checkpoint=str(tmp_path / "ckpt"))
-    q.awaitTermination()
-    snap = {r["key"]: r["value"] for r in read_table(spark, path).collect()}
+    ckpt = str(tmp_path / "ckpt")
+    start_table(s, "store", checkpoint=ckpt).awaitTermination()
+    snap = {r["key"]: r["value"] for r in read_table(spark, ckpt).collect()}
     assert snap == {"a": "3", "c": "5"}
 
 
@@ -92,27 +90,65 @@ def test_state_survives_restart(spark, tmp_path):
     assert got == [(0, 5.0), (1, 20.0), (2, 45.0)]
 
 
-def test_table_compaction_keeps_contents_and_skips_old_batches(spark, tmp_path):
-    from rivulet.streaming import compact_table
-
+def test_table_state_keeps_latest_and_costs_its_keys(spark, tmp_path):
+    """Deletes and late older records, over many micro-batches and a restart:
+    the state holds one row per key, and every batch writes what it touches."""
     rows = [(0, i, i, k, v) for i, (k, v) in enumerate(
         [("a", "1"), ("b", "2"), ("a", "3"), ("b", None), ("c", "5"), ("a", None),
          ("d", "7"), ("c", "8")])]
     t = topic(spark, rows)
-    src = write_files(t, str(tmp_path / "in"), True)
-    s = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    path = str(tmp_path / "store")
-    start_stream(s, "compacting", foreach_batch=materialize_table(path, compact_every=3),
-                 checkpoint=str(tmp_path / "ckpt")).awaitTermination()
-    want = {"c": "8", "d": "7"}
-    assert {r["key"]: r["value"] for r in read_table(spark, path).collect()} == want
-    versions = sorted(r["version"] for r in spark.read.parquet(f"{path}/_versions").collect())
-    assert versions == [2, 5]
-    # compacting again up to the newest batch, twice, changes nothing
-    assert compact_table(spark, path) == 7
-    assert compact_table(spark, path) == 7
-    assert {r["key"]: r["value"] for r in read_table(spark, path).collect()} == want
-    assert spark.read.parquet(f"{path}/snapshots/v=7").count() == 2
+    folder, ckpt = str(tmp_path / "in"), str(tmp_path / "ckpt")
+    write_files(t, folder, True)
+
+    def run():
+        s = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        q = start_table(s, "table_state", checkpoint=ckpt, changes=str(tmp_path / "changes"))
+        q.awaitTermination()
+        return q
+
+    run()
+    assert {r["key"]: (r["offset"], r["value"]) for r in read_table(spark, ckpt).collect()} == {"c": (7, "8"), "d": (6, "7")}
+    late = topic(spark, [(0, 1, 1, "b", "old"), (0, 9, 9, "d", None)])
+    _write_in_order(late.toArrow(), f"{folder}/part-99999.parquet", 99)
+    q = run()
+    assert {r["key"]: r["value"] for r in read_table(spark, ckpt).collect()} == {"c": "8"}
+    kept = {r["key"]: (r["offset"], r["value"]) for r in read_table(spark, ckpt, deletes=True).collect()}
+    assert kept == {"a": (5, None), "b": (3, None), "c": (7, "8"), "d": (9, None)}
+    assert spark.read.parquet(str(tmp_path / "changes")).count() == 10
+
+
+def test_a_hundred_batches_cost_the_same(spark, tmp_path):
+    """State stays as large as the keys, and a late micro-batch reads and writes
+    no more state rows and files than an early one."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from rivulet.streaming import running_sum_stream
+
+    folder, ckpt = str(tmp_path / "in"), str(tmp_path / "ckpt")
+    os.makedirs(folder)
+    for i in range(100):
+        path = f"{folder}/{i:03d}.parquet"
+        pq.write_table(pa.table({"key": ["a", f"k{i % 5}"], "offset": [2 * i, 2 * i + 1], "value": [1.0, 2.0]}), path)
+        os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
+    s = spark.readStream.schema("key string, offset long, value double").option("maxFilesPerTrigger", 1).parquet(folder)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    keep = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "200")
+    try:
+        q = run_stream(running_sum_stream(s), "hundred", fmt="noop", checkpoint=ckpt)
+        steps = [p["stateOperators"][0] for p in q.recentProgress if p["numInputRows"]]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", keep)
+    assert len(steps) == 100
+    early, late = steps[10:20], steps[90:]
+    for field in ("numRowsUpdated", "numRowsTotal"):
+        assert max(x[field] for x in late) <= max(x[field] for x in early)
+    reads = lambda xs: max(x["customMetrics"].get("rocksdbGetCount", 0) for x in xs)
+    assert reads(late) <= reads(early)
+    got = {r["key"]: r["acc"] for r in read_state(spark, ckpt, "acc").collect()}
+    assert got == {"a": 100.0, **{f"k{i}": 40.0 for i in range(5)}}
 
 
 def test_lookup_sees_table_updates_between_batches(spark, tmp_path):
@@ -123,25 +159,28 @@ def test_lookup_sees_table_updates_between_batches(spark, tmp_path):
     users2 = topic(spark, [(0, 1, 1, "u1", ("Anna", "x", "u1"))], USER.struct)
     orders = topic(spark, [(0, 0, 0, "u1", "o1")])
     orders2 = topic(spark, [(0, 1, 1, "u1", "o2"), (0, 2, 2, "u9", "o3")])
-    table, out = str(tmp_path / "users"), str(tmp_path / "out")
+    out = str(tmp_path / "out")
+    uck = str(tmp_path / "uck")
 
     def users_run(df, name):
-        write_files(df, str(tmp_path / "uin" / name), False)
-        s = spark.readStream.schema(users.schema).parquet(str(tmp_path / "uin" / name))
-        start_stream(s, "users", foreach_batch=materialize_table(table),
-                     checkpoint=str(tmp_path / f"uck_{name}")).awaitTermination()
+        import pyarrow.parquet as pq
+        os.makedirs(tmp_path / "uin", exist_ok=True)
+        pq.write_table(df.toArrow(), str(tmp_path / "uin" / f"part-{name}.parquet"))
+        s = spark.readStream.schema(users.schema).parquet(str(tmp_path / "uin"))
+        start_table(s, "users", checkpoint=uck).awaitTermination()
 
     def orders_run(df, name):
         import pyarrow.parquet as pq
         os.makedirs(tmp_path / "oin", exist_ok=True)
         pq.write_table(df.toArrow(), str(tmp_path / "oin" / f"part-{name}.parquet"))
         s = spark.readStream.schema(orders.schema).parquet(str(tmp_path / "oin"))
-        start_stream(s, "orders", foreach_batch=enrich_latest_writer(table, out, "key", "name"),
+        start_stream(s, "orders", foreach_batch=enrich_latest_writer(uck, out, "key", "name"),
                      checkpoint=str(tmp_path / "ock")).awaitTermination()
 
+    orders_run(topic(spark, [(0, 5, 5, "u1", "o0")]), "0")      # before there is a table
     users_run(users, "a")
     orders_run(orders, "a")
     users_run(users2, "b")
     orders_run(orders2, "b")
     got = sorted((r["value"], r["user_name"]) for r in spark.read.parquet(out).collect())
-    assert got == [("o1", "Ann"), ("o2", "Anna"), ("o3", "")]
+    assert got == [("o0", ""), ("o1", "Ann"), ("o2", "Anna"), ("o3", "")]

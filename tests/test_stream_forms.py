@@ -89,18 +89,18 @@ def test_table_snapshot_in_update_mode(spark, tmp_path):
     assert latest == {"a": "3", "b": None}
 
 
-@pytest.mark.parametrize("files,compact", [(4, 2), (1, 50)])
-def test_running_sum_writer_splits_hot_keys_and_equals_batch(spark, tmp_path, files, compact):
-    from rivulet.streaming import running_sum_writer
+@pytest.mark.parametrize("files", [4, 1])
+def test_running_sum_writer_splits_hot_keys_and_equals_batch(spark, tmp_path, files):
+    from rivulet.streaming import running_sum_writer, with_state_before
 
     e = spark.read.parquet(f"{SF}/events.parquet").withColumn(
         "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
     src = write_ordered_files(e, str(tmp_path / "in"), "event_id", files)
     s = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
     out = str(tmp_path / "out")
-    sink = running_sum_writer(out, str(tmp_path / "state"), "user_id", "value", ("event_id",),
-                              "rt", rows_per_chunk=40, compact_every=compact)
-    start_stream(s, "rsw", foreach_batch=sink, checkpoint=str(tmp_path / "ck")).awaitTermination()
+    sink = running_sum_writer(out, "user_id", "value", ("event_id",), "rt", rows_per_chunk=40)
+    start_stream(with_state_before(s, "user_id", "value"), f"rsw_{files}", foreach_batch=sink,
+                 checkpoint=str(tmp_path / "ck")).awaitTermination()
     got = spark.read.parquet(out).select("event_id", "rt").toPandas()
     pdf = e.toPandas().sort_values("event_id")
     pdf["bf"] = pdf.groupby("user_id")["value"].cumsum()
@@ -108,107 +108,109 @@ def test_running_sum_writer_splits_hot_keys_and_equals_batch(spark, tmp_path, fi
     assert len(m) == len(pdf) and (m["rt"] - m["bf"]).abs().max() < 1e-6
 
 
-@pytest.mark.parametrize("files,compact", [(5, 2), (1, 50)])
-def test_asof_writer_equals_batch(spark, tmp_path, files, compact):
-    from rivulet.operators import asof_union
-    from rivulet.streaming import enrich_asof_writer
-
-    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn(
-        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
-    p = ev.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
-    sg = ev.filter("event_type = 'signup'").select("user_id", F.col("ts").alias("sts"), "value")
-    u = asof_union(p, sg, "user_id", "user_id", "ts", "sts", ["value"])
-    # arrival in time order, several micro-batches
-    src = write_ordered_files(u, str(tmp_path / "in"), "__t", files)
-    s = spark.readStream.schema(u.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = str(tmp_path / "out")
-    sink = enrich_asof_writer(out, str(tmp_path / "state"), ("value",), ("sv",),
-                              rows_per_chunk=20, compact_every=compact)
-    start_stream(s, "asofw", foreach_batch=sink, checkpoint=str(tmp_path / "ck")).awaitTermination()
-    got = {r["event_id"]: r["sv"] for r in spark.read.parquet(out).collect()}
-    want = {r["event_id"]: r["sv"] for r in enrich_asof(
-        p, sg, "user_id", "user_id", "ts", "sts", ["value"], out_cols=["sv"]).collect()}
-    assert got == want
-
-
 @pytest.mark.parametrize("files", [1, 4])
-def test_mark_late_writer_equals_batch(spark, tmp_path, files):
+def test_mark_late_equals_batch(spark, tmp_path, files):
+    """The processor, and the writer that splits hot partitions."""
     from rivulet.operators import mark_late
-    from rivulet.streaming import mark_late_writer
+    from rivulet.streaming import mark_late_stream, mark_late_writer, with_clock_before
 
     e = spark.read.parquet(f"{SF}/events.parquet").withColumn(
         "arrival", F.col("event_id") + (F.col("event_id") * 7919) % 50) \
         .withColumn("part", F.col("user_id") % 2)
     src = write_ordered_files(e, str(tmp_path / "in"), "arrival", files)
     s = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = str(tmp_path / "out")
-    sink = mark_late_writer(out, str(tmp_path / "state"), "ts", "6 hours", "0 minutes", "part",
-                            ("arrival", "event_id"), rows_per_chunk=50, compact_every=2)
-    start_stream(s, "latew", foreach_batch=sink, checkpoint=str(tmp_path / "ck")).awaitTermination()
-    got = {r["event_id"]: (r["stream_time"], r["is_late"]) for r in spark.read.parquet(out).collect()}
+    rule = dict(ts="ts", size="6 hours", grace="0 minutes", partition="part")
     want = {r["event_id"]: (r["stream_time"], r["is_late"]) for r in mark_late(
-        e, ts="ts", size="6 hours", grace="0 minutes", partition="part",
-        order=["arrival", "event_id"]).collect()}
-    assert got == want
-    assert sum(1 for _, late in got.values() if late) > 0
+        e, order=["arrival", "event_id"], **rule).collect()}
+    out = str(tmp_path / "out")
+    sink = mark_late_writer(out, order=("arrival", "event_id"), rows_per_chunk=50, **rule)
+    start_stream(with_clock_before(s, "part", "ts"), f"latew_{files}", foreach_batch=sink,
+                 checkpoint=str(tmp_path / "ck")).awaitTermination()
+    run_stream(mark_late_stream(s, order=["arrival", "event_id"], **rule), f"lates_{files}", fmt="memory",
+               checkpoint=str(tmp_path / "ck2"))
+    for rows in (spark.read.parquet(out), spark.sql(f"select * from lates_{files}")):
+        got = {r["event_id"]: (r["stream_time"], r["is_late"]) for r in rows.collect()}
+        assert got == want
+    assert sum(1 for _, late in want.values() if late) > 0
 
 
 @pytest.mark.parametrize("files", [1, 4])
-def test_fold_writer_ends_at_the_batch_fold(spark, tmp_path, files):
-    from rivulet.streaming import fold_writer
+def test_user_fold_stream_equals_batch(spark, tmp_path, files):
+    """The rising-run fold by records in order, and as a merge of pieces."""
+    from rivulet.operators import fold_updates, rising_run
+    from rivulet.streaming import StreamFold, fold_stream, read_state
 
-    e = _events_topic(spark).withColumn(
+    e = _events_topic(spark).select("event_id", "user_id", "value").withColumn(
         "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+
+    def step(acc, row):
+        best, cur, last = acc
+        cur = 0 if row["value"] is None else cur + 1 if last is not None and row["value"] > last else 1
+        return max(best, cur), cur, row["value"]
+
+    fold = StreamFold((0, 0, None), step, "best long, cur long, last double")
     src = write_ordered_files(e, str(tmp_path / "in"), "event_id", files)
     s = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out = str(tmp_path / "out")
-    sink = fold_writer(out, str(tmp_path / "state"), "user_id", ("event_id",), "value", "f",
-                       1.5, 0.5, rows_per_chunk=40, compact_every=2)
-    start_stream(s, "foldw", foreach_batch=sink, checkpoint=str(tmp_path / "ck")).awaitTermination()
-    got = {r["user_id"]: r["f"] for r in spark.read.parquet(out)
-           .groupBy("user_id").agg(F.max_by("f", "_batch").alias("f")).collect()}
-    want = {r["user_id"]: r["f"] for r in
-            fold_by_key(e, "user_id", ["event_id"], "value", "f", 1.5, 0.5).collect()}
-    assert got.keys() == want.keys()
-    for k, v in want.items():
-        assert got[k] == pytest.approx(v, rel=1e-9, abs=1e-9)
+    run_stream(fold_stream(s, "user_id", ["event_id"], fold, "longest", "long"), f"ufold_{files}", fmt="memory",
+               checkpoint=str(tmp_path / "ck"))
+    got = {r["event_id"]: r["longest"] for r in spark.sql(f"select * from ufold_{files}").collect()}
+    batch = fold_updates(e, ["user_id"], ["event_id"], rising_run("value"), "f", 60, 8).collect()
+    assert got == {r["event_id"]: r["f"]["longest"] for r in batch}
+    state = {r["user_id"]: (r["best"], r["last"]) for r in read_state(spark, str(tmp_path / "ck"), "acc").collect()}
+    last = {}
+    for r in sorted(batch, key=lambda r: r["event_id"]):
+        last[r["user_id"]] = tuple(r["f"])
+    assert state == last
+
 
+@pytest.mark.parametrize("files", [1, 5])
+def test_asof_stream_in_time_order_equals_batch(spark, tmp_path, files):
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp")).withColumn(
+        "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    src = write_ordered_files(ev, str(tmp_path / "in"), "ts", files)
+    s = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
 
-def test_asof_writer_keeps_time_and_chunks_in_later_batches(spark, tmp_path, monkeypatch):
-    """A change that arrives late does not replace a newer one, a delete is
-    kept, and a hot key is split in every batch, not only the first."""
-    from rivulet.operators import asof_union, scan
-    from rivulet.streaming import enrich_asof_writer
+    def sides(e):
+        return (e.filter("event_type = 'purchase'").select("event_id", "user_id", "ts"),
+                e.filter("event_type = 'signup'").select("user_id", F.col("ts").alias("sts"), "value"))
 
-    largest = []
-    plain = scan.with_hot_key_chunks
+    run_stream(enrich_asof_stream(*sides(s), "user_id", "user_id", "ts", "sts", ["value"], out_cols=["sv"],
+                                  history="1 hour"), f"asof_h_{files}", fmt="memory", checkpoint=str(tmp_path / "ck"))
+    got = {r["event_id"]: r["sv"] for r in spark.sql(f"select * from asof_h_{files}").collect()}
+    want = {r["event_id"]: r["sv"] for r in enrich_asof(
+        *sides(ev), "user_id", "user_id", "ts", "sts", ["value"], out_cols=["sv"]).collect()}
+    assert got == want and any(v is not None for v in want.values())
 
-    def spy(df, *a, **kw):
-        out = plain(df, *a, **kw)
-        largest.append(max((r["count"] for r in out.groupBy("__k", "__chunk").count().collect()), default=0))
-        return out
 
-    monkeypatch.setattr(scan, "with_hot_key_chunks", spy)
-    changes = "k string, at timestamp, v int, gone boolean"
-    records = "k string, at timestamp, n int"
+def test_asof_stream_answers_late_records_by_their_own_time(spark, tmp_path):
+    """Records that come after newer changes, changes that come late, deletes,
+    and versions that expire."""
+    from rivulet.streaming import read_state
+
+    schema = "kind string, k string, at timestamp, v int, gone boolean, n int"
     t = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    change = lambda k, s, v, gone=False: ("c", k, t(s), v, gone, None)
+    record = lambda k, s, n: ("r", k, t(s), None, None, n)
     batches = [
-        ([("a", t(10), 1, False), ("b", t(1), 7, False)], [("a", t(12), 1)]),
-        ([("a", t(5), 2, False)], [("a", t(20), 2), ("a", t(7), 3)]),
-        ([("b", t(30), None, True)], [("b", t(31), 4), ("b", t(2), 5), *[("a", t(100 + i), 100 + i) for i in range(200)]]),
+        [change("a", 10, 1), change("b", 1, 7), record("a", 12, 1)],
+        [change("a", 5, 2), change("a", 30, 3), record("a", 7, 2), record("a", 29, 3), record("a", 30, 4), record("a", 4, 5)],
+        [change("b", 30, None, True), record("a", 11, 6), record("b", 31, 7), record("b", 2, 8)],
+        [change("a", 500, 9), record("a", 480, 10), record("a", 20, 11)],
+        [record("a", 395, 12), record("a", 499, 13)],
     ]
     folder = tmp_path / "in"
     folder.mkdir()
-    for i, (c, r) in enumerate(batches):
-        cd, rd = spark.createDataFrame(c, changes), spark.createDataFrame(r, records)
-        u = asof_union(rd, cd, "k", "k", "at", "at", ["v"], deleted=F.col("gone"))
-        _write_in_order(u.toArrow(), f"{folder}/{i}.parquet", i)
-    s = spark.readStream.schema(u.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
-    out = str(tmp_path / "out")
-    sink = enrich_asof_writer(out, str(tmp_path / "state"), ("v",), rows_per_chunk=20)
-    start_stream(s, "asof_late", foreach_batch=sink, checkpoint=str(tmp_path / "ck")).awaitTermination()
-    got = {r["n"]: r["v"] for r in spark.read.parquet(out).collect()}
-    # n=3: the change at 5 is in its batch; n=5: only the kept value of b is known, and it is older
-    assert {k: got[k] for k in (1, 2, 3, 4, 5)} == {1: 1, 2: 1, 3: 2, 4: None, 5: 7}
-    assert all(got[100 + i] == 1 for i in range(200))
-    assert largest[-1] <= 40
+    for i, b in enumerate(batches):
+        _write_in_order(spark.createDataFrame(b, schema).toArrow(), f"{folder}/{i}.parquet", i)
+    want = {1: 1, 2: 2, 3: 1, 4: 3, 5: None, 6: 1, 7: None, 8: 7, 10: 3, 11: 1, 12: 3, 13: 3}
+    for name, history in (("keep", None), ("expire", "100 seconds")):
+        s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+        out = enrich_asof_stream(s.filter("kind = 'r'").select("k", "at", "n"), s.filter("kind = 'c'").select("k", "at", "v", "gone"),
+                                 "k", "k", "at", "at", ["v"], deleted="gone", history=history)
+        ck = str(tmp_path / f"ck_{name}")
+        run_stream(out, f"asof_{name}", fmt="memory", checkpoint=ck)
+        got = {r["n"]: r["v"] for r in spark.sql(f"select * from asof_{name}").collect()}
+        # 1, 2 and 6 came before the change that their time is after, or with it
+        assert got == want
+        left = sorted(r["t"] for r in read_state(spark, ck, "versions").filter("rv_k = 'a'").collect())
+        assert len(left) == (4 if history is None else 2)     # 30 still covers 400 to 500

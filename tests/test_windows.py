@@ -176,3 +176,38 @@ def test_partitions_close_their_own_windows_on_a_stream(spark, tmp_path, rows_pe
         got = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
         want = sorted(tuple(r) for r in app(whole).select(*cols).collect())
         assert got == want and len(got) >= 4
+
+
+@pytest.mark.parametrize("files", [1, 2])
+def test_apps_close_each_partition_by_its_own_clock(spark, tmp_path, files):
+    """The applications themselves on a stream, restarted half way, with one
+    partition far behind: the batch form's rows, and closed windows gone from
+    the state."""
+    from rivulet.streaming import read_state
+
+    batches = _lagging(spark)
+    whole = topic(spark, [r for b in batches for r in b], value_type=ELECTRONIC_ORDER.struct)
+    folder = str(tmp_path / "in")
+    os.makedirs(folder)
+
+    def put(some):
+        for i in some:
+            _write_in_order(topic(spark, batches[i], value_type=ELECTRONIC_ORDER.struct).toArrow(), f"{folder}/{i}.parquet", i)
+
+    for part, some in (("a", range(3)), ("b", range(3, 6))):
+        put(some)
+        for name, app in (("final", windows_app), ("updates", time_app)):
+            s = spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", files).parquet(folder)
+            assert "Watermark" not in app(s)._jdf.queryExecution().logical().toString()
+            run_stream(app(s), f"own_{name}", path=str(tmp_path / name), checkpoint=str(tmp_path / f"ckpt_{name}"))
+    for name, app, cols in (("final", windows_app, ["key", "window_start", "total"]),
+                            ("updates", time_app, ["offset", "key", "window_start", "total"])):
+        got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / name)).select(*cols).collect())
+        want = sorted(tuple(r) for r in app(whole).select(*cols).collect())
+        assert got == want and len(got) >= 4
+    ckpt = str(tmp_path / "ckpt_final")
+    clocks = {r["partition"]: r["clock"] // 1_000_000 - T0 // 1000 for r in read_state(spark, ckpt, "clock").collect()}
+    assert clocks == {0: 102, 1: 130}
+    still = sorted((r["partition"], r["k"], r["start"] // 1_000_000 - T0 // 1000) for r in read_state(spark, ckpt, "open").collect())
+    assert still == [(0, "a", 100)]
+    assert read_state(spark, ckpt, "due").count() == 1
