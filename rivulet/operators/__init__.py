@@ -4,8 +4,7 @@ from rivulet.operators.joins import (asof_resolve, asof_union, combine_orders, e
                                      enrich_latest, interval_join)
 from rivulet.operators.quality import (ErrorBudgetExceeded, check_error_budget, error_budget,
                                        quarantine_non_numeric, split_malformed, split_oversize)
-from rivulet.operators.scan import (DEFAULT_ROWS_PER_CHUNK, chunk_by_range, running,
-                                    with_hot_key_chunks)
+from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK, running, with_hot_key_chunks
 from rivulet.operators.stateless import (filter_contains, filter_numeric_gt, hello_values,
                                          order_number_chain, rekey, tap, unwindow_key,
                                          value_after_dash)

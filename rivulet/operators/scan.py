@@ -5,11 +5,14 @@ into one task.  With one key holding a third of the rows that task is the
 whole job.  ``running`` therefore splits only the *hot* keys -- those with
 more than ``rows_per_chunk`` rows -- into chunks along the ordering column:
 
-1. one partial aggregate counts rows per key and takes each key's order
-   range; keys over the limit get a chunk width that gives about
-   ``rows_per_chunk`` rows per chunk.  The keys over the limit are listed
-   once; up to ``MAX_BROADCAST_KEYS`` are broadcast, more are joined by
-   shuffle;
+1. one partial aggregate counts rows per key; the keys over the limit are
+   listed once (up to ``MAX_BROADCAST_KEYS`` are broadcast, more are joined by
+   shuffle).  A second one, over the rows of hot keys only, summarises their
+   order column (mergeable quantile summaries, of a size that follows the
+   number of chunks) and reads the cuts that give about ``rows_per_chunk`` rows
+   per chunk, however the values lie: a burst, or one record fifty years before
+   the rest, moves no cut far.  The cuts are fixed once, so that every part of
+   the plan, and a task that runs again, cuts alike;
 2. the window runs per ``(key, chunk)`` -- every other key is one chunk and
    costs exactly the plain window;
 3. one total per hot chunk (a partial aggregate over the hot rows) and a
@@ -19,13 +22,11 @@ more than ``rows_per_chunk`` rows -- into chunks along the ordering column:
 Whether a key is hot changes the plan, not the rows; only plain-double sums
 may differ in their last digits.
 
-``chunk_by_range`` gives explicit equal-width chunks for every key instead
-(used in tests, or when the caller knows the data).
+A caller that knows the data can give a chunk column of its own instead.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.functions.time import local_time_to_micros
+from rivulet.session import new_folder
 
 # Rows one task is meant to hold for one key: keys above it are split.
 DEFAULT_ROWS_PER_CHUNK = 1 << 20
@@ -58,64 +60,62 @@ def _num(df: DataFrame, c: str) -> Column:
     return F.col(c)
 
 
-def chunk_by_range(df: DataFrame, order_col: str, chunks: int | None = None) -> Column:
-    """Equal-width slices of the whole range of ``order_col``, for all keys.
-
-    The default number of slices is ``ceil(sqrt(rows))``.  Costs one small
-    aggregate job (min, max, count of one column).
-    """
-    o = _num(df, order_col)
-    lo, hi, n = df.agg(F.min(o), F.max(o), F.count(F.lit(1))).first()
-    if lo is None:
-        return F.lit(0).cast("long")
-    k = chunks or max(1, math.isqrt(max(n - 1, 0)) + 1)
-    width = max(1, -(-(int(hi) - int(lo) + 1) // k))
-    return F.floor((o - F.lit(int(lo))) / F.lit(width)).cast("long")
-
-
 def with_hot_key_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
                         rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                         stats_from: DataFrame | None = None) -> DataFrame:
     """Add ``__chunk`` (0 for ordinary keys) and ``__hot`` to each row.
 
-    A key with more than ``rows_per_chunk`` rows is cut into equal-width
-    slices of its own order range, about ``rows_per_chunk`` rows each.
-    Rows with a null key stay one unsplit group.  ``stats_from`` may give a
-    cheaper frame holding a superset of ``df``'s rows (same key and order
-    columns) to size the chunks from, so that an expensive ``df`` is not
-    evaluated once more just for its counts.
+    A key with more than ``rows_per_chunk`` rows is cut at quantiles of its own
+    order values into chunks of about ``rows_per_chunk`` rows each; rows of one
+    order value stay together, and a null value is in the first chunk.  Rows
+    with a null key stay one unsplit group.  ``stats_from`` may give a cheaper
+    frame holding a superset of ``df``'s rows (same key and order columns) to
+    size the chunks from, so that an expensive ``df`` is not evaluated once
+    more just for its counts.
     """
     keys = list(keys)
     src = df if stats_from is None else stats_from
-    so = _num(src, order_col)
     o = _num(df, order_col)
-    stats = (src.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("__n"), F.min(so).alias("__lo"),
-                  F.max(so).alias("__hi"))
-             .filter(F.col("__n") > F.lit(rows_per_chunk)))
-    # width so that a slice holds about rows_per_chunk rows of this key
-    width = F.greatest(F.lit(1).cast("long"), F.ceil(
-        (F.col("__hi") - F.col("__lo") + 1).cast("double") * F.lit(rows_per_chunk)
-        / F.col("__n")).cast("long"))
-    hot = stats.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)],
-                       F.col("__lo").alias("__hlo"), width.alias("__hw"))
+    hot = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+           .filter(F.col("__n") > F.lit(rows_per_chunk)))
+    hot = hot.select(*[F.col(k).alias(f"__hk{i}") for i, k in enumerate(keys)], "__n")
     # Taken once, here: mostly no key is hot, and then the plan has no join,
     # no totals and no carries at all.  A list of checked size is broadcast;
     # a longer one is joined by shuffle, where AQE splits the hot keys.
     found = hot.limit(MAX_BROADCAST_KEYS + 1).collect()
     if not found:
         return df.withColumn(_CHUNK, F.lit(0).cast("long")).withColumn(_HOT, F.lit(False))
-    if len(found) <= MAX_BROADCAST_KEYS:
+    few = len(found) <= MAX_BROADCAST_KEYS
+    if few:
         hot = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
-    cond = None
+    cond = F.lit(True)
     for i, k in enumerate(keys):
-        c = F.col(k) == F.col(f"__hk{i}")
-        cond = c if cond is None else cond & c
-    d = df.join(hot, cond, "left")
-    chunk = F.when(F.col("__hw").isNull(), F.lit(0).cast("long")).otherwise(
-        F.floor((o - F.col("__hlo")) / F.col("__hw")).cast("long"))
-    return (d.withColumn(_CHUNK, chunk).withColumn(_HOT, F.col("__hw").isNotNull())
-            .drop(*[f"__hk{i}" for i in range(len(keys))], "__hlo", "__hw"))
+        cond = cond & (F.col(k) == F.col(f"__hk{i}"))
+    most = max(2, -(-hot.agg(F.max("__n")).first()[0] // rows_per_chunk))
+    rows = src.select(*keys, _num(src, order_col).alias("__o")).join(hot, cond)
+    cuts = rows.groupBy(*[f"__hk{i}" for i in range(len(keys))]).agg(
+        F.max("__n").alias("__n"), F.percentile_approx(
+            "__o", [i / most for i in range(1, most + 1)], max(10_000, 20 * most)).alias("__q"))
+    # ranks have to be constants: those of the hottest key, of which others take every so many
+    n = F.least(F.ceil(F.col("__n") / F.lit(rows_per_chunk)).cast("int"), F.lit(int(most)))
+    at = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.get(
+        F.col("__q"), F.greatest(F.round(i * most / n).cast("int") - 1, F.lit(0))))
+    cuts = cuts.select(*[f"__hk{i}" for i in range(len(keys))], F.array_sort(F.array_distinct(at)).alias("__cuts"))
+    if few:     # one number per chunk of a hot key: rows / rows_per_chunk in all
+        cuts = F.broadcast(df.sparkSession.createDataFrame(cuts.collect(), cuts.schema))
+    else:
+        path = new_folder(df.sparkSession, "scan", "cuts")
+        cuts.write.parquet(path)
+        cuts = df.sparkSession.read.schema(cuts.schema).parquet(path)
+    d = df.join(cuts, cond, "left")
+    # how many cuts are below the row's value, by binary search
+    size = F.coalesce(F.size("__cuts"), F.lit(0))
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(int(most).bit_length()))])
+    below = F.aggregate(steps, F.lit(0), lambda c, s: F.when(
+        (c + s <= size) & (F.get("__cuts", c + s - 1) < o), c + s).otherwise(c))
+    hot_row = F.col("__hk0").isNotNull()
+    return (d.withColumn(_CHUNK, F.when(hot_row & o.isNotNull(), below).otherwise(F.lit(0)).cast("long"))
+            .withColumn(_HOT, hot_row).drop(*[f"__hk{i}" for i in range(len(keys))], "__cuts"))
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],

@@ -27,7 +27,7 @@ from rivulet.plans.views import (SQL_AFTER_DASH, SQL_ARR, SQL_TXT, TOPIC_PARTITI
                                  event_arrivals, events_of_type, order_text_topic,
                                  sql_parse_long, table)
 from rivulet.sources.schemas import ELECTRONIC_ORDER, conform
-from rivulet.sources.topics import decode_checked, to_topic_records
+from rivulet.sources.topics import decode_checked, tag_bad, to_topic_records
 
 # Parameters of the catalogue queries.
 MARKER = "order-"
@@ -148,6 +148,43 @@ def topic_records(spark, sf_dir):
     return r.withColumn("timestamp", millis_to_local_time(F.unix_millis("timestamp")))
 
 
+_SQL_WORD = "(b[4*i+1] + (b[4*i+2] << 8) + (b[4*i+3] << 16) + (b[4*i+4] << 24))"
+
+
+@query("topic_offsets", f"""
+WITH e AS (SELECT event_id, CAST(user_id AS VARCHAR) AS key FROM events),
+y AS (SELECT event_id, key, len(key) AS n,
+             list_transform(string_split(key, ''), lambda x: CAST(ord(x) AS BIGINT)) AS b FROM e),
+w AS (SELECT *, list_transform(range(0, n // 4), lambda i: ({_SQL_WORD} * 1540483477) & 4294967295) AS w FROM y),
+h AS (SELECT *, list_reduce(list_prepend(xor(2538058380, n), list_transform(w, lambda k: (xor(k, k >> 24) * 1540483477) & 4294967295)),
+                            lambda a, k: xor((a * 1540483477) & 4294967295, k)) AS h FROM w),
+t AS (SELECT *, CASE n % 4 WHEN 0 THEN h ELSE
+        (xor(h, b[n - n % 4 + 1] + CASE WHEN n % 4 > 1 THEN b[n - n % 4 + 2] << 8 ELSE 0 END
+                + CASE WHEN n % 4 > 2 THEN b[n - n % 4 + 3] << 16 ELSE 0 END) * 1540483477) & 4294967295 END AS t FROM h),
+f AS (SELECT event_id, key, (xor(t, t >> 13) * 1540483477) & 4294967295 AS f FROM t),
+p AS (SELECT event_id, key, CAST(CASE WHEN key IS NULL THEN event_id % {TOPIC_PARTITIONS}
+             ELSE (xor(f, f >> 15) & 2147483647) % {TOPIC_PARTITIONS} END AS INTEGER) AS partition FROM f)
+SELECT event_id, key, partition, row_number() OVER (PARTITION BY partition ORDER BY event_id) - 1 AS "offset" FROM p""")
+def topic_offsets(spark, sf_dir):
+    """Records with a key and no offset: the log's partitioner, gapless offsets."""
+    e = table(spark, sf_dir, "events")
+    r = to_topic_records(e, "events", "user_id", value=F.col("event_id"), partitions=TOPIC_PARTITIONS, order=["event_id"])
+    return r.select(F.col("value").alias("event_id"), "key", "partition", "offset")
+
+
+@query("topic_bad_values", f"""
+WITH {SQL_TXT}
+SELECT off AS "offset", key, TRY_CAST({SQL_AFTER_DASH} AS DOUBLE) AS value,
+       value IS NOT NULL AND TRY_CAST({SQL_AFTER_DASH} AS DOUBLE) IS NULL AS bad,
+       CASE WHEN TRY_CAST({SQL_AFTER_DASH} AS DOUBLE) IS NULL THEN {SQL_AFTER_DASH} END AS raw
+FROM txt""", ("orders",))
+def topic_bad_values(spark, sf_dir):
+    """A table topic of numbers as text, decoded once: deletes and values that
+    are no numbers are both null, and told apart."""
+    t = order_text_topic(spark, sf_dir).withColumnRenamed("off", "offset")
+    return tag_bad(t.withColumn("value", after_first_dash("value")), T.DoubleType()).select("offset", "key", "value", "bad", "raw")
+
+
 # --- upsert table -----------------------------------------------------------
 
 @query("table_snapshot", f"""

@@ -7,10 +7,13 @@ folder of parquet files and a real broker by changing options only.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.functions.hashing import log_partition
 from rivulet.sources.schemas import DATE_COL, RecordSchema, topic_schema
 
 
@@ -27,7 +30,7 @@ def read_topic(spark: SparkSession, path: str | None = None, *,
                options: dict | None = None,
                max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
                max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER,
-               by_date: bool = False) -> DataFrame:
+               by_date: bool = False, on_bad: str = "null") -> DataFrame:
     """Read a topic as a batch or streaming DataFrame.
 
     With ``options`` holding ``kafka.bootstrap.servers`` the Kafka source is
@@ -38,10 +41,19 @@ def read_topic(spark: SparkSession, path: str | None = None, *,
     reads a topic written with ``write_topic(by_date=True)``: a filter on
     the ``date`` column then prunes whole folders before any file is opened.
 
+    ``on_bad`` says what becomes of a text value that does not decode (values
+    come as text from a broker, and from files when ``options`` has
+    ``values='text'``): ``"null"`` leaves it to
+    ``decode_value``; ``"tag"`` adds the
+    columns ``bad`` and ``raw`` (``tag_bad``), so that the record can be routed
+    aside and, in a table topic, is not taken for a delete.
+
     Streams read at most ``max_files_per_trigger`` files (file topic) or
     ``max_offsets_per_trigger`` records (Kafka) per micro-batch, so a
     backlog is worked off in bounded batches (``None`` lifts the limit).
     """
+    if on_bad not in ("null", "tag"):
+        raise ValueError("on_bad is 'null' or 'tag'")
     options = dict(options or {})
     vtype = value_type.struct if isinstance(value_type, RecordSchema) else value_type
     reader = spark.readStream if stream else spark.read
@@ -54,11 +66,40 @@ def read_topic(spark: SparkSession, path: str | None = None, *,
         raw = raw.select("topic", "partition", "offset", "timestamp",
                          F.col("key").cast("string").alias("key"),
                          F.col("value").cast("string").alias("value"))
-        return decode_value(raw, vtype)
+        return tag_bad(raw, vtype) if on_bad == "tag" else decode_value(raw, vtype)
+    text = options.pop("values", None) == "text"
     if stream and max_files_per_trigger:
         options.setdefault("maxFilesPerTrigger", str(max_files_per_trigger))
-    return (reader.format(fmt).schema(topic_schema(vtype, by_date)).options(**options)
-            .load(path))
+    stored = T.StringType() if text else vtype
+    records = reader.format(fmt).schema(topic_schema(stored, by_date)).options(**options).load(path)
+    if not text:        # typed files hold no undecoded value
+        return records.withColumns({"bad": F.lit(False), "raw": F.lit(None).cast("string")}) if on_bad == "tag" else records
+    return tag_bad(records, vtype) if on_bad == "tag" else decode_value(records, vtype)
+
+
+def tag_bad(df: DataFrame, value_type: T.DataType, col: str = "value") -> DataFrame:
+    """Decode a text value once: ``col`` as ``value_type``, ``bad`` (the text is
+    no such value: malformed JSON, a wrong type in it, or no double or long) and
+    ``raw`` (the text of a bad record).
+
+    A null value is no bad record: in a table topic it is a delete.  A bad one
+    has a null ``col`` too, and ``bad`` tells them apart: route it aside
+    (``filter('bad')``) before the table sees it."""
+    text = F.col(col).cast("string")
+    if isinstance(value_type, T.StringType):
+        return df.withColumn(col, text).withColumns({"bad": F.lit(False), "raw": F.lit(None).cast("string")})
+    if isinstance(value_type, T.StructType):
+        schema = T.StructType([*value_type.fields, T.StructField("_corrupt_record", T.StringType())])
+        parsed = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+        d = df.withColumn("__text", text).withColumn("__parsed", parsed)
+        bad = F.col("__text").isNotNull() & (F.col("__parsed").isNull() | F.col("__parsed._corrupt_record").isNotNull())
+        value = F.col("__parsed").dropFields("_corrupt_record")
+    else:
+        d = df.withColumn("__text", text).withColumn("__parsed", text.try_cast(value_type))
+        bad, value = F.col("__text").isNotNull() & F.col("__parsed").isNull(), F.col("__parsed")
+    d = d.withColumn("bad", bad)
+    return d.select(*[F.when(~F.col("bad") & F.col("__text").isNotNull(), value).alias(col) if c == col else F.col(c)
+                      for c in df.columns], "bad", F.when(F.col("bad"), F.col("__text")).alias("raw"))
 
 
 def decode_value(df: DataFrame, value_type: T.DataType, col: str = "value") -> DataFrame:
@@ -97,18 +138,53 @@ def decode_checked(df: DataFrame, value_type: T.DataType, col: str = "value"
     return df.filter(~bad).withColumn(col, parsed), df.filter(bad)
 
 
+def with_log_offsets(df: DataFrame, partition: str = "partition", order: Sequence[str] = ("timestamp",),
+                     out: str = "offset", start: DataFrame | None = None,
+                     rows_per_chunk: int | None = None) -> DataFrame:
+    """Gapless offsets per topic partition: 0, 1, 2 ... in ``order``.
+
+    Two passes: records are counted per partition (a large one in slices of the
+    order), then every slice is numbered on from the ones before it, so no task
+    holds a whole partition.  With a total ``order`` (numeric or a time first)
+    another run, on other partitions of the frame, gives the same offsets.
+    ``start``: (partition, next offset) of a topic that exists
+    (``next_offsets``).
+    """
+    from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK, running
+
+    d = running(df, [partition], list(order), F.lit(1), "count", "__nth", rows_per_chunk=rows_per_chunk or DEFAULT_ROWS_PER_CHUNK)
+    nth = F.col("__nth") - 1
+    if start is None:
+        return d.withColumn(out, nth.cast("long")).drop("__nth")
+    # one row per topic partition
+    at = F.broadcast(start.select(F.col(start.columns[0]).alias("__p"), F.col(start.columns[1]).alias("__at")))
+    d = d.join(at, F.col(partition) == F.col("__p"), "left")
+    return d.withColumn(out, (nth + F.coalesce("__at", F.lit(0))).cast("long")).drop("__nth", "__p", "__at")
+
+
+def next_offsets(topic: DataFrame) -> DataFrame:
+    """(partition, next offset) of a topic's records so far."""
+    return topic.groupBy("partition").agg((F.max("offset") + 1).alias("next"))
+
+
 def to_topic_records(df: DataFrame, topic: str, key: Column | str, *,
                      value: Column | None = None, time_millis: Column | str | None = None,
                      offset: Column | str | None = None, partition: Column | str | None = None,
-                     partitions: int = 1) -> DataFrame:
+                     partitions: int = 1, order: Sequence[str] | None = None,
+                     start: DataFrame | None = None) -> DataFrame:
     """Shape a frame as topic records (what a producer writes).
 
     ``key`` picks the record key from a field; ``value`` defaults to the
     struct of all input columns; ``time_millis`` gives the record timestamp
     from an epoch-millisecond field (default: now); ``partition`` defaults to
-    a hash of the key over ``partitions`` (Spark's hash, not a broker's).
-    ``offset`` defaults in batch to a unique increasing id, which another run
-    may assign differently; a stream has no such id and must name its offset.
+    the log's own partitioner of the key over ``partitions``; records without a
+    key go round by their place in ``order`` (its first column, if a whole
+    number), or by a hash of the record.
+
+    Offsets: ``offset`` names a column; else ``order`` (columns of ``df``) gives
+    every partition gapless offsets in that order (``with_log_offsets``), after
+    those of ``start``; with neither, a batch gets a unique increasing id, which
+    another run may assign differently, and a stream is refused.
     """
     if df.isStreaming and offset is None:
         raise ValueError("a stream has no default offset: name the offset column")
@@ -117,13 +193,21 @@ def to_topic_records(df: DataFrame, topic: str, key: Column | str, *,
     value_c = value if value is not None else F.struct(*[F.col(c) for c in df.columns])
     ts_c = (F.timestamp_millis(as_col(time_millis)) if time_millis is not None
             else F.current_timestamp())
-    part_c = (as_col(partition).cast("int") if partition is not None
-              else F.pmod(F.hash(key_c), F.lit(partitions)).cast("int"))
+    if partition is not None:
+        part_c = as_col(partition).cast("int")
+    else:
+        turns = bool(order) and isinstance(df.schema[order[0]].dataType, T.IntegralType)
+        other = F.col(order[0]) if turns else F.xxhash64(*df.columns)
+        part_c = F.coalesce(log_partition(key_c, partitions), F.pmod(other, F.lit(partitions)).cast("int"))
+    fields = [F.lit(topic).alias("topic"), part_c.alias("partition"), ts_c.alias("timestamp"),
+              key_c.alias("key"), value_c.alias("value")]
+    names = ["topic", "partition", "offset", "timestamp", "key", "value"]
+    if offset is None and order:
+        records = df.select(*fields, *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order)])
+        return with_log_offsets(records, "partition", [f"__o{i}" for i in range(len(order))], "offset", start).select(*names)
     off_c = (as_col(offset).cast("long") if offset is not None
              else F.monotonically_increasing_id())
-    return df.select(F.lit(topic).alias("topic"), part_c.alias("partition"),
-                     off_c.alias("offset"), ts_c.alias("timestamp"),
-                     key_c.alias("key"), value_c.alias("value"))
+    return df.select(*fields, off_c.alias("offset")).select(*names)
 
 
 def write_topic(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "append",

@@ -130,3 +130,24 @@ def test_window_updates_exact_with_hot_windows(spark, skewed):
     pdf["bf"] = pdf.groupby(["user_id", "ws"])["value"].cumsum()
     m = got.merge(pdf[["event_id", "bf"]], on="event_id")
     assert len(m) == len(got) and (m["rt"] - m["bf"]).abs().max() < 1e-6
+
+
+@pytest.mark.parametrize("shape", ["burst", "outlier", "steps"])
+def test_slices_hold_equal_rows_whatever_the_times(spark, shape):
+    """Bursts, and one record fifty years before the rest: no slice of the hot
+    key is above twice its size, and the running sum is exact."""
+    rows = []
+    for i in range(6000):
+        t = {"burst": i if i < 3000 else 10_000_000 + i // 1000, "outlier": 1_700_000_000 + i, "steps": (i // 50) ** 3}[shape]
+        rows.append((0 if i % 3 else 1 + i % 40, -50_000_000 if shape == "outlier" and i == 1 else t * 1000 + i, i, 1.0))
+    df = spark.createDataFrame(rows, "k int, t long, i int, v double").repartition(5)
+    cut = with_hot_key_chunks(df, ["k"], "t", ROWS)
+    sizes = [r["count"] for r in cut.filter("k = 0").groupBy("__chunk").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) <= 2 * ROWS and len(sizes) >= 4000 // ROWS
+    assert cut.filter("k > 0 and (__hot or __chunk <> 0)").count() == 0
+    got = {r["i"]: r["total"] for r in running_sum(df, "k", ["t", "i"], "v", rows_per_chunk=ROWS).collect()}
+    want, n = {}, {}
+    for k, t, i, _ in sorted(rows, key=lambda r: (r[1], r[2])):
+        n[k] = n.get(k, 0) + 1
+        want[i] = float(n[k])
+    assert got == want

@@ -1,9 +1,11 @@
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.sources import (ELECTRONIC_ORDER, conform, read_topic, to_topic_records,
                              write_report, write_topic)
-from rivulet.streaming import stream_checkpoint
-from tests.fixtures import T0
+from rivulet.streaming import run_stream, stream_checkpoint
+from tests.fixtures import T0, topic
 
 
 def test_topic_round_trip_batch_and_stream(spark, tmp_path):
@@ -173,3 +175,71 @@ def test_stream_needs_a_named_offset(spark, tmp_path):
     with pytest.raises(ValueError, match="offset"):
         to_topic_records(s, "t", "id")
     assert to_topic_records(s, "t", "id", offset="id").isStreaming
+
+
+# Known results of the log's key hash (signed 32 bits).
+HASHES = {"21": -973932308, "foobar": -790332482, "a-little-bit-long-string": -985981536,
+          "a-little-bit-longer-string": -1486304829, "abc": 479470107,
+          "lkjh234lh9fiuh90y23oiuhsafujhadof229phr9h19h89h8": -58897971}
+
+
+def test_log_partitioner(spark):
+    from rivulet.functions import log_partition, murmur2
+
+    df = spark.createDataFrame([(k,) for k in HASHES] + [(None,)], "k string")
+    rows = {r["k"]: (r["h"], r["p"]) for r in df.select("k", murmur2("k").alias("h"), log_partition("k", 7).alias("p")).collect()}
+    assert {k: h - 2**32 if h >= 2**31 else h for k, (h, _) in rows.items() if k} == HASHES
+    assert all(p == (h & 0x7FFFFFFF) % 7 for k, (h, p) in rows.items() if k) and rows[None] == (None, None)
+
+
+@pytest.mark.parametrize("rows_per_chunk", [1 << 20, 40])
+def test_offsets_are_gapless_and_the_same_on_every_run(spark, rows_per_chunk, monkeypatch):
+    from rivulet.operators import scan
+    from rivulet.sources import next_offsets
+
+    monkeypatch.setattr(scan, "DEFAULT_ROWS_PER_CHUNK", rows_per_chunk)
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    runs = []
+    for parts in (1, 7):
+        r = to_topic_records(e.repartition(parts), "t", "user_id", value=F.col("event_id"), partitions=3, order=["event_id"])
+        runs.append(sorted((x["partition"], x["offset"], x["value"]) for x in r.collect()))
+    assert runs[0] == runs[1]
+    for p in {x[0] for x in runs[0]}:
+        own = [x for x in runs[0] if x[0] == p]
+        assert [x[1] for x in own] == list(range(len(own))) and own == sorted(own, key=lambda x: x[2])
+    topic = to_topic_records(e, "t", "user_id", partitions=3, order=["event_id"])
+    more = to_topic_records(e, "t", "user_id", partitions=3, order=["event_id"], start=next_offsets(topic))
+    both = sorted((x["partition"], x["offset"]) for x in topic.unionByName(more).select("partition", "offset").collect())
+    assert both == [(p, i) for p in sorted({x[0] for x in runs[0]}) for i in range(2 * len([x for x in runs[0] if x[0] == p]))]
+
+
+def test_bad_values_are_tagged_by_the_read(spark, tmp_path):
+    """Bad JSON, doubles and longs go aside; a delete is no bad record, and a
+    bad record of a table topic deletes nothing."""
+    from rivulet.operators import table_from_topic
+
+    text = T.StringType()
+    kinds = {T.LongType(): (["1", "x", None, "9" * 30, "4.5", ""], [0, 1, 0, 1, 1, 1]),
+             T.DoubleType(): (["1", "x", None, "1e3", "4.5", ""], [0, 1, 0, 0, 0, 1]),
+             T.StructType([T.StructField("a", T.LongType())]): (['{"a":1}', '{"a":', None, '{"a":"x"}', "{}", "nonsense"], [0, 1, 0, 1, 0, 1])}
+    for n, (kind, (values, bad)) in enumerate(kinds.items()):
+        path = str(tmp_path / f"t{n}")
+        raw = topic(spark, [(0, i, i, "k" if i < 3 else f"k{i}", v) for i, v in enumerate(values)])
+        assert raw.schema["value"].dataType == text
+        raw.write.parquet(path)
+        for stream in (False, True):
+            t = read_topic(spark, path, value_type=kind, options={"values": "text"}, on_bad="tag", stream=stream)
+            if stream:
+                run_stream(t, f"tagged{n}", fmt="memory", checkpoint=str(tmp_path / f"ck{n}"))
+                t = spark.sql(f"select * from tagged{n}")
+            got = sorted(t.collect(), key=lambda r: r["offset"])
+            assert [int(r["bad"]) for r in got] == bad
+            assert [r["raw"] for r in got] == [v if b else None for v, b in zip(values, bad)]
+            assert all((r["value"] is None) == (bool(b) or v is None) for r, v, b in zip(got, values, bad))
+        # the bad second record of key "k" must not be its table value; the delete after it must
+        good = read_topic(spark, path, value_type=kind, options={"values": "text"}, on_bad="tag").filter("not bad")
+        assert table_from_topic(good.filter("offset < 2")).filter("key = 'k'").first()["value"] is not None
+        assert table_from_topic(good).filter("key = 'k'").first()["value"] is None
+        if not isinstance(kind, T.StructType):      # bad JSON decodes to a struct of nulls
+            plain = read_topic(spark, path, value_type=kind, options={"values": "text"})
+            assert plain.filter("value is null").count() == sum(bad) + 1
