@@ -80,40 +80,39 @@ def byte_strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 class Spans:
-    """Hashes of long substrings of one buffer: every run of 2**k bytes is
-    hashed by doubling, and a substring is known by its length and the two such
-    runs that begin and end it.  Holds one array, of runs of ``least`` bytes."""
-
-    def __init__(self, data: np.ndarray, width: int):
-        """``width``: the shortest substring asked for."""
-        self.level, self.step = data.astype(U64), 1
-        self.least = 1 << (int(width).bit_length() - 1)
-
-    def _doubled(self, level: np.ndarray, step: int) -> np.ndarray:
-        if step <= 4:
-            return level[:-step] | (level[step:] << U64(8 * step))
-        return combine(level[:-step], level[step:])
-
-    def upto(self, step: int) -> np.ndarray:
-        """Hashes of the runs of ``step`` bytes, a power of two up to ``least``
-        and not below an earlier one."""
-        while self.step < step:
-            self.level = self._doubled(self.level, self.step)
-            self.step *= 2
-        return self.level
+    """Hashes of substrings of one buffer.  ``level``: of every run of ``width``
+    bytes (a power of two up to 32), by doubling; a substring of at least that
+    many bytes is hashed from its length and the runs that tile it, the last one
+    ending with it."""
+
+    def __init__(self, data: np.ndarray, shortest: int):
+        self.data = data
+        self.width = min(32, 1 << (int(shortest).bit_length() - 1))
+        n = max(0, len(data) - 7)
+        if self.width < 8:
+            padded = np.concatenate([data, np.zeros(8, np.uint8)])
+            word = np.ndarray((len(data),), "<u8", padded, strides=(1,))
+            self.level = mix(word & U64((1 << 8 * self.width) - 1))[: max(0, len(data) - self.width + 1)]
+            return
+        word = np.ascontiguousarray(np.ndarray((n,), "<u8", np.ascontiguousarray(data), strides=(1,))) if n else np.empty(0, U64)
+        step = 8
+        while step < self.width:
+            word, step = combine(word[:-step], word[step:]), 2 * step
+        self.level = mix(word) if self.width == 8 else word
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         size = ends - starts
-        out = np.empty(len(size), U64)
-        level, step = self.upto(self.least), self.least
-        todo = np.arange(len(size))
-        while len(todo):
-            more = size[todo] >= 2 * step
-            i = todo[~more]
-            out[i] = combine(combine(level[starts[i]], level[ends[i] - step]), size[i].astype(U64))
-            todo = todo[more]
-            if len(todo):
-                level, step = self._doubled(level, step), 2 * step
+        out = combine(self.level[starts], size.astype(U64))
+        long = size > 64 * self.width
+        left = np.flatnonzero(~long)
+        at = self.width
+        while len(left):
+            last = size[left] <= at + self.width
+            place = np.where(last, ends[left] - self.width, starts[left] + at)
+            out[left] = combine(out[left], self.level[place])
+            left, at = left[~last], at + self.width
+        for i in np.flatnonzero(long).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(self.data[starts[i]: ends[i]].tobytes())
         return out
 
 

@@ -4,7 +4,7 @@ Every byte covered by a string of ``length`` bytes that starts anywhere else
 too (same document or another) is removed.
 
 Which strings can meet is settled first, so that suffix sorting is local.  The
-smallest hash of the ``KGRAM``-byte windows inside a string is its key: equal
+smallest hash of the 32-byte windows inside a string is its key: equal
 strings have equal keys, and consecutive starts with one key form a run, about
 85 starts long.  Documents go to groups (by a hash of the row), keys to
 buckets; a group sends each distinct run once, as (key, content hash,
@@ -43,7 +43,6 @@ from rivulet.llm._text import U64, Spans, chunks, covered, expand, mix
 from rivulet.llm.repeated_passages import _bucket, _member, _per_bucket, _runs, planes, text_bytes, unplanes
 
 LENGTH = 200
-KGRAM = 32
 GROUP_BYTES = 16 << 20
 BUCKET_BYTES = 24 << 20
 SHARD = 1 << 20
@@ -156,7 +155,7 @@ class Repeats:
 
     def __init__(self, length: int, n_buckets: int, hot: int = HOT, shard: int = SHARD):
         self.length, self.n, self.hot, self.shard = length, n_buckets, hot, shard
-        self.kgram = min(KGRAM, 1 << (length.bit_length() - 1))
+        self.kgram = Spans(np.empty(0, np.uint8), length).width
 
     def _loops(self, h: np.ndarray, st: np.ndarray, at: np.ndarray, count: np.ndarray) -> np.ndarray:
         """May a run repeat a string of its own?  Only if its key occurs twice
@@ -179,7 +178,7 @@ class Repeats:
                 yield a, data, off, st, *[np.empty(0, t) for t in (np.int64, U64, U64, np.int64, bool)]
                 continue
             spans = Spans(data, self.length)
-            h = mix(spans.upto(self.kgram), 7)
+            h = spans.level
             low = sliding_min(h, self.length - self.kgram + 1)[st]
             new = np.ones(len(st), bool)
             new[1:] = (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])
