@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rivulet.llm._store import store
+from rivulet.llm._store import store, unused
 
 WEIGHTS, CAP, SHARDS, BLOCK, SEED = (5, 2, 1), 3, 8, 4096, "mix-1"
 MAX_SOURCES, PIECE = 100_000, 200_000
@@ -253,19 +253,22 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
         # concat_ws leaves a null source out
         return F.concat_ws(":", draw, text_key.cast("string"), F.concat(F.lit("s"), source.cast("string")))
 
-    # one row per key: rows of equal keys follow each other, the first is __before words into its source
+    # docs may have columns of any name
+    row, nth, words, key, before, size, whole, rest = unused(
+        docs, "__row", "__nth", "__words", "__key", "__before", "__size", "__whole", "__rest")
+    # one row per key: rows of equal keys follow each other, the first is `before` words into its source
     wanted = placed.where("size > 0 and (whole > 0 or before < rest)").groupBy(
-        row_key(F.col("draw"), F.col("text_key"), F.col("source")).alias("__key")).agg(
-        F.min("before").alias("__before"), F.first("size").alias("__size"),
-        F.first("whole").alias("__whole"), F.first("rest").alias("__rest"))
-    rows = docs.withColumn("__row", row_key(_draw_key(seed, id_col, text_col), F.xxhash64(text_col), F.col(source_col)))
-    rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy("__row").orderBy("__row")) - 1)
-    rows = rows.join(wanted, F.col("__row") == F.col("__key"))
-    last = F.least(F.greatest(F.col("__rest") - F.col("__before") - F.col("__nth") * F.col("__size"), F.lit(0)), F.col("__size"))
-    rows = rows.withColumn("__words", F.explode(F.filter(
-        F.concat(F.array_repeat(F.col("__size"), F.col("__whole").cast("int")), F.array(last)), lambda n: n > 0)))
-    cut = F.when(F.col("__words") < F.col("__size"), F.array_join(F.slice(
-        F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), F.lit(1), F.col("__words").cast("int")), " "))
+        row_key(F.col("draw"), F.col("text_key"), F.col("source")).alias(key)).agg(
+        F.min("before").alias(before), F.first("size").alias(size),
+        F.first("whole").alias(whole), F.first("rest").alias(rest))
+    rows = docs.withColumn(row, row_key(_draw_key(seed, id_col, text_col), F.xxhash64(text_col), F.col(source_col)))
+    rows = rows.withColumn(nth, F.row_number().over(Window.partitionBy(row).orderBy(row)) - 1)
+    rows = rows.join(wanted, F.col(row) == F.col(key))
+    last = F.least(F.greatest(F.col(rest) - F.col(before) - F.col(nth) * F.col(size), F.lit(0)), F.col(size))
+    rows = rows.withColumn(words, F.explode(F.filter(
+        F.concat(F.array_repeat(F.col(size), F.col(whole).cast("int")), F.array(last)), lambda n: n > 0)))
+    cut = F.when(F.col(words) < F.col(size), F.array_join(F.slice(
+        F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), F.lit(1), F.col(words).cast("int")), " "))
     rows = rows.withColumn(text_col, F.coalesce(cut, F.col(text_col)))
     if n_chars_col in docs.columns:
         rows = rows.withColumn(n_chars_col, F.length(text_col).cast(docs.schema[n_chars_col].dataType))

@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rivulet.llm._store import components, store
+from rivulet.llm._store import components, store, unused
 from rivulet.llm._text import U64, Words, chunks, combine, lists, mix, separators, windows
 
 SHINGLE = 5
@@ -346,10 +346,11 @@ def keep_one(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, threshold: i
         # concat_ws leaves a null id out; one column, so the join and the window share a shuffle
         return F.concat_ws(":", text_key.cast("string"), id_.cast("string"))
 
-    kept = kept.select(row_key(F.col("id"), F.col("text_key")).alias("__kept")).distinct()
-    rest = docs.withColumn("__key", row_key(F.col(id_col), F.xxhash64(text_col)))
-    rest = rest.join(kept, F.col("__key") == F.col("__kept"), "left_semi")
-    same = Window.partitionBy("__key").orderBy("__key")
-    rest = rest.withColumn("__nth", F.row_number().over(same)).where("__nth = 1").select(*docs.columns)
+    own, other, nth = unused(docs, "__key", "__kept", "__nth")      # docs may have columns of any name
+    kept = kept.select(row_key(F.col("id"), F.col("text_key")).alias(other)).distinct()
+    rest = docs.withColumn(own, row_key(F.col(id_col), F.xxhash64(text_col)))
+    rest = rest.join(kept, F.col(own) == F.col(other), "left_semi")
+    same = Window.partitionBy(own).orderBy(own)
+    rest = rest.withColumn(nth, F.row_number().over(same)).where(F.col(nth) == 1).select(*docs.columns)
     blank = F.coalesce(F.trim(F.translate(text_col, "\t\n\x0b\x0c\r", "     ")), F.lit("")) == ""
     return rest.unionByName(docs.where(F.col(id_col).isNull() & blank))
