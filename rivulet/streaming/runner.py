@@ -8,7 +8,6 @@ where the last run stopped (committed offsets + state).
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -22,11 +21,49 @@ from rivulet.session import checkpoint_root
 RETRYABLE_MESSAGES = ("Retryable transient error",)
 
 
-def stream_checkpoint(spark: SparkSession, app_id: str, reset: bool = False) -> str:
-    """Checkpoint folder of an application.  ``reset`` starts from empty
-    state by taking a new folder; the old one is left in place."""
+@dataclass(frozen=True)
+class StreamRun:
+    """One run of an application: everything it keeps -- progress, state, sinks
+    -- lies below one folder, so that a reset leaves nothing behind to be mixed
+    in.  ``number`` counts resets."""
+
+    app_id: str
+    number: int
+    folder: str
+
+    @property
+    def checkpoint(self) -> str:
+        """Progress and state of the run's query."""
+        return self.folder if self.number == 0 else f"{self.folder}/checkpoint"
+
+    def path(self, name: str) -> str:
+        """The run's own folder for a sink or side output."""
+        return f"{self.folder}/{name}" if self.number else f"{self.folder}-{name}"
+
+
+def stream_run(spark: SparkSession, app_id: str, reset: bool = False) -> StreamRun:
+    """The present run of an application, or with ``reset`` a new one.
+
+    The run is recorded by its folder, made at once below the shared checkpoint
+    root: a restart, on any driver, finds the newest run and reads and writes
+    that one's folders only.  Old runs stay where they are."""
     base = f"{checkpoint_root(spark)}/streams/{app_id}"
-    return f"{base}-reset-{uuid.uuid4().hex[:8]}" if reset else base
+    runs = spark._jvm.org.apache.hadoop.fs.Path(f"{base}-runs")
+    fs = runs.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(runs)] if fs.exists(runs) else []
+    newest = max((int(n) for n in names if n.isdigit()), default=0)
+    if reset:
+        newest += 1
+        if not fs.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(f"{base}-runs/{newest}")):
+            raise RuntimeError(f"cannot record run {newest} of {app_id}")
+    return StreamRun(app_id, newest, f"{base}-runs/{newest}" if newest else base)
+
+
+def stream_checkpoint(spark: SparkSession, app_id: str, reset: bool = False) -> str:
+    """Checkpoint folder of an application's present run.  ``reset`` starts a
+    new run with empty state; sinks named by ``stream_run(...).path`` start
+    empty with it, and a restart stays in the new run."""
+    return stream_run(spark, app_id, reset).checkpoint
 
 
 def start_stream(df: DataFrame, app_id: str, *, path: str | None = None, fmt: str = "parquet",

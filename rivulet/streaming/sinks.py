@@ -258,6 +258,27 @@ def window_writer(out_path: str, state_path: str, key: str = "key", ts: str = "t
     return fn
 
 
+def receipts_writer(path: str, receipts: str, value_type: T.DataType = T.StringType()
+                    ) -> Callable[[DataFrame, int], None]:
+    """Write ``produce_stream`` records and a receipt for each of them.
+
+    Accepted records go to the topic at ``path`` (values decoded to
+    ``value_type``), and every record, refused ones too, leaves one row in
+    ``receipts``: partition, offset, timestamp, key and ``error`` (null: written).
+    Both are the batch's own folder, so a replay replaces them.
+    """
+    from rivulet.sources.topics import decode_value
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        d = batch.persist()
+        try:
+            write_batch(decode_value(d.filter("error is null").drop("error"), value_type), path, batch_id)
+            write_batch(d.select("topic", "partition", "offset", "timestamp", "key", "error"), receipts, batch_id)
+        finally:
+            d.unpersist()
+    return fn
+
+
 def error_budget_writer(out_path: str, quarantine_path: str, is_bad: Column,
                         order: str = "offset", budget: int = DEFAULT_ERROR_BUDGET
                         ) -> Callable[[DataFrame, int], None]:

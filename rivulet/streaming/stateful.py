@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from rivulet.functions.hashing import log_partition
 from rivulet.functions.time import as_event_time, duration_micros, local_time_to_micros
+from rivulet.operators.quality import DEFAULT_MAX_RECORD_BYTES
 
 
 def read_state(spark: SparkSession, checkpoint: str, variable: str, operator: int = 0) -> DataFrame:
@@ -255,6 +257,60 @@ def with_clock_before(df: DataFrame, partition: str = "partition", ts: str = "ti
     return with_state_before(df.withColumn("rv_us", _micros(df, ts)), partition, "rv_us", "max", out).drop("rv_us")
 
 
+# ---- producing: partitions and offsets ---------------------------------------
+
+class _Offsets(StatefulProcessor):
+    """State ``next``: the offset that a topic partition's next record gets."""
+
+    def __init__(self, order: list[str], cols: list[str]):
+        self.order, self.cols = order, cols
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.next = handle.getValueState("next", _state(next=T.LongType()))
+
+    def handleInputRows(self, key, rows, timerValues):
+        at = self.next.get()[0] if self.next.exists() else 0
+        pdf = _in_order(rows, self.cols, self.order)
+        good = pdf["error"].isna()
+        pdf["offset"] = (at - 1 + good.cumsum()).where(good).astype("Int64")
+        self.next.update((at + int(good.sum()),))
+        yield pdf[[c for c in self.cols if not c.startswith("rv_o")] + ["offset"]]
+
+    def close(self) -> None:
+        pass
+
+
+def produce_stream(df: DataFrame, topic: str, key: Column | str, order: Sequence[str], *,
+                   value: Column | None = None, time_millis: Column | str | None = None,
+                   partitions: int = 1, max_bytes: int = DEFAULT_MAX_RECORD_BYTES) -> DataFrame:
+    """A stream as topic records with their partitions and offsets.
+
+    The log's partitioner places a key (records without one go to partition 0);
+    within a partition offsets run on without a gap, in ``order`` inside a
+    micro-batch, from the state store.  A replayed micro-batch gets the same
+    offsets.  A record whose serialised value is over ``max_bytes`` is refused:
+    ``error`` says so, and it takes no offset.  Columns: topic, partition,
+    offset, timestamp, key, value (text; JSON of a struct), error.  State
+    variable: ``next``.  Output mode ``append``; see ``receipts_writer``.
+    """
+    as_col = lambda c: F.col(c) if isinstance(c, str) else c
+    v = value if value is not None else F.struct(*[F.col(c) for c in df.columns])
+    kind = df.select(v.alias("v")).schema["v"].dataType
+    text = F.to_json(v) if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else v.cast("string")
+    key_c = as_col(key).cast("string")
+    millis = as_col(time_millis) if time_millis is not None else F.unix_millis(F.current_timestamp())
+    size = F.octet_length(text)
+    d = df.select(F.lit(topic).alias("topic"), F.coalesce(log_partition(key_c, partitions), F.lit(0)).alias("partition"),
+                  millis.cast("long").alias("millis"), key_c.alias("key"), text.alias("value"),
+                  F.when(size > max_bytes, F.concat(F.lit("record too large: "), size.cast("string"), F.lit(" bytes"))).alias("error"),
+                  *[F.col(c).alias(f"rv_o{i}") for i, c in enumerate(order)])
+    keep = [f for f in d.schema.fields if not f.name.startswith("rv_o")]
+    schema = T.StructType([*keep, T.StructField("offset", T.LongType())])
+    r = d.groupBy("partition").transformWithStateInPandas(
+        _Offsets([f"rv_o{i}" for i in range(len(order))], d.columns), schema, "append", "none")
+    return r.select("topic", "partition", "offset", F.timestamp_millis("millis").alias("timestamp"), "key", "value", "error")
+
+
 # ---- lateness and windows by each partition's own clock ---------------------
 
 class _Clock(StatefulProcessor):
