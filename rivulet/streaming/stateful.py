@@ -34,7 +34,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from rivulet.functions.hashing import log_partition
 from rivulet.functions.time import as_event_time, duration_micros, local_time_to_micros
-from rivulet.operators.quality import DEFAULT_MAX_RECORD_BYTES
+from rivulet.operators.quality import (DEFAULT_ERROR_BUDGET, DEFAULT_MAX_RECORD_BYTES,
+                                       ErrorBudgetExceeded)
 
 
 def read_state(spark: SparkSession, checkpoint: str, variable: str, operator: int = 0) -> DataFrame:
@@ -257,6 +258,54 @@ def with_clock_before(df: DataFrame, partition: str = "partition", ts: str = "ti
     return with_state_before(df.withColumn("rv_us", _micros(df, ts)), partition, "rv_us", "max", out).drop("rv_us")
 
 
+# ---- bad input ---------------------------------------------------------------
+
+class _Budget(StatefulProcessor):
+    """State ``bad``: bad records so far, over all partitions and restarts."""
+
+    def __init__(self, budget: int, cols: list[str], order: list[str]):
+        self.budget, self.cols, self.order = budget, cols, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.bad = handle.getValueState("bad", _state(bad=T.LongType()))
+
+    def handleInputRows(self, key, rows, timerValues):
+        before = self.bad.get()[0] if self.bad.exists() else 0
+        kept = []               # at most the rest of the budget, and the record after it
+        for pdf in _named(rows, self.cols):
+            kept = [pd.concat([*kept, pdf]).sort_values(self.order, kind="stable").head(max(self.budget - before, 0) + 1)]
+        pdf = kept[0].reset_index(drop=True)
+        if before + len(pdf) > self.budget:
+            at = ", ".join(f"{c} {pdf[c].iloc[-1]}" for c in self.order)
+            raise ErrorBudgetExceeded(f"bad record budget of {self.budget} exceeded at {at}")
+        self.bad.update((before + len(pdf),))
+        pdf["nth_bad"] = before + 1 + pd.RangeIndex(len(pdf))
+        yield pdf[[c for c in self.cols if c != "rv_all"] + ["nth_bad"]]
+
+    def close(self) -> None:
+        pass
+
+
+def budget_stream(tagged: DataFrame, budget: int = DEFAULT_ERROR_BUDGET, value: str = "value",
+                  order: Sequence[str] = ("offset", "partition")) -> DataFrame:
+    """What ``read_topic(on_bad='tag')`` gives, with a budget of bad records.
+
+    Good records pass untouched; bad ones are counted in the state store, in
+    ``order`` within a micro-batch, and come out with their number in
+    ``nth_bad`` (null for good ones).  The record over the budget fails the
+    query (``ErrorBudgetExceeded``), before its micro-batch is committed, and
+    does so again after a restart, whichever partitions the earlier ones came
+    from.  Only bad records pass through the processor, and it holds no more of
+    them than the budget.  State variable: ``bad``.  Output mode ``append``.
+    """
+    good = tagged.filter(~F.col("bad")).withColumn("nth_bad", F.lit(None).cast("long"))
+    flat = tagged.filter("bad").drop(value).withColumn("rv_all", F.lit(0))
+    schema = T.StructType([*[f for f in flat.schema.fields if f.name != "rv_all"], T.StructField("nth_bad", T.LongType())])
+    bad = flat.groupBy("rv_all").transformWithStateInPandas(_Budget(budget, flat.columns, list(order)), schema, "append", "none")
+    bad = bad.withColumn(value, F.lit(None).cast(tagged.schema[value].dataType))
+    return good.unionByName(bad)
+
+
 # ---- producing: partitions and offsets ---------------------------------------
 
 class _Offsets(StatefulProcessor):

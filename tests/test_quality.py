@@ -78,3 +78,53 @@ def test_budget_with_repeated_offsets_over_partitions(spark):
     got = {(r["partition"], r["offset"]): r["status"] for r in out.collect()}
     assert got == {(0, 0): "skipped", (1, 0): "ok", (0, 1): "skipped", (1, 1): "ok", (0, 2): "failed",
                    (1, 2): "unprocessed", (1, 3): "unprocessed"}
+
+
+def test_bad_records_are_counted_over_partitions_and_restarts(spark, tmp_path):
+    """Text read with tags: the 25th bad record passes aside, the 26th fails the
+    query, again after a restart, and good records are not held up before it."""
+    import os
+
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    from pyspark.sql import types as T
+
+    from rivulet.sources import read_topic
+    from rivulet.streaming import budget_stream, read_state, run_stream
+    from tests.fixtures import _write_in_order, topic
+
+    folder, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
+    os.makedirs(folder)
+    n = [0, 0]
+
+    def put(name, bad):
+        rows = []
+        for i in range(20):
+            p = i % 2
+            value = "nonsense" if i < bad else None if i == 19 else str(i)
+            rows.append((p, n[p], i, f"k{i}", value))
+            n[p] += 1
+        _write_in_order(topic(spark, rows).toArrow(), f"{folder}/{name}.parquet", name)
+
+    def run():
+        t = read_topic(spark, folder, value_type=T.LongType(), stream=True, options={"values": "text"}, on_bad="tag",
+                       max_files_per_trigger=1)
+        run_stream(budget_stream(t), "budget", path=out, checkpoint=ck)
+
+    put(0, 10)
+    put(1, 10)
+    run()
+    put(2, 5)
+    run()                                       # 25 by now
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 60 and sorted(r["nth_bad"] for r in rows if r["bad"]) == list(range(1, 26))
+    assert all(r["raw"] == "nonsense" and r["value"] is None for r in rows if r["bad"])
+    assert sum(r["value"] is None and not r["bad"] for r in rows) == 3          # deletes
+    put(3, 0)
+    run()
+    put(4, 1)
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException, match="bad record budget of 25 exceeded at offset 40, partition 0"):
+            run()
+    assert spark.read.parquet(out).count() == 80
+    assert [r["bad"] for r in read_state(spark, ck, "bad").collect()] == [25]
