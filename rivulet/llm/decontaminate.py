@@ -112,6 +112,10 @@ class TestWindows:
         self.first = np.searchsorted(which[order], np.arange(len(unique) + 1))
         self.owner = np.array(owner, np.int64)[order]
         self.pos = np.array(pos, np.int64)[order]
+        # the items of a window, each once however often it holds it
+        held = np.unique(which[order] * max(1, len(self.ids)) + self.owner)
+        self.item = held % max(1, len(self.ids))
+        self.item_first = np.searchsorted(held // max(1, len(self.ids)), np.arange(len(unique) + 1))
         self.size = unique[:, window].astype(np.int64)
         full = np.uint64((1 << 64 // self.per) - 1)
         low = unique[:, :window]
@@ -169,11 +173,15 @@ def _search_batch(texts: pa.Array, tests: list, matches: bool):
             if not len(word):
                 continue
             hit |= covered(word, t.size[win], len(hit))
-            k, src = expand(t.first[win], t.first[win + 1])
-            doc, pos = w.doc[word[src]], word[src]
-            for d, i in np.unique(np.stack([doc, t.owner[k]], 1), axis=0):
-                got.setdefault(int(d), set()).add(t.ids[i])
-            if matches:
+            # a window that occurs often in a document names its items once
+            n_windows = len(t.size)
+            once = np.unique(w.doc[word] * n_windows + win)
+            k, src = expand(t.item_first[once % n_windows], t.item_first[once % n_windows + 1])
+            for pair in np.unique((once // n_windows)[src] * len(t.ids) + t.item[k]).tolist():
+                got.setdefault(pair // len(t.ids), set()).add(t.ids[pair % len(t.ids)])
+            if matches:     # every occurrence with every place that holds it
+                k, src = expand(t.first[win], t.first[win + 1])
+                doc, pos = w.doc[word[src]], word[src]
                 rows += _longest(t, doc, t.owner[k], t.pos[k], pos - w.first[doc], t.size[win[src]])
         n_words.append(w.count)
         n_hit.append(per_doc(hit, w.first))
@@ -218,18 +226,20 @@ def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Tes
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                  block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
+                 text_col: str = "text", matches: bool = True) -> DataFrame:
     """Per document: id, n_words, n_hit (words inside a window that occurs),
     items (ids with an occurring window, sorted), n_items, items_sha256,
     contaminated, and matches (item_id, item_pos, doc_pos, n_words: longest
-    verbatim matches, word positions from 0)."""
+    verbatim matches, word positions from 0).  Without ``matches`` that list is
+    empty, and a passage that many items share costs each document one row per
+    item, not per item and occurrence."""
     sc = docs.sparkSession.sparkContext
     sent = [sc.broadcast(vars(t)) for t in _blocks(benchmark, window, block_bytes)]
     key = docs.select(F.col(id_col)).schema[0]
 
     def search(batches):
         for batch in batches:
-            n_words, n_hit, items, found = _search_batch(batch.column(1), sent, True)
+            n_words, n_hit, items, found = _search_batch(batch.column(1), sent, matches)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
                 pa.array(items, pa.list_(pa.string())),

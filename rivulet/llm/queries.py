@@ -14,7 +14,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op6_training_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_matches(
-        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), matches=False,
     ).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 

@@ -1,6 +1,7 @@
 """Texts built to cancel in hashes that are sums of powers modulo 2**64."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -89,3 +90,16 @@ def test_byte_strings_and_spans_tell_substrings_apart():
         assert len(seen) == len({data[b[i]: e[i]].tobytes() for i in rows.tolist()})
     two = byte_strings(np.frombuffer(b"abcdefghij-abcdefghij", np.uint8), np.array([0, 11]), np.array([10, 21]))
     assert two[0] == two[1] and combine(two[:1], two[:1]) != two[:1]
+
+
+def test_a_passage_that_all_items_share(spark):
+    """3,000 items with one head against a text of 3,000 heads: no work per
+    item and occurrence."""
+    head = " ".join(f"head{i}" for i in range(10))
+    items = spark.createDataFrame([(f"q{i:04d}", f"{head} tail{i} more{i}") for i in range(3000)], "item_id string, text string")
+    docs = documents(spark, [" ".join([head] * 3000), f"{head} tail7 more7", "nothing of it"])
+    start = time.time()
+    got = decontaminate.find_matches(docs, items, matches=False).orderBy("doc_id").collect()
+    assert time.time() - start < 60
+    assert [(r.n_words, r.n_hit, r.n_items) for r in got] == [(30_000, 30_000, 3000), (12, 12, 3000), (3, 0, 0)]
+    assert got[0]["items"] == sorted(f"q{i:04d}" for i in range(3000))
