@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivulet.functions.sums import order_free_sum
 from rivulet.operators.scan import (_CHUNK, DEFAULT_ROWS_PER_CHUNK, running,
                                     with_hot_key_chunks)
 
@@ -21,13 +22,13 @@ def _amount(value: str, exact_scale: int | None) -> Column:
 def keyed_sum(df: DataFrame, key: str = "key", value: str = "value", out: str = "total",
               exact_scale: int | None = None) -> DataFrame:
     """Group by the existing key and sum; null keys and null values are skipped.
+    The total does not depend on the order of the records.
 
     A partial aggregate runs before the shuffle, so a hot key sends one row
     per task.
     """
-    s = F.sum(_amount(value, exact_scale))
-    if exact_scale is not None:
-        s = s.cast("double")
+    s = (order_free_sum(value) if exact_scale is None
+         else F.sum(_amount(value, exact_scale)).cast("double"))
     return (df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
             .groupBy(key).agg(s.alias(out)))
 

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rivulet.functions.sums import order_free_sum
 from rivulet.functions.time import interval, millis_to_timestamp
 from rivulet.operators.scan import DEFAULT_ROWS_PER_CHUNK, running
 
@@ -66,10 +67,9 @@ def late_records(df: DataFrame, **kw) -> DataFrame:
 
 
 def _sum(value: str, exact_scale: int | None) -> Column:
-    v = F.col(value)
     if exact_scale is None:
-        return F.sum(v)
-    return F.sum(v.cast(f"decimal(18,{exact_scale})")).cast("double")
+        return order_free_sum(value)
+    return F.sum(F.col(value).cast(f"decimal(18,{exact_scale})")).cast("double")
 
 
 def tumbling_sum(df: DataFrame, key: str = "key", ts: str = "timestamp",
