@@ -18,7 +18,9 @@ words is one window; an item without words has none.
 Edge cases: null or empty texts have no words and are never contaminated; a
 null item text has no windows; a null item id counts as the empty string;
 repeated rows (documents or items) each count for themselves, and equal item
-ids are one item; empty tables give empty or clean results.
+ids are one item; a very long text is one shard of one task (about 60 bytes a
+byte); other columns are not read, and ``remove_contaminated`` keeps them
+whatever their names; empty tables give empty or clean results.
 """
 
 from __future__ import annotations

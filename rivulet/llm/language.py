@@ -18,7 +18,10 @@ scan without a shuffle.
 Edge cases: a null text or one without any letter is ``und`` with score 0 and
 not ambiguous; with no learnable row every text is ``und``; with one
 language it is always predicted, with score 1; null languages are not learnt;
-repeated rows count as often as they occur; empty tables give empty results.
+repeated rows count as often as they occur; a very long text is one document of
+one task, its n-grams whole in memory (about 12 bytes a byte and bit); other
+columns are not read, and ``keep_identified`` keeps them whatever their names;
+empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -27,7 +27,9 @@ taken in part, so a source gives its target to the word.
 Edge cases: null and empty texts have size 0 and are never taken; a null
 source is a source; a source without words has target 0; repeated rows count
 each; a null id is ordered by its text's hash, and rows of equal order by
-another hash of the text; empty tables give empty results.
+another hash of the text; texts of any length are counted whole, one at a time;
+other columns are not read by ``mix`` and stay as they are in ``take``, whatever
+their names; empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -30,7 +30,9 @@ are identified by 64-bit hashes.
 Edge cases: null, empty and blank texts have an empty set and link with
 nothing; repeated rows are copies of each other; rows that repeat an id are
 judged by their own text; rows with a null id count, and link others, but give
-no component_id; empty tables give empty results; other columns are not read.
+no component_id; a very long text is one document of one task (about 40 bytes a
+byte while its set is made); empty tables give empty results; other columns are
+not read, and ``keep_one`` keeps them whatever their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ have 2**28 words.
 Edge cases: null and empty texts (and texts without a word) have the empty
 fingerprint; two empty fingerprints are alike (1), an empty and another one
 are not (0); a text of fewer than ``k`` words is one k-mer; equal texts have
-equal fingerprints.
+equal fingerprints; repeated rows, and rows with equal or null ids, each give a
+row; a very long text is one array of words in its row, sorted in its task; other
+columns are not read, so none clashes; empty tables give empty results.
 """
 
 from __future__ import annotations

@@ -13,7 +13,9 @@ repeat as they stand, in the order (turn, role, text), null turn numbers
 first; conversations that are equal, or of which one is a prefix of the
 other, give an empty completion; a conversation with no partner gives no row;
 turns with a null conversation id are left out; markers inside texts are
-broken up, so that a text can't end its own turn; other columns are not read.
+broken up, so that a text can't end its own turn; a very long text, or a
+conversation of many turns, is one row; other columns are not read; empty tables
+give empty results.
 """
 
 from __future__ import annotations

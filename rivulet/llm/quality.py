@@ -24,8 +24,9 @@ meet ids and hashes of texts; the texts themselves are not shuffled for them
 Edge cases: null and empty texts have no features, so only prior and site
 speak; null hosts or paths are sites of their own; labels without a document,
 null labels and null ids are not learnt; repeated labels count each; without
-labels of both kinds all probabilities are the prior 0.5; empty tables give
-empty results.
+labels of both kinds all probabilities are the prior 0.5; a very long text is
+one document of one task; other columns are not read, so none clashes; empty
+tables give empty results.
 """
 
 from __future__ import annotations

@@ -29,8 +29,8 @@ three passes over the groups share.
 
 Edge cases: null and empty texts have no bytes; texts shorter than ``length``
 stay whole; repeated rows are copies of each other and all go; a null id is an
-id like any other; empty tables give empty results; other columns are not
-read.  Kept bytes are binary: a cut may fall inside a character.
+id like any other; a very long text is one document of one task (about 40 bytes
+a byte); empty tables give empty results; other columns are not read.  Kept bytes are binary: a cut may fall inside a character.
 """
 
 from __future__ import annotations

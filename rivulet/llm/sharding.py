@@ -13,7 +13,9 @@ of about ``PIECE`` rows, so a shard may be any size.
 
 Edge cases: a row with a null key is placed by its text instead, so that null
 keys don't gather in one shard; rows that repeat a key share its shard; equal
-rows get neighbouring slots; empty tables give empty results.
+rows get neighbouring slots; a very long text is only measured and hashed, in
+its row; ``with_shard`` keeps all other columns (one that is named as the result
+is replaced), ``assign`` reads none; empty tables give empty results.
 """
 
 from __future__ import annotations
