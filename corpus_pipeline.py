@@ -4,6 +4,11 @@ Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and
 returns the columns of ``documents``; the last adds ``shard``.  ``run``
 writes each stage's rows below the shared checkpoint folder and reads them
 back, so a lost executor costs at most one stage.
+
+All stages take null ids, sources and languages, empty tables and columns of any
+further name.  Null, empty and blank texts (no letter) go in the first stage.  Of
+equal rows one stays in the second; texts of any length are judged whole in every
+stage; ties in the mix are drawn by hashes, so reruns agree.
 """
 
 from __future__ import annotations
