@@ -23,8 +23,9 @@ candidates), passages by 64 bits within a bucket.
 Words are runs of bytes other than 0x20 and 0x09-0x0D, unchanged.  Edge
 cases: null and empty texts have no words; a document with fewer words than
 the window keeps all; rows that repeat an id do not count as earlier than each
-other; rows with a null id are neither earlier nor removed from; empty tables
-give empty results; other columns are not read.
+other; rows with a null id are neither earlier nor removed from; a very long
+text is one document of one task (about 60 bytes a byte); empty tables give
+empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,7 +41,6 @@ from rivulet.llm._text import U64, Words, chunks, covered, mix, separators, wind
 WINDOW = 50
 GROUP_BYTES = 16 << 20
 BUCKET_BYTES = 24 << 20
-NO_ID = np.iinfo(np.int64).max
 
 
 def planes(x: np.ndarray) -> bytes:
@@ -74,8 +74,9 @@ def _runs(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _ids(table: pa.Table, col: str) -> np.ndarray:
-    return table[col].cast(pa.int64()).fill_null(NO_ID).to_numpy()
+def _ids(table: pa.Table, col: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids, and which rows have one."""
+    return table[col].cast(pa.int64()).fill_null(0).to_numpy(), table[col].is_valid().to_numpy()
 
 
 def _per_bucket(bucket: np.ndarray, n: int):
@@ -164,7 +165,7 @@ class Repeats:
             return out.empty_table()
         told = self._told(answers, np.uint32)
         known = np.sort(np.concatenate([(U64(b) << U64(32)) | h.astype(U64) for b, h in told]))
-        ids = _ids(group, "id")
+        ids, has_id = _ids(group, "id")
         hashes, owner = [], []
         for a, _, w in self._words(group["text"].combine_chunks()):
             at, h = _rolling(w, self.block, 1)
@@ -174,7 +175,7 @@ class Repeats:
             hits = np.cumsum(hit)          # hits[i]: hits before word i
             at, h = _rolling(w, self.window, 2)
             near = hits[at + self.window - self.block + 1] > hits[at]
-            near &= ids[w.doc[at] + a] != NO_ID
+            near &= has_id[w.doc[at] + a]
             hashes.append(h[near])
             owner.append(ids[w.doc[at[near]] + a])
         h, owner = np.concatenate(hashes), np.concatenate(owner)
@@ -220,13 +221,13 @@ class Repeats:
             return out.empty_table()
         told = [np.sort(np.concatenate([np.empty(0, U64), *(h for _, h in self._told(answers, np.uint64, k))]))
                 for k in (0, 1)]
-        ids = _ids(group, "id")
+        ids, has_id = _ids(group, "id")
         pieces, local, text = [], [], group["text"].combine_chunks()
         for a, b, w in self._words(text):
             flag = at = np.empty(0, np.int64)
             if len(told[0]) or len(told[1]):
                 at, h = _rolling(w, self.window, 2)
-                own = ids[w.doc[at] + a] != NO_ID
+                own = has_id[w.doc[at] + a]
                 inner = np.flatnonzero(_member(h, told[1]) & own)
                 local.append((h[inner], ids[w.doc[at[inner]] + a], np.full(len(inner), len(pieces)), at[inner]))
                 flag = at[_member(h, told[0]) & own]

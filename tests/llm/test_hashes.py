@@ -103,3 +103,10 @@ def test_a_passage_that_all_items_share(spark):
     assert time.time() - start < 60
     assert [(r.n_words, r.n_hit, r.n_items) for r in got] == [(30_000, 30_000, 3000), (12, 12, 3000), (3, 0, 0)]
     assert got[0]["items"] == sorted(f"q{i:04d}" for i in range(3000))
+
+
+def test_the_largest_and_the_smallest_id(spark):
+    w = " ".join(filler(60, 8))
+    rows = [(2**63 - 1, w, "en", "s", 0), (-(2**63), w + " after", "en", "s", 0), (0, "before " + w, "en", "s", 0), (None, w, "en", "s", 0)]
+    got = {r.doc_id: r.n_removed for r in repeated_passages.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {2**63 - 1: 60, -(2**63): 0, 0: 60, None: 0}
