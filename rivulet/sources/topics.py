@@ -7,7 +7,9 @@ folder of parquet files and a real broker by changing options only.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ from rivulet.sources.schemas import DATE_COL, RecordSchema, topic_schema
 # micro-batch must be bounded even when a backlog is waiting.
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 DEFAULT_MAX_OFFSETS_PER_TRIGGER = 100_000_000
+# Records that ``write_topic`` puts into one file at most.
+DEFAULT_RECORDS_PER_FILE = 1_000_000
 
 
 def read_topic(spark: SparkSession, path: str | None = None, *,
@@ -30,7 +34,10 @@ def read_topic(spark: SparkSession, path: str | None = None, *,
                options: dict | None = None,
                max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
                max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER,
-               by_date: bool = False, on_bad: str = "null") -> DataFrame:
+               by_date: bool = False, on_bad: str = "null",
+               start: dict[int, int] | datetime | None = None,
+               max_records_per_trigger: int | None = None,
+               records_per_file: int = DEFAULT_RECORDS_PER_FILE) -> DataFrame:
     """Read a topic as a batch or streaming DataFrame.
 
     With ``options`` holding ``kafka.bootstrap.servers`` the Kafka source is
@@ -48,9 +55,17 @@ def read_topic(spark: SparkSession, path: str | None = None, *,
     columns ``bad`` and ``raw`` (``tag_bad``), so that the record can be routed
     aside and, in a table topic, is not taken for a delete.
 
+    ``start`` says where to begin instead of at the earliest record: offsets by
+    partition (partitions that it does not name: from their start), or a time.
+    On files both are filters that reach the scan (row groups before them are
+    skipped); a restarted stream goes on from its checkpoint.
+
     Streams read at most ``max_files_per_trigger`` files (file topic) or
     ``max_offsets_per_trigger`` records (Kafka) per micro-batch, so a
     backlog is worked off in bounded batches (``None`` lifts the limit).
+    ``max_records_per_trigger`` bounds a micro-batch by records: a file of
+    ``write_topic`` holds ``records_per_file`` at most, and as many files are
+    taken as are sure to stay within it (one file at least).
     """
     if on_bad not in ("null", "tag"):
         raise ValueError("on_bad is 'null' or 'tag'")
@@ -58,7 +73,15 @@ def read_topic(spark: SparkSession, path: str | None = None, *,
     vtype = value_type.struct if isinstance(value_type, RecordSchema) else value_type
     reader = spark.readStream if stream else spark.read
     if "kafka.bootstrap.servers" in options:
-        options.setdefault("startingOffsets", "earliest")
+        if isinstance(start, datetime):
+            options.setdefault("startingTimestamp", str(int(start.timestamp() * 1000)))
+        elif start:
+            # the broker source wants every partition named, and says so where one is missing
+            options.setdefault("startingOffsets", json.dumps({options["subscribe"]: {str(p): o for p, o in start.items()}}))
+        else:
+            options.setdefault("startingOffsets", "earliest")
+        if max_records_per_trigger:
+            max_offsets_per_trigger = max_records_per_trigger
         if stream and max_offsets_per_trigger:
             options.setdefault("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
         # needs the spark-sql-kafka package; Spark's own error says so
@@ -68,10 +91,20 @@ def read_topic(spark: SparkSession, path: str | None = None, *,
                          F.col("value").cast("string").alias("value"))
         return tag_bad(raw, vtype) if on_bad == "tag" else decode_value(raw, vtype)
     text = options.pop("values", None) == "text"
+    if max_records_per_trigger:
+        within = max(1, max_records_per_trigger // records_per_file)
+        max_files_per_trigger = min(within, max_files_per_trigger or within)
     if stream and max_files_per_trigger:
         options.setdefault("maxFilesPerTrigger", str(max_files_per_trigger))
     stored = T.StringType() if text else vtype
     records = reader.format(fmt).schema(topic_schema(stored, by_date)).options(**options).load(path)
+    if isinstance(start, datetime):
+        records = records.filter(F.col("timestamp") >= F.lit(start))
+    elif start:
+        begun = ~F.col("partition").isin(*start)
+        for p, o in start.items():
+            begun = begun | ((F.col("partition") == p) & (F.col("offset") >= o))
+        records = records.filter(begun)
     if not text:        # typed files hold no undecoded value
         return records.withColumns({"bad": F.lit(False), "raw": F.lit(None).cast("string")}) if on_bad == "tag" else records
     return tag_bad(records, vtype) if on_bad == "tag" else decode_value(records, vtype)
@@ -213,12 +246,14 @@ def to_topic_records(df: DataFrame, topic: str, key: Column | str, *,
 def write_topic(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "append",
                 checkpoint: str | None = None, trigger: dict | None = None,
                 query_name: str | None = None, options: dict | None = None,
-                by_date: bool = False):
+                by_date: bool = False, records_per_file: int = DEFAULT_RECORDS_PER_FILE):
     """Append records to a topic.
 
     Batch frames are written at once; a streaming frame starts a query with
     ``checkpoint`` as its progress (file sinks are exactly-once) and the
-    started ``StreamingQuery`` is returned.  With ``kafka.bootstrap.servers``
+    started ``StreamingQuery`` is returned.  No file holds more than
+    ``records_per_file`` records, so that readers can bound a micro-batch by
+    records.  With ``kafka.bootstrap.servers``
     in ``options`` the records go to a broker instead of files.
     """
     options = dict(options or {})
@@ -232,6 +267,8 @@ def write_topic(df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "
                         if isinstance(df.schema["value"].dataType, T.StructType)
                         else F.col("value").cast("string").alias("value"))
         fmt = "kafka"
+    else:
+        options.setdefault("maxRecordsPerFile", str(records_per_file))
     parts = []
     if by_date and not kafka:
         out = out.withColumn(DATE_COL, F.to_date("timestamp"))

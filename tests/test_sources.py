@@ -243,3 +243,34 @@ def test_bad_values_are_tagged_by_the_read(spark, tmp_path):
         if not isinstance(kind, T.StructType):      # bad JSON decodes to a struct of nulls
             plain = read_topic(spark, path, value_type=kind, options={"values": "text"})
             assert plain.filter("value is null").count() == sum(bad) + 1
+
+
+def test_start_and_batches_by_records(spark, tmp_path):
+    """A topic read from an offset per partition, from a time, and in
+    micro-batches of bounded records, over a restart."""
+    import datetime as dt
+
+    path, out, ck = (str(tmp_path / n) for n in ("topic", "out", "ck"))
+    rows = [(i % 2, i // 2, T0 + 1000 * i, f"k{i}", str(i)) for i in range(95)]
+    write_topic(topic(spark, rows).repartition(3), path, records_per_file=10)
+    sizes = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 95 and max(sizes) <= 10
+    start = {0: 30}
+    want = sorted((p, o) for p, o, *_ in rows if p != 0 or o >= 30)
+    assert sorted((r["partition"], r["offset"]) for r in read_topic(spark, path, start=start).collect()) == want
+    since = dt.datetime.fromtimestamp(T0 / 1000 + 40, dt.timezone.utc)
+    assert read_topic(spark, path, start=since).count() == 55
+    plan = read_topic(spark, path, start=start)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(offset,30)" in plan
+
+    def run():
+        s = read_topic(spark, path, start=start, stream=True, max_records_per_trigger=25, records_per_file=10)
+        return run_stream(s, "started", path=out, checkpoint=ck)
+
+    q = run()
+    read = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert sum(read) == 95 and max(read) <= 25 and len(read) >= 4       # files read; the filter keeps those from the start on
+    write_topic(topic(spark, [(0, 48, T0, "a", "95"), (1, 47, T0, "b", "96"), (0, 3, T0, "c", "old")]), path, records_per_file=10)
+    run()
+    got = sorted((r["partition"], r["offset"]) for r in spark.read.parquet(out).collect())
+    assert got == sorted([*want, (0, 48), (1, 47)])
