@@ -100,6 +100,15 @@ class Spans:
             word, step = combine(word[:-step], word[step:]), 2 * step
         self.level = mix(word) if self.width == 8 else word
 
+    def everywhere(self, size: int) -> np.ndarray:
+        """Hash of the substring of ``size`` bytes (``width`` or more) at every
+        place: runs are doubled, and the last two cover it."""
+        level, step = self.level, self.width
+        while 2 * step <= size:
+            level, step = combine(level[:-step], level[step:]), 2 * step
+        n = max(0, len(self.data) - size + 1)
+        return combine(level[:n], level[size - step: size - step + n])
+
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         size = ends - starts
         out = combine(self.level[starts], size.astype(U64))

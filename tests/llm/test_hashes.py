@@ -88,6 +88,12 @@ def test_byte_strings_and_spans_tell_substrings_apart():
         for v, i in zip(h.tolist(), rows.tolist()):
             assert seen.setdefault(v, data[b[i]: e[i]].tobytes()) == data[b[i]: e[i]].tobytes()
         assert len(seen) == len({data[b[i]: e[i]].tobytes() for i in rows.tolist()})
+    for size in (40, 64, 200):
+        every = Spans(data, 40).everywhere(size)
+        seen = {}
+        for i, v in enumerate(every.tolist()):
+            assert seen.setdefault(v, data[i: i + size].tobytes()) == data[i: i + size].tobytes()
+        assert len(every) == len(data) - size + 1 and len(seen) == len({data[i: i + size].tobytes() for i in range(len(every))})
     two = byte_strings(np.frombuffer(b"abcdefghij-abcdefghij", np.uint8), np.array([0, 11]), np.array([10, 21]))
     assert two[0] == two[1] and combine(two[:1], two[:1]) != two[:1]
 
