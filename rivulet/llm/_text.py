@@ -100,9 +100,25 @@ class Spans:
             word, step = combine(word[:-step], word[step:]), 2 * step
         self.level = mix(word) if self.width == 8 else word
 
+    def strings(self, starts: np.ndarray, size: int) -> np.ndarray:
+        """Hash of the substring of ``size`` bytes (``width`` or more) at each of
+        ``starts``: runs are doubled, and the last two cover it.  Few starts are
+        looked up, many computed everywhere; the hashes are the same."""
+        if 4 * len(starts) > len(self.level):
+            return self.everywhere(size)[starts]
+
+        def run(at: np.ndarray, step: int) -> np.ndarray:
+            if step == self.width:
+                return self.level[at]
+            return combine(run(at, step // 2), run(at + step // 2, step // 2))
+
+        step = self.width
+        while 2 * step <= size:
+            step *= 2
+        return combine(run(starts, step), run(starts + size - step, step))
+
     def everywhere(self, size: int) -> np.ndarray:
-        """Hash of the substring of ``size`` bytes (``width`` or more) at every
-        place: runs are doubled, and the last two cover it."""
+        """``strings`` at every place."""
         level, step = self.level, self.width
         while 2 * step <= size:
             level, step = combine(level[:-step], level[step:]), 2 * step

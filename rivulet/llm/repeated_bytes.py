@@ -189,7 +189,7 @@ class Repeats:
             yield a, data, off, st, at, low[at], content, count, self._loops(h, st, at, count) if loops else spans
 
     def _strings(self, spans: Spans, start: np.ndarray) -> np.ndarray:
-        return mix(spans.everywhere(self.length)[start], 10)
+        return mix(spans.strings(start, self.length), 10)
 
     ENTRIES = pa.schema([("g", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()),
                          ("contents", pa.binary()), ("many", pa.binary()), ("loops", pa.binary())])

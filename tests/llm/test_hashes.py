@@ -90,6 +90,8 @@ def test_byte_strings_and_spans_tell_substrings_apart():
         assert len(seen) == len({data[b[i]: e[i]].tobytes() for i in rows.tolist()})
     for size in (40, 64, 200):
         every = Spans(data, 40).everywhere(size)
+        some = np.array([0, 7, 4800, len(data) - size])
+        assert (Spans(data, 40).strings(some, size) == every[some]).all()
         seen = {}
         for i, v in enumerate(every.tolist()):
             assert seen.setdefault(v, data[i: i + size].tobytes()) == data[i: i + size].tobytes()
